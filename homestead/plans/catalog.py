@@ -13,10 +13,13 @@ from .. import schemas as S
 from ..functions import predicates as P
 from ..functions import text as X
 from ..operators import keyed as K
+from ..operators import extract as E
+from ..operators import frontier as FR
 from ..operators import marts as M
+from ..operators import quantiles as Q
 from ..sources.tables import read_table
 from .gold import silver_to_gold
-from .listings import listing_bronze
+from .listings import URL_PREFIX, listing_bronze
 from .silver import bronze_to_silver
 
 LOAD_STAMP = "2026-01-01 02:00:00"
@@ -59,3 +62,469 @@ def report_topk_price(spark, sf_dir):
     g = M.filter_listings(gold_listings(spark, sf_dir), price_range=PRICE_RANGE)
     return (M.topk_mean(g, "district", "price", alias="mean_price")
             .select("district", F.round("mean_price", 6).alias("mean_price")))
+
+
+def _frontier(spark, sf_dir, since=None, until=None) -> DataFrame:
+    """Queue rows derived from orders: one url per order."""
+    o = _t(spark, sf_dir, "orders")
+    if since is not None:
+        o = o.filter(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
+    if until is not None:
+        o = o.filter(F.col("o_orderdate") < F.lit(until).cast("timestamp_ntz"))
+    return o.select(
+        F.concat(F.lit(URL_PREFIX), F.col("o_orderkey").cast("string")).alias("url"),
+        F.when(F.col("o_orderstatus") == "F", F.lit(S.CRAWLED))
+         .otherwise(F.lit(S.PENDING)).alias("status"),
+        F.col("o_orderdate").alias("created_at"))
+
+
+def _lineitem_links(spark, sf_dir) -> DataFrame:
+    """One discovered link per lineitem (several per listing)."""
+    return _t(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit(URL_PREFIX), F.col("l_orderkey").cast("string")).alias("url"))
+
+
+def _comma2(c):
+    return F.replace(F.format_string("%.2f", c), F.lit("."), F.lit(","))
+
+
+# --- scalar rules (X*) and predicates (F*) ------------------------------------------
+
+@query
+def json_field_tolerant(spark, sf_dir):
+    """Map field when present, NULL when the key is absent."""
+    m = X.json_map("props")
+    return _t(spark, sf_dir, "events").select(
+        "event_id", X.map_field(m, "k").alias("k"), X.map_field(m, "absent").alias("absent"))
+
+
+@query
+def not_blank_filter(spark, sf_dir):
+    """not NULL and not blank."""
+    return (_t(spark, sf_dir, "documents").filter(P.not_blank("text"))
+            .select("doc_id", "lang", "n_chars"))
+
+
+@query
+def split_address_pair(spark, sf_dir):
+    """F2 + X1–X4: keep two-part addresses, split into district / city."""
+    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    n = _t(spark, sf_dir, "nation")
+    r = _t(spark, sf_dir, "region")
+    df = (c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+           .select("c_custkey", F.when(F.col("c_acctbal") >= 0,
+                                       F.concat("n_name", F.lit(", "), "r_name", F.lit(" mới")))
+                                  .otherwise(F.col("n_name")).alias("address_line_2")))
+    return (df.filter(P.min_parts("address_line_2", 2))
+              .select("c_custkey", X.part("address_line_2", 1).alias("district"),
+                      X.strip_city_suffix(X.part("address_line_2", 2)).alias("city")))
+
+
+STRIP_PREFIX = r"^(small|large|old)\s+"
+STRIP_SUFFIX = r"\s+(gear|rod)$"
+KEEP_PATTERN = r"^(red|hot|blue|cold|new)\s"
+
+
+@query
+def strip_prefix_suffix(spark, sf_dir):
+    """Strip prefix, strip suffix, keep by regex (after stripping)."""
+    p = _t(spark, sf_dir, "part")
+    name = X.strip_city_suffix(X.strip_district_prefix("p_name", STRIP_PREFIX), STRIP_SUFFIX)
+    return (p.select("p_partkey", name.alias("name"))
+             .filter(P.matches("name", KEEP_PATTERN)))
+
+
+@query
+def locale_number(spark, sf_dir):
+    """Decimal-comma numbers, ranges and words -> double or NULL."""
+    o = _t(spark, sf_dir, "orders")
+    txt = (F.when(F.col("o_orderstatus") == "F", F.concat(_comma2(F.col("o_totalprice")), F.lit(" tỷ")))
+            .when(F.col("o_orderstatus") == "O",
+                  F.concat(_comma2(F.col("o_totalprice")), F.lit(" - "),
+                           _comma2(F.col("o_totalprice") * 2), F.lit(" tỷ")))
+            .otherwise(F.lit("Thỏa thuận")))
+    return (o.select("o_orderkey", txt.alias("price_text"))
+             .withColumn("price", X.locale_number("price_text")))
+
+
+@query
+def digits_int(spark, sf_dir):
+    """Digits-only integer, NULL when there are no digits."""
+    return _t(spark, sf_dir, "customer").select(
+        "c_custkey", X.digits_int("c_name").alias("name_number"),
+        X.digits_int("c_mktsegment").alias("segment_number"))
+
+
+@query
+def parse_date(spark, sf_dir):
+    """X9 strict dd/MM/yyyy parse (ISO text -> NULL), X10 timestamp -> date."""
+    o = _t(spark, sf_dir, "orders")
+    txt = (F.when(F.col("o_orderpriority") == "2-HIGH", F.date_format("o_orderdate", "yyyy-MM-dd"))
+            .otherwise(F.date_format("o_orderdate", "dd/MM/yyyy")))
+    return o.select("o_orderkey", txt.alias("posted_text"),
+                    X.parse_date(txt).alias("posted_date"),
+                    X.to_day("o_orderdate").alias("order_day"))
+
+
+FLAG_KEYWORDS = ("red", "hot", "gear")
+
+
+@query
+def keyword_flag(spark, sf_dir):
+    """1 when any keyword is contained (case-insensitive), else 0."""
+    return _t(spark, sf_dir, "part").select(
+        "p_partkey", X.keyword_flag("p_name", FLAG_KEYWORDS).alias("flag"))
+
+
+@query
+def first_meaningful_part(spark, sf_dir):
+    """X14 + K5: first address part that is not a short token / skipped prefix."""
+    addr = F.concat_ws(", ", F.col("p_size").cast("string"), "p_type", "p_name", "p_brand")
+    return _t(spark, sf_dir, "part").select(
+        "p_partkey", addr.alias("address"),
+        X.first_meaningful_part(addr, skip_prefix="small").alias("project_name"))
+
+
+@query
+def numeric_coerce(spark, sf_dir):
+    """Numeric coercion, bad text -> NULL."""
+    return _t(spark, sf_dir, "events").select(
+        "event_id", X.to_double(X.json_field("props", "$.k")).alias("k_num"),
+        X.to_double("event_type").alias("type_num"))
+
+
+# --- keyed operators (A1, W5, W8, W9, W13) ------------------------------------------
+
+@query
+def latest_per_key(spark, sf_dir):
+    """A1: newest event per user (ties broken by the other columns)."""
+    ev = _t(spark, sf_dir, "events")
+    return K.latest_per_key(ev, ["user_id"], order_by=[F.col("ts").desc_nulls_last()],
+                            order_cols=["ts"])
+
+
+UPSERT_CUTOFF_TARGET = "1999-01-01"
+UPSERT_CUTOFF_SOURCE = "1998-01-01"
+
+
+@query
+def upsert(spark, sf_dir):
+    """Orders before 1999 upserted with re-priced orders from 1998 on."""
+    o = _t(spark, sf_dir, "orders")
+    target = o.filter(F.col("o_orderdate") < F.lit(UPSERT_CUTOFF_TARGET).cast("timestamp_ntz"))
+    source = (o.filter(F.col("o_orderdate") >= F.lit(UPSERT_CUTOFF_SOURCE).cast("timestamp_ntz"))
+               .withColumns({"o_orderstatus": F.lit("U"),
+                             "o_totalprice": F.col("o_totalprice") * 2}))
+    return K.upsert(target, source, ["o_orderkey"])
+
+
+FRONTIER_SPLIT = "2000-01-01"
+INSERT_STAMP = "2026-01-01 00:00:00"
+
+
+@query
+def insert_ignore(spark, sf_dir):
+    """Add unseen lineitem links to the queue as pending."""
+    target = _frontier(spark, sf_dir, until=FRONTIER_SPLIT)
+    return K.insert_ignore(target, _lineitem_links(spark, sf_dir), ["url"],
+                           defaults={"status": F.lit(S.PENDING),
+                                     "created_at": F.lit(INSERT_STAMP).cast("timestamp_ntz")})
+
+
+@query
+def insert_ignore_count(spark, sf_dir):
+    """How many links an insert-ignore adds."""
+    target = _frontier(spark, sf_dir, until=FRONTIER_SPLIT)
+    return K.new_rows(target, _lineitem_links(spark, sf_dir), ["url"]).agg(
+        F.count(F.lit(1)).alias("n_new"))
+
+
+@query
+def update_status(spark, sf_dir):
+    """Pending -> crawled for links whose page landed."""
+    landed = (_t(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == "F")
+              .select(F.concat(F.lit(URL_PREFIX), F.col("l_orderkey").cast("string")).alias("url")))
+    return K.update_status(_frontier(spark, sf_dir), landed)
+
+
+@query
+def key_violations(spark, sf_dir):
+    """Slugs that are not unique across pages."""
+    pages = _t(spark, sf_dir, "pages").select(X.url_slug("url").alias("slug"))
+    return K.key_violations(pages, ["slug"])
+
+
+@query
+def url_slug(spark, sf_dir):
+    """Last path segment of the url."""
+    return _t(spark, sf_dir, "pages").select("page_id", X.url_slug("url").alias("slug"))
+
+
+# --- frontier (S6, S7, W10, X21, X23, W14) ---------------------------------------------
+
+@query
+def queue_take(spark, sf_dir):
+    """Next 10 pending urls, oldest first."""
+    return FR.queue_take(_frontier(spark, sf_dir), 10)
+
+
+STATE_BALANCE = 9900.0
+HOT_PRICE = 450000.0
+
+
+def _nation_locations(spark, sf_dir) -> DataFrame:
+    return _t(spark, sf_dir, "nation").select(
+        F.col("n_name").alias("name"),
+        F.concat(F.lit("https://nha.example/ban-"), F.lower("n_name")).alias("url"))
+
+
+def _nation_state(spark, sf_dir) -> DataFrame:
+    """Cursor state: count of high-balance customers per nation (absent when 0)."""
+    c = _t(spark, sf_dir, "customer").filter(F.col("c_acctbal") > STATE_BALANCE)
+    n = _t(spark, sf_dir, "nation")
+    return (c.join(n, c.c_nationkey == n.n_nationkey)
+             .groupBy(F.col("n_name").alias("location_name"))
+             .agg(F.count(F.lit(1)).cast("int").alias("current_page")))
+
+
+@query
+def state_lookup_default(spark, sf_dir):
+    """S7/J4 + X21: cursor page per location (default 1) and its page url."""
+    pages = FR.current_pages(_nation_locations(spark, sf_dir), _nation_state(spark, sf_dir))
+    return FR.page_urls(pages).select("name", "current_page", "page_url")
+
+
+@query
+def cursor_advance(spark, sf_dir):
+    """Next page per location from the links its page produced."""
+    pages = FR.current_pages(_nation_locations(spark, sf_dir), _nation_state(spark, sf_dir))
+    o = _t(spark, sf_dir, "orders").filter(F.col("o_totalprice") > HOT_PRICE)
+    c = _t(spark, sf_dir, "customer")
+    n = _t(spark, sf_dir, "nation")
+    links = (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+              .groupBy(F.col("n_name").alias("name")).agg(F.count(F.lit(1)).alias("n_links")))
+    return FR.advance_cursor(pages, links)
+
+
+MIN_LINKS = 6
+
+
+@query
+def quarantine_few_links(spark, sf_dir):
+    """Pages with fewer than MIN_LINKS links go to quarantine."""
+    pages = _t(spark, sf_dir, "pages")
+    links = pages.select("page_id", F.explode(E.anchor_hrefs("html")).alias("href"))
+    return FR.quarantine(pages.select("page_id", "url"), links, MIN_LINKS)
+
+
+# --- extraction (H1–H7) -----------------------------------------------------------------
+
+@query
+def extract_links(spark, sf_dir):
+    """Page links, foreign ones dropped, relative made absolute."""
+    return E.extract_links(_t(spark, sf_dir, "pages"))
+
+
+@query
+def extract_heading(spark, sf_dir):
+    """H2/H6: text of the first <h1>; pages without one are rejected."""
+    pages = _t(spark, sf_dir, "pages").filter(F.col("html").rlike("<h1[\\s>]"))
+    return pages.select("page_id", E.first_tag_text("html", "h1").alias("title"))
+
+
+DRIVER_PAGE_SPEC = E.PageSpec(title=("h1", None), description=("div", "ad"), link=("a", None))
+
+
+@query
+def extract_document(spark, sf_dir):
+    """H2–H7: full document through the HTML parser (maps as JSON text)."""
+    docs = E.extract_documents(_t(spark, sf_dir, "pages"), DRIVER_PAGE_SPEC)
+    return docs.select("page_id", "title", "description",
+                       F.to_json("short_info").alias("short_info"),
+                       F.size("links").alias("n_links"))
+
+
+# --- report marts over the gold fact (A3–A15, K1–K2, P6–P7) -----------------------------
+
+REPORT_CITY = "ASIA"
+UNIT_RANGE = (2000.0, 60000.0)
+BEDROOMS = (1, 2, 3)
+
+
+@query
+def header_kpi(spark, sf_dir):
+    """A3/A4: row count and freshness."""
+    return M.header_kpis(_t(spark, sf_dir, "events"), "ts")
+
+
+@query
+def filter_bounds(spark, sf_dir):
+    """Price and unit-price bounds within one city."""
+    g = M.filter_listings(gold_listings(spark, sf_dir), city=REPORT_CITY)
+    return M.bounds(g, ["price", "price_per_m2"])
+
+
+@query
+def distinct_sorted(spark, sf_dir):
+    """Sorted distinct cities."""
+    return M.distinct_sorted(gold_listings(spark, sf_dir), "city")
+
+
+@query
+def distinct_bedrooms(spark, sf_dir):
+    """A10: sorted distinct bedroom counts within the chosen city."""
+    g = M.filter_listings(gold_listings(spark, sf_dir), city=REPORT_CITY)
+    return M.distinct_sorted(g, "num_bedrooms")
+
+
+@query
+def filtered_kpis(spark, sf_dir):
+    """KPIs of the filtered listings."""
+    g = M.filter_listings(gold_listings(spark, sf_dir), city=S.ALL_SENTINEL,
+                          price_range=PRICE_RANGE, unit_price_range=UNIT_RANGE,
+                          bedrooms=BEDROOMS)
+    return M.listing_kpis(g)
+
+
+@query
+def topk_mean(spark, sf_dir):
+    """Top-15 nations by mean customer balance."""
+    c = _t(spark, sf_dir, "customer")
+    n = _t(spark, sf_dir, "nation")
+    df = c.join(n, c.c_nationkey == n.n_nationkey)
+    return (M.topk_mean(df, "n_name", "c_acctbal")
+            .select("n_name", F.round("mean_value", 6).alias("mean_value")))
+
+
+@query
+def topk_mean_unit(spark, sf_dir):
+    """Top-15 brands by mean unit price (extended price / quantity)."""
+    li = _t(spark, sf_dir, "lineitem").select(
+        "l_partkey", (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"))
+    p = _t(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    df = li.join(p, li.l_partkey == p.p_partkey)
+    return (M.topk_mean(df, "p_brand", "unit_price")
+            .select("p_brand", F.round("mean_value", 6).alias("mean_value")))
+
+
+@query
+def topk_mean_unit_listings(spark, sf_dir):
+    """A12/K2 on the gold fact: top-15 wards by mean unit price."""
+    g = M.filter_listings(gold_listings(spark, sf_dir), price_range=PRICE_RANGE)
+    return (M.topk_mean(g, "district", "price_per_m2", alias="mean_unit_price")
+            .select("district", F.round("mean_unit_price", 6).alias("mean_unit_price")))
+
+
+@query
+def share_two_way(spark, sf_dir):
+    """Purchases vs all other events."""
+    ev = _t(spark, sf_dir, "events").select(
+        (F.col("event_type") == "purchase").cast("int").alias("is_purchase"))
+    return M.share_two_way(ev, "is_purchase", ("purchase", "other"))
+
+
+@query
+def share_legal_docs(spark, sf_dir):
+    """A13 on the gold fact: listings with vs without legal documents."""
+    return M.share_two_way(gold_listings(spark, sf_dir), "has_legal_docs",
+                           ("with_docs", "unknown"))
+
+
+def _box(df, group, value, method):
+    out = Q.box_stats(df, group, value, method=method)
+    return out.select(group, "n", *[F.round(c, 6).alias(c) for c in
+                                    ("q1", "median", "q3", "lower_whisker", "upper_whisker")],
+                      "n_outliers")
+
+
+@query
+def box_stats(spark, sf_dir):
+    """Quartiles (type 7), whiskers, outliers of value per event type."""
+    return _box(_t(spark, sf_dir, "events"), "event_type", "value", "linear")
+
+
+@query
+def box_stats_midpoint(spark, sf_dir):
+    """A14 variant: quartiles interpolated at n·p + 0.5 (type 5)."""
+    return _box(_t(spark, sf_dir, "events"), "event_type", "value", "midpoint")
+
+
+@query
+def box_stats_listings(spark, sf_dir):
+    """A14 on the gold fact: price distribution per city."""
+    return _box(gold_listings(spark, sf_dir), "city", "price", "linear")
+
+
+def _hist(df, value):
+    h = M.histogram(df, value, S.HISTOGRAM_BINS)
+    return h.select("bin", F.round("bin_lo", 6).alias("bin_lo"),
+                    F.round("bin_hi", 6).alias("bin_hi"), "n_rows")
+
+
+@query
+def histogram_20(spark, sf_dir):
+    """20 equal-width bins of event value."""
+    return _hist(_t(spark, sf_dir, "events"), "value")
+
+
+@query
+def histogram_listings(spark, sf_dir):
+    """A15 on the gold fact: price histogram within one city."""
+    return _hist(M.filter_listings(gold_listings(spark, sf_dir), city=REPORT_CITY), "price")
+
+
+@query
+def scatter_projection(spark, sf_dir):
+    """area/price/city + hover columns of the filtered listings."""
+    g = M.filter_listings(gold_listings(spark, sf_dir), price_range=PRICE_RANGE,
+                          unit_price_range=UNIT_RANGE)
+    return M.scatter_projection(g)
+
+
+@query
+def lookup_projection(spark, sf_dir):
+    """The lookup table of the filtered listings."""
+    g = M.filter_listings(gold_listings(spark, sf_dir), price_range=PRICE_RANGE,
+                          unit_price_range=UNIT_RANGE, bedrooms=BEDROOMS)
+    return M.lookup_projection(g)
+
+
+# --- storage round trips (W3/S3, W5 on gold, T1) -----------------------------------------
+
+@query
+def partition_roundtrip(spark, sf_dir):
+    """W3 + S3: events written dt-partitioned, read back with partition pruning."""
+    from ..session import scratch_path
+    from ..sources.tables import read_partitioned, write_partitioned
+    path = scratch_path(spark, "events-by-day")
+    ev = _t(spark, sf_dir, "events").withColumn("dt", X.to_day("ts"))
+    write_partitioned(ev, path)
+    return (read_partitioned(spark, path, since="2024-01-10", until="2024-01-20")
+            .select("event_id", "user_id", "event_type", "value", "dt"))
+
+
+GOLD_SPLIT = "1997-01-01"
+
+
+@query
+def gold_upsert_incremental(spark, sf_dir):
+    """W5 on gold: gold of early crawls upserted with gold of later crawls
+    equals gold of all crawls."""
+    silver = bronze_to_silver(listing_bronze(spark, sf_dir))
+    cut = F.lit(GOLD_SPLIT).cast("timestamp")
+    early = silver_to_gold(silver.filter(F.col("crawled_at") < cut), loaded_at=LOAD_STAMP)
+    late = silver_to_gold(silver.filter(F.col("crawled_at") >= cut), loaded_at=LOAD_STAMP)
+    return K.upsert(early, late, [S.GOLD_KEY])
+
+
+@query
+def stream_ingest(spark, sf_dir):
+    """Bronze JSON landed by day, ingested by an availableNow stream into
+    silver Parquet; the result equals the batch silver transform."""
+    from ..session import scratch_path
+    from ..sources.bronze import land_bronze
+    from ..streaming.ingest import ingest_bronze_stream
+    root = scratch_path(spark, "stream")
+    land_bronze(listing_bronze(spark, sf_dir), f"{root}/bronze")
+    ingest_bronze_stream(spark, f"{root}/bronze", f"{root}/silver", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/silver").select(*S.SILVER_COLUMNS)

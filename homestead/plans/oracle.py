@@ -20,3 +20,374 @@ GROUP BY district
 ORDER BY avg(price) DESC NULLS LAST, district ASC NULLS FIRST
 LIMIT 15
 """
+
+URL = "'https://nha.example/can-ho-'"
+
+ORACLE["json_field_tolerant"] = """
+SELECT event_id, json_extract_string(props, '$.k') AS k,
+       json_extract_string(props, '$.absent') AS absent
+FROM events
+"""
+
+ORACLE["not_blank_filter"] = """
+SELECT doc_id, lang, n_chars FROM documents
+WHERE text IS NOT NULL AND trim(text, ' ') <> ''
+"""
+
+ORACLE["split_address_pair"] = r"""
+WITH a AS (
+  SELECT c_custkey,
+         CASE WHEN c_acctbal >= 0 THEN n_name || ', ' || r_name || ' mới' ELSE n_name END AS a2
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+)
+SELECT c_custkey, trim(string_split(a2, ',')[1], ' ') AS district,
+       regexp_replace(trim(string_split(a2, ',')[2], ' '), '\s+(mới|cũ)$', '') AS city
+FROM a WHERE len(string_split(a2, ',')) >= 2
+"""
+
+ORACLE["strip_prefix_suffix"] = r"""
+WITH s AS (
+  SELECT p_partkey,
+         regexp_replace(regexp_replace(p_name, '^(small|large|old)\s+', ''), '\s+(gear|rod)$', '') AS name
+  FROM part
+)
+SELECT p_partkey, name FROM s WHERE regexp_matches(name, '^(red|hot|blue|cold|new)\s')
+"""
+
+ORACLE["locale_number"] = r"""
+WITH t AS (
+  SELECT o_orderkey,
+    CASE WHEN o_orderstatus = 'F' THEN replace(printf('%.2f', o_totalprice), '.', ',') || ' tỷ'
+         WHEN o_orderstatus = 'O' THEN replace(printf('%.2f', o_totalprice), '.', ',') || ' - '
+                                       || replace(printf('%.2f', o_totalprice * 2), '.', ',') || ' tỷ'
+         ELSE 'Thỏa thuận' END AS price_text
+  FROM orders
+)
+SELECT o_orderkey, price_text,
+       TRY_CAST(replace(regexp_replace(price_text, '[^0-9,]', '', 'g'), ',', '.') AS DOUBLE) AS price
+FROM t
+"""
+
+ORACLE["digits_int"] = """
+SELECT c_custkey,
+       TRY_CAST(regexp_replace(c_name, '[^0-9]', '', 'g') AS INTEGER) AS name_number,
+       TRY_CAST(regexp_replace(c_mktsegment, '[^0-9]', '', 'g') AS INTEGER) AS segment_number
+FROM customer
+"""
+
+ORACLE["parse_date"] = """
+WITH t AS (
+  SELECT o_orderkey, o_orderdate,
+    CASE WHEN o_orderpriority = '2-HIGH' THEN strftime(o_orderdate, '%Y-%m-%d')
+         ELSE strftime(o_orderdate, '%d/%m/%Y') END AS posted_text
+  FROM orders
+)
+SELECT o_orderkey, posted_text, CAST(try_strptime(posted_text, '%d/%m/%Y') AS DATE) AS posted_date,
+       CAST(o_orderdate AS DATE) AS order_day
+FROM t
+"""
+
+ORACLE["keyword_flag"] = """
+SELECT p_partkey,
+  CASE WHEN contains(lower(p_name), 'red') OR contains(lower(p_name), 'hot')
+         OR contains(lower(p_name), 'gear') THEN 1 ELSE 0 END AS flag
+FROM part
+"""
+
+ORACLE["first_meaningful_part"] = r"""
+WITH t AS (
+  SELECT p_partkey, concat_ws(', ', CAST(p_size AS VARCHAR), p_type, p_name, p_brand) AS address
+  FROM part
+)
+SELECT p_partkey, address,
+  trim(list_filter(string_split(address, ','),
+       lambda x: NOT (regexp_matches(trim(x, ' '), '^[0-9/\sA-Za-z]{1,6}$')
+                      OR starts_with(lower(trim(x, ' ')), 'small')))[1], ' ') AS project_name
+FROM t
+"""
+
+ORACLE["numeric_coerce"] = """
+SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k_num,
+       TRY_CAST(event_type AS DOUBLE) AS type_num
+FROM events
+"""
+
+ORACLE["latest_per_key"] = """
+SELECT * FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST,
+  event_id ASC NULLS FIRST, event_type ASC NULLS FIRST, value ASC NULLS FIRST,
+  props ASC NULLS FIRST) = 1
+"""
+
+ORACLE["upsert"] = """
+WITH t AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+s AS (SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice * 2 AS o_totalprice,
+             o_orderdate, o_orderpriority
+      FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')
+SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey)
+UNION ALL SELECT * FROM s
+"""
+
+FRONTIER_SQL = f"""
+SELECT {URL} || CAST(o_orderkey AS VARCHAR) AS url,
+       CASE WHEN o_orderstatus = 'F' THEN 'crawled' ELSE 'pending' END AS status,
+       o_orderdate AS created_at
+FROM orders
+"""
+
+ORACLE["insert_ignore"] = f"""
+WITH t AS ({FRONTIER_SQL} WHERE o_orderdate < TIMESTAMP '2000-01-01'),
+n AS (SELECT DISTINCT {URL} || CAST(l_orderkey AS VARCHAR) AS url FROM lineitem)
+SELECT * FROM t
+UNION ALL
+SELECT url, 'pending' AS status, TIMESTAMP '2026-01-01 00:00:00' AS created_at
+FROM n WHERE url NOT IN (SELECT url FROM t)
+"""
+
+ORACLE["insert_ignore_count"] = f"""
+WITH t AS ({FRONTIER_SQL} WHERE o_orderdate < TIMESTAMP '2000-01-01'),
+n AS (SELECT DISTINCT {URL} || CAST(l_orderkey AS VARCHAR) AS url FROM lineitem)
+SELECT CAST(count(*) AS BIGINT) AS n_new FROM n WHERE url NOT IN (SELECT url FROM t)
+"""
+
+ORACLE["update_status"] = f"""
+WITH f AS ({FRONTIER_SQL}),
+d AS (SELECT DISTINCT {URL} || CAST(l_orderkey AS VARCHAR) AS url FROM lineitem WHERE l_linestatus = 'F')
+SELECT f.url, CASE WHEN d.url IS NOT NULL THEN 'crawled' ELSE f.status END AS status, f.created_at
+FROM f LEFT JOIN d ON f.url = d.url
+"""
+
+ORACLE["key_violations"] = """
+SELECT slug, CAST(count(*) AS BIGINT) AS n_rows
+FROM (SELECT list_extract(string_split(trim(url, '/'), '/'), -1) AS slug FROM pages)
+GROUP BY slug HAVING count(*) > 1 OR slug IS NULL
+"""
+
+ORACLE["url_slug"] = """
+SELECT page_id, list_extract(string_split(trim(url, '/'), '/'), -1) AS slug FROM pages
+"""
+
+ORACLE["queue_take"] = f"""
+SELECT * FROM ({FRONTIER_SQL}) WHERE status = 'pending'
+ORDER BY created_at ASC NULLS LAST, url ASC NULLS LAST LIMIT 10
+"""
+
+NATION_STATE_SQL = """
+SELECT n_name AS location_name, CAST(count(*) AS INTEGER) AS current_page
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE c_acctbal > 9900.0 GROUP BY n_name
+"""
+
+NATION_PAGES_SQL = f"""
+SELECT n_name AS name, 'https://nha.example/ban-' || lower(n_name) AS url,
+       CAST(coalesce(s.current_page, 1) AS INTEGER) AS current_page
+FROM nation LEFT JOIN ({NATION_STATE_SQL}) s ON s.location_name = n_name
+"""
+
+ORACLE["state_lookup_default"] = f"""
+SELECT name, current_page,
+       CASE WHEN current_page > 1 THEN url || '/p' || CAST(current_page AS VARCHAR) ELSE url END AS page_url
+FROM ({NATION_PAGES_SQL})
+"""
+
+ORACLE["cursor_advance"] = f"""
+WITH l AS (
+  SELECT n_name AS name, count(*) AS n_links
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+  WHERE o_totalprice > 450000.0 GROUP BY n_name
+)
+SELECT p.name AS location_name,
+       CAST(CASE WHEN coalesce(l.n_links, 0) > 0 THEN p.current_page + 1 ELSE 1 END AS INTEGER) AS current_page,
+       CAST(coalesce(l.n_links, 0) AS BIGINT) AS n_links
+FROM ({NATION_PAGES_SQL}) p LEFT JOIN l ON l.name = p.name
+"""
+
+ANCHORS = r"""regexp_extract_all(html, '<a\s[^>]*>', 0)"""
+HREFS = ("list_filter(list_transform(" + ANCHORS +
+         r""", lambda t: regexp_extract(t, '\shref\s*=\s*["'']([^"'']*)["'']', 1)), lambda h: h <> '')""")
+
+ORACLE["quarantine_few_links"] = f"""
+SELECT page_id, url, CAST(len({HREFS}) AS BIGINT) AS n_links
+FROM pages WHERE len({HREFS}) < 6
+"""
+
+ORACLE["extract_links"] = f"""
+WITH h AS (
+  SELECT page_id, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS dom, {HREFS} AS hs FROM pages
+), e AS (
+  SELECT page_id, dom, unnest(range(len(hs))) AS pos, unnest(hs) AS href FROM h
+)
+SELECT page_id, CAST(pos AS INTEGER) AS pos,
+       CASE WHEN starts_with(href, 'http') THEN href ELSE dom || href END AS link
+FROM e WHERE NOT (starts_with(href, 'http') AND NOT contains(href, dom))
+"""
+
+ORACLE["extract_heading"] = r"""
+WITH t AS (
+  SELECT page_id, regexp_replace(regexp_extract(html, '(?s)<h1(?:\s[^>]*)?>(.*?)</h1>', 1), '<[^>]*>', '', 'g') AS raw
+  FROM pages WHERE regexp_matches(html, '<h1[\s>]')
+)
+SELECT page_id,
+  regexp_replace(replace(replace(replace(replace(replace(raw, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+                 '&#39;', ''''), '&amp;', '&'), '^\s+|\s+$', '', 'g') AS title
+FROM t
+"""
+
+ORACLE["header_kpi"] = """
+SELECT CAST(count(*) AS BIGINT) AS total_rows, max(ts) AS last_updated FROM events
+"""
+
+GOLD = f"WITH gold AS ({GOLD_SQL})"
+
+ORACLE["filter_bounds"] = f"""{GOLD}
+SELECT min(price) AS min_price, max(price) AS max_price,
+       min(price_per_m2) AS min_price_per_m2, max(price_per_m2) AS max_price_per_m2
+FROM gold WHERE city = 'ASIA'
+"""
+
+ORACLE["distinct_sorted"] = f"""{GOLD}
+SELECT DISTINCT city FROM gold WHERE city IS NOT NULL ORDER BY city
+"""
+
+ORACLE["distinct_bedrooms"] = f"""{GOLD}
+SELECT DISTINCT num_bedrooms FROM gold WHERE city = 'ASIA' AND num_bedrooms IS NOT NULL ORDER BY 1
+"""
+
+FILTERED = """price IS NOT NULL AND price BETWEEN 100000.0 AND 400000.0
+  AND price_per_m2 IS NOT NULL AND price_per_m2 BETWEEN 2000.0 AND 60000.0"""
+
+ORACLE["filtered_kpis"] = f"""{GOLD}
+SELECT CAST(count(*) AS BIGINT) AS n_listings, round(avg(price), 2) AS avg_price,
+       round(avg(area_m2), 2) AS avg_area, CAST(coalesce(sum(has_legal_docs), 0) AS BIGINT) AS n_flagged
+FROM gold WHERE {FILTERED} AND num_bedrooms IN (1, 2, 3)
+"""
+
+ORACLE["topk_mean"] = """
+SELECT n_name, round(avg(c_acctbal), 6) AS mean_value
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE n_name IS NOT NULL
+GROUP BY n_name ORDER BY avg(c_acctbal) DESC NULLS LAST, n_name ASC NULLS FIRST LIMIT 15
+"""
+
+ORACLE["topk_mean_unit"] = """
+SELECT p_brand, round(avg(l_extendedprice / l_quantity), 6) AS mean_value
+FROM lineitem JOIN part ON l_partkey = p_partkey
+WHERE p_brand IS NOT NULL
+GROUP BY p_brand ORDER BY avg(l_extendedprice / l_quantity) DESC NULLS LAST, p_brand ASC NULLS FIRST
+LIMIT 15
+"""
+
+ORACLE["topk_mean_unit_listings"] = f"""{GOLD}
+SELECT district, round(avg(price_per_m2), 6) AS mean_unit_price
+FROM gold WHERE price IS NOT NULL AND price BETWEEN 100000.0 AND 400000.0 AND district IS NOT NULL
+GROUP BY district ORDER BY avg(price_per_m2) DESC NULLS LAST, district ASC NULLS FIRST LIMIT 15
+"""
+
+ORACLE["share_two_way"] = """
+SELECT 'purchase' AS label, CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS n_rows FROM events
+UNION ALL
+SELECT 'other', CAST(count(*) - sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) FROM events
+"""
+
+ORACLE["share_legal_docs"] = f"""{GOLD}
+SELECT 'with_docs' AS label, CAST(coalesce(sum(has_legal_docs), 0) AS BIGINT) AS n_rows FROM gold
+UNION ALL
+SELECT 'unknown', CAST(count(*) - coalesce(sum(has_legal_docs), 0) AS BIGINT) FROM gold
+"""
+
+
+def _box_sql(source: str, group: str, value: str, quartiles: str) -> str:
+    return f"""
+WITH src AS ({source}),
+q AS ({quartiles}),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo_f, q3 + 1.5 * (q3 - q1) AS hi_f FROM q),
+w AS (
+  SELECT f.{group},
+    min(CASE WHEN s.{value} >= lo_f AND s.{value} <= hi_f THEN s.{value} END) AS lower_whisker,
+    max(CASE WHEN s.{value} >= lo_f AND s.{value} <= hi_f THEN s.{value} END) AS upper_whisker,
+    CAST(count(CASE WHEN NOT (s.{value} >= lo_f AND s.{value} <= hi_f) THEN 1 END) AS BIGINT) AS n_outliers
+  FROM src s JOIN f ON s.{group} = f.{group} WHERE s.{value} IS NOT NULL GROUP BY f.{group}
+)
+SELECT f.{group}, f.n, round(f.q1, 6) AS q1, round(f.median, 6) AS median, round(f.q3, 6) AS q3,
+       round(w.lower_whisker, 6) AS lower_whisker, round(w.upper_whisker, 6) AS upper_whisker, w.n_outliers
+FROM f JOIN w ON f.{group} = w.{group}
+"""
+
+
+def _quartiles_type7(group: str, value: str) -> str:
+    return f"""SELECT {group}, CAST(count({value}) AS BIGINT) AS n,
+      quantile_cont({value}, 0.25) AS q1, quantile_cont({value}, 0.5) AS median,
+      quantile_cont({value}, 0.75) AS q3
+    FROM src WHERE {value} IS NOT NULL AND {group} IS NOT NULL GROUP BY {group}"""
+
+
+def _quartiles_type5(group: str, value: str) -> str:
+    parts = []
+    for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        parts.append(f"""
+      max(CASE WHEN rn = lo_{name} THEN {value} END)
+        + (h_{name} - lo_{name}) * (max(CASE WHEN rn = hi_{name} THEN {value} END)
+                                    - max(CASE WHEN rn = lo_{name} THEN {value} END)) AS {name}""")
+    pos = []
+    for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        pos.append(f"least(greatest(n * {p} + 0.5, 1.0), n) AS h_{name}")
+    pos2 = []
+    for name, _ in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        pos2.append(f"CAST(floor(h_{name}) AS BIGINT) AS lo_{name}, "
+                    f"least(CAST(ceil(h_{name}) AS BIGINT), n) AS hi_{name}")
+    return f"""SELECT {group}, n, {', '.join(parts)}
+    FROM (
+      SELECT *, {', '.join(pos2)} FROM (
+        SELECT {group}, {value},
+          row_number() OVER (PARTITION BY {group} ORDER BY {value}) AS rn,
+          count(*) OVER (PARTITION BY {group}) AS n
+        FROM src WHERE {value} IS NOT NULL AND {group} IS NOT NULL
+      ) x, LATERAL (SELECT {', '.join(pos)})
+    ) y
+    GROUP BY {group}, n, h_q1, lo_q1, hi_q1, h_median, lo_median, hi_median, h_q3, lo_q3, hi_q3"""
+
+
+ORACLE["box_stats"] = _box_sql("SELECT event_type, value FROM events", "event_type", "value",
+                               _quartiles_type7("event_type", "value"))
+ORACLE["box_stats_midpoint"] = _box_sql("SELECT event_type, value FROM events", "event_type", "value",
+                                        _quartiles_type5("event_type", "value"))
+ORACLE["box_stats_listings"] = _box_sql(f"{GOLD} SELECT city, price FROM gold", "city", "price",
+                                        _quartiles_type7("city", "price"))
+
+
+def _hist_sql(source: str, value: str) -> str:
+    return f"""
+WITH src AS ({source}),
+b AS (SELECT min({value}) AS lo, max({value}) AS hi FROM src),
+x AS (
+  SELECT CAST(CASE WHEN b.hi = b.lo THEN 0
+              ELSE least(floor((s.{value} - b.lo) / ((b.hi - b.lo) / 20.0)), 19) END AS INTEGER) AS bin,
+         b.lo, b.hi
+  FROM src s, b WHERE s.{value} IS NOT NULL
+)
+SELECT bin, round(lo + bin * ((hi - lo) / 20.0), 6) AS bin_lo,
+       round(lo + (bin + 1) * ((hi - lo) / 20.0), 6) AS bin_hi, CAST(count(*) AS BIGINT) AS n_rows
+FROM x GROUP BY bin, lo, hi
+"""
+
+
+ORACLE["histogram_20"] = _hist_sql("SELECT value FROM events", "value")
+ORACLE["histogram_listings"] = _hist_sql(f"{GOLD} SELECT price FROM gold WHERE city = 'ASIA'", "price")
+
+ORACLE["scatter_projection"] = f"""{GOLD}
+SELECT area_m2, price, city, title, district, price_per_m2 FROM gold WHERE {FILTERED}
+"""
+
+ORACLE["lookup_projection"] = f"""{GOLD}
+SELECT title, city, district, price, area_m2, num_bedrooms, url FROM gold
+WHERE {FILTERED} AND num_bedrooms IN (1, 2, 3)
+"""
+
+ORACLE["partition_roundtrip"] = """
+SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS dt FROM events
+WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'
+"""
+
+ORACLE["gold_upsert_incremental"] = GOLD_SQL
+
+ORACLE["stream_ingest"] = SILVER_SQL

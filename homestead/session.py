@@ -69,3 +69,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a work table under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/homestead-work/{name}-{os.getpid()}-{os.urandom(4).hex()}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``homestead`` importable in executor Python workers.
+
+    Clusters normally install it (wheel or ``--py-files``); this fallback
+    zips the package on the driver once per application and registers it
+    with ``addPyFile``, which Spark distributes to every executor.
+    """
+    import zipfile
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="homestead-pyfiles-")
+    zpath = os.path.join(out_dir, "homestead.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
