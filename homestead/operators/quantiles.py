@@ -46,21 +46,21 @@ def _positions(n, p: float, method: str):
     return lo, hi, h - lo
 
 
-def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float],
-                    names: Sequence[str] | None = None, method: str = "linear",
-                    checkpoint: bool = True) -> DataFrame:
-    """One row per group with the exact quantiles of ``value`` (NULLs
-    skipped) and ``n`` (non-NULL count)."""
-    names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
-    g, v = F.col(group), F.col(value)
-
+def value_blocks(df: DataFrame, group: str, value: str, checkpoint: bool = True) -> DataFrame:
+    """``(group, value, c, blk)``: distinct non-NULL values with multiplicity,
+    range-partitioned by (group, value); ``blk`` is the partition id, fixed
+    by a reliable checkpoint."""
+    v = F.col(value)
     vc = (df.select(group, value).filter(v.isNotNull())
             .groupBy(group, value).agg(F.count(F.lit(1)).alias("c")))
     blocks = (vc.repartitionByRange(group, value)
                 .withColumn("blk", F.spark_partition_id()))
-    if checkpoint:
-        blocks = blocks.checkpoint(eager=True)
+    return blocks.checkpoint(eager=True) if checkpoint else blocks
+
 
+def quantiles_from_blocks(blocks: DataFrame, group: str, value: str, probs: Sequence[float],
+                          names: Sequence[str], method: str = "linear") -> DataFrame:
+    """Quantiles per group from ``value_blocks`` output."""
     per_block = blocks.groupBy("blk", group).agg(F.sum("c").alias("bc"))
     wg = Window.partitionBy(group).orderBy("blk")
     per_block = per_block.withColumns({
@@ -103,22 +103,34 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float
     return hits.groupBy(group).agg(*aggs)
 
 
+def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float],
+                    names: Sequence[str] | None = None, method: str = "linear",
+                    checkpoint: bool = True) -> DataFrame:
+    """One row per group with the exact quantiles of ``value`` (NULLs
+    skipped) and ``n`` (non-NULL count)."""
+    names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
+    blocks = value_blocks(df, group, value, checkpoint)
+    return quantiles_from_blocks(blocks, group, value, probs, names, method)
+
+
 def box_stats(df: DataFrame, group: str, value: str, method: str = "linear",
               whisker: float = 1.5) -> DataFrame:
     """Box-plot statistics per group: quartiles, whiskers (furthest values
-    within ``whisker``·IQR of the box) and the number of outliers."""
-    q = exact_quantiles(df, group, value, [0.25, 0.5, 0.75],
-                        ["q1", "median", "q3"], method=method)
+    within ``whisker``·IQR of the box) and the number of outliers. The input
+    is read once; whiskers come from the distinct-value table."""
+    blocks = value_blocks(df, group, value)
+    q = quantiles_from_blocks(blocks, group, value, [0.25, 0.5, 0.75],
+                              ["q1", "median", "q3"], method=method)
     iqr = F.col("q3") - F.col("q1")
     fences = q.select(group, "n", "q1", "median", "q3",
                       (F.col("q1") - whisker * iqr).alias("lo_fence"),
                       (F.col("q3") + whisker * iqr).alias("hi_fence"))
     v = F.col(value)
     inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
-    stats = (df.select(group, value).filter(v.isNotNull())
-               .join(fences.select(group, "lo_fence", "hi_fence"), on=group)
+    stats = (blocks.join(fences.select(group, "lo_fence", "hi_fence"), on=group)
                .groupBy(group)
                .agg(F.min(F.when(inside, v)).alias("lower_whisker"),
                     F.max(F.when(inside, v)).alias("upper_whisker"),
-                    F.count(F.when(~inside, F.lit(1))).alias("n_outliers")))
+                    F.coalesce(F.sum(F.when(~inside, F.col("c"))), F.lit(0))
+                     .cast("long").alias("n_outliers")))
     return fences.drop("lo_fence", "hi_fence").join(stats, on=group)

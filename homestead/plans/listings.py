@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import read_table
+from ..sources.tables import read_table, spread
 
 URL_PREFIX = "https://nha.example/can-ho-"
 
@@ -32,9 +32,9 @@ def _comma1(c: Column) -> Column:
 
 def listing_crawls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat crawl rows (one per lineitem) with the raw text fields."""
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_returnflag", "l_linestatus", "l_shipdate"))
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
         "o_orderdate", "o_orderpriority")
@@ -90,10 +90,11 @@ def listing_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec_vals = ["rooms_text", "direction_text", "legal_text"]
 
     def mk(keys, vals):
+        # every derived value is non-NULL, so each key is always present
         pairs = []
         for k, v in zip(keys, vals):
             pairs += [F.lit(k), F.col(v)]
-        return F.map_filter(F.create_map(*pairs), lambda k, v: v.isNotNull())
+        return F.create_map(*pairs)
 
     return flat.select(
         "url", "title", "address", "address_line_2",

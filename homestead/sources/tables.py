@@ -105,3 +105,19 @@ def publish_version(df: DataFrame, root: str, partition_by: str | None = None) -
         w = w.partitionBy(partition_by)
     w.parquet(path)
     return path
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin an under-split input over the cluster's cores before
+    CPU-heavy per-row work (regex, formatting, HTML parsing).
+
+    A file written as one huge row group is scanned by a single task; at
+    scale, inputs are thousands of splits and this is a no-op (no shuffle is
+    added when the scan already has at least ``min_partitions`` splits,
+    default ``defaultParallelism``).
+    """
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
