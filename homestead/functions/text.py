@@ -51,7 +51,20 @@ def json_field(js, path: str) -> Column:
 def json_map(js) -> Column:
     """Parse a JSON object into map<string,string>; a repeated key keeps the
     last value."""
-    return F.from_json(_c(js), "map<string,string>")
+    return last_wins(F.from_json(_c(js), "map<string,string>"))
+
+
+def last_wins(m) -> Column:
+    """Drop every map entry whose key occurs again later (dict semantics).
+    Quadratic in the map size, meant for small label maps."""
+    entries = F.map_entries(_c(m))
+    n = F.size(entries)
+
+    def keep(e, i):
+        later = F.slice(entries, i + 2, F.greatest(n - i - 1, F.lit(0)))
+        return ~F.exists(later, lambda x: x["key"] == e["key"])
+    return F.when(_c(m).isNull(), F.lit(None)).otherwise(
+        F.map_from_entries(F.filter(entries, keep)))
 
 
 def locale_number(c) -> Column:

@@ -525,6 +525,6 @@ def stream_ingest(spark, sf_dir):
     from ..sources.bronze import land_bronze
     from ..streaming.ingest import ingest_bronze_stream
     root = scratch_path(spark, "stream")
-    land_bronze(listing_bronze(spark, sf_dir), f"{root}/bronze")
+    land_bronze(listing_bronze(spark, sf_dir), f"{root}/bronze", granularity="month")
     ingest_bronze_stream(spark, f"{root}/bronze", f"{root}/silver", f"{root}/_checkpoint")
     return spark.read.parquet(f"{root}/silver").select(*S.SILVER_COLUMNS)

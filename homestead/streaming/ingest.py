@@ -39,7 +39,8 @@ def ingest_bronze_stream(spark: SparkSession, bronze_root: str, silver_path: str
     silver = bronze_to_silver(bronze_stream(spark, bronze_root, max_files_per_trigger))
     if dedupe_delay:
         silver = dedupe_within_watermark(silver, dedupe_delay)
-    q = (silver.writeStream.format("parquet")
+    # one writer task per date per micro-batch instead of one file per task per date
+    q = (silver.repartition("dt").writeStream.format("parquet")
          .option("checkpointLocation", checkpoint)
          .partitionBy("dt")
          .trigger(availableNow=True)
