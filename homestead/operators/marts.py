@@ -103,15 +103,17 @@ def share_two_way(df: DataFrame, flag_col: str,
 
 def histogram(df: DataFrame, value: str, bins: int = S.HISTOGRAM_BINS) -> DataFrame:
     """Equal-width histogram over [min, max]; the max lands in the last bin.
-    Empty bins are absent. Bounds come from one scalar subquery."""
+    Empty bins are absent. Bounds come from one scalar subquery (evaluated
+    once, inlined as a literal): no cross join, no unpartitioned window."""
     v = F.col(value)
-    b = df.select(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()
-    lo, hi = b.getField("lo"), b.getField("hi")
+    bounds_row = df.select(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()
+    lo, hi = F.col("_b.lo"), F.col("_b.hi")
     width = (hi - lo) / F.lit(float(bins))
     raw = F.floor((v - lo) / width)
     idx = F.when(hi == lo, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1))).cast("int")
-    return (df.filter(v.isNotNull())
-              .groupBy(idx.alias("bin"))
+    return (df.select(v, bounds_row.alias("_b"))
+              .filter(v.isNotNull())
+              .groupBy(idx.alias("bin"), F.col("_b"))
               .agg(F.count(F.lit(1)).alias("n_rows"))
               .select("bin",
                       (lo + F.col("bin") * width).alias("bin_lo"),
