@@ -55,7 +55,11 @@ def value_blocks(df: DataFrame, group: str, value: str, checkpoint: bool = True)
             .groupBy(group, value).agg(F.count(F.lit(1)).alias("c")))
     blocks = (vc.repartitionByRange(group, value)
                 .withColumn("blk", F.spark_partition_id()))
-    return blocks.checkpoint(eager=True) if checkpoint else blocks
+    if not checkpoint:
+        return blocks
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return blocks.checkpoint(eager=True)
 
 
 def quantiles_from_blocks(blocks: DataFrame, group: str, value: str, probs: Sequence[float],

@@ -34,7 +34,7 @@ def listing_crawls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat crawl rows (one per lineitem) with the raw text fields."""
     li = spread(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_returnflag", "l_linestatus", "l_shipdate"))
+        "l_returnflag", "l_linestatus", "l_shipdate"), key="l_orderkey")
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
         "o_orderdate", "o_orderpriority")

@@ -107,17 +107,20 @@ def publish_version(df: DataFrame, root: str, partition_by: str | None = None) -
     return path
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, key: str | None = None) -> DataFrame:
     """Round-robin an under-split input over the cluster's cores before
     CPU-heavy per-row work (regex, formatting, HTML parsing).
 
     A file written as one huge row group is scanned by a single task; at
     scale, inputs are thousands of splits and this is a no-op (no shuffle is
     added when the scan already has at least ``min_partitions`` splits,
-    default ``defaultParallelism``).
+    default ``defaultParallelism``). With ``key`` the rows are hash-partitioned
+    on it (no pre-sort, and a later join on that key can reuse the
+    partitioning); without it, round-robin (Spark sorts each partition first
+    so that a retried task reproduces the same split).
     """
     sc = df.sparkSession.sparkContext
     target = min_partitions or sc.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    return df.repartition(target, key) if key else df.repartition(target)
