@@ -528,3 +528,18 @@ def stream_ingest(spark, sf_dir):
     land_bronze(listing_bronze(spark, sf_dir), f"{root}/bronze", granularity="month")
     ingest_bronze_stream(spark, f"{root}/bronze", f"{root}/silver", f"{root}/_checkpoint")
     return spark.read.parquet(f"{root}/silver").select(*S.SILVER_COLUMNS)
+
+
+@query
+def stream_dedupe(spark, sf_dir):
+    """The ingest stream with watermark dedupe by url; each listing
+    survives once (which crawl survives is arrival order, so the registered
+    output is the set of urls)."""
+    from ..session import scratch_path
+    from ..sources.bronze import land_bronze
+    from ..streaming.ingest import ingest_bronze_stream
+    root = scratch_path(spark, "stream-dedupe")
+    land_bronze(listing_bronze(spark, sf_dir), f"{root}/bronze", granularity="month")
+    ingest_bronze_stream(spark, f"{root}/bronze", f"{root}/silver", f"{root}/_checkpoint",
+                         dedupe_delay="1 day")
+    return spark.read.parquet(f"{root}/silver").select("url")

@@ -391,3 +391,5 @@ WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'
 ORACLE["gold_upsert_incremental"] = GOLD_SQL
 
 ORACLE["stream_ingest"] = SILVER_SQL
+
+ORACLE["stream_dedupe"] = f"WITH silver AS ({SILVER_SQL}) SELECT DISTINCT url FROM silver"
