@@ -54,3 +54,15 @@ def test_detail_round(spark):
     assert [x.url for x in r.rejected.collect()] == [f"{DOMAIN}/b"]
     st = {x.url: x.status for x in r.frontier.collect()}
     assert st == {f"{DOMAIN}/a": "crawled", f"{DOMAIN}/b": "pending", f"{DOMAIN}/c": "pending"}
+
+
+def test_detail_round_is_idempotent(spark):
+    """The queue has no claim step: a url taken twice must not change the
+    outcome (keyed status update, keyed gold upsert)."""
+    frontier = spark.createDataFrame([(f"{DOMAIN}/a", "pending", dt.datetime(2026, 1, 1))], S.FRONTIER_SCHEMA)
+    good = '<h1 class="re__pr-title">Căn hộ</h1>'
+    pages = spark.createDataFrame([(1, f"{DOMAIN}/a", good)], S.PAGES_SCHEMA)
+    once = detail_round(frontier, pages, n=1, crawled_at="2026-05-01 10:00:00").frontier
+    from homestead.operators.frontier import mark_crawled
+    twice = mark_crawled(once, spark.createDataFrame([(f"{DOMAIN}/a",)], "url string"))
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))

@@ -188,3 +188,14 @@ def test_stream_dedupe_within_watermark(spark):
     ingest_bronze_stream(spark, f"{root}/bronze", f"{root}/silver", f"{root}/ck", dedupe_delay="2 days")
     urls = [r.url for r in spark.read.parquet(f"{root}/silver").collect()]
     assert sorted(urls) == sorted(set(urls)) and len(urls) == 2
+
+
+def test_landed_json_keeps_non_ascii(spark):
+    root = scratch()
+    docs = spark.createDataFrame([("u1", "Căn hộ Đông", "2026-05-01T10:00:00")],
+                                 "url string, title string, crawled_at string")
+    land_bronze(docs, f"{root}/b")
+    files = [os.path.join(dp, f) for dp, _, fs in os.walk(f"{root}/b") for f in fs if f.endswith(".json")]
+    text = "".join(open(f, encoding="utf-8").read() for f in files)
+    assert "Căn hộ Đông" in text and "\\u" not in text
+    assert os.path.isdir(f"{root}/b/dt=2026-05-01")
