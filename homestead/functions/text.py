@@ -88,8 +88,10 @@ def parse_date(c, fmt: str = S.POSTED_DATE_FORMAT) -> Column:
 
 
 def parse_timestamp(c) -> Column:
-    """ISO-8601 text (fraction optional) -> timestamp, NULL when invalid."""
-    return _c(c).try_cast("timestamp")
+    """ISO-8601 text without zone (fraction optional) -> TIMESTAMP_NTZ, NULL
+    when invalid. Zone-less text stays zone-less: the value (and the date
+    derived from it) does not depend on the session time zone."""
+    return _c(c).try_cast("timestamp_ntz")
 
 
 def to_day(c) -> Column:

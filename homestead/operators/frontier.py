@@ -40,14 +40,14 @@ def new_frontier_rows(urls: DataFrame, url_col: str = "url") -> DataFrame:
     """Column defaults of the queue: status 'pending', created_at now."""
     return urls.select(F.col(url_col).alias("url"),
                        F.lit(S.PENDING).alias("status"),
-                       F.current_timestamp().alias("created_at"))
+                       F.current_timestamp().cast("timestamp_ntz").alias("created_at"))
 
 
 def enqueue(frontier: DataFrame, links: DataFrame, url_col: str = "url") -> DataFrame:
     """Insert unseen links as pending (insert-ignore on url)."""
     return insert_ignore(frontier, links.select(F.col(url_col).alias("url")), ["url"],
                          defaults={"status": F.lit(S.PENDING),
-                                   "created_at": F.current_timestamp()})
+                                   "created_at": F.current_timestamp().cast("timestamp_ntz")})
 
 
 def queue_take(frontier: DataFrame, n: int, status: str = S.PENDING,

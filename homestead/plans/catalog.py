@@ -511,7 +511,7 @@ def gold_upsert_incremental(spark, sf_dir):
     """W5 on gold: gold of early crawls upserted with gold of later crawls
     equals gold of all crawls."""
     silver = bronze_to_silver(listing_bronze(spark, sf_dir))
-    cut = F.lit(GOLD_SPLIT).cast("timestamp")
+    cut = F.lit(GOLD_SPLIT).cast("timestamp_ntz")
     early = silver_to_gold(silver.filter(F.col("crawled_at") < cut), loaded_at=LOAD_STAMP)
     late = silver_to_gold(silver.filter(F.col("crawled_at") >= cut), loaded_at=LOAD_STAMP)
     return K.upsert(early, late, [S.GOLD_KEY])

@@ -24,15 +24,16 @@ def dedupe_listings(silver: DataFrame, latest: bool = True) -> DataFrame:
 
 
 def load_stamp(loaded_at=None) -> Column:
-    """``current_timestamp()`` in production; a fixed value in tests."""
+    """Load time as a zone-less timestamp: ``current_timestamp()`` (wall clock
+    of the session time zone, pinned to UTC) in production; fixed in tests."""
     if loaded_at is None:
-        return F.current_timestamp()
+        return F.current_timestamp().cast("timestamp_ntz")
     if isinstance(loaded_at, Column):
-        return loaded_at
+        return loaded_at.cast("timestamp_ntz")
     if isinstance(loaded_at, str):
-        return F.lit(loaded_at).cast("timestamp")
+        return F.lit(loaded_at).cast("timestamp_ntz")
     if isinstance(loaded_at, _dt.datetime):
-        return F.lit(loaded_at).cast("timestamp")
+        return F.lit(loaded_at).cast("timestamp_ntz")
     raise TypeError(f"unsupported loaded_at: {loaded_at!r}")
 
 

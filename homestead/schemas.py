@@ -101,13 +101,13 @@ GOLD_SCHEMA = T.StructType([
     T.StructField("has_legal_docs", T.IntegerType()),
     T.StructField("posted_date", T.DateType()),
     T.StructField("dt", T.DateType()),
-    T.StructField("gold_loaded_at", T.TimestampType()),
+    T.StructField("gold_loaded_at", T.TimestampNTZType()),
 ])
 
 FRONTIER_SCHEMA = T.StructType([
     T.StructField("url", STR, False),
     T.StructField("status", STR),
-    T.StructField("created_at", T.TimestampType()),
+    T.StructField("created_at", T.TimestampNTZType()),
 ])
 
 CRAWL_STATE_SCHEMA = T.StructType([

@@ -82,7 +82,10 @@ def ship_package(spark: SparkSession) -> None:
     with ``addPyFile``, which Spark distributes to every executor.
     """
     import zipfile
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Connect sessions ship artifacts differently
+        return
     app = sc.applicationId
     if app in _SHIPPED:
         return

@@ -119,8 +119,11 @@ def spread(df: DataFrame, min_partitions: int | None = None, key: str | None = N
     partitioning); without it, round-robin (Spark sorts each partition first
     so that a retried task reproduces the same split).
     """
-    sc = df.sparkSession.sparkContext
-    target = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        sc = df.sparkSession.sparkContext
+        target = min_partitions or sc.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # no RDD view (e.g. a Connect session): leave the plan alone
         return df
     return df.repartition(target, key) if key else df.repartition(target)

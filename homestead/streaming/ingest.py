@@ -10,6 +10,7 @@ landed since the last run and stops; a rerun with nothing new adds nothing.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..plans.silver import bronze_to_silver
@@ -28,8 +29,12 @@ def dedupe_within_watermark(silver: DataFrame, delay: str = "1 day",
                             key: str = S.GOLD_KEY) -> DataFrame:
     """Drop repeats of a url that arrive within ``delay`` of each other
     (event time ``crawled_at``). State is bounded by the watermark; the first
-    arrival wins, so gold still applies latest-wins dedupe."""
-    return silver.withWatermark("crawled_at", delay).dropDuplicatesWithinWatermark([key])
+    arrival wins, so gold still applies latest-wins dedupe. Watermarks need a
+    zoned TIMESTAMP, so the event time is a cast of the zone-less crawled_at."""
+    et = "__event_time"
+    return (silver.withColumn(et, F.col("crawled_at").cast("timestamp"))
+                  .withWatermark(et, delay).dropDuplicatesWithinWatermark([key])
+                  .drop(et))
 
 
 def ingest_bronze_stream(spark: SparkSession, bronze_root: str, silver_path: str,
