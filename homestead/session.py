@@ -20,6 +20,10 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Fall back from whole-stage codegen when a fused stage's generated method
+    # is larger than the JVM JIT will compile (8000 bytecodes); such a method
+    # would otherwise run interpreted, ~2x slower on the wide listing stages.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
