@@ -230,7 +230,9 @@ EXTRACT_FIELDS = [
 def extract_documents(pages: DataFrame, spec: PageSpec = PageSpec(),
                       keep=("page_id", "url")) -> DataFrame:
     """Parse every page (Arrow batches through ``mapInArrow``) into the
-    bronze fields, keeping the ``keep`` columns alongside."""
+    bronze fields, keeping the ``keep`` columns alongside. Task memory is
+    bounded by the Arrow batch cap (``spark.sql.execution.arrow.
+    maxBytesPerBatch``, 64 MB by default), whatever the page sizes."""
     import pyarrow as pa
 
     from ..session import ship_package

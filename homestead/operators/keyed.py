@@ -60,13 +60,17 @@ def any_per_key(df: DataFrame, keys) -> DataFrame:
     return df.dropDuplicates(_keys(keys))
 
 
-def upsert(target: DataFrame, source: DataFrame, keys) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys,
+           source_order: Sequence[Column] | None = None) -> DataFrame:
     """Insert new keys, replace every non-key column of matched keys.
 
-    ``source`` must have unique keys (run ``latest_per_key`` first). Target
-    rows whose key is absent from the source are kept: nothing is deleted.
+    ``source`` must have unique keys; pass ``source_order`` (e.g. latest
+    first) to reduce it with ``latest_per_key`` here. Target rows whose key is
+    absent from the source are kept: nothing is deleted.
     """
     ks = _keys(keys)
+    if source_order is not None:
+        source = latest_per_key(source, ks, source_order)
     src = source.select(*target.columns)
     kept = target.join(src.select(*ks), on=ks, how="left_anti")
     return kept.unionByName(src)

@@ -75,3 +75,10 @@ def test_key_violations(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
     got = {r.k: r.n_rows for r in K.key_violations(df, "k").collect()}
     assert got == {"a": 2, None: 1}
+
+
+def test_upsert_reduces_duplicate_source_keys(spark):
+    t = spark.createDataFrame([("a", 1, 0)], "k string, v int, ts int")
+    s = spark.createDataFrame([("a", 5, 1), ("a", 7, 2), ("b", 3, 1)], "k string, v int, ts int")
+    out = K.upsert(t, s, "k", source_order=[F.col("ts").desc()])
+    assert rows(out) == [("a", 7, 2), ("b", 3, 1)]
