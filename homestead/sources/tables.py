@@ -45,10 +45,13 @@ def write_partitioned(df: DataFrame, path: str, part_col: str = "dt",
 
     ``dynamic=False`` replaces the whole table (full rebuild); ``dynamic=True``
     replaces only the partitions present in ``df`` (incremental runs).
-    ``cluster_by_partition`` shuffles rows by ``part_col`` first so each date
-    is written by few tasks instead of one small file per task per date.
+    ``cluster_by_partition`` clusters rows by ``part_col`` before writing so a
+    date is written by few tasks instead of one small file per task per date.
+    It is a ``rebalance`` hint, not a plain repartition: AQE splits a date that
+    holds a large share of the rows over several writers and merges small
+    dates, so a hot date never lands in one task.
     """
-    out = df.repartition(part_col) if cluster_by_partition else df
+    out = df.hint("rebalance", part_col) if cluster_by_partition else df
     mode = "dynamic" if dynamic else "static"
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", mode)

@@ -44,7 +44,8 @@ def ingest_bronze_stream(spark: SparkSession, bronze_root: str, silver_path: str
     silver = bronze_to_silver(bronze_stream(spark, bronze_root, max_files_per_trigger))
     if dedupe_delay:
         silver = dedupe_within_watermark(silver, dedupe_delay)
-    # one writer task per date per micro-batch instead of one file per task per date
+    # one writer task per date per micro-batch instead of one file per task per
+    # date; a micro-batch is bounded (maxFilesPerTrigger), so is each writer
     q = (silver.repartition("dt").writeStream.format("parquet")
          .option("checkpointLocation", checkpoint)
          .partitionBy("dt")
