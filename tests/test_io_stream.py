@@ -199,3 +199,24 @@ def test_landed_json_keeps_non_ascii(spark):
     text = "".join(open(f, encoding="utf-8").read() for f in files)
     assert "Căn hộ Đông" in text and "\\u" not in text
     assert os.path.isdir(f"{root}/b/dt=2026-05-01")
+
+
+def test_incremental_run_replaces_only_new_dates(spark):
+    """Daily incremental run: silver keeps earlier dates (dynamic overwrite),
+    gold reads only the new dates (partition pruning) and upserts them."""
+    root = scratch()
+    day1, day2 = bronze_docs()
+    write_docs(f"{root}/bronze1", "2026-05-01", day1)
+    run_etl(spark, f"{root}/bronze1", f"{root}/silver", f"{root}/gold", loaded_at="2026-06-01 02:00:00")
+    write_docs(f"{root}/bronze2", "2026-05-02", day2)
+    from homestead.plans.etl import run_bronze_to_silver
+    run_bronze_to_silver(spark, f"{root}/bronze2", f"{root}/silver", incremental=True)
+    silver = read_partitioned(spark, f"{root}/silver")
+    assert sorted(str(r.dt) for r in silver.collect()) == ["2026-05-01", "2026-05-01", "2026-05-02"]
+    c = run_silver_to_gold(spark, f"{root}/silver", f"{root}/gold", loaded_at="2026-06-02 02:00:00",
+                           since="2026-05-02")
+    assert c.gold_batch_rows == 1 and c.gold_rows == 2
+    rows = {r.url: r for r in read_versioned(spark, f"{root}/gold").collect()}
+    assert rows[DOC["url"]].price == 3.7
+    assert str(rows[DOC["url"]].gold_loaded_at) == "2026-06-02 02:00:00"
+    assert str(rows["https://site.example/e-pr5"].gold_loaded_at) == "2026-06-01 02:00:00"
