@@ -51,7 +51,8 @@ def value_blocks(df: DataFrame, group: str, value: str, checkpoint: bool = True)
     range-partitioned by (group, value); ``blk`` is the partition id, fixed
     by a reliable checkpoint."""
     v = F.col(value)
-    vc = (df.select(group, value).filter(v.isNotNull())
+    # NULL values are skipped and NULL groups dropped (as in group_mean)
+    vc = (df.select(group, value).filter(v.isNotNull() & F.col(group).isNotNull())
             .groupBy(group, value).agg(F.count(F.lit(1)).alias("c")))
     blocks = (vc.repartitionByRange(group, value)
                 .withColumn("blk", F.spark_partition_id()))
