@@ -48,10 +48,13 @@ def anchor_hrefs(html, cls: str | None = None) -> Column:
 
 
 def unescape_basic(c) -> Column:
-    """Decode the five XML entities (``&amp;`` last-but-first safe order)."""
+    """Decode the basic character references as an HTML parser does in text:
+    the trailing ``;`` is optional for these legacy names (``&amp`` -> ``&``).
+    ``&amp`` goes last so ``&amp;lt;`` decodes once, to ``&lt;``."""
     x = X._c(c)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        x = F.replace(x, F.lit(ent), F.lit(ch))
+    for pat, ch in ((r"&lt;?", "<"), (r"&gt;?", ">"), (r"&quot;?", '"'),
+                    (r"&#0*39;?", "'"), (r"&amp;?", "&")):
+        x = F.regexp_replace(x, pat, ch)
     return x
 
 

@@ -228,8 +228,9 @@ WITH t AS (
   FROM pages WHERE regexp_matches(html, '<h1[\s>]')
 )
 SELECT page_id,
-  regexp_replace(replace(replace(replace(replace(replace(raw, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
-                 '&#39;', ''''), '&amp;', '&'), '^\s+|\s+$', '', 'g') AS title
+  regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(raw,
+      '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&#0*39;?', '''', 'g'), '&amp;?', '&', 'g'),
+      '^\s+|\s+$', '', 'g') AS title
 FROM t
 """
 
@@ -393,3 +394,23 @@ ORACLE["gold_upsert_incremental"] = GOLD_SQL
 ORACLE["stream_ingest"] = SILVER_SQL
 
 ORACLE["stream_dedupe"] = f"WITH silver AS ({SILVER_SQL}) SELECT DISTINCT url FROM silver"
+
+# The driver pages carry one <h1> and one <div class="ad"> without nested
+# markup, so the tree parser's output is also expressible with regexes here.
+ORACLE["extract_document"] = f"""
+WITH t AS (
+  SELECT page_id,
+    regexp_replace(regexp_extract(html, '(?s)<h1(?:\\s[^>]*)?>(.*?)</h1>', 1), '<[^>]*>', '', 'g') AS raw_title,
+    regexp_extract(html, '(?s)<div class="ad">(.*?)</div>', 1) AS raw_ad,
+    {HREFS} AS hs
+  FROM pages
+)
+SELECT page_id,
+  regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(raw_title,
+      '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&#0*39;?', '''', 'g'), '&amp;?', '&', 'g'),
+      '^\\s+|\\s+$', '', 'g') AS title,
+  regexp_replace(raw_ad, '^\\s+|\\s+$', '', 'g') AS description,
+  '{{}}' AS short_info,
+  CAST(len(hs) AS INTEGER) AS n_links
+FROM t
+"""

@@ -105,6 +105,16 @@ def test_slug_and_parentheses(spark):
     assert one(spark, "(Phường A, HN)", lambda c: X.strip_chars(c, "()")) == "Phường A, HN"
 
 
+@pytest.mark.parametrize("text,expected", [
+    ("a &amp; b", "a & b"), ("les&amp;&amp", "les&&"), ("&amp;lt;", "&lt;"), ("x &lt;y&gt", "x <y>"),
+    ("it&#39;s", "it's"), ("&quot;q&quot;", '"q"'),
+])
+def test_unescape_like_html_parser(spark, text, expected):
+    import html
+    from homestead.operators.extract import unescape_basic
+    assert one(spark, text, unescape_basic) == expected == html.unescape(text)
+
+
 def test_trim_keeps_nbsp(spark):
     v = " a "
     assert one(spark, v, F.trim) == v

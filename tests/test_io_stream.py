@@ -154,9 +154,9 @@ def test_extract_documents_to_silver(spark):
     assert [r.link for r in links] == ["https://site.example/p1"]
 
 
-def test_parser_agrees_with_regex_path_on_driver_pages(spark):
-    from conftest import SF01
-    pages = spark.read.parquet(f"{SF01}/pages.parquet")
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_parser_agrees_with_regex_path_on_driver_pages(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
     spec = E.PageSpec(title=("h1", None), link=("a", None))
     parsed = E.extract_documents(pages, spec).select("page_id", "title", F.size("links").alias("n"))
     regex = pages.select("page_id", E.first_tag_text("html", "h1").alias("title2"),

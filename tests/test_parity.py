@@ -13,9 +13,8 @@ WITH_ORACLE = [n for n in QUERIES if n in ORACLE]
 WITHOUT_ORACLE = [n for n in QUERIES if n not in ORACLE]
 
 
-def test_every_query_has_oracle_or_is_listed():
-    # only HTML parsing through the tree builder is not SQL-expressible
-    assert WITHOUT_ORACLE == ["extract_document"]
+def test_every_query_has_an_oracle():
+    assert WITHOUT_ORACLE == []
 
 
 @pytest.mark.parametrize("name", WITH_ORACLE)
