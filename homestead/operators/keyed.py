@@ -61,21 +61,46 @@ def any_per_key(df: DataFrame, keys) -> DataFrame:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys,
-           source_order: Sequence[Column] | None = None) -> DataFrame:
+           source_order: Sequence[Column] | None = None,
+           broadcast_source_keys: bool = False) -> DataFrame:
     """Insert new keys, replace every non-key column of matched keys.
 
     ``source`` must have unique keys; pass ``source_order`` (e.g. latest
     first) to reduce it with ``latest_per_key`` here. Target rows whose key is
     absent from the source are kept: nothing is deleted.
+
+    ``broadcast_source_keys`` is for callers that have *checked* the batch
+    size (e.g. an observed row count against the broadcast threshold, see
+    ``broadcast_fits``): the key set is broadcast and the large target streams
+    through the anti-join without being shuffled at all.
     """
     ks = _keys(keys)
     if source_order is not None:
         source = latest_per_key(source, ks, source_order)
     src = source.select(*target.columns)
-    kept = target.join(src.select(*ks), on=ks, how="left_anti")
+    key_side = src.select(*ks)
+    if broadcast_source_keys:
+        key_side = F.broadcast(key_side)
+    kept = target.join(key_side, on=ks, how="left_anti")
     return kept.unionByName(src)
 
 
+def broadcast_fits(spark, n_rows: int, bytes_per_row: int = 256) -> bool:
+    """Size check for an explicit broadcast: ``n_rows`` (a known count, not
+    an estimate) times a generous per-row width must fit the session's
+    broadcast threshold (10 MB when unset, never when disabled)."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    s = str(raw).strip().lower()
+    mult = 1
+    for suffix, m in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30), ("k", 1 << 10),
+                      ("m", 1 << 20), ("g", 1 << 30), ("b", 1)):
+        if s.endswith(suffix):
+            s, mult = s[: -len(suffix)], m
+            break
+    limit = int(float(s) * mult)
+    return limit > 0 and n_rows * bytes_per_row <= limit
+
+
 def new_rows(target: DataFrame, new: DataFrame, keys) -> DataFrame:
     """Rows of ``new`` whose key is not yet in ``target`` (one per key)."""
     ks = _keys(keys)

@@ -82,3 +82,24 @@ def test_upsert_reduces_duplicate_source_keys(spark):
     s = spark.createDataFrame([("a", 5, 1), ("a", 7, 2), ("b", 3, 1)], "k string, v int, ts int")
     out = K.upsert(t, s, "k", source_order=[F.col("ts").desc()])
     assert rows(out) == [("a", 7, 2), ("b", 3, 1)]
+
+
+def test_broadcast_fits_checks_threshold(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+        assert K.broadcast_fits(spark, 1000) and not K.broadcast_fits(spark, 10_000_000)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert not K.broadcast_fits(spark, 1)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_upsert_broadcast_keys_leaves_target_unshuffled(spark):
+    t = spark.range(1000).selectExpr("id as k", "id * 2 as v")
+    s = spark.range(990, 1010).selectExpr("id as k", "id * 3 as v")
+    out = K.upsert(t, s, ["k"], broadcast_source_keys=True)
+    out.write.format("noop").mode("overwrite").save()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "SortMergeJoin" not in plan
+    assert out.count() == 1010 and out.filter("k >= 990 and v = k * 3").count() == 20
