@@ -60,10 +60,13 @@ def queue_take(frontier: DataFrame, n: int, status: str = S.PENDING,
                     .limit(n))
 
 
-def mark_crawled(frontier: DataFrame, landed: DataFrame, url_col: str = "url") -> DataFrame:
-    """pending -> crawled for urls whose document landed."""
+def mark_crawled(frontier: DataFrame, landed: DataFrame, url_col: str = "url",
+                 bounded: bool = False) -> DataFrame:
+    """pending -> crawled for urls whose document landed (``bounded``: the
+    landed set has a proven small bound, e.g. one queue take, so it is
+    broadcast and the frontier is not shuffled)."""
     return update_status(frontier, landed.select(F.col(url_col).alias("url")), "url",
-                         "status", S.CRAWLED)
+                         "status", S.CRAWLED, broadcast_done=bounded)
 
 
 def current_pages(locs: DataFrame, state: DataFrame, name_col: str = "name",

@@ -133,11 +133,15 @@ def observed_count(df: DataFrame, name: str) -> tuple[DataFrame, object]:
 
 
 def update_status(frontier: DataFrame, done: DataFrame, key: str = "url",
-                  status_col: str = "status", new_status: str = S.CRAWLED) -> DataFrame:
+                  status_col: str = "status", new_status: str = S.CRAWLED,
+                  broadcast_done: bool = False) -> DataFrame:
     """Set ``status = new_status`` for keys present in ``done``; others keep
-    their status. ``done`` is reduced to distinct keys before the join."""
+    their status. ``done`` is reduced to distinct keys before the join;
+    ``broadcast_done`` only when its size is bounded (e.g. one queue take)."""
     hit = "__hit"
     marks = done.select(key).dropDuplicates([key]).withColumn(hit, F.lit(True))
+    if broadcast_done:
+        marks = F.broadcast(marks)
     return (frontier.join(marks, on=key, how="left")
                     .withColumn(status_col, F.when(F.col(hit), F.lit(new_status))
                                              .otherwise(F.col(status_col)))

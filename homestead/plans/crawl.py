@@ -33,7 +33,10 @@ def link_round(locs: DataFrame, state: DataFrame, frontier: DataFrame, pages: Da
     """``pages(page_id, url, html)`` are the fetched listing pages; a page
     belongs to the location whose current ``page_url`` it was fetched from."""
     current = FR.page_urls(FR.current_pages(locs, state))
-    fetched = pages.join(current.select("name", F.col("page_url").alias("url")), on="url")
+    # at most one current page per location: a proven bound, so broadcast it
+    # and keep the (large) pages table from being shuffled
+    fetched = pages.join(F.broadcast(current.select("name", F.col("page_url").alias("url"))),
+                         on="url")
     links = E.extract_links(fetched, domain=domain, cls=link_class)
     per_loc = (links.join(fetched.select("page_id", "name"), on="page_id")
                     .groupBy("name").agg(F.count(F.lit(1)).alias("n_links")))
@@ -55,9 +58,11 @@ class DetailRound:
 def detail_round(frontier: DataFrame, pages: DataFrame, n: int,
                  spec: E.PageSpec = E.PageSpec(), crawled_at=None) -> DetailRound:
     """Process the next ``n`` pending urls whose pages were fetched."""
-    take = FR.queue_take(frontier, n).select("url")
+    # the take has at most n rows (a proven bound): broadcast it so neither the
+    # pages table nor the frontier is shuffled
+    take = F.broadcast(FR.queue_take(frontier, n).select("url"))
     todo = pages.join(take, on="url", how="left_semi")
     extracted = E.extract_documents(todo, spec)
     bronze = E.bronze_from_pages(extracted, crawled_at=crawled_at)
     return DetailRound(bronze, E.rejected_pages(extracted),
-                       FR.mark_crawled(frontier, bronze.select("url")))
+                       FR.mark_crawled(frontier, bronze.select("url"), bounded=True))
