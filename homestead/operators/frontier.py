@@ -100,6 +100,13 @@ def save_cursor(state: DataFrame, advanced: DataFrame) -> DataFrame:
     return upsert(state, advanced.select("location_name", "current_page"), ["location_name"])
 
 
+def quarantine_by_count(pages: DataFrame, n_links, min_links: int = 1) -> DataFrame:
+    """Pages whose own link count (a per-row Column, e.g. ``size`` of the
+    page's extracted links) is below ``min_links``: one narrow stage, no join."""
+    return (pages.withColumn("n_links", n_links.cast("long"))
+                 .filter(F.col("n_links") < min_links))
+
+
 def quarantine(pages: DataFrame, links: DataFrame, min_links: int = 1,
                key: str = "page_id") -> DataFrame:
     """Pages that produced fewer than ``min_links`` links, with their count.

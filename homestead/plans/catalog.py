@@ -313,8 +313,8 @@ MIN_LINKS = 6
 def quarantine_few_links(spark, sf_dir):
     """Pages with fewer than MIN_LINKS links go to quarantine."""
     pages = _t(spark, sf_dir, "pages")
-    links = pages.select("page_id", F.explode(E.anchor_hrefs("html")).alias("href"))
-    return FR.quarantine(pages.select("page_id", "url"), links, MIN_LINKS)
+    return FR.quarantine_by_count(pages.select("page_id", "url", "html"),
+                                  F.size(E.anchor_hrefs("html")), MIN_LINKS).drop("html")
 
 
 # --- extraction (H1–H7) -----------------------------------------------------------------
