@@ -14,11 +14,14 @@ rows. Here ranks are computed from a global sort instead:
 3. Per (block, group) totals — at most #groups + #blocks rows — give each
    block's rank offset inside its group (a window over ≤ #blocks rows per
    group).
-4. A running count inside each (block, group) — bounded by one block — plus
-   the offset gives every distinct value its rank interval [lo, hi].
+4. A running count inside a (block, group) — bounded by one block — plus the
+   offset gives each of its distinct values a rank interval [lo, hi].
 5. The wanted ranks per group (two per probability) are matched to the block
-   that holds them, then to the value whose interval covers them: an equi-join
-   on (block, group) whose build side has only a few rows per key.
+   that holds them; only those blocks get running counts (step 4), and the
+   value whose interval covers each wanted rank is picked by an equi-join on
+   (block, group) whose build side has only a few rows per key. The list of
+   target blocks is broadcast when its exact size fits the threshold, so a
+   hot group spanning many blocks shuffles only the few that matter.
 
 Interpolation: ``linear`` is R type 7 (Spark ``percentile``, DuckDB
 ``quantile_cont``); ``midpoint`` is type 5 (h = n·p + 0.5), the default of
@@ -66,6 +69,7 @@ def value_blocks(df: DataFrame, group: str, value: str, checkpoint: bool = True)
 def quantiles_from_blocks(blocks: DataFrame, group: str, value: str, probs: Sequence[float],
                           names: Sequence[str], method: str = "linear") -> DataFrame:
     """Quantiles per group from ``value_blocks`` output."""
+    from pyspark.sql import Observation
     per_block = blocks.groupBy("blk", group).agg(F.sum("c").alias("bc"))
     wg = Window.partitionBy(group).orderBy("blk")
     per_block = per_block.withColumns({
@@ -73,6 +77,11 @@ def quantiles_from_blocks(blocks: DataFrame, group: str, value: str, probs: Sequ
                           F.lit(0)).cast("long"),
         "n": F.sum("bc").over(Window.partitionBy(group)).cast("long"),
     })
+    # the per-block summary (<= #groups + #blocks rows) is checkpointed once;
+    # its exact row count, observed during that write, bounds the target list
+    obs = Observation("per_block_rows")
+    per_block = per_block.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    summary_rows = int(obs.get["rows"])
 
     # wanted ranks: (group, j, side, rank, frac)
     wanted = []
@@ -88,14 +97,26 @@ def quantiles_from_blocks(blocks: DataFrame, group: str, value: str, probs: Sequ
     tb = (targets.join(per_block.select("blk", group, "off", "bc"), on=group)
                  .filter((F.col("rank") > F.col("off")) &
                          (F.col("rank") <= F.col("off") + F.col("bc")))
-                 .select("blk", group, "j", "side", "rank", "frac", "n"))
+                 .select("blk", group, "off", "j", "side", "rank", "frac", "n"))
+
+    # Only blocks holding a wanted rank need running counts: at most
+    # 2·len(probs) per group, and #groups <= summary rows. When that bound fits
+    # the broadcast threshold the target list is broadcast, so the value table
+    # is filtered without a shuffle and only the target blocks are shuffled
+    # for the window; otherwise it is a shuffle join.
+    from .keyed import broadcast_fits
+    n_targets = summary_rows * 2 * len(probs)
+    tkeys = tb.select("blk", group, "off").dropDuplicates(["blk", group])
+    tb_hits = tb.drop("off")
+    if broadcast_fits(blocks.sparkSession, n_targets, bytes_per_row=128):
+        tkeys, tb_hits = F.broadcast(tkeys), F.broadcast(tb_hits)
 
     wb = (Window.partitionBy("blk", group).orderBy(value)
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (blocks.join(per_block.select("blk", group, "off"), on=["blk", group])
+    ranked = (blocks.join(tkeys, on=["blk", group])
                     .withColumn("r_hi", F.col("off") + F.sum("c").over(wb))
                     .withColumn("r_lo", F.col("r_hi") - F.col("c") + 1))
-    hits = (ranked.join(tb, on=["blk", group])
+    hits = (ranked.join(tb_hits, on=["blk", group])
                   .filter((F.col("rank") >= F.col("r_lo")) & (F.col("rank") <= F.col("r_hi")))
                   .select(group, "j", "side", "frac", "n", F.col(value).alias("x")))
 
