@@ -59,7 +59,17 @@ def main() -> None:
 
     spark = build_session(f"local[{cpus}]", app="homestead-bench",
                           shuffle_partitions=max(8, cpus * 2),
-                          extra={"spark.driver.memory": "16g"})
+                          extra={"spark.driver.memory": "16g",
+                                 # keep the driver's status store small over ~60 query runs
+                                 "spark.sql.ui.retainedExecutions": "20",
+                                 "spark.ui.retainedJobs": "50",
+                                 "spark.ui.retainedStages": "50"})
+
+    def settle() -> None:
+        """Between queries: drop cached data and let the driver JVM collect,
+        so one query's leftovers do not slow the next."""
+        spark.catalog.clearCache()
+        spark.sparkContext._jvm.System.gc()
 
     def run_once(name: str) -> tuple[float, int]:
         obs = Observation(f"rows_{name}_{time.monotonic_ns()}")
@@ -71,6 +81,7 @@ def main() -> None:
     timings: dict[str, float] = {}
     rows: dict[str, int] = {}
     for name in names:
+        settle()
         _, rows[name] = run_once(name)          # warm-up
         samples = [run_once(name)[0] for _ in range(runs)]
         timings[name] = round(statistics.median(samples), 4)
