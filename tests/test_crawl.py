@@ -2,10 +2,8 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from homestead import schemas as S
-from homestead.operators import extract as E
 from homestead.operators import frontier as FR
 from homestead.plans.crawl import detail_round, link_round
 
