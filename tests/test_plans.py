@@ -110,3 +110,23 @@ def test_silver_is_one_narrow_stage(spark, tmp_path):
     plan = executed_plan(bronze_to_silver(read_bronze(spark, str(tmp_path / "bronze"))))
     assert "Exchange" not in plan
     assert "ReadSchema: struct<url:string,title:string,address:string,address_line_2:string" in plan
+
+
+def test_partitioned_write_rebalances_not_repartitions(spark, tmp_path):
+    from homestead.sources.tables import write_partitioned
+    df = spark.range(1000).selectExpr("id", "date_add(date'2026-01-01', cast(id % 3 as int)) as dt")
+    captured = {}
+
+    class Probe:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def hint(self, name, *cols):
+            captured["hint"] = (name, cols)
+            return self.inner.hint(name, *cols)
+
+    write_partitioned(Probe(df), str(tmp_path / "t"))
+    assert captured["hint"] == ("rebalance", ("dt",))
+    plan = df.hint("rebalance", "dt")._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1000
