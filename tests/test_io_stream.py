@@ -220,3 +220,17 @@ def test_incremental_run_replaces_only_new_dates(spark):
     assert rows[DOC["url"]].price == 3.7
     assert str(rows[DOC["url"]].gold_loaded_at) == "2026-06-02 02:00:00"
     assert str(rows["https://site.example/e-pr5"].gold_loaded_at) == "2026-06-01 02:00:00"
+
+
+def test_daily_gold_merge_streams_gold_through_broadcast_anti_join(spark):
+    from homestead.plans.etl import plan_gold_merge
+    root = scratch()
+    day1, day2 = bronze_docs()
+    write_docs(f"{root}/bronze", "2026-05-01", day1)
+    run_etl(spark, f"{root}/bronze", f"{root}/silver", f"{root}/gold", loaded_at="2026-06-01 02:00:00")
+    plan = plan_gold_merge(spark, f"{root}/silver", f"{root}/gold", loaded_at="2026-06-02 02:00:00",
+                           since="2026-05-01")
+    assert plan.broadcast_keys
+    plan.merged.write.format("noop").mode("overwrite").save()
+    phys = plan.merged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in phys and "LeftAnti" in phys and "SortMergeJoin" not in phys
