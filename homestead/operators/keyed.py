@@ -32,6 +32,15 @@ def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def _keys_present(ks: Sequence[str]) -> Column:
+    """All key columns non-NULL: a primary key never holds NULL, so batch
+    rows without a key are not written (a database would reject them)."""
+    cond = F.lit(True)
+    for k in ks:
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
+
 def tiebreak_columns(df: DataFrame, exclude: Sequence[str]) -> list[Column]:
     """Every remaining atomic column, ascending with NULLs first: a total
     order over distinct rows, so the survivor never depends on scan order."""
@@ -77,7 +86,7 @@ def upsert(target: DataFrame, source: DataFrame, keys,
     ks = _keys(keys)
     if source_order is not None:
         source = latest_per_key(source, ks, source_order)
-    src = source.select(*target.columns)
+    src = source.select(*target.columns).filter(_keys_present(ks))
     key_side = src.select(*ks)
     if broadcast_source_keys:
         key_side = F.broadcast(key_side)
@@ -104,7 +113,8 @@ def broadcast_fits(spark, n_rows: int, bytes_per_row: int = 256) -> bool:
 def new_rows(target: DataFrame, new: DataFrame, keys) -> DataFrame:
     """Rows of ``new`` whose key is not yet in ``target`` (one per key)."""
     ks = _keys(keys)
-    return new.dropDuplicates(ks).join(target.select(*ks), on=ks, how="left_anti")
+    return (new.filter(_keys_present(ks)).dropDuplicates(ks)
+               .join(target.select(*ks), on=ks, how="left_anti"))
 
 
 def insert_ignore(target: DataFrame, new: DataFrame, keys,

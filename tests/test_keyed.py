@@ -103,3 +103,12 @@ def test_upsert_broadcast_keys_leaves_target_unshuffled(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "SortMergeJoin" not in plan
     assert out.count() == 1010 and out.filter("k >= 990 and v = k * 3").count() == 20
+
+
+def test_null_keys_are_never_written(spark):
+    t = spark.createDataFrame([("a", "crawled")], "url string, status string")
+    new = spark.createDataFrame([(None,), ("b",), (None,)], "url string")
+    out = K.insert_ignore(t, new, ["url"], defaults={"status": F.lit("pending")})
+    assert rows(out) == [("a", "crawled"), ("b", "pending")]
+    src = spark.createDataFrame([(None, "x"), ("a", "new")], "url string, status string")
+    assert rows(K.upsert(t, src, ["url"])) == [("a", "new")]
