@@ -7,6 +7,7 @@ exist for tests, the bench and command-line runs.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -56,14 +57,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir; set one only when it is unset
-    (local tests), never overriding what the cluster configured."""
+    """Return the session's checkpoint dir. An unset one is set to a fresh
+    local folder only under a local master (tests, the bench), where driver
+    and executors are one process; on a cluster it must be configured."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="homestead-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

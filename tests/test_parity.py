@@ -36,4 +36,4 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert 0 < len(rows) <= 15
     assert df.columns == ["district", "mean_price"]
-    assert set(e.oracle_sql()) == set(e.queries())
+    assert set(QUERIES) <= set(e.oracle_sql()) <= set(e.queries())
