@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import bpe, sharding, simhash
-from .common import read, texts
+from . import bpe, sharding, simhash, toxicity
+from .common import read, remainder, texts
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -38,3 +38,13 @@ def op10_simhash(spark, sf_dir) -> DataFrame:
     """SimHash components of every document: 3-word shingles, 2 bits."""
     found = simhash.near_duplicates(texts(read(spark, sf_dir, "documents")), 3, 2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op2_toxicity(spark, sf_dir) -> DataFrame:
+    """Toxicity score of every document, learned from the labels."""
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", (remainder(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted",
+        F.size("passages").alias("n_passages"))
