@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import bpe, sharding, simhash, toxicity
+from . import bpe, decontam, pii, quality, sharding, simhash, toxicity
 from .common import read, remainder, texts
 
 QUERIES: dict = {}
@@ -48,3 +48,26 @@ def op2_toxicity(spark, sf_dir) -> DataFrame:
     return toxicity.score_documents(docs, model).select(
         "doc_id", (remainder(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted",
         F.size("passages").alias("n_passages"))
+
+
+@query
+def op4_decontamination(spark, sf_dir) -> DataFrame:
+    """Benchmark items in every document, up to one edit in ten characters."""
+    return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_quality(spark, sf_dir) -> DataFrame:
+    """The ledger of every document under the newest policy."""
+    book = quality.apply_policy(quality.ledger(read(spark, sf_dir, "documents")), "v2")
+    return book.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (F.col("failures").bitwiseAND(F.lit(quality.BASE).cast("long")) != 0).alias("base_failed"), "kept",
+        "failures")
+
+
+@query
+def op8_pii(spark, sf_dir) -> DataFrame:
+    """Personal data in every document."""
+    docs = read(spark, sf_dir, "documents")
+    return pii.find_documents(docs, pii.learn(docs))
