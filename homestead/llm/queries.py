@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, pii, quality, sharding, simhash, toxicity
+from . import bpe, decontam, html_main, pii, quality, sharding, simhash, toxicity
 from .common import read, remainder, texts
 
 QUERIES: dict = {}
@@ -71,3 +71,9 @@ def op8_pii(spark, sf_dir) -> DataFrame:
     """Personal data in every document."""
     docs = read(spark, sf_dir, "documents")
     return pii.find_documents(docs, pii.learn(docs))
+
+
+@query
+def op3_html(spark, sf_dir) -> DataFrame:
+    """Main text of every page."""
+    return html_main.extract_main(read(spark, sf_dir, "pages"))
