@@ -7,13 +7,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_main, pii, quality, sharding, simhash, toxicity
+from . import bpe, decontam, html_main, idcoder, pii, quality, sharding, simhash, toxicity
 from .common import read, remainder, texts
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def query(fn):
@@ -77,3 +78,10 @@ def op8_pii(spark, sf_dir) -> DataFrame:
 def op3_html(spark, sf_dir) -> DataFrame:
     """Main text of every page."""
     return html_main.extract_main(read(spark, sf_dir, "pages"))
+
+
+@query
+def op6_idcoder(spark, sf_dir) -> DataFrame:
+    """Token ids of every document, written in the block format and read back."""
+    blocks = idcoder.write_blocks(read(spark, sf_dir, "documents"), WORD_BPE, end_id=1)
+    return idcoder.read_documents(blocks)
