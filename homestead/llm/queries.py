@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_main, idcoder, pii, quality, sharding, simhash, toxicity
+from . import bpe, decontam, html_main, idcoder, pii, ppm, quality, sharding, simhash, toxicity
 from .common import read, remainder, texts
 
 QUERIES: dict = {}
@@ -85,3 +85,11 @@ def op6_idcoder(spark, sf_dir) -> DataFrame:
     """Token ids of every document, written in the block format and read back."""
     blocks = idcoder.write_blocks(read(spark, sf_dir, "documents"), WORD_BPE, end_id=1)
     return idcoder.read_documents(blocks)
+
+
+@query
+def op7_ppm(spark, sf_dir) -> DataFrame:
+    """PPM and unigram scores of every document."""
+    docs = read(spark, sf_dir, "documents")
+    return ppm.score_documents(docs, ppm.learning_rows()).select(
+        "doc_id", (~ppm.learning_rows()).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
