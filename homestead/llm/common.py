@@ -27,6 +27,14 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
                        F.col("text").cast("string").alias("text"), *more)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def remainder(doc_id: Column, mod: int = 5) -> Column:
     """crc32 of the id's decimal text modulo ``mod``; a null id counts as ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % mod

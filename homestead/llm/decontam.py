@@ -24,6 +24,7 @@ benchmark leaves every document clean; other columns are ignored.
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
 import ahocorasick
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, with_package
+from .common import small_batches, texts, unused, with_package
 
 NOISE = re.compile(r"[\W_]+")
 
@@ -223,14 +224,14 @@ def _matcher(key: str, items, p: Params) -> Matcher:
     return _MATCHERS[key]
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
-    """``docs`` (all columns) with ``__items array<struct<item:long,edits:int>>``
-    in the order of the item ids."""
+ITEMS = "array<struct<item:long,edits:int>>"
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, name: str, p: Params = Params()) -> DataFrame:
+    """``docs`` (all columns) with the new column ``name``: the items that
+    occur, as (item, edits) in the order of the item ids."""
     kind = pa.list_(pa.struct([("item", pa.int64()), ("edits", pa.int32())]))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    schema = f"{fields}, `__items` array<struct<item:long,edits:int>>"
-    out = with_package(docs).withColumn("__items", F.lit(None).cast("array<struct<item:long,edits:int>>"))
-    import uuid
+    out = with_package(docs).withColumn(name, F.lit(None).cast(ITEMS))
     for items in item_blocks(benchmark, p):
         def run(batches, items=items, key=uuid.uuid4().hex):
             own = _matcher(key, items, p)
@@ -238,21 +239,21 @@ def scan(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFra
                 for b in small_batches(whole):
                     found = [own.find(normalise(t)) for t in b.column("text").to_pylist()]
                     rows = [sorted({**{x["item"]: x["edits"] for x in before or ()}, **f}.items())
-                            for before, f in zip(b.column("__items").to_pylist(), found)]
+                            for before, f in zip(b.column(name).to_pylist(), found)]
                     marks = pa.array([[{"item": i, "edits": e} for i, e in r] for r in rows], kind)
                     yield pa.RecordBatch.from_arrays([*b.columns[:-1], marks], b.schema.names)
-        out = out.mapInArrow(run, schema)
+        out = out.mapInArrow(run, out.schema)
     return out
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
     """Per row: ``doc_id, contaminated, n_items, item_ids, edits``."""
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return scan(own, benchmark, p).select(
-        "doc_id", (F.size("__items") > 0).alias("contaminated"), F.size("__items").alias("n_items"),
-        F.col("__items.item").alias("item_ids"), F.col("__items.edits").alias("edits"))
+    found = scan(texts(docs), benchmark, "items", p)
+    return found.select("doc_id", (F.size("items") > 0).alias("contaminated"), F.size("items").alias("n_items"),
+                        F.col("items.item").alias("item_ids"), F.col("items.edits").alias("edits"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
     """``docs``, all columns, without the rows that hold an item."""
-    return scan(docs, benchmark, p).where(F.size("__items") == 0).drop("__items")
+    name = unused(docs, "items")
+    return scan(docs, benchmark, name, p).where(F.size(name) == 0).drop(name)

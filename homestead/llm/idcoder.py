@@ -171,7 +171,7 @@ class _Model:
 
 def _lanes(n: int) -> tuple[int, int]:
     """(lanes, steps) for n ids."""
-    lanes = max(1, min(LANES, n // 64))
+    lanes = max(1, min(LANES, n // 256))
     steps = -(-n // lanes)
     return -(-n // steps), steps
 

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, with_package
+from .common import small_batches, unused, with_package, written
 
 WORDS_AT_ONCE = 1 << 18
 #: Postings beyond this many entries are probed by bit flips, not pair by pair.
@@ -182,7 +182,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> Dat
     """Per row of ``docs`` (``doc_id, text``, any further columns kept but for
     the text): ``fp, component_id, keeper`` (the smallest further columns
     of the component as a struct; with ``doc_id`` alone, its smallest id)."""
-    from .common import written
     rest = [c for c in docs.columns if c != "text"]
     marked = written(fingerprints(docs, shingle), "simhash")
     fps = marked.groupBy("fp").agg(F.min("doc_id").alias("least"),
@@ -199,8 +198,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> Dat
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
     """``docs`` with one row of each component: the one of the smallest
     doc_id (the first of these rows where the id is repeated)."""
-    rows = docs.withColumn("__row", F.monotonically_increasing_id())   # same files, same splits: the same numbers
-    own = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("__row").alias("row"),
+    row = unused(docs, "row")
+    rows = docs.withColumn(row, F.monotonically_increasing_id())       # same files, same splits: the same numbers
+    own = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(row).alias("row"),
                       F.col("text").cast("string").alias("text"))
     kept = near_duplicates(own, shingle, distance).where(F.col("keeper.row") == F.col("row"))
-    return rows.join(kept.select(F.col("row").alias("__row")), "__row", "left_semi").drop("__row")
+    return rows.join(kept.select(F.col("row").alias(row)), row, "left_semi").drop(row).select(docs.columns)

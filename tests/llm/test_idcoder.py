@@ -1,0 +1,70 @@
+import zlib
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+from tokenizers import Tokenizer
+
+from helpers import ODD, empty, odd_documents
+from homestead.llm import idcoder as C
+
+PATH = P.path("word_bpe_49k.json")
+
+
+def test_ids_round_trip():
+    rnd = np.random.RandomState(0)
+    for n in (1, 2, 63, 64, 65, 129, 1000, 30_000):
+        for alphabet in (1, 2, 300, 49_408):
+            for ids in (rnd.randint(0, alphabet, n), np.full(n, alphabet - 1), np.minimum(rnd.zipf(1.3, n) - 1, alphabet - 1),
+                        np.arange(n) % min(alphabet, 17)):
+                ids = ids.astype(np.int32)
+                words, payload = C.encode_ids(ids, alphabet)
+                assert (C.decode_ids(n, len(words), alphabet, words, payload) == ids).all()
+
+
+def test_predictable_ids_get_small():
+    cycle = np.tile(np.arange(100, 150, dtype=np.int32), 8000)
+    _, payload = C.encode_ids(cycle, 49_408)
+    assert len(payload) * 16 / len(cycle) < 1
+
+
+def test_damage_is_found():
+    ids = np.random.RandomState(1).randint(0, 500, 4000).astype(np.int32)
+    block = C.write_block([7, None], np.array([1500, 2500]), ids, 49_408)
+    docs, lengths, back = C.read_block(block)
+    assert docs == [7, None] and lengths.tolist() == [1500, 2500] and (back == ids).all()
+    for at in (0, 5, 30, len(block) // 2, len(block) - 1):
+        with pytest.raises(C.BlockError):
+            C.read_block(block[:at] + bytes([block[at] ^ 1]) + block[at + 1:])
+    with pytest.raises(C.BlockError):
+        C.read_block(block[:10])
+
+
+def test_chunks_equal_the_library():
+    own, library = C.WordEncoder(PATH, entries=30), Tokenizer.from_file(PATH)
+    more = ["Foo. foo, FOO.. 'tis can't. x.y 3.14. 1, a.", "<|endoftext|>. <|ENDOFTEXT|> <|startoftext|>a", "\x1c\x85a\xa0b  c"]
+    for batch in ([*ODD, *more], more, ["a", None]):
+        got = own.encode_all(batch)
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == \
+            [library.encode(t or "", add_special_tokens=False).ids for t in batch]
+
+
+def test_documents_read_back(spark):
+    library = Tokenizer.from_file(PATH)
+    docs = odd_documents(spark).repartition(5)
+    want = {}
+    for r in docs.collect():
+        ids = np.array([*library.encode(r.text or "", add_special_tokens=False).ids, 1], "<u4")
+        want.setdefault(r.doc_id, []).append((len(ids), zlib.crc32(ids.tobytes())))
+    for blocks in (C.write_blocks(docs, PATH, 1, partitions=3, block_ids=200), C.write_blocks(docs, PATH, 1, partitions=1)):
+        rows = sorted(C.read_documents(blocks).collect(), key=lambda r: r.start)
+        at = 0
+        for r in rows:
+            assert r.start == at
+            at += r.n_tokens
+        assert [r.doc_id for r in rows] == sorted((r.doc_id for r in rows), key=lambda d: (d is not None, d))
+        got = {}
+        for r in rows:
+            got.setdefault(r.doc_id, []).append((r.n_tokens, r.ids_crc32))
+        assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+    assert C.read_documents(C.write_blocks(empty(spark, docs), PATH, 1)).collect() == []

@@ -1,0 +1,71 @@
+"""The pipeline against a brute-force version of its stages on sf0.001."""
+
+import hashlib
+
+import public_tokenizers as P
+import tiktoken
+
+import corpus_pipeline
+from helpers import empty, odd_documents
+from homestead.llm import bpe, decontam, pii, simhash, toxicity
+from homestead.llm.common import read
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_one_by_one(spark):
+    docs = read(spark, SF, "documents")
+    rows = {r.doc_id: r for r in docs.collect()}
+    model = toxicity.learn(docs, read(spark, SF, "labels"))
+    clean = {i for i, r in rows.items() if model.score(r.text)[0] < 0.5}
+    left = corpus_pipeline.drop_toxic(spark, docs, SF)
+    assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == clean
+    left = spark.createDataFrame(left.collect(), left.schema)
+
+    fps = {i: simhash.fingerprint(rows[i].text) for i in clean}
+    root = {i: i for i in clean}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for a in clean:
+        for b in clean:
+            if a < b and (fps[a] ^ fps[b]).bit_count() <= 2:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    single = {i for i in clean if find(i) == i}
+    left = corpus_pipeline.drop_near_duplicates(spark, left, SF)
+    assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == single
+
+    items = [decontam.normalise(r.text) for r in read(spark, SF, "benchmark").collect()]
+    own = {i: decontam.normalise(rows[i].text) for i in single}
+    pure = {i for i in single if not any(decontam.best_distance(t, own[i], int(0.1 * len(t))) <= int(0.1 * len(t)) for t in items)}
+    left = corpus_pipeline.drop_contaminated(spark, left, SF)
+    assert {r.doc_id for r in left.collect()} == pure
+
+    redacted = {r.doc_id: r for r in corpus_pipeline.redact_personal_data(spark, left, SF).collect()}
+    assert set(redacted) == pure
+    for i, r in redacted.items():
+        assert not pii.base_spans(r.text) and r.n_chars == len(r.text)
+        if not pii.base_spans(rows[i].text):
+            assert r.text == rows[i].text
+
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, special_tokens={},
+                                mergeable_ranks=bpe.load_ranks(P.path("byte_bpe_multi_50k.tiktoken")))
+    got = {r.doc_id: r for r in corpus_pipeline.run(spark, SF).collect()}
+    assert set(got) == pure
+    for i, r in got.items():
+        ids = library.encode_ordinary(redacted[i].text)
+        assert r.n_tokens == len(ids) and r.exact
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+
+
+def test_stages_take_odd_documents(spark):
+    for docs in (odd_documents(spark), empty(spark, odd_documents(spark))):
+        n = docs.count()
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF)
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert out.columns == docs.columns and out.dtypes == docs.dtypes
+            assert out.count() <= n

@@ -1,0 +1,47 @@
+from collections import Counter
+
+from helpers import ODD, PROSE, WORD, empty, odd_documents
+from homestead.llm import quality as Q
+
+
+def brute(text):
+    w = WORD.findall(text or "")
+    windows = Counter(tuple(w[i:i + 3]) for i in range(len(w) - 2))
+    covered = {j for i in range(len(w) - 2) if windows[tuple(w[i:i + 3])] > 1 for j in range(i, i + 3)}
+    seen, dup = set(), 0
+    for line in (text or "").split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    return len(w), sum(map(len, w)), sum((text or "").count(c) for c in "#*$%&|<>") if w else 0, dup, len(covered)
+
+
+MORE = ["a b c a b c d e a b", "x y x y x y x", (PROSE + "\n") * 4, "* # $ %% &&", "AAA BBB " * 60]
+
+
+def test_measures():
+    for t in [*ODD, *MORE]:
+        assert Q.measure(t)[:5] == brute(t)
+
+
+def test_ledger_policies_and_ablation(spark):
+    docs = odd_documents(spark, MORE)
+    book = Q.ledger(docs).cache()
+    rows = book.collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        for i, rule in enumerate(Q.RULES):
+            assert Q.BIT[rule.name] == 1 << i
+        n, w = r.n_words, r.n_repeat_words
+        assert bool(r.failures & Q.BIT["too_few_words"]) == (n < 50)
+        assert bool(r.failures & Q.BIT["repeated_windows"]) == (100 * w > 50 * n)
+    for version, mask in Q.POLICIES.items():
+        kept = Q.apply_policy(book, version)
+        assert {(r.doc_id, r.failures): r.kept for r in kept.collect()} == \
+            {(r.doc_id, r.failures): not r.failures & mask for r in rows}
+        for a in Q.ablation(book, version).collect():
+            bit = Q.BIT[a.rule]
+            assert a.fails == sum(bool(r.failures & bit) for r in rows)
+            assert a.alone == sum(r.failures & mask == bit for r in rows)
+            assert a.kept_without == sum(not r.failures & mask & ~bit for r in rows)
+    assert Q.ledger(empty(spark, docs)).collect() == []
