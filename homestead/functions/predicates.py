@@ -64,10 +64,6 @@ def keeps_link(href, domain) -> Column:
     return h.isNotNull() & ~(h.startswith("http") & ~F.contains(h, d))
 
 
-def has_status(c, status: str = S.PENDING) -> Column:
-    return _c(c) == status
-
-
 def all_of(conds: Iterable[Column]) -> Column:
     out = F.lit(True)
     for c in conds:

@@ -140,8 +140,8 @@ def first_meaningful_part(c, sep: str = ",",
 
 
 def to_double(c) -> Column:
-    """Numeric coercion: bad text -> NULL."""
-    return _c(c).try_cast("double")
+    """Numeric coercion: bad text and the text ``NaN`` -> NULL."""
+    return nan_to_null(_c(c).try_cast("double"))
 
 
 def absolute_url(href, domain) -> Column:
@@ -180,27 +180,6 @@ def next_page(page, n_links) -> Column:
     return F.when(_c(n_links) > 0, _c(page) + 1).otherwise(F.lit(S.FIRST_PAGE))
 
 
-def partition_date_text(c=None) -> Column:
-    """``yyyy-MM-dd`` of a timestamp (default: today) for a dt partition."""
-    src = F.current_date() if c is None else _c(c)
-    return F.date_format(src, S.PARTITION_DATE_FORMAT)
-
-
-def to_json_text(*cols) -> Column:
-    """One JSON object per row; non-ASCII characters kept as they are."""
-    return F.to_json(F.struct(*cols))
-
-
-def round2(c) -> Column:
-    """Two-decimal value for display."""
-    return F.round(_c(c), 2)
-
-
-def format2(c) -> Column:
-    """Two-decimal text for display."""
-    return F.format_number(_c(c), 2)
-
-
 def nan_to_null(c) -> Column:
     """NaN -> NULL, so averages skip it like pandas does."""
     return F.nanvl(_c(c), F.lit(None).cast("double"))

@@ -29,28 +29,26 @@ from ..functions import text as X
 
 # --- built-in fast path -------------------------------------------------------
 
-ANCHOR_TAG = r"<a\s[^>]*>"
-HREF_ATTR = r"""\shref\s*=\s*["']([^"']*)["']"""
+# What an HTML parser does not see as markup: comments, scripts, styles.
+NOT_MARKUP = r"(?is)<!--.*?(?:-->|$)|<(script|style)\b.*?(?:</\1\s*>|$)"
+ANCHOR_TAG = r"""(?i)<a\s(?:"[^"]*"|'[^']*'|[^'">])*>"""
 
 
-def _class_pattern(cls: str) -> str:
-    return r"""\sclass\s*=\s*["']([^"']*\s)?""" + cls + r"""(\s[^"']*)?["']"""
+def _markup(html) -> Column:
+    return F.regexp_replace(X._c(html), NOT_MARKUP, "")
 
 
-def anchor_hrefs(html, cls: str | None = None) -> Column:
-    """Array of href values of ``<a>`` tags (optionally only those carrying
-    class ``cls``), in document order, duplicates kept."""
-    tags = F.regexp_extract_all(X._c(html), F.lit(ANCHOR_TAG), 0)
-    if cls:
-        tags = F.filter(tags, lambda t: t.rlike(_class_pattern(cls)))
-    hrefs = F.transform(tags, lambda t: F.regexp_extract(t, HREF_ATTR, 1))
-    return F.filter(hrefs, lambda h: h != "")
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute, quoted or not; "" when absent."""
+    head = r"(?i)\s" + name + r"\s*=\s*"
+    return F.concat(*[F.regexp_extract(tag, head + p, 1) for p in (r'"([^"]*)"', r"'([^']*)'", r"([^\s\"'>]+)")])
 
 
 def unescape_basic(c) -> Column:
     """Decode the basic character references as an HTML parser does in text:
     the trailing ``;`` is optional for these legacy names (``&amp`` -> ``&``).
-    ``&amp`` goes last so ``&amp;lt;`` decodes once, to ``&lt;``."""
+    ``&amp`` goes last so ``&amp;lt;`` decodes once, to ``&lt;``. Other
+    references (``&eacute;``, ``&#233;``) are left to the parser path."""
     x = X._c(c)
     for pat, ch in ((r"&lt;?", "<"), (r"&gt;?", ">"), (r"&quot;?", '"'),
                     (r"&#0*39;?", "'"), (r"&amp;?", "&")):
@@ -58,17 +56,36 @@ def unescape_basic(c) -> Column:
     return x
 
 
+def anchor_hrefs(html, cls: str | None = None) -> Column:
+    """Array of href values of ``<a>`` tags (optionally only those carrying
+    class ``cls``), in document order, duplicates kept, as the parser path
+    gives them: any case, values quoted or not, references decoded, nothing
+    from comments, scripts or styles."""
+    tags = F.regexp_extract_all(_markup(html), F.lit(ANCHOR_TAG), 0)
+    if cls:
+        tags = F.filter(tags, lambda t: F.array_contains(F.split(_attribute(t, "class"), r"\s+"), cls))
+    hrefs = F.transform(tags, lambda t: unescape_basic(_attribute(t, "href")))
+    return F.filter(hrefs, lambda h: h != "")
+
+
 def first_tag_text(html, tag: str, cls: str | None = None) -> Column:
     """Text of the first ``<tag>`` (with class ``cls``), inner tags removed,
     entities decoded, trimmed; "" when absent (parser semantics for
     elements without nested markup)."""
-    attrs = r"[^>]*" if not cls else r"[^>]*" + _class_pattern(cls) + r"[^>]*"
-    pat = r"(?s)<" + tag + r"(?:\s" + attrs + r")?>(.*?)</" + tag + r">"
-    inner = F.regexp_extract(X._c(html), pat, 1)
+    has = "" if not cls else (r"""(?=[^>]*\sclass\s*=\s*(?:["'](?:[^"'>]*\s)?""" + cls + r"""(?:\s[^"'>]*)?["']|""" + cls + r"""[\s>]))""")
+    pat = r"(?is)<" + tag + has + r"(?:\s[^>]*)?>(.*?)</" + tag + r"\s*>"
+    inner = F.regexp_extract(_markup(html), pat, 1)
     text = unescape_basic(F.regexp_replace(inner, r"<[^>]*>", ""))
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
+def page_links(domain: Column, cls: str | None = None, html: str = "html") -> Column:
+    """Array of a page's links: hrefs of listing anchors, foreign absolute
+    links dropped, relative links made absolute."""
+    kept = F.filter(anchor_hrefs(html, cls), lambda h: P.keeps_link(h, domain))
+    return F.transform(kept, lambda h: X.absolute_url(h, domain))
+
+
 def extract_links(pages: DataFrame, domain=None, cls: str | None = None,
                   key: str = "page_id") -> DataFrame:
     """One row per (page, position, link): hrefs of listing anchors, foreign
@@ -99,6 +116,12 @@ class PageSpec:
     description: tuple = ("div", "re__detail-content")
     link: tuple = ("a", "js__product-link-for-product-id")
 
+    def maps(self) -> dict[str, tuple]:
+        """Label/value maps of the document: (item, selectors of its label,
+        value and, where there is one, extension)."""
+        return {"short_info": (self.short_item, (self.short_label, self.short_value, self.short_ext)),
+                "specs": (self.spec_item, (self.spec_label, self.spec_value))}
+
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link",
          "meta", "param", "source", "track", "wbr"}
@@ -182,39 +205,36 @@ def _nfc(s):
     return None if s is None else unicodedata.normalize("NFC", s)
 
 
+def _first_text(node: _Node, selector: tuple, sep: str = "") -> Optional[str]:
+    found = node.find(*selector)
+    return None if found is None else _nfc(found.text(sep))
+
+
+def _label_map(root: _Node, item: tuple, parts: tuple) -> list[tuple[str, str]]:
+    """Label -> value of every item that has both; an extension is stored
+    under the label with its suffix. The last of equal labels wins."""
+    out: dict[str, str] = {}
+    for node in root.find_all(*item):
+        label, *values = (_first_text(node, p) for p in parts)
+        if label is None or values[0] is None:
+            continue
+        out.update((label + suffix, v) for suffix, v in zip(("", S.EXT_SUFFIX), values) if v is not None)
+    return list(out.items())
+
+
 def extract_page(html: str, spec: PageSpec) -> dict:
     """One page -> bronze fields (title "" when the title element is absent)."""
     root = parse_html(html)
-
-    def text_of(sel, sep=""):
-        n = root.find(*sel)
-        return _nfc(n.text(sep)) if n is not None else ""
-
-    title_node = root.find(*spec.title)
-    short = {}
-    for item in root.find_all(*spec.short_item):
-        lab, val = item.find(*spec.short_label), item.find(*spec.short_value)
-        if lab is not None and val is not None:
-            k = _nfc(lab.text())
-            short[k] = _nfc(val.text())
-            ext = item.find(*spec.short_ext)
-            if ext is not None:
-                short[k + S.EXT_SUFFIX] = _nfc(ext.text())
-    specs = {}
-    for item in root.find_all(*spec.spec_item):
-        lab, val = item.find(*spec.spec_label), item.find(*spec.spec_value)
-        if lab is not None and val is not None:
-            specs[_nfc(lab.text())] = _nfc(val.text())
-    links = [a.attrs.get("href") for a in root.find_all(*spec.link) if a.attrs.get("href")]
+    title = _first_text(root, spec.title)
+    hrefs = (a.attrs.get("href") for a in root.find_all(*spec.link))
     return {
-        "has_title": title_node is not None,
-        "title": _nfc(title_node.text()) if title_node is not None else "",
-        "address": text_of(spec.address_1),
-        "address_line_2": text_of(spec.address_2).strip("()"),
-        "short_info": list(short.items()),
-        "specs": list(specs.items()),
-        "description": text_of(spec.description, "\n"),
-        "links": links,
+        "has_title": title is not None,
+        "title": title or "",
+        "address": _first_text(root, spec.address_1) or "",
+        "address_line_2": (_first_text(root, spec.address_2) or "").strip("()"),
+        **{name: _label_map(root, item, parts) for name, (item, parts) in spec.maps().items()},
+        "description": _first_text(root, spec.description, "\n") or "",
+        "links": [h for h in hrefs if h],
     }
 
 

@@ -14,8 +14,9 @@ from .. import schemas as S
 from ..functions import text as X
 from .keyed import insert_ignore, update_status, upsert
 
-# The listing locations (display name, path slug below the
-# site's domain), in the source system's order.
+# The source site's domain and its listing locations (display
+# name, path below the domain), in the source system's order.
+SITE_DOMAIN = "https://batdongsan.com.vn"
 LOCATIONS = [
     ("Hà Nội", "/ban-can-ho-chung-cu-ha-noi"),
     ("TP.HCM", "/ban-can-ho-chung-cu-ho-chi-minh"),
@@ -31,18 +32,11 @@ LOCATIONS = [
 ]
 
 
-def locations(spark: SparkSession, domain: str) -> DataFrame:
+def locations(spark: SparkSession, domain: str = SITE_DOMAIN) -> DataFrame:
     """The fixed location dimension (11 rows) as a DataFrame."""
     return spark.createDataFrame([(n, domain + p) for n, p in LOCATIONS], S.LOCATION_SCHEMA)
 
 
-def new_frontier_rows(urls: DataFrame, url_col: str = "url") -> DataFrame:
-    """Column defaults of the queue: status 'pending', created_at now."""
-    return urls.select(F.col(url_col).alias("url"),
-                       F.lit(S.PENDING).alias("status"),
-                       F.current_timestamp().cast("timestamp_ntz").alias("created_at"))
-
-
 def enqueue(frontier: DataFrame, links: DataFrame, url_col: str = "url") -> DataFrame:
     """Insert unseen links as pending (insert-ignore on url)."""
     return insert_ignore(frontier, links.select(F.col(url_col).alias("url")), ["url"],
@@ -60,13 +54,9 @@ def queue_take(frontier: DataFrame, n: int, status: str = S.PENDING,
                     .limit(n))
 
 
-def mark_crawled(frontier: DataFrame, landed: DataFrame, url_col: str = "url",
-                 bounded: bool = False) -> DataFrame:
-    """pending -> crawled for urls whose document landed (``bounded``: the
-    landed set has a proven small bound, e.g. one queue take, so it is
-    broadcast and the frontier is not shuffled)."""
-    return update_status(frontier, landed.select(F.col(url_col).alias("url")), "url",
-                         "status", S.CRAWLED, broadcast_done=bounded)
+def mark_crawled(frontier: DataFrame, landed: DataFrame, url_col: str = "url") -> DataFrame:
+    """pending -> crawled for urls whose document landed."""
+    return update_status(frontier, landed.select(F.col(url_col).alias("url")), "url", "status", S.CRAWLED)
 
 
 def current_pages(locs: DataFrame, state: DataFrame, name_col: str = "name",
@@ -97,7 +87,7 @@ def advance_cursor(locs_with_pages: DataFrame, link_counts: DataFrame,
 
 def save_cursor(state: DataFrame, advanced: DataFrame) -> DataFrame:
     """Upsert the advanced cursors into the state table (key location_name)."""
-    return upsert(state, advanced.select("location_name", "current_page"), ["location_name"])
+    return upsert(state, advanced.select("location_name", "current_page"), ["location_name"], source_unique=True)
 
 
 def quarantine_by_count(pages: DataFrame, n_links, min_links: int = 1) -> DataFrame:
@@ -105,13 +95,3 @@ def quarantine_by_count(pages: DataFrame, n_links, min_links: int = 1) -> DataFr
     page's extracted links) is below ``min_links``: one narrow stage, no join."""
     return (pages.withColumn("n_links", n_links.cast("long"))
                  .filter(F.col("n_links") < min_links))
-
-
-def quarantine(pages: DataFrame, links: DataFrame, min_links: int = 1,
-               key: str = "page_id") -> DataFrame:
-    """Pages that produced fewer than ``min_links`` links, with their count.
-    ``links`` has one row per (page, link)."""
-    counts = links.groupBy(key).agg(F.count(F.lit(1)).alias("n_links"))
-    return (pages.join(counts, on=key, how="left")
-                 .withColumn("n_links", F.coalesce(F.col("n_links"), F.lit(0)).cast("long"))
-                 .filter(F.col("n_links") < min_links))

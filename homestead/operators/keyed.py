@@ -11,7 +11,8 @@ Scale notes (1000 executors, 100 TB):
   ``spark.sql.adaptive.autoBroadcastJoinThreshold``; above it the plan stays a
   sort-merge join, and skewed partitions are split by AQE's skew-join rule.
 * Target keys are unique by construction, so the target side carries no hot
-  key; batch keys are de-duplicated before the join (map-side combine).
+  key; batch keys are reduced before the join (partial ``WindowGroupLimit`` or
+  map-side combine).
 """
 
 from __future__ import annotations
@@ -56,9 +57,9 @@ def latest_per_key(df: DataFrame, keys, order_by: Sequence[Column],
     group, as with ``dropDuplicates``."""
     ks = _keys(keys)
     order = list(order_by)
-    if tiebreak:
+    if tiebreak or not order:
         order += tiebreak_columns(df, exclude=ks + list(order_cols))
-    w = Window.partitionBy(*ks).orderBy(*order)
+    w = Window.partitionBy(*ks).orderBy(*(order or [F.lit(0)]))
     rn = "__rn"
     return (df.withColumn(rn, F.row_number().over(w))
               .filter(F.col(rn) == 1).drop(rn))
@@ -69,24 +70,36 @@ def any_per_key(df: DataFrame, keys) -> DataFrame:
     return df.dropDuplicates(_keys(keys))
 
 
+def one_per_key(df: DataFrame, keys) -> DataFrame:
+    """One row per non-NULL key, the first by all other columns: whatever the
+    scan order, a repeated key leaves the same row."""
+    ks = _keys(keys)
+    present = df.filter(_keys_present(ks))
+    if len(ks) == len(df.columns):
+        return present.dropDuplicates(ks)
+    return latest_per_key(present, ks, order_by=[])
+
+
 def upsert(target: DataFrame, source: DataFrame, keys,
            source_order: Sequence[Column] | None = None,
-           broadcast_source_keys: bool = False) -> DataFrame:
+           broadcast_source_keys: bool = False, source_unique: bool = False) -> DataFrame:
     """Insert new keys, replace every non-key column of matched keys.
 
-    ``source`` must have unique keys; pass ``source_order`` (e.g. latest
-    first) to reduce it with ``latest_per_key`` here. Target rows whose key is
-    absent from the source are kept: nothing is deleted.
+    Source rows with a NULL key are dropped. A key that the source repeats is
+    reduced to one row: the first by ``source_order`` (e.g. latest first), ties
+    broken by the other columns. ``source_unique`` skips that step for a source
+    that is keyed already (e.g. the output of ``latest_per_key``). Target rows
+    whose key is absent from the source are kept: nothing is deleted.
 
-    ``broadcast_source_keys`` is for callers that have *checked* the batch
-    size (e.g. an observed row count against the broadcast threshold, see
-    ``broadcast_fits``): the key set is broadcast and the large target streams
+    ``broadcast_source_keys`` is for callers that have measured the keys
+    (``broadcast_fits``): the key set is broadcast and the large target streams
     through the anti-join without being shuffled at all.
     """
     ks = _keys(keys)
-    if source_order is not None:
-        source = latest_per_key(source, ks, source_order)
-    src = source.select(*target.columns).filter(_keys_present(ks))
+    src = source.filter(_keys_present(ks))
+    if not source_unique:
+        src = latest_per_key(src, ks, source_order or [])
+    src = src.select(*target.columns)
     key_side = src.select(*ks)
     if broadcast_source_keys:
         key_side = F.broadcast(key_side)
@@ -94,10 +107,23 @@ def upsert(target: DataFrame, source: DataFrame, keys,
     return kept.unionByName(src)
 
 
-def broadcast_fits(spark, n_rows: int, bytes_per_row: int = 256) -> bool:
-    """Size check for an explicit broadcast: ``n_rows`` (a known count, not
-    an estimate) times a generous per-row width must fit the session's
-    broadcast threshold (10 MB when unset, never when disabled)."""
+#: Bytes of a broadcast row besides its strings (hash slot, pointers, lengths).
+ROW_OVERHEAD = 64
+
+
+def row_bytes(*cols: str) -> Column:
+    """Bytes that a row of these columns takes when broadcast: to be summed
+    and observed while the rows are computed."""
+    size = F.lit(ROW_OVERHEAD + 8 * len(cols))
+    for c in cols:
+        size = size + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
+    return size
+
+
+def broadcast_fits(spark, n_bytes: int) -> bool:
+    """Size check for an explicit broadcast: ``n_bytes``, measured (see
+    ``row_bytes``), must fit the session's broadcast threshold (10 MB when
+    unset, never when disabled)."""
     raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     s = str(raw).strip().lower()
     mult = 1
@@ -107,27 +133,30 @@ def broadcast_fits(spark, n_rows: int, bytes_per_row: int = 256) -> bool:
             s, mult = s[: -len(suffix)], m
             break
     limit = int(float(s) * mult)
-    return limit > 0 and n_rows * bytes_per_row <= limit
+    return 0 < limit and n_bytes <= limit
 
 
 def new_rows(target: DataFrame, new: DataFrame, keys) -> DataFrame:
     """Rows of ``new`` whose key is not yet in ``target`` (one per key)."""
     ks = _keys(keys)
-    return (new.filter(_keys_present(ks)).dropDuplicates(ks)
-               .join(target.select(*ks), on=ks, how="left_anti"))
+    return one_per_key(new, ks).join(target.select(*ks), on=ks, how="left_anti")
 
 
 def insert_ignore(target: DataFrame, new: DataFrame, keys,
                   defaults: dict | None = None) -> DataFrame:
-    """``INSERT ... ON CONFLICT DO NOTHING``: add unseen keys, keep the rest.
+    """``INSERT ... ON CONFLICT DO NOTHING``: add unseen keys with their other
+    columns, keep the rest. Of a repeated key one row is added (``one_per_key``).
 
-    ``defaults`` maps missing target columns to Column defaults (e.g. the
-    frontier's ``status='pending'``, ``created_at=now``).
+    ``defaults`` maps target columns that ``new`` lacks to Column defaults
+    (e.g. the frontier's ``status='pending'``, ``created_at=now``); a column
+    that ``new`` brings keeps its value.
     """
     ks = _keys(keys)
-    added = new_rows(target, new.select(*ks), ks)
+    brought = [c for c in target.columns if c in new.columns]
+    added = new_rows(target, new.select(*brought), ks)
     for name, value in (defaults or {}).items():
-        added = added.withColumn(name, value)
+        if name not in brought:
+            added = added.withColumn(name, value)
     return target.unionByName(added.select(*target.columns))
 
 
@@ -143,15 +172,11 @@ def observed_count(df: DataFrame, name: str) -> tuple[DataFrame, object]:
 
 
 def update_status(frontier: DataFrame, done: DataFrame, key: str = "url",
-                  status_col: str = "status", new_status: str = S.CRAWLED,
-                  broadcast_done: bool = False) -> DataFrame:
+                  status_col: str = "status", new_status: str = S.CRAWLED) -> DataFrame:
     """Set ``status = new_status`` for keys present in ``done``; others keep
-    their status. ``done`` is reduced to distinct keys before the join;
-    ``broadcast_done`` only when its size is bounded (e.g. one queue take)."""
+    their status. ``done`` is reduced to distinct keys before the join."""
     hit = "__hit"
     marks = done.select(key).dropDuplicates([key]).withColumn(hit, F.lit(True))
-    if broadcast_done:
-        marks = F.broadcast(marks)
     return (frontier.join(marks, on=key, how="left")
                     .withColumn(status_col, F.when(F.col(hit), F.lit(new_status))
                                              .otherwise(F.col(status_col)))

@@ -24,6 +24,11 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _present(df: DataFrame, c: str) -> Column:
+    """The column with NaN as NULL (missing)."""
+    return X.nan_to_null(F.col(c)) if dict(df.dtypes)[c] in ("double", "float") else F.col(c)
+
+
 # --- filters ---------------------------------------------------------------
 
 def filter_listings(df: DataFrame, city=None, price_range=None, unit_price_range=None,
@@ -50,10 +55,11 @@ def header_kpis(df: DataFrame, stamp_col: str = "gold_loaded_at") -> DataFrame:
 
 
 def bounds(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Min and max of each column in one pass."""
+    """Min and max of each column in one pass (NaN skipped, like NULL)."""
     aggs = []
     for c in cols:
-        aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
+        v = _present(df, c)
+        aggs += [F.min(v).alias(f"min_{c}"), F.max(v).alias(f"max_{c}")]
     return df.agg(*aggs)
 
 
@@ -103,8 +109,9 @@ def share_two_way(df: DataFrame, flag_col: str,
 
 def histogram(df: DataFrame, value: str, bins: int = S.HISTOGRAM_BINS) -> DataFrame:
     """Equal-width histogram over [min, max]; the max lands in the last bin.
-    Empty bins are absent. Bounds come from one scalar subquery (evaluated
+    Empty bins are absent; NULL and NaN are skipped. Bounds come from one scalar subquery (evaluated
     once, inlined as a literal): no cross join, no unpartitioned window."""
+    df = df.select(_present(df, value).alias(value))
     v = F.col(value)
     bounds_row = df.select(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()
     lo, hi = F.col("_b.lo"), F.col("_b.hi")

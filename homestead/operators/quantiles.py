@@ -18,10 +18,15 @@ rows. Here ranks are computed from a global sort instead:
    offset gives each of its distinct values a rank interval [lo, hi].
 5. The wanted ranks per group (two per probability) are matched to the block
    that holds them; only those blocks get running counts (step 4), and the
-   value whose interval covers each wanted rank is picked by an equi-join on
-   (block, group) whose build side has only a few rows per key. The list of
-   target blocks is broadcast when its exact size fits the threshold, so a
-   hot group spanning many blocks shuffles only the few that matter.
+   value whose interval covers each wanted rank is picked. The list of target
+   blocks is broadcast when its measured size fits the threshold, so a hot
+   group spanning many blocks shuffles only the few that matter.
+6. Box statistics: the fences are written once; whole blocks are judged by
+   their smallest and largest value, and only the blocks that a fence cuts are
+   read again. The value table is never shuffled on the group.
+
+NULL and NaN values are skipped, NULL groups dropped. These functions run jobs
+(the checkpoints); the frames they return are lazy.
 
 Interpolation: ``linear`` is R type 7 (Spark ``percentile``, DuckDB
 ``quantile_cont``); ``midpoint`` is type 5 (h = n·p + 0.5), the default of
@@ -32,9 +37,13 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import nan_to_null
+from ..session import ensure_checkpoint_dir
+from .keyed import broadcast_fits, row_bytes
+
 
 def _positions(n, p: float, method: str):
     """1-based fractional position h of probability p in n sorted values."""
@@ -49,77 +58,65 @@ def _positions(n, p: float, method: str):
     return lo, hi, h - lo
 
 
-def value_blocks(df: DataFrame, group: str, value: str, checkpoint: bool = True) -> DataFrame:
-    """``(group, value, c, blk)``: distinct non-NULL values with multiplicity,
+def value_blocks(df: DataFrame, group: str, value: str) -> DataFrame:
+    """``(group, value, c, blk)``: distinct values with multiplicity,
     range-partitioned by (group, value); ``blk`` is the partition id, fixed
     by a reliable checkpoint."""
     v = F.col(value)
-    # NULL values are skipped and NULL groups dropped (as in group_mean)
-    vc = (df.select(group, value).filter(v.isNotNull() & F.col(group).isNotNull())
-            .groupBy(group, value).agg(F.count(F.lit(1)).alias("c")))
-    blocks = (vc.repartitionByRange(group, value)
-                .withColumn("blk", F.spark_partition_id()))
-    if not checkpoint:
-        return blocks
-    from ..session import ensure_checkpoint_dir
+    kept = df.select(group, nan_to_null(v.cast("double")).alias(value) if dict(df.dtypes)[value] in ("double", "float")
+                     else v)
+    vc = (kept.filter(v.isNotNull() & F.col(group).isNotNull())
+              .groupBy(group, value).agg(F.count(F.lit(1)).alias("c")))
     ensure_checkpoint_dir(df.sparkSession)
-    return blocks.checkpoint(eager=True)
+    return vc.repartitionByRange(group, value).withColumn("blk", F.spark_partition_id()).checkpoint(eager=True)
+
 
+def _small(df: DataFrame, *cols: str) -> tuple[DataFrame, bool]:
+    """Checkpoint a summary; and whether its measured bytes allow a broadcast."""
+    obs = Observation("summary")
+    df = df.observe(obs, F.sum(row_bytes(*cols)).alias("bytes")).checkpoint(eager=True)
+    return df, broadcast_fits(df.sparkSession, int(obs.get["bytes"] or 0))
 
-def quantiles_from_blocks(blocks: DataFrame, group: str, value: str, probs: Sequence[float],
-                          names: Sequence[str], method: str = "linear") -> DataFrame:
-    """Quantiles per group from ``value_blocks`` output."""
-    from pyspark.sql import Observation
-    per_block = blocks.groupBy("blk", group).agg(F.sum("c").alias("bc"))
+
+def block_summary(blocks: DataFrame, group: str, value: str) -> tuple[DataFrame, bool]:
+    """Per (block, group): rows ``bc``, smallest and largest value, rows of the
+    group in the blocks before (``off``) and in all (``n``). At most #groups +
+    #blocks rows, computed and checkpointed once."""
+    per_block = blocks.groupBy("blk", group).agg(F.sum("c").alias("bc"), F.min(value).alias("least"),
+                                                 F.max(value).alias("most"))
     wg = Window.partitionBy(group).orderBy("blk")
     per_block = per_block.withColumns({
         "off": F.coalesce(F.sum("bc").over(wg.rowsBetween(Window.unboundedPreceding, -1)),
                           F.lit(0)).cast("long"),
         "n": F.sum("bc").over(Window.partitionBy(group)).cast("long"),
     })
-    # the per-block summary (<= #groups + #blocks rows) is checkpointed once;
-    # its exact row count, observed during that write, bounds the target list
-    obs = Observation("per_block_rows")
-    per_block = per_block.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
-    summary_rows = int(obs.get["rows"])
-
-    # wanted ranks: (group, j, side, rank, frac)
-    wanted = []
+    return _small(per_block, "blk", group, "bc", "least", "most", "off", "n")
+
+
+def _maybe_broadcast(df: DataFrame, fits: bool) -> DataFrame:
+    return F.broadcast(df) if fits else df
+
+
+def quantiles_from_blocks(blocks: DataFrame, summary: DataFrame, summary_fits: bool, group: str, value: str,
+                          probs: Sequence[float], names: Sequence[str], method: str = "linear") -> DataFrame:
+    """Quantiles per group from ``value_blocks`` and ``block_summary``."""
+    wanted = []                                       # (j, side, rank, frac)
     for j, p in enumerate(probs):
         lo, hi, frac = _positions(F.col("n"), p, method)
         wanted += [F.struct(F.lit(j).alias("j"), F.lit(0).alias("side"),
                             lo.alias("rank"), frac.alias("frac")),
                    F.struct(F.lit(j).alias("j"), F.lit(1).alias("side"),
                             hi.alias("rank"), frac.alias("frac"))]
-    sizes = per_block.select(group, "n").dropDuplicates([group])
-    targets = sizes.select(group, "n", F.inline(F.array(*wanted)))
-    # locate the block of each wanted rank (both sides small)
-    tb = (targets.join(per_block.select("blk", group, "off", "bc"), on=group)
-                 .filter((F.col("rank") > F.col("off")) &
-                         (F.col("rank") <= F.col("off") + F.col("bc")))
-                 .select("blk", group, "off", "j", "side", "rank", "frac", "n"))
-
-    # Only blocks holding a wanted rank need running counts: at most
-    # 2·len(probs) per group, and #groups <= summary rows. When that bound fits
-    # the broadcast threshold the target list is broadcast, so the value table
-    # is filtered without a shuffle and only the target blocks are shuffled
-    # for the window; otherwise it is a shuffle join.
-    from .keyed import broadcast_fits
-    n_targets = summary_rows * 2 * len(probs)
-    tkeys = tb.select("blk", group, "off").dropDuplicates(["blk", group])
-    tb_hits = tb.drop("off")
-    if broadcast_fits(blocks.sparkSession, n_targets, bytes_per_row=128):
-        tkeys, tb_hits = F.broadcast(tkeys), F.broadcast(tb_hits)
-
+    # each block picks the wanted ranks of its group that lie in it: no join
+    inside = F.filter(F.array(*wanted), lambda w: (w["rank"] > F.col("off")) & (w["rank"] <= F.col("off") + F.col("bc")))
+    targets = summary.withColumn("wanted", inside).filter(F.size("wanted") > 0).select("blk", group, "off", "n", "wanted")
     wb = (Window.partitionBy("blk", group).orderBy(value)
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (blocks.join(tkeys, on=["blk", group])
+    ranked = (blocks.join(_maybe_broadcast(targets, summary_fits), on=["blk", group])
                     .withColumn("r_hi", F.col("off") + F.sum("c").over(wb))
                     .withColumn("r_lo", F.col("r_hi") - F.col("c") + 1))
-    hits = (ranked.join(tb_hits, on=["blk", group])
-                  .filter((F.col("rank") >= F.col("r_lo")) & (F.col("rank") <= F.col("r_hi")))
-                  .select(group, "j", "side", "frac", "n", F.col(value).alias("x")))
-
+    covered = F.filter("wanted", lambda w: (w["rank"] >= F.col("r_lo")) & (w["rank"] <= F.col("r_hi")))
+    hits = ranked.select(group, "n", F.col(value).alias("x"), F.inline(covered))
     aggs = [F.first("n").alias("n")]
     for j, name in enumerate(names):
         x0 = F.max(F.when((F.col("j") == j) & (F.col("side") == 0), F.col("x")))
@@ -130,33 +127,45 @@ def quantiles_from_blocks(blocks: DataFrame, group: str, value: str, probs: Sequ
 
 
 def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float],
-                    names: Sequence[str] | None = None, method: str = "linear",
-                    checkpoint: bool = True) -> DataFrame:
-    """One row per group with the exact quantiles of ``value`` (NULLs
-    skipped) and ``n`` (non-NULL count)."""
+                    names: Sequence[str] | None = None, method: str = "linear") -> DataFrame:
+    """One row per group with the exact quantiles of ``value`` (NULL and NaN
+    skipped) and ``n`` (the values counted)."""
     names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
-    blocks = value_blocks(df, group, value, checkpoint)
-    return quantiles_from_blocks(blocks, group, value, probs, names, method)
+    blocks = value_blocks(df, group, value)
+    summary, fits = block_summary(blocks, group, value)
+    return quantiles_from_blocks(blocks, summary, fits, group, value, probs, names, method)
 
 
 def box_stats(df: DataFrame, group: str, value: str, method: str = "linear",
               whisker: float = 1.5) -> DataFrame:
     """Box-plot statistics per group: quartiles, whiskers (furthest values
     within ``whisker``·IQR of the box) and the number of outliers. The input
-    is read once; whiskers come from the distinct-value table."""
+    is read once; the quartiles are computed and written once."""
     blocks = value_blocks(df, group, value)
-    q = quantiles_from_blocks(blocks, group, value, [0.25, 0.5, 0.75],
+    summary, summary_fits = block_summary(blocks, group, value)
+    q = quantiles_from_blocks(blocks, summary, summary_fits, group, value, [0.25, 0.5, 0.75],
                               ["q1", "median", "q3"], method=method)
     iqr = F.col("q3") - F.col("q1")
-    fences = q.select(group, "n", "q1", "median", "q3",
-                      (F.col("q1") - whisker * iqr).alias("lo_fence"),
-                      (F.col("q3") + whisker * iqr).alias("hi_fence"))
+    fences, fences_fit = _small(q.select(group, "n", "q1", "median", "q3",
+                                         (F.col("q1") - whisker * iqr).alias("lo_fence"),
+                                         (F.col("q3") + whisker * iqr).alias("hi_fence")),
+                                group, "n", "q1", "median", "q3", "lo_fence", "hi_fence")
+    own = _maybe_broadcast(fences.select(group, "lo_fence", "hi_fence"), fences_fit)
+    judged = summary.select("blk", group, "bc", "least", "most").join(own, group)
+    lo, hi = F.col("lo_fence"), F.col("hi_fence")
+    all_in = (F.col("least") >= lo) & (F.col("most") <= hi)
+    all_out = (F.col("most") < lo) | (F.col("least") > hi)
+    none = F.lit(None).cast(blocks.schema[value].dataType)
+    whole = judged.filter(all_in | all_out).select(
+        group, F.when(all_in, F.col("least")).otherwise(none).alias("lower"),
+        F.when(all_in, F.col("most")).otherwise(none).alias("upper"),
+        F.when(all_in, F.lit(0)).otherwise(F.col("bc")).cast("long").alias("out"))
+    cut = judged.filter(~(all_in | all_out)).select("blk", group, "lo_fence", "hi_fence")   # two blocks of a group at most
     v = F.col(value)
-    inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
-    stats = (blocks.join(fences.select(group, "lo_fence", "hi_fence"), on=group)
-               .groupBy(group)
-               .agg(F.min(F.when(inside, v)).alias("lower_whisker"),
-                    F.max(F.when(inside, v)).alias("upper_whisker"),
-                    F.coalesce(F.sum(F.when(~inside, F.col("c"))), F.lit(0))
-                     .cast("long").alias("n_outliers")))
-    return fences.drop("lo_fence", "hi_fence").join(stats, on=group)
+    inside = (v >= lo) & (v <= hi)
+    read_again = blocks.join(_maybe_broadcast(cut, summary_fits and fences_fit), ["blk", group]).groupBy("blk", group).agg(
+        F.min(F.when(inside, v)).alias("lower"), F.max(F.when(inside, v)).alias("upper"),
+        F.coalesce(F.sum(F.when(~inside, F.col("c"))), F.lit(0)).cast("long").alias("out")).drop("blk")
+    stats = whole.unionByName(read_again).groupBy(group).agg(
+        F.min("lower").alias("lower_whisker"), F.max("upper").alias("upper_whisker"), F.sum("out").alias("n_outliers"))
+    return fences.drop("lo_fence", "hi_fence").join(_maybe_broadcast(stats, fences_fit), on=group)

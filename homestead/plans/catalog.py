@@ -17,6 +17,7 @@ from ..operators import extract as E
 from ..operators import frontier as FR
 from ..operators import marts as M
 from ..operators import quantiles as Q
+from ..session import scratch_path
 from ..sources.tables import read_table
 from .gold import silver_to_gold
 from .listings import URL_PREFIX, listing_bronze
@@ -24,6 +25,7 @@ from .silver import bronze_to_silver
 
 LOAD_STAMP = "2026-01-01 02:00:00"
 PRICE_RANGE = (100000.0, 400000.0)
+UNIT_RANGE = (2000.0, 60000.0)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +40,18 @@ def _t(spark, sf_dir, name):
     return read_table(spark, sf_dir, name)
 
 
+def _written(spark, df, name):
+    """A derivation that a query reads more than once, written once."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _report_listings(spark, sf_dir, city=None):
+    """Gold within both report ranges (and one city)."""
+    return M.filter_listings(gold_listings(spark, sf_dir), city=city, price_range=PRICE_RANGE, unit_price_range=UNIT_RANGE)
+
+
 # --- the listings flow ---------------------------------------------------------
 
 def gold_listings(spark, sf_dir) -> DataFrame:
@@ -58,8 +72,8 @@ def listings_gold(spark, sf_dir):
 
 @query
 def report_topk_price(spark, sf_dir):
-    """Headline report: top-15 wards by mean price within a price range."""
-    g = M.filter_listings(gold_listings(spark, sf_dir), price_range=PRICE_RANGE)
+    """Headline report: top-15 wards by mean price within both report ranges."""
+    g = M.filter_listings(gold_listings(spark, sf_dir), price_range=PRICE_RANGE, unit_price_range=UNIT_RANGE)
     return (M.topk_mean(g, "district", "price", alias="mean_price")
             .select("district", F.round("mean_price", 6).alias("mean_price")))
 
@@ -215,7 +229,7 @@ def upsert(spark, sf_dir):
     source = (o.filter(F.col("o_orderdate") >= F.lit(UPSERT_CUTOFF_SOURCE).cast("timestamp_ntz"))
                .withColumns({"o_orderstatus": F.lit("U"),
                              "o_totalprice": F.col("o_totalprice") * 2}))
-    return K.upsert(target, source, ["o_orderkey"])
+    return K.upsert(target, source, ["o_orderkey"], source_unique=True)
 
 
 FRONTIER_SPLIT = "2000-01-01"
@@ -231,6 +245,29 @@ def insert_ignore(spark, sf_dir):
                                      "created_at": F.lit(INSERT_STAMP).cast("timestamp_ntz")})
 
 
+@query
+def insert_ignore_payload(spark, sf_dir):
+    """Unseen lineitem links added with the ship date they bring (of
+    several, the first row by the other columns)."""
+    target = _frontier(spark, sf_dir, until=FRONTIER_SPLIT)
+    new = _t(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit(URL_PREFIX), F.col("l_orderkey").cast("string")).alias("url"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("created_at"))
+    return K.insert_ignore(target, new, ["url"], defaults={"status": F.lit(S.PENDING)})
+
+
+@query
+def upsert_repeated_source(spark, sf_dir):
+    """A source that repeats its keys: the last line of each order
+    replaces or adds the order's price."""
+    target = (_t(spark, sf_dir, "orders")
+              .filter(F.col("o_orderdate") < F.lit(UPSERT_CUTOFF_TARGET).cast("timestamp_ntz"))
+              .select("o_orderkey", F.col("o_totalprice").alias("price")))
+    source = _t(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), F.col("l_extendedprice").alias("price"), "l_linenumber")
+    return K.upsert(target, source, ["o_orderkey"], source_order=[F.col("l_linenumber").desc()])
+
+
 @query
 def insert_ignore_count(spark, sf_dir):
     """How many links an insert-ignore adds."""
@@ -268,42 +305,55 @@ def queue_take(spark, sf_dir):
     return FR.queue_take(_frontier(spark, sf_dir), 10)
 
 
-STATE_BALANCE = 9900.0
-HOT_PRICE = 450000.0
+def _places(spark, sf_dir) -> DataFrame:
+    """Locations: the nations, and the regions, which have no customers of
+    their own and so neither a saved cursor nor links at any scale."""
+    place = lambda t, c: _t(spark, sf_dir, t).select(
+        F.col(c).alias("name"), F.concat(F.lit("https://nha.example/ban-"), F.lower(c)).alias("url"))
+    regions = place("region", "r_name").withColumns({"name": F.concat(F.lit("Region "), "name"),
+                                                     "url": F.concat("url", F.lit("-region"))})
+    return place("nation", "n_name").unionByName(regions)
 
 
-def _nation_locations(spark, sf_dir) -> DataFrame:
-    return _t(spark, sf_dir, "nation").select(
-        F.col("n_name").alias("name"),
-        F.concat(F.lit("https://nha.example/ban-"), F.lower("n_name")).alias("url"))
+def _place_state(spark, sf_dir) -> DataFrame:
+    """Saved cursors: the number of customers in debt per nation."""
+    c = _t(spark, sf_dir, "customer").select("c_nationkey", "c_acctbal")
+    n = _t(spark, sf_dir, "nation")
+    per = c.groupBy("c_nationkey").agg(F.sum((F.col("c_acctbal") < 0).cast("int")).cast("int").alias("current_page"))
+    return per.join(n, per.c_nationkey == n.n_nationkey).select(F.col("n_name").alias("location_name"), "current_page")
 
 
-def _nation_state(spark, sf_dir) -> DataFrame:
-    """Cursor state: count of high-balance customers per nation (absent when 0)."""
-    c = _t(spark, sf_dir, "customer").filter(F.col("c_acctbal") > STATE_BALANCE)
+def _place_links(spark, sf_dir) -> DataFrame:
+    """Links found per nation: its customers' urgent orders."""
+    o = _t(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority")
+    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = _t(spark, sf_dir, "nation")
-    return (c.join(n, c.c_nationkey == n.n_nationkey)
-             .groupBy(F.col("n_name").alias("location_name"))
-             .agg(F.count(F.lit(1)).cast("int").alias("current_page")))
+    per = (o.join(c, o.o_custkey == c.c_custkey).groupBy("c_nationkey")
+            .agg(F.sum((F.col("o_orderpriority") == "1-URGENT").cast("int")).alias("n_links")))
+    return per.join(n, per.c_nationkey == n.n_nationkey).select(F.col("n_name").alias("name"), "n_links")
 
 
 @query
 def state_lookup_default(spark, sf_dir):
     """S7/J4 + X21: cursor page per location (default 1) and its page url."""
-    pages = FR.current_pages(_nation_locations(spark, sf_dir), _nation_state(spark, sf_dir))
+    pages = FR.current_pages(_places(spark, sf_dir), _place_state(spark, sf_dir))
     return FR.page_urls(pages).select("name", "current_page", "page_url")
 
 
 @query
 def cursor_advance(spark, sf_dir):
-    """Next page per location from the links its page produced."""
-    pages = FR.current_pages(_nation_locations(spark, sf_dir), _nation_state(spark, sf_dir))
-    o = _t(spark, sf_dir, "orders").filter(F.col("o_totalprice") > HOT_PRICE)
-    c = _t(spark, sf_dir, "customer")
-    n = _t(spark, sf_dir, "nation")
-    links = (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
-              .groupBy(F.col("n_name").alias("name")).agg(F.count(F.lit(1)).alias("n_links")))
-    return FR.advance_cursor(pages, links)
+    """Next page per location from the links its page produced; a
+    location without links starts again at 1."""
+    pages = FR.current_pages(_places(spark, sf_dir), _place_state(spark, sf_dir))
+    return FR.advance_cursor(pages, _place_links(spark, sf_dir))
+
+
+@query
+def cursor_saved(spark, sf_dir):
+    """The advanced cursors upserted into the saved state."""
+    state = _place_state(spark, sf_dir)
+    advanced = FR.advance_cursor(FR.current_pages(_places(spark, sf_dir), state), _place_links(spark, sf_dir))
+    return FR.save_cursor(state, advanced)
 
 
 MIN_LINKS = 6
@@ -347,7 +397,6 @@ def extract_document(spark, sf_dir):
 # --- report marts over the gold fact (A3–A15, K1–K2, P6–P7) -----------------------------
 
 REPORT_CITY = "ASIA"
-UNIT_RANGE = (2000.0, 60000.0)
 BEDROOMS = (1, 2, 3)
 
 
@@ -410,7 +459,7 @@ def topk_mean_unit(spark, sf_dir):
 @query
 def topk_mean_unit_listings(spark, sf_dir):
     """A12/K2 on the gold fact: top-15 wards by mean unit price."""
-    g = M.filter_listings(gold_listings(spark, sf_dir), price_range=PRICE_RANGE)
+    g = _report_listings(spark, sf_dir)
     return (M.topk_mean(g, "district", "price_per_m2", alias="mean_unit_price")
             .select("district", F.round("mean_unit_price", 6).alias("mean_unit_price")))
 
@@ -426,7 +475,7 @@ def share_two_way(spark, sf_dir):
 @query
 def share_legal_docs(spark, sf_dir):
     """A13 on the gold fact: listings with vs without legal documents."""
-    return M.share_two_way(gold_listings(spark, sf_dir), "has_legal_docs",
+    return M.share_two_way(_report_listings(spark, sf_dir), "has_legal_docs",
                            ("with_docs", "unknown"))
 
 
@@ -452,7 +501,7 @@ def box_stats_midpoint(spark, sf_dir):
 @query
 def box_stats_listings(spark, sf_dir):
     """A14 on the gold fact: price distribution per city."""
-    return _box(gold_listings(spark, sf_dir), "city", "price", "linear")
+    return _box(_report_listings(spark, sf_dir), "city", "price", "linear")
 
 
 def _hist(df, value):
@@ -470,7 +519,7 @@ def histogram_20(spark, sf_dir):
 @query
 def histogram_listings(spark, sf_dir):
     """A15 on the gold fact: price histogram within one city."""
-    return _hist(M.filter_listings(gold_listings(spark, sf_dir), city=REPORT_CITY), "price")
+    return _hist(_written(spark, _report_listings(spark, sf_dir, REPORT_CITY).select("price"), "histogram-price"), "price")
 
 
 @query
@@ -494,7 +543,6 @@ def lookup_projection(spark, sf_dir):
 @query
 def partition_roundtrip(spark, sf_dir):
     """W3 + S3: events written dt-partitioned, read back with partition pruning."""
-    from ..session import scratch_path
     from ..sources.tables import read_partitioned, write_partitioned
     path = scratch_path(spark, "events-by-day")
     ev = _t(spark, sf_dir, "events").withColumn("dt", X.to_day("ts"))
@@ -503,6 +551,15 @@ def partition_roundtrip(spark, sf_dir):
             .select("event_id", "user_id", "event_type", "value", "dt"))
 
 
+@query
+def partition_roundtrip_all(spark, sf_dir):
+    """W3 + S3: the same table read back without bounds."""
+    from ..sources.tables import read_partitioned, write_partitioned
+    path = scratch_path(spark, "events-by-day-all")
+    write_partitioned(_t(spark, sf_dir, "events").withColumn("dt", X.to_day("ts")), path)
+    return read_partitioned(spark, path).select("event_id", "user_id", "event_type", "value", "dt")
+
+
 GOLD_SPLIT = "1997-01-01"
 
 
@@ -510,36 +567,206 @@ GOLD_SPLIT = "1997-01-01"
 def gold_upsert_incremental(spark, sf_dir):
     """W5 on gold: gold of early crawls upserted with gold of later crawls
     equals gold of all crawls."""
-    silver = bronze_to_silver(listing_bronze(spark, sf_dir))
+    silver = _written(spark, bronze_to_silver(listing_bronze(spark, sf_dir)), "silver")
     cut = F.lit(GOLD_SPLIT).cast("timestamp_ntz")
     early = silver_to_gold(silver.filter(F.col("crawled_at") < cut), loaded_at=LOAD_STAMP)
     late = silver_to_gold(silver.filter(F.col("crawled_at") >= cut), loaded_at=LOAD_STAMP)
-    return K.upsert(early, late, [S.GOLD_KEY])
+    return K.upsert(early, _written(spark, late, "gold-late"), [S.GOLD_KEY], source_unique=True)
+
+
+# --- the production path (S1, W1, L1–L7, A2) ---------------------------------------------
+
+def _landed(spark, sf_dir, name) -> str:
+    """Root of a run, with all crawls landed by month under ``bronze``."""
+    from ..sources.bronze import land_bronze
+    root = scratch_path(spark, name)
+    land_bronze(listing_bronze(spark, sf_dir), f"{root}/bronze", granularity="month")
+    return root
 
 
 @query
-def stream_ingest(spark, sf_dir):
-    """Bronze JSON landed by day, ingested by an availableNow stream into
-    silver Parquet; the result equals the batch silver transform."""
-    from ..session import scratch_path
+def etl_gold(spark, sf_dir):
+    """L1: landed bronze -> silver -> published gold."""
+    from ..sources.tables import read_versioned
+    from .etl import run_etl
+    root = _landed(spark, sf_dir, "etl")
+    run_etl(spark, f"{root}/bronze", f"{root}/silver", f"{root}/gold", loaded_at=LOAD_STAMP)
+    return read_versioned(spark, f"{root}/gold").select(*S.GOLD_COLUMNS)
+
+
+LANDINGS = ("2026-01-01", "2026-01-02")
+
+
+def _two_landings(spark, sf_dir) -> str:
+    """A full run over the first landing, then an incremental one over the
+    second: sold lots land late, so the crawl dates of both overlap."""
     from ..sources.bronze import land_bronze
+    from .etl import run_etl
+    root = scratch_path(spark, "etl-incremental")
+    docs = listing_bronze(spark, sf_dir)
+    late = F.element_at("specs", "Pháp lý") == "Hợp đồng mua bán"
+    args = (f"{root}/bronze", f"{root}/silver", f"{root}/gold")
+    land_bronze(docs.filter(~late), f"{root}/bronze", day=LANDINGS[0])
+    run_etl(spark, *args, loaded_at=LOAD_STAMP)
+    land_bronze(docs.filter(late), f"{root}/bronze", day=LANDINGS[1])
+    run_etl(spark, *args, loaded_at=LOAD_STAMP, incremental=True, since=LANDINGS[1])
+    return root
+
+
+@query
+def etl_incremental(spark, sf_dir):
+    """L1: silver after a full and an incremental run with overlapping crawl
+    dates equals a full rebuild."""
+    from ..sources.tables import read_partitioned
+    return read_partitioned(spark, f"{_two_landings(spark, sf_dir)}/silver").select(*S.SILVER_COLUMNS)
+
+
+@query
+def etl_incremental_gold(spark, sf_dir):
+    """L1: and so does gold, although older crawls land later."""
+    from ..sources.tables import read_versioned
+    return read_versioned(spark, f"{_two_landings(spark, sf_dir)}/gold").select(*S.GOLD_COLUMNS)
+
+
+@query
+def stream_ingest(spark, sf_dir):
+    """Bronze JSON, ingested by an availableNow stream into silver
+    Parquet; the result equals the batch silver transform."""
     from ..streaming.ingest import ingest_bronze_stream
-    root = scratch_path(spark, "stream")
-    land_bronze(listing_bronze(spark, sf_dir), f"{root}/bronze", granularity="month")
+    root = _landed(spark, sf_dir, "stream")
     ingest_bronze_stream(spark, f"{root}/bronze", f"{root}/silver", f"{root}/_checkpoint")
     return spark.read.parquet(f"{root}/silver").select(*S.SILVER_COLUMNS)
 
 
 @query
 def stream_dedupe(spark, sf_dir):
-    """The ingest stream with watermark dedupe by url; each listing
-    survives once (which crawl survives is arrival order, so the registered
-    output is the set of urls)."""
-    from ..session import scratch_path
-    from ..sources.bronze import land_bronze
-    from ..streaming.ingest import ingest_bronze_stream
-    root = scratch_path(spark, "stream-dedupe")
-    land_bronze(listing_bronze(spark, sf_dir), f"{root}/bronze", granularity="month")
-    ingest_bronze_stream(spark, f"{root}/bronze", f"{root}/silver", f"{root}/_checkpoint",
-                         dedupe_delay="1 day")
+    """A stream that writes each url once (which crawl comes first is
+    arrival order, so the registered output is the set of urls)."""
+    from ..streaming.ingest import first_per_key_stream
+    root = _landed(spark, sf_dir, "stream-dedupe")
+    first_per_key_stream(spark, f"{root}/bronze", f"{root}/silver", f"{root}/_checkpoint")
     return spark.read.parquet(f"{root}/silver").select("url")
+
+
+# --- extraction from listing markup (H1–H7) and the crawl rounds --------------------------
+
+LISTING_SITE = "https://nha.example"
+
+
+def _orders_with_customer(spark, sf_dir) -> DataFrame:
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+
+
+def listing_pages(spark, sf_dir) -> DataFrame:
+    """One listing page per order: no title element on some, references and
+    comments, tags in capitals, values without quotes, text in two pieces."""
+    spec = E.PageSpec()
+    key = F.col("o_orderkey").cast("string")
+    open_ = lambda sel, close=">": F.lit(f'<{sel[0]} class="x {sel[1]}"{close}')
+
+    def element(sel, *inner):
+        return F.concat(open_(sel), *inner, F.lit(f"</{sel[0]}>"))
+
+    def link(href):
+        return F.concat(open_(spec.link, " href="), href, F.lit(">l</a>"))
+    price = F.concat(F.format_string("%.2f", "o_totalprice"), F.lit(" &lt;tỷ&gt;"))
+    html = F.concat(
+        F.lit("<!DOCTYPE html><html><body><!-- "), link(F.concat(F.lit('"/hidden-'), key, F.lit('"'))), F.lit(" -->"),
+        F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("<p>try again later</p>"))
+         .otherwise(element(spec.title, F.lit(" Căn hộ "), "c_mktsegment", F.lit(" &amp; "), key, F.lit(" "))),
+        element(spec.address_1, F.lit("Số "), key, F.lit(", "), "n_name"),
+        element(spec.address_2, F.lit("(Phường "), "n_name", F.lit(", B mới)")),
+        element(spec.short_item, element(spec.short_label, F.lit("Khoảng giá")), element(spec.short_value, price),
+                F.when(F.col("o_orderstatus") == "F", element(spec.short_ext, F.lit("~"), key, F.lit(" triệu/m²")))
+                 .otherwise(F.lit(""))),
+        element(spec.short_item, element(spec.short_label, F.lit("Không có giá trị"))),
+        element(spec.spec_item, element(spec.spec_label, F.lit("Pháp lý")), element(spec.spec_value, "c_mktsegment")),
+        element(spec.description, F.lit("Mô tả "), key, F.lit("<br><script>var t='<b>';</script> dòng hai ")),
+        link(F.concat(F.lit('"/p'), key, F.lit('?a=1&amp;b=2"'))),
+        F.lit("<A HREF=/up"), key, F.lit(f" CLASS={spec.link[1]}>L</A>"),
+        link(F.concat(F.lit("'https://other.example/"), key, F.lit("'"))),
+        F.lit('<a href="/menu">m</a></body></html>'))
+    return _orders_with_customer(spark, sf_dir).select(
+        F.col("o_orderkey").alias("page_id"), F.concat(F.lit(URL_PREFIX), key).alias("url"), html.alias("html"))
+
+
+@query
+def extract_listing_document(spark, sf_dir):
+    """H2–H5, H7: the bronze document of every listing page with a title."""
+    extracted = E.extract_documents(listing_pages(spark, sf_dir))
+    return E.bronze_from_pages(extracted, crawled_at="2026-01-01 00:00:00").select(
+        "url", "title", "address", "address_line_2", "description", "crawled_at",
+        F.element_at("short_info", "Khoảng giá").alias("price"),
+        F.try_element_at("short_info", F.lit("Khoảng giá(ext)")).alias("price_ext"), F.size("short_info").alias("n_short"),
+        F.element_at("specs", "Pháp lý").alias("legal"), F.size("specs").alias("n_specs"))
+
+
+@query
+def rejected_pages(spark, sf_dir):
+    """H6: the listing pages without the title element."""
+    return E.rejected_pages(E.extract_documents(listing_pages(spark, sf_dir))).select("page_id", "url")
+
+
+@query
+def extract_listing_links(spark, sf_dir):
+    """Class-selected links, built-ins only."""
+    return E.extract_links(listing_pages(spark, sf_dir), domain=LISTING_SITE, cls=E.PageSpec().link[1])
+
+
+@query
+def extract_listing_links_parsed(spark, sf_dir):
+    """H1: the same links as the parser finds them (foreign ones included)."""
+    docs = E.extract_documents(listing_pages(spark, sf_dir))
+    return docs.select("page_id", F.posexplode("links").alias("pos", "href"))
+
+
+def _customer_round(spark, sf_dir):
+    """A link round: every customer is a location (in debt: cursor at page 2),
+    whose page links its urgent open orders; many customers have none."""
+    from .crawl import link_round
+    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    name = F.concat(F.lit("loc-"), F.col("c_custkey").cast("string"))
+    locs = c.select(name.alias("name"), F.concat(F.lit(f"{LISTING_SITE}/"), name).alias("url"))
+    state = c.filter("c_acctbal < 0").select(name.alias("location_name"), F.lit(2).alias("current_page"))
+    listed = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
+    anchors = (_t(spark, sf_dir, "orders").filter(listed).groupBy("o_custkey").agg(F.concat_ws("", F.sort_array(F.collect_list(
+        F.concat(F.lit('<a href="/can-ho-'), F.col("o_orderkey").cast("string"), F.lit('">o</a>'))))).alias("a")))
+    pages = c.join(anchors, c.c_custkey == F.col("o_custkey"), "left").select(
+        F.col("c_custkey").alias("page_id"),
+        F.concat(F.lit(f"{LISTING_SITE}/"), name, F.when(F.col("c_acctbal") < 0, F.lit("/p2")).otherwise(F.lit(""))).alias("url"),
+        F.concat(F.lit("<body>"), F.coalesce("a", F.lit("none")), F.lit("</body>")).alias("html"))
+    return link_round(locs, state, _frontier(spark, sf_dir, until=FRONTIER_SPLIT), pages, LISTING_SITE)
+
+
+@query
+def link_round_frontier(spark, sf_dir):
+    """Entry D, links: the queue after the round."""
+    return _customer_round(spark, sf_dir).frontier.select("url", "status")
+
+
+@query
+def link_round_state(spark, sf_dir):
+    """Entry D, links: the cursors after the round."""
+    return _customer_round(spark, sf_dir).state
+
+
+@query
+def link_round_quarantine(spark, sf_dir):
+    """Entry D, links: pages without links."""
+    return _customer_round(spark, sf_dir).quarantine
+
+
+DETAIL_TAKE = 1000
+
+
+@query
+def detail_round(spark, sf_dir):
+    """Entry D, details: the queue after the oldest pending urls' pages were
+    extracted and landed; pages without a title stay pending."""
+    from .crawl import run_detail_round
+    root = scratch_path(spark, "detail-bronze")
+    return run_detail_round(_frontier(spark, sf_dir), listing_pages(spark, sf_dir), DETAIL_TAKE, f"{root}/bronze",
+                            crawled_at="2026-01-01 00:00:00").frontier

@@ -13,9 +13,18 @@ from ..functions import text as X
 from ..operators.keyed import any_per_key, latest_per_key
 
 
+#: The silver columns that gold is made of, in silver's order.
+GOLD_INPUT = [c for c in S.SILVER_COLUMNS if c not in (
+    "address_line_2", "description", "price_raw", "price_per_m2_raw", "area_raw", "bedrooms_raw",
+    "posted_date_str", "expired_date_str")]
+
+
 def dedupe_listings(silver: DataFrame, latest: bool = True) -> DataFrame:
-    """One row per url. ``latest=True``: newest ``crawled_at`` wins, ties
-    broken by the other columns (deterministic); else an arbitrary row."""
+    """One row per url, with the columns gold is made of. ``latest=True``:
+    newest ``crawled_at`` wins, ties broken by those columns (rows equal there
+    give equal gold rows); else an arbitrary row. Only these columns are read,
+    sorted and shuffled: the scan never touches descriptions or raw texts."""
+    silver = silver.select(*GOLD_INPUT)
     if not latest:
         return any_per_key(silver, [S.GOLD_KEY])
     return latest_per_key(silver, [S.GOLD_KEY],

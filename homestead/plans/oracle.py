@@ -15,7 +15,7 @@ ORACLE["report_topk_price"] = f"""
 WITH gold AS ({GOLD_SQL})
 SELECT district, round(avg(price), 6) AS mean_price
 FROM gold
-WHERE price IS NOT NULL AND price BETWEEN 100000.0 AND 400000.0 AND district IS NOT NULL
+WHERE price BETWEEN 100000.0 AND 400000.0 AND price_per_m2 BETWEEN 2000.0 AND 60000.0 AND district IS NOT NULL
 GROUP BY district
 ORDER BY avg(price) DESC NULLS LAST, district ASC NULLS FIRST
 LIMIT 15
@@ -144,6 +144,23 @@ SELECT url, 'pending' AS status, TIMESTAMP '2026-01-01 00:00:00' AS created_at
 FROM n WHERE url NOT IN (SELECT url FROM t)
 """
 
+ORACLE["insert_ignore_payload"] = f"""
+WITH t AS ({FRONTIER_SQL} WHERE o_orderdate < TIMESTAMP '2000-01-01'),
+n AS (SELECT {URL} || CAST(l_orderkey AS VARCHAR) AS url, min(l_shipdate) AS created_at FROM lineitem GROUP BY l_orderkey)
+SELECT * FROM t
+UNION ALL
+SELECT url, 'pending' AS status, CAST(created_at AS TIMESTAMP) AS created_at
+FROM n WHERE url NOT IN (SELECT url FROM t)
+"""
+
+ORACLE["upsert_repeated_source"] = """
+WITH t AS (SELECT o_orderkey, o_totalprice AS price FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+s AS (SELECT l_orderkey AS o_orderkey, l_extendedprice AS price FROM lineitem
+      QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_extendedprice ASC) = 1)
+SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey)
+UNION ALL SELECT * FROM s
+"""
+
 ORACLE["insert_ignore_count"] = f"""
 WITH t AS ({FRONTIER_SQL} WHERE o_orderdate < TIMESTAMP '2000-01-01'),
 n AS (SELECT DISTINCT {URL} || CAST(l_orderkey AS VARCHAR) AS url FROM lineitem)
@@ -172,36 +189,38 @@ SELECT * FROM ({FRONTIER_SQL}) WHERE status = 'pending'
 ORDER BY created_at ASC NULLS LAST, url ASC NULLS LAST LIMIT 10
 """
 
-NATION_STATE_SQL = """
-SELECT n_name AS location_name, CAST(count(*) AS INTEGER) AS current_page
-FROM customer JOIN nation ON c_nationkey = n_nationkey
-WHERE c_acctbal > 9900.0 GROUP BY n_name
+PLACE_STATE_SQL = """
+SELECT n_name AS location_name, CAST(sum(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END) AS INTEGER) AS current_page
+FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name
 """
 
-NATION_PAGES_SQL = f"""
-SELECT n_name AS name, 'https://nha.example/ban-' || lower(n_name) AS url,
-       CAST(coalesce(s.current_page, 1) AS INTEGER) AS current_page
-FROM nation LEFT JOIN ({NATION_STATE_SQL}) s ON s.location_name = n_name
+PLACE_PAGES_SQL = f"""
+SELECT p.name, p.url, CAST(coalesce(s.current_page, 1) AS INTEGER) AS current_page
+FROM (SELECT n_name AS name, 'https://nha.example/ban-' || lower(n_name) AS url FROM nation
+      UNION ALL
+      SELECT 'Region ' || r_name, 'https://nha.example/ban-' || lower(r_name) || '-region' FROM region) p
+LEFT JOIN ({PLACE_STATE_SQL}) s ON s.location_name = p.name
 """
 
 ORACLE["state_lookup_default"] = f"""
 SELECT name, current_page,
        CASE WHEN current_page > 1 THEN url || '/p' || CAST(current_page AS VARCHAR) ELSE url END AS page_url
-FROM ({NATION_PAGES_SQL})
+FROM ({PLACE_PAGES_SQL})
 """
 
 ORACLE["cursor_advance"] = f"""
 WITH l AS (
-  SELECT n_name AS name, count(*) AS n_links
-  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-  WHERE o_totalprice > 450000.0 GROUP BY n_name
+  SELECT n_name AS name, sum(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS n_links
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name
 )
 SELECT p.name AS location_name,
        CAST(CASE WHEN coalesce(l.n_links, 0) > 0 THEN p.current_page + 1 ELSE 1 END AS INTEGER) AS current_page,
        CAST(coalesce(l.n_links, 0) AS BIGINT) AS n_links
-FROM ({NATION_PAGES_SQL}) p LEFT JOIN l ON l.name = p.name
+FROM ({PLACE_PAGES_SQL}) p LEFT JOIN l ON l.name = p.name
 """
 
+ORACLE["cursor_saved"] = f"SELECT location_name, current_page FROM ({ORACLE['cursor_advance']})"
+
 ANCHORS = r"""regexp_extract_all(html, '<a\s[^>]*>', 0)"""
 HREFS = ("list_filter(list_transform(" + ANCHORS +
          r""", lambda t: regexp_extract(t, '\shref\s*=\s*["'']([^"'']*)["'']', 1)), lambda h: h <> '')""")
@@ -280,7 +299,7 @@ LIMIT 15
 
 ORACLE["topk_mean_unit_listings"] = f"""{GOLD}
 SELECT district, round(avg(price_per_m2), 6) AS mean_unit_price
-FROM gold WHERE price IS NOT NULL AND price BETWEEN 100000.0 AND 400000.0 AND district IS NOT NULL
+FROM gold WHERE {FILTERED} AND district IS NOT NULL
 GROUP BY district ORDER BY avg(price_per_m2) DESC NULLS LAST, district ASC NULLS FIRST LIMIT 15
 """
 
@@ -291,9 +310,9 @@ SELECT 'other', CAST(count(*) - sum(CASE WHEN event_type = 'purchase' THEN 1 ELS
 """
 
 ORACLE["share_legal_docs"] = f"""{GOLD}
-SELECT 'with_docs' AS label, CAST(coalesce(sum(has_legal_docs), 0) AS BIGINT) AS n_rows FROM gold
+SELECT 'with_docs' AS label, CAST(coalesce(sum(has_legal_docs), 0) AS BIGINT) AS n_rows FROM gold WHERE {FILTERED}
 UNION ALL
-SELECT 'unknown', CAST(count(*) - coalesce(sum(has_legal_docs), 0) AS BIGINT) FROM gold
+SELECT 'unknown', CAST(count(*) - coalesce(sum(has_legal_docs), 0) AS BIGINT) FROM gold WHERE {FILTERED}
 """
 
 
@@ -352,7 +371,7 @@ ORACLE["box_stats"] = _box_sql("SELECT event_type, value FROM events", "event_ty
                                _quartiles_type7("event_type", "value"))
 ORACLE["box_stats_midpoint"] = _box_sql("SELECT event_type, value FROM events", "event_type", "value",
                                         _quartiles_type5("event_type", "value"))
-ORACLE["box_stats_listings"] = _box_sql(f"{GOLD} SELECT city, price FROM gold", "city", "price",
+ORACLE["box_stats_listings"] = _box_sql(f"{GOLD} SELECT city, price FROM gold WHERE {FILTERED}", "city", "price",
                                         _quartiles_type7("city", "price"))
 
 
@@ -373,7 +392,7 @@ FROM x GROUP BY bin, lo, hi
 
 
 ORACLE["histogram_20"] = _hist_sql("SELECT value FROM events", "value")
-ORACLE["histogram_listings"] = _hist_sql(f"{GOLD} SELECT price FROM gold WHERE city = 'ASIA'", "price")
+ORACLE["histogram_listings"] = _hist_sql(f"{GOLD} SELECT price FROM gold WHERE city = 'ASIA' AND {FILTERED}", "price")
 
 ORACLE["scatter_projection"] = f"""{GOLD}
 SELECT area_m2, price, city, title, district, price_per_m2 FROM gold WHERE {FILTERED}
@@ -389,8 +408,18 @@ SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS dt FROM events
 WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'
 """
 
+ORACLE["partition_roundtrip_all"] = """
+SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS dt FROM events
+"""
+
 ORACLE["gold_upsert_incremental"] = GOLD_SQL
 
+ORACLE["etl_gold"] = GOLD_SQL
+
+ORACLE["etl_incremental"] = SILVER_SQL
+
+ORACLE["etl_incremental_gold"] = GOLD_SQL
+
 ORACLE["stream_ingest"] = SILVER_SQL
 
 ORACLE["stream_dedupe"] = f"WITH silver AS ({SILVER_SQL}) SELECT DISTINCT url FROM silver"
@@ -414,3 +443,73 @@ SELECT page_id,
   CAST(len(hs) AS INTEGER) AS n_links
 FROM t
 """
+
+# --- listing markup: stated from the columns that the pages are made of ---------
+
+LISTING = """
+SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority, c_mktsegment, n_name,
+       CAST(o_orderkey AS VARCHAR) AS k
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+"""
+
+ORACLE["extract_listing_document"] = f"""
+SELECT {URL} || k AS url, 'Căn hộ ' || c_mktsegment || ' & ' || k AS title,
+       'Số ' || k || ', ' || n_name AS address, 'Phường ' || n_name || ', B mới' AS address_line_2,
+       'Mô tả ' || k || chr(10) || 'dòng hai' AS description, '2026-01-01T00:00:00.000000' AS crawled_at,
+       printf('%.2f', o_totalprice) || ' <tỷ>' AS price,
+       CASE WHEN o_orderstatus = 'F' THEN '~' || k || ' triệu/m²' END AS price_ext,
+       CAST(CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END AS INTEGER) AS n_short,
+       c_mktsegment AS legal, CAST(1 AS INTEGER) AS n_specs
+FROM ({LISTING}) WHERE o_orderpriority <> '4-NOT SPECIFIED'
+"""
+
+ORACLE["rejected_pages"] = f"""
+SELECT o_orderkey AS page_id, {URL} || k AS url FROM ({LISTING}) WHERE o_orderpriority = '4-NOT SPECIFIED'
+"""
+
+ORACLE["extract_listing_links"] = f"""
+SELECT o_orderkey AS page_id, CAST(0 AS INTEGER) AS pos, 'https://nha.example/p' || k || '?a=1&b=2' AS link FROM ({LISTING})
+UNION ALL
+SELECT o_orderkey, CAST(1 AS INTEGER), 'https://nha.example/up' || k FROM ({LISTING})
+"""
+
+ORACLE["extract_listing_links_parsed"] = f"""
+SELECT o_orderkey AS page_id, CAST(0 AS INTEGER) AS pos, '/p' || k || '?a=1&b=2' AS href FROM ({LISTING})
+UNION ALL
+SELECT o_orderkey, CAST(1 AS INTEGER), '/up' || k FROM ({LISTING})
+UNION ALL
+SELECT o_orderkey, CAST(2 AS INTEGER), 'https://other.example/' || k FROM ({LISTING})
+"""
+
+ON_PAGE = "o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'"
+
+ORACLE["link_round_frontier"] = f"""
+WITH t AS ({FRONTIER_SQL} WHERE o_orderdate < TIMESTAMP '2000-01-01')
+SELECT url, status FROM t
+UNION ALL
+SELECT {URL} || CAST(o_orderkey AS VARCHAR), 'pending' FROM orders
+WHERE {ON_PAGE} AND NOT (o_orderdate < TIMESTAMP '2000-01-01')
+"""
+
+ORACLE["link_round_state"] = f"""
+SELECT 'loc-' || CAST(c_custkey AS VARCHAR) AS location_name,
+       CAST(CASE WHEN o.n IS NULL THEN 1 WHEN c_acctbal < 0 THEN 3 ELSE 2 END AS INTEGER) AS current_page
+FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders WHERE {ON_PAGE} GROUP BY o_custkey) o
+  ON o.o_custkey = c_custkey
+"""
+
+ORACLE["link_round_quarantine"] = f"""
+SELECT c_custkey AS page_id,
+       'https://nha.example/loc-' || CAST(c_custkey AS VARCHAR) || CASE WHEN c_acctbal < 0 THEN '/p2' ELSE '' END AS url,
+       'loc-' || CAST(c_custkey AS VARCHAR) AS name, CAST(0 AS BIGINT) AS n_links
+FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE {ON_PAGE} AND o_custkey IS NOT NULL)
+"""
+
+ORACLE["detail_round"] = f"""
+WITH f AS ({FRONTIER_SQL}),
+take AS (SELECT url FROM f WHERE status = 'pending' ORDER BY created_at ASC NULLS LAST, url ASC NULLS LAST LIMIT 1000),
+landed AS (SELECT url FROM take SEMI JOIN
+           (SELECT {URL} || k AS url FROM ({LISTING}) WHERE o_orderpriority <> '4-NOT SPECIFIED') USING (url))
+SELECT f.url, CASE WHEN l.url IS NOT NULL THEN 'crawled' ELSE f.status END AS status, f.created_at
+FROM f LEFT JOIN landed l ON l.url = f.url
+"""

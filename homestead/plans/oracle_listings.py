@@ -68,10 +68,7 @@ WITH silver AS (""" + SILVER_SQL + r"""),
 latest AS (
   SELECT * FROM silver
   QUALIFY row_number() OVER (PARTITION BY url ORDER BY crawled_at DESC NULLS LAST,
-     title ASC NULLS FIRST, address ASC NULLS FIRST, address_line_2 ASC NULLS FIRST,
-     description ASC NULLS FIRST, price_raw ASC NULLS FIRST, price_per_m2_raw ASC NULLS FIRST,
-     area_raw ASC NULLS FIRST, bedrooms_raw ASC NULLS FIRST, posted_date_str ASC NULLS FIRST,
-     expired_date_str ASC NULLS FIRST, specs_bedrooms_raw ASC NULLS FIRST,
+     title ASC NULLS FIRST, address ASC NULLS FIRST, specs_bedrooms_raw ASC NULLS FIRST,
      house_direction ASC NULLS FIRST, legal_status ASC NULLS FIRST, district ASC NULLS FIRST,
      city ASC NULLS FIRST, price ASC NULLS FIRST, area_m2 ASC NULLS FIRST,
      price_per_m2 ASC NULLS FIRST, posted_date ASC NULLS FIRST, dt ASC NULLS FIRST) = 1

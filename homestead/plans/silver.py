@@ -15,7 +15,7 @@ from ..functions import predicates as P
 from ..functions import text as X
 
 
-def bronze_columns(bronze: DataFrame) -> DataFrame:
+def bronze_columns(bronze: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed projection of the bronze document (map fields pulled out)."""
     cols = [F.col(c) for c in ("url", "title", "address", "address_line_2", "description")]
     cols.append(X.parse_timestamp("crawled_at").alias("crawled_at"))
@@ -23,12 +23,13 @@ def bronze_columns(bronze: DataFrame) -> DataFrame:
         cols.append(X.struct_or_map_field(bronze, "short_info", key).alias(name))
     for key, name in S.SPECS_FIELDS.items():
         cols.append(X.struct_or_map_field(bronze, "specs", key).alias(name))
-    return bronze.select(*cols)
+    return bronze.select(*cols, *keep)
 
 
-def bronze_to_silver(bronze: DataFrame) -> DataFrame:
-    """Cleaned, typed silver rows; partition column ``dt`` from ``crawled_at``."""
-    df = bronze_columns(bronze)
+def bronze_to_silver(bronze: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Cleaned, typed silver rows; partition column ``dt`` from ``crawled_at``.
+    Bronze columns named in ``keep`` are carried along."""
+    df = bronze_columns(bronze, keep)
     df = df.filter(P.not_blank("title") & P.min_parts("address_line_2", 2))
     df = df.withColumns({
         "district": X.strip_district_prefix(X.part("address_line_2", 1)),
@@ -42,4 +43,4 @@ def bronze_to_silver(bronze: DataFrame) -> DataFrame:
         "posted_date": X.parse_date("posted_date_str"),
         "dt": X.to_day("crawled_at"),
     })
-    return df.select(*S.SILVER_COLUMNS)
+    return df.select(*S.SILVER_COLUMNS, *keep)

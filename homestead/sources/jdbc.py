@@ -32,8 +32,11 @@ def read_jdbc(spark: SparkSession, url: str, table: str, props: dict,
 
 def write_staging(df: DataFrame, url: str, table: str, props: dict,
                   num_partitions: int = 8, batch_size: int = 10000) -> None:
-    (df.coalesce(num_partitions).write
+    # the writer limits the connections itself, by a shuffle-free coalesce only
+    # where there are more partitions; a rebalance keeps the stage before it wide
+    (df.hint("rebalance").write
        .option("batchsize", batch_size)
+       .option("numPartitions", num_partitions)
        .jdbc(url, table, mode="overwrite", properties=props))
 
 
@@ -54,7 +57,9 @@ def execute(spark: SparkSession, url: str, props: dict, statements: Sequence[str
         if k != "driver":
             jprops.setProperty(k, str(v))
     if "driver" in props:
-        jvm.java.lang.Class.forName(props["driver"])
+        # a driver that came with --packages is known to Spark's class loader
+        # only; Spark's own registry wraps it for DriverManager
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(props["driver"])
     conn = jvm.java.sql.DriverManager.getConnection(url, jprops)
     try:
         conn.setAutoCommit(False)

@@ -6,11 +6,18 @@ table goes to a new version directory ``<root>/v=<n>``; Spark's commit
 protocol writes ``_SUCCESS`` last, and readers take the highest committed
 version. A job that dies mid-write leaves an uncommitted directory that no
 reader picks, so a rerun is safe.
+
+A keyed table is laid out in a fixed number of hash buckets of its key
+(``v=<n>/bucket=<i>of<m>``). A version then holds only the buckets it rewrote,
+and the table is the newest committed copy of each bucket: an upsert of a
+small batch rewrites the buckets that the batch touches, not the table.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Iterable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +46,7 @@ def _as_date(v):
     return _dt.date.fromisoformat(str(v))
 
 
-def write_partitioned(df: DataFrame, path: str, part_col: str = "dt",
+def write_partitioned(df: DataFrame, path: str, part_col: str | tuple[str, ...] = "dt",
                       dynamic: bool = False, cluster_by_partition: bool = True) -> None:
     """Overwrite a partitioned Parquet table.
 
@@ -51,11 +58,12 @@ def write_partitioned(df: DataFrame, path: str, part_col: str = "dt",
     holds a large share of the rows over several writers and merges small
     dates, so a hot date never lands in one task.
     """
-    out = df.hint("rebalance", part_col) if cluster_by_partition else df
+    cols = (part_col,) if isinstance(part_col, str) else part_col
+    out = df.hint("rebalance", *cols) if cluster_by_partition else df
     mode = "dynamic" if dynamic else "static"
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
-        .partitionBy(part_col).parquet(path))
+        .partitionBy(*cols).parquet(path))
 
 
 # --- versioned tables -------------------------------------------------------
@@ -85,48 +93,99 @@ def committed_versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(out)
 
 
-def current_version_path(spark: SparkSession, root: str) -> str | None:
-    vs = committed_versions(spark, root)
-    return f"{root.rstrip('/')}/v={vs[-1]}" if vs else None
+def _bucket_dirs(spark: SparkSession, version_path: str) -> dict[str, str]:
+    """``{bucket name: path}`` of one version; empty for a table without buckets."""
+    fs, hpath, _ = _fs(spark, version_path)
+    return {st.getPath().getName()[7:]: st.getPath().toString() for st in fs.listStatus(hpath)
+            if st.isDirectory() and st.getPath().getName().startswith("bucket=")}
+
+
+def bucket_of(key: str, n_buckets: int):
+    """Name of a row's bucket, e.g. ``0007of0064``; the count is part of the
+    name, so a table cannot be read or extended with another one."""
+    return F.format_string(f"%04dof{n_buckets:04d}", F.pmod(F.xxhash64(key), F.lit(n_buckets)))
+
 
+def current_paths(spark: SparkSession, root: str, buckets: Iterable[str] | None = None) -> list[str]:
+    """Directories that make up the current table: the newest committed copy
+    of each bucket (of ``buckets`` only, if given), or the newest version."""
+    base, wanted = root.rstrip("/"), None if buckets is None else set(buckets)
+    found: dict[str, str] = {}
+    for v in reversed(committed_versions(spark, root)):
+        dirs = _bucket_dirs(spark, f"{base}/v={v}")
+        if not dirs and not found:
+            return [f"{base}/v={v}"]                   # a table without buckets
+        for name, path in dirs.items():
+            found.setdefault(name, path)
+    return [p for name, p in sorted(found.items()) if wanted is None or name in wanted]
 
-def read_versioned(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
-    """Latest committed version, or an empty frame of ``schema`` / None."""
-    p = current_version_path(spark, root)
-    if p is None:
+
+def read_versioned(spark: SparkSession, root: str, schema=None,
+                   buckets: Iterable[str] | None = None) -> DataFrame | None:
+    """The current table (of ``buckets`` only, if given); an empty frame of
+    ``schema``, or None, when there is none."""
+    paths = current_paths(spark, root, buckets)
+    if not paths:
         return spark.createDataFrame([], schema) if schema is not None else None
-    return spark.read.parquet(p)
+    return spark.read.parquet(*paths)
+
+
+class PublishConflict(RuntimeError):
+    """Another run is publishing the same version (or died while it did)."""
+
+
+@contextmanager
+def _claimed_version(spark: SparkSession, root: str):
+    """The next version number, claimed with a marker file: of two publishers
+    that start from the same version, one fails instead of losing the other's
+    rows. A run that was killed leaves its marker; remove it to go on."""
+    vs = committed_versions(spark, root)
+    n = vs[-1] + 1 if vs else 1
+    marker = f"{root.rstrip('/')}/_publishing-{n}"
+    fs, hpath, _ = _fs(spark, marker)
+    if not fs.createNewFile(hpath):
+        raise PublishConflict(f"{marker} exists: another run is publishing version {n}, or died while publishing it")
+    try:
+        if n in committed_versions(spark, root):
+            raise PublishConflict(f"version {n} of {root} has been published meanwhile")
+        yield n
+    finally:
+        fs.delete(hpath, False)
 
 
 def publish_version(df: DataFrame, root: str, partition_by: str | None = None) -> str:
     """Write ``df`` as the next version of ``root`` and return its path."""
-    spark = df.sparkSession
-    vs = committed_versions(spark, root)
-    path = f"{root.rstrip('/')}/v={(vs[-1] + 1) if vs else 1}"
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+    with _claimed_version(df.sparkSession, root) as n:
+        path = f"{root.rstrip('/')}/v={n}"
+        w = df.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(partition_by)
+        w.parquet(path)
     return path
 
 
-def spread(df: DataFrame, min_partitions: int | None = None, key: str | None = None) -> DataFrame:
-    """Round-robin an under-split input over the cluster's cores before
-    CPU-heavy per-row work (regex, formatting, HTML parsing).
+def publish_buckets(df: DataFrame, root: str, key: str, n_buckets: int, keep: int = 2) -> str:
+    """Write whole buckets (every row of each bucket that ``df`` has rows in)
+    as the next version; then drop bucket copies that ``keep`` newer committed
+    copies supersede."""
+    spark = df.sparkSession
+    path = publish_version(df.withColumn("bucket", bucket_of(key, n_buckets)).hint("rebalance", "bucket"), root, "bucket")
+    remove_superseded(spark, root, keep)
+    return path
 
-    A file written as one huge row group is scanned by a single task; at
-    scale, inputs are thousands of splits and this is a no-op (no shuffle is
-    added when the scan already has at least ``min_partitions`` splits,
-    default ``defaultParallelism``). With ``key`` the rows are hash-partitioned
-    on it (no pre-sort, and a later join on that key can reuse the
-    partitioning); without it, round-robin (Spark sorts each partition first
-    so that a retried task reproduces the same split).
-    """
-    try:
-        sc = df.sparkSession.sparkContext
-        target = min_partitions or sc.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # no RDD view (e.g. a Connect session): leave the plan alone
-        return df
-    return df.repartition(target, key) if key else df.repartition(target)
+
+def remove_superseded(spark: SparkSession, root: str, keep: int) -> int:
+    """Delete each bucket copy with ``keep`` or more newer committed copies
+    (``keep`` 1: only the current table stays); returns how many went."""
+    if keep < 1:
+        raise ValueError("keep must be 1 or more")
+    newer: dict[str, int] = {}
+    gone = 0
+    for v in reversed(committed_versions(spark, root)):
+        for name, path in _bucket_dirs(spark, f"{root.rstrip('/')}/v={v}").items():
+            newer[name] = newer.get(name, 0) + 1
+            if newer[name] > keep:
+                fs, hpath, _ = _fs(spark, path)
+                fs.delete(hpath, True)
+                gone += 1
+    return gone

@@ -4,7 +4,14 @@
 the same silver transform as the batch job, and commits the Parquet output
 and the source offsets together (exactly-once file sink). With
 ``trigger(availableNow=True)`` a scheduled run processes everything that has
-landed since the last run and stops; a rerun with nothing new adds nothing.
+landed since the last run in bounded micro-batches and stops; a rerun with
+nothing new adds nothing.
+
+Silver keeps every crawl, in whatever order files arrive: latest-wins dedupe
+belongs to gold. Where a stream must emit each key once, ``first_per_key_stream``
+compares every micro-batch with what has been written, so no row is lost to a
+watermark and no state grows in the executors. Corrupt lines go to a
+quarantine table.
 """
 
 from __future__ import annotations
@@ -13,44 +20,65 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..operators.keyed import one_per_key
 from ..plans.silver import bronze_to_silver
+from ..sources.bronze import corrupt_rows
+
+#: Files of one micro-batch, and writer tasks of one date in it.
+MAX_FILES = 1000
+WRITERS_PER_DATE = 8
 
 
-def bronze_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    r = (spark.readStream.schema(S.BRONZE_SCHEMA)
-         .option("mode", "PERMISSIVE")
-         .option("columnNameOfCorruptRecord", "_corrupt_record"))
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.json(root)
+def bronze_stream(spark: SparkSession, root: str, max_files_per_trigger: int = MAX_FILES) -> DataFrame:
+    return (spark.readStream.schema(S.BRONZE_SCHEMA)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_corrupt_record")
+            .option("maxFilesPerTrigger", max_files_per_trigger)
+            .json(root))
 
 
-def dedupe_within_watermark(silver: DataFrame, delay: str = "1 day",
-                            key: str = S.GOLD_KEY) -> DataFrame:
-    """Drop repeats of a url that arrive within ``delay`` of each other
-    (event time ``crawled_at``). State is bounded by the watermark; the first
-    arrival wins, so gold still applies latest-wins dedupe. Watermarks need a
-    zoned TIMESTAMP, so the event time is a cast of the zone-less crawled_at."""
-    et = "__event_time"
-    return (silver.withColumn(et, F.col("crawled_at").cast("timestamp"))
-                  .withWatermark(et, delay).dropDuplicatesWithinWatermark([key])
-                  .drop(et))
+def _run(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
 
 
 def ingest_bronze_stream(spark: SparkSession, bronze_root: str, silver_path: str,
-                         checkpoint: str, dedupe_delay: str | None = None,
-                         max_files_per_trigger: int | None = None) -> None:
-    """Run one availableNow pass of bronze -> silver and wait for it."""
-    silver = bronze_to_silver(bronze_stream(spark, bronze_root, max_files_per_trigger))
-    if dedupe_delay:
-        silver = dedupe_within_watermark(silver, dedupe_delay)
-    # one writer task per date per micro-batch instead of one file per task per
-    # date; a micro-batch is bounded (maxFilesPerTrigger), so is each writer
-    q = (silver.repartition("dt").writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint)
-         .partitionBy("dt")
-         .trigger(availableNow=True)
-         .start(silver_path))
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+                         checkpoint: str, max_files_per_trigger: int = MAX_FILES,
+                         writers_per_date: int = WRITERS_PER_DATE, quarantine: str | None = None) -> None:
+    """Run one availableNow pass of bronze -> silver and wait for it. With
+    ``quarantine``, a second pass over the same files keeps the corrupt lines."""
+    def raw():
+        return bronze_stream(spark, bronze_root, max_files_per_trigger)
+    silver = bronze_to_silver(raw().filter(F.col("_corrupt_record").isNull()))
+    # few writers per date and micro-batch, and a hot date is shared by several
+    spread = silver.repartition("dt", F.pmod(F.xxhash64(S.GOLD_KEY), F.lit(writers_per_date)))
+    _run(spread.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+         .partitionBy("dt").trigger(availableNow=True).start(silver_path))
+    if quarantine is not None:
+        _run(corrupt_rows(raw()).writeStream.format("parquet")
+             .option("checkpointLocation", f"{checkpoint.rstrip('/')}_quarantine")
+             .trigger(availableNow=True).start(quarantine))
+
+
+def first_per_key_stream(spark: SparkSession, bronze_root: str, out_path: str, checkpoint: str,
+                         key: str = S.GOLD_KEY, max_files_per_trigger: int = MAX_FILES) -> None:
+    """One availableNow pass that writes each key's first arrival once (of one
+    micro-batch, one deterministic row per key). A retried micro-batch
+    overwrites its own ``batch`` directory."""
+    def write(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        new = one_per_key(batch, [key])
+        try:
+            before = session.read.parquet(out_path).filter(F.col("batch") < number).select(key)
+        except Exception as exc:
+            if "PATH_NOT_FOUND" not in str(exc):
+                raise
+            before = None
+        if before is not None:
+            new = new.join(before, key, "left_anti")
+        new.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={number}")
+    silver = bronze_to_silver(bronze_stream(spark, bronze_root, max_files_per_trigger)
+                              .filter(F.col("_corrupt_record").isNull()))
+    _run(silver.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())

@@ -2,10 +2,9 @@
 
 import datetime as dt
 
-
 from homestead import schemas as S
 from homestead.operators import frontier as FR
-from homestead.plans.crawl import detail_round, link_round
+from homestead.plans.crawl import link_round, run_detail_round
 
 DOMAIN = "https://site.example"
 LISTING = '<div><a class="L" href="/can-ho-{a}">a</a><a class="L" href="{d}/can-ho-{b}">b</a>' \
@@ -36,7 +35,7 @@ def test_link_round(spark):
     assert nxt[names[0]].endswith("/p4") and nxt[names[1]] == DOMAIN + FR.LOCATIONS[1][1]
 
 
-def test_detail_round(spark):
+def test_detail_round(spark, tmp_path):
     frontier = spark.createDataFrame([
         (f"{DOMAIN}/a", "pending", dt.datetime(2026, 1, 1)),
         (f"{DOMAIN}/b", "pending", dt.datetime(2026, 1, 2)),
@@ -46,7 +45,7 @@ def test_detail_round(spark):
     pages = spark.createDataFrame([
         (1, f"{DOMAIN}/a", good), (2, f"{DOMAIN}/b", "<p>blocked</p>"), (3, f"{DOMAIN}/c", good),
     ], S.PAGES_SCHEMA)
-    r = detail_round(frontier, pages, n=2, crawled_at="2026-05-01 10:00:00")
+    r = run_detail_round(frontier, pages, 2, f"{tmp_path}/bronze", crawled_at="2026-05-01 10:00:00")
     assert [x.url for x in r.bronze.collect()] == [f"{DOMAIN}/a"]
     assert r.bronze.first().address_line_2 == "Phường A, HN"
     assert [x.url for x in r.rejected.collect()] == [f"{DOMAIN}/b"]
@@ -54,13 +53,13 @@ def test_detail_round(spark):
     assert st == {f"{DOMAIN}/a": "crawled", f"{DOMAIN}/b": "pending", f"{DOMAIN}/c": "pending"}
 
 
-def test_detail_round_is_idempotent(spark):
+def test_detail_round_is_idempotent(spark, tmp_path):
     """The queue has no claim step: a url taken twice must not change the
     outcome (keyed status update, keyed gold upsert)."""
     frontier = spark.createDataFrame([(f"{DOMAIN}/a", "pending", dt.datetime(2026, 1, 1))], S.FRONTIER_SCHEMA)
     good = '<h1 class="re__pr-title">Căn hộ</h1>'
     pages = spark.createDataFrame([(1, f"{DOMAIN}/a", good)], S.PAGES_SCHEMA)
-    once = detail_round(frontier, pages, n=1, crawled_at="2026-05-01 10:00:00").frontier
+    once = run_detail_round(frontier, pages, 1, f"{tmp_path}/bronze", crawled_at="2026-05-01 10:00:00").frontier
     from homestead.operators.frontier import mark_crawled
     twice = mark_crawled(once, spark.createDataFrame([(f"{DOMAIN}/a",)], "url string"))
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))

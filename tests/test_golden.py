@@ -138,3 +138,18 @@ def test_page_url_and_cursor(spark):
 def test_range_filter_drops_null(spark):
     df = spark.createDataFrame([(1.0,), (None,), (5.0,)], "x double")
     assert df.filter(P.in_range("x", 0, 10)).count() == 2
+
+
+def test_class_selected_heading_and_links(spark):
+    from homestead.operators import extract as E
+    page = ('<h1 class="re__pr-title">Can ho A</h1><h1 class="a re__pr-title b">B</h1><!-- <a href="/no">x</a> -->'
+            '<A HREF=/up class=k>u</A><a class="k m" href="/q?a=1&amp;b=2">q</a><a class="km" href=\'/z\'>z</a>'
+            '<script>"<a href=/s>"</script>')
+    df = spark.createDataFrame([(page,)], "html string")
+    got = df.select(E.first_tag_text("html", "h1", "re__pr-title").alias("t"), E.first_tag_text("html", "h1").alias("u"),
+                    E.first_tag_text("html", "h1", "pr-title").alias("v"),
+                    E.anchor_hrefs("html").alias("all"), E.anchor_hrefs("html", "k").alias("k")).first()
+    assert (got.t, got.u, got.v) == ("Can ho A", "Can ho A", "")
+    assert got["all"] == ["/up", "/q?a=1&b=2", "/z"] and got.k == ["/up", "/q?a=1&b=2"]
+    parsed = E.extract_page(page, E.PageSpec(link=("a", "k")))
+    assert parsed["links"] == got.k and parsed["title"] == "Can ho A"

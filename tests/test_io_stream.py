@@ -14,7 +14,7 @@ from homestead.operators import extract as E
 from homestead.plans.etl import EmptySourceError, run_etl, run_silver_to_gold
 from homestead.sources.bronze import corrupt_rows, land_bronze, read_bronze
 from homestead.sources.tables import committed_versions, read_partitioned, read_versioned, write_partitioned
-from homestead.streaming.ingest import ingest_bronze_stream
+from homestead.streaming.ingest import first_per_key_stream, ingest_bronze_stream
 
 DOC = {"url": "https://site.example/can-ho-a-pr1", "title": "Căn hộ A",
        "address": "12/3, Khu Đô Thị Xanh, Phường Long Bình",
@@ -72,6 +72,8 @@ def test_bronze_scan_and_silver_gold_golden(spark):
     e = rows["https://site.example/e-pr5"]
     assert e.price is None and e.num_bedrooms is None and e.has_legal_docs == 0 and e.city == "Đà Nẵng"
     assert counts.gold_rows == 2
+    bad = spark.read.parquet(f"{root}/silver_quarantine").collect()
+    assert [(r._corrupt_record, str(r.load)) for r in bad] == [("{nope", "2026-05-01")]
     # second run with the same silver: upsert is idempotent, a new version is published
     c2 = run_silver_to_gold(spark, f"{root}/silver", f"{root}/gold", loaded_at="2026-06-02 02:00:00")
     assert c2.gold_rows == 2 and committed_versions(spark, f"{root}/gold") == [1, 2]
@@ -181,13 +183,41 @@ def test_stream_equals_batch_and_rerun_adds_nothing(spark):
     assert sorted(map(tuple, stream.collect()), key=repr) == sorted(map(tuple, batch.collect()), key=repr)
 
 
-def test_stream_dedupe_within_watermark(spark):
+def _out_of_order_files(root):
+    """Four files: urls a, b, a, c; their dates out of order; one corrupt line."""
+    for i, (name, when) in enumerate((("a", "2026-05-20T10:00:00"), ("b", "2026-05-21T10:00:00"),
+                                      ("a", "2026-05-22T10:00:00"), ("c", "2026-05-01T10:00:00"))):
+        write_docs(f"{root}/bronze", f"2026-06-0{i + 1}", [dict(DOC, url=f"https://site.example/{name}", crawled_at=when)],
+                   extra_lines=["{nope"] if i == 1 else ())
+
+
+@pytest.mark.parametrize("files", [1, 1000])
+def test_streams_lose_nothing_whatever_the_batch_size(spark, files):
     root = scratch()
-    day1, day2 = bronze_docs()
-    write_docs(f"{root}/bronze", "2026-05-01", day1 + day2)
-    ingest_bronze_stream(spark, f"{root}/bronze", f"{root}/silver", f"{root}/ck", dedupe_delay="2 days")
-    urls = [r.url for r in spark.read.parquet(f"{root}/silver").collect()]
-    assert sorted(urls) == sorted(set(urls)) and len(urls) == 2
+    _out_of_order_files(root)
+    first_per_key_stream(spark, f"{root}/bronze", f"{root}/once", f"{root}/ck1", max_files_per_trigger=files)
+    urls = sorted(r.url[-1] for r in spark.read.parquet(f"{root}/once").collect())
+    assert urls == ["a", "b", "c"]
+    ingest_bronze_stream(spark, f"{root}/bronze", f"{root}/silver", f"{root}/ck2", max_files_per_trigger=files,
+                         quarantine=f"{root}/bad")
+    assert sorted(r.url[-1] for r in spark.read.parquet(f"{root}/silver").collect()) == ["a", "a", "b", "c"]
+    assert [r._corrupt_record for r in spark.read.parquet(f"{root}/bad").collect()] == ["{nope"]
+    first_per_key_stream(spark, f"{root}/bronze", f"{root}/once", f"{root}/ck1", max_files_per_trigger=files)
+    assert spark.read.parquet(f"{root}/once").count() == 3
+
+
+@pytest.mark.parametrize("name", ["stream_ingest", "stream_dedupe"])
+def test_registered_streams_in_small_batches(spark, monkeypatch, name):
+    from homestead.plans.catalog import QUERIES
+    from homestead.plans.oracle import ORACLE
+    from homestead.streaming import ingest
+    from parity import compare, duck
+    for f in (ingest.ingest_bronze_stream, ingest.first_per_key_stream):
+        d = list(f.__defaults__)
+        monkeypatch.setattr(f, "__defaults__", tuple(20 if x == ingest.MAX_FILES else x for x in d))
+    sf = "/root/testdata/sf0.001"
+    res = compare(QUERIES[name](spark, sf), duck(sf), ORACLE[name])
+    assert res["values_match"], res
 
 
 def test_landed_json_keeps_non_ascii(spark):
@@ -201,9 +231,9 @@ def test_landed_json_keeps_non_ascii(spark):
     assert os.path.isdir(f"{root}/b/dt=2026-05-01")
 
 
-def test_incremental_run_replaces_only_new_dates(spark):
-    """Daily incremental run: silver keeps earlier dates (dynamic overwrite),
-    gold reads only the new dates (partition pruning) and upserts them."""
+def test_incremental_run_adds_new_landings(spark):
+    """Daily incremental run: silver keeps earlier landings, gold reads only
+    what the new ones touch and upserts it."""
     root = scratch()
     day1, day2 = bronze_docs()
     write_docs(f"{root}/bronze1", "2026-05-01", day1)
@@ -234,3 +264,83 @@ def test_daily_gold_merge_streams_gold_through_broadcast_anti_join(spark):
     plan.merged.write.format("noop").mode("overwrite").save()
     phys = plan.merged._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in phys and "LeftAnti" in phys and "SortMergeJoin" not in phys
+
+
+def test_late_document_joins_its_date_and_keeps_newer_gold(spark):
+    root = scratch()
+    args = (f"{root}/bronze", f"{root}/silver", f"{root}/gold")
+    day1, day2 = bronze_docs()
+    write_docs(f"{root}/bronze", "2026-05-02", day1 + day2)
+    run_etl(spark, *args, loaded_at="2026-06-01 02:00:00")
+    late = [dict(DOC, crawled_at="2026-05-01T23:59:59", short_info=dict(DOC["short_info"], **{"Khoảng giá": "9,9 tỷ"})),
+            dict(DOC, url="https://site.example/z", crawled_at="2026-05-01T23:59:59")]
+    write_docs(f"{root}/bronze", "2026-05-03", late)
+    for _ in range(2):                                     # a rerun replaces its own rows
+        run_etl(spark, *args, loaded_at="2026-06-02 02:00:00", incremental=True, since="2026-05-03")
+        silver = read_partitioned(spark, f"{root}/silver")
+        assert silver.count() == 5 and silver.filter("dt = date'2026-05-01'").count() == 4
+        gold = {r.url: r for r in read_versioned(spark, f"{root}/gold").collect()}
+        assert len(gold) == 3 and gold[DOC["url"]].price == 3.7 and str(gold[DOC["url"]].dt) == "2026-05-02"
+    full = scratch()
+    run_etl(spark, args[0], f"{full}/silver", f"{full}/gold", loaded_at="2026-06-01 02:00:00")
+    one, two = (sorted(map(str, read_partitioned(spark, f"{r}/silver").select(*S.SILVER_COLUMNS).collect())) for r in (root, full))
+    assert one == two
+
+
+def test_corrupt_only_input_keeps_silver(spark):
+    root = scratch()
+    day1, _ = bronze_docs()
+    write_docs(f"{root}/bronze", "2026-05-01", day1)
+    run_etl(spark, f"{root}/bronze", f"{root}/silver", f"{root}/gold", loaded_at="2026-06-01 02:00:00")
+    before = read_partitioned(spark, f"{root}/silver").count()
+    write_docs(f"{root}/bad", "2026-05-02", [], extra_lines=["{nope"])
+    write_docs(f"{root}/unfit", "2026-05-02", [dict(DOC, title=" ")])
+    for source in ("bad", "unfit"):
+        with pytest.raises(EmptySourceError):
+            run_etl(spark, f"{root}/{source}", f"{root}/silver", f"{root}/gold")
+        assert read_partitioned(spark, f"{root}/silver").count() == before
+    assert spark.read.parquet(f"{root}/silver_quarantine").count() == 1
+
+
+def test_null_url_never_reaches_gold(spark):
+    root = scratch()
+    write_docs(f"{root}/bronze", "2026-05-01", [DOC, dict(DOC, url=None)])
+    for _ in range(2):
+        run_etl(spark, f"{root}/bronze", f"{root}/silver", f"{root}/gold", loaded_at="2026-06-01 02:00:00")
+        assert [r.url for r in read_versioned(spark, f"{root}/gold").collect()] == [DOC["url"]]
+
+
+def test_upsert_of_one_url_rewrites_one_bucket(spark):
+    from homestead.sources.tables import PublishConflict, publish_buckets
+    root = scratch()
+    docs = [dict(DOC, url=f"https://site.example/{i}") for i in range(200)]
+    write_docs(f"{root}/bronze", "2026-05-01", docs)
+    args = (f"{root}/bronze", f"{root}/silver", f"{root}/gold")
+    run_etl(spark, *args, loaded_at="2026-06-01 02:00:00")
+    assert len([d for d in os.listdir(f"{root}/gold/v=1") if d.startswith("bucket=")]) > 50
+    write_docs(f"{root}/bronze", "2026-05-02", [dict(DOC, url="https://site.example/7", crawled_at="2026-05-02T00:00:00")])
+    c = run_etl(spark, *args, loaded_at="2026-06-02 02:00:00", incremental=True, since="2026-05-02")
+    assert len([d for d in os.listdir(f"{root}/gold/v=2") if d.startswith("bucket=")]) == 1 and c.gold_rows == 200
+    new = {r.url: str(r.dt) for r in read_versioned(spark, f"{root}/gold").collect()}
+    assert len(new) == 200 and [u for u, d in new.items() if d == "2026-05-02"] == ["https://site.example/7"]
+    for day in (3, 4):                                     # superseded copies go, the newest two stay
+        write_docs(f"{root}/bronze", f"2026-05-0{day}", [dict(DOC, url="https://site.example/7", crawled_at=f"2026-05-0{day}T00:00:00")])
+        run_etl(spark, *args, loaded_at="2026-06-02 02:00:00", incremental=True, since=f"2026-05-0{day}")
+    name = [d for d in os.listdir(f"{root}/gold/v=4") if d.startswith("bucket=")][0]
+    assert [os.path.isdir(f"{root}/gold/v={v}/{name}") for v in (1, 2, 3, 4)] == [False, False, True, True]
+    assert read_versioned(spark, f"{root}/gold").count() == 200
+    open(f"{root}/gold/_publishing-5", "w").close()
+    with pytest.raises(PublishConflict):
+        publish_buckets(read_versioned(spark, f"{root}/gold"), f"{root}/gold", "url", 64)
+    assert committed_versions(spark, f"{root}/gold") == [1, 2, 3, 4]
+
+
+def test_gold_scan_is_pruned(spark):
+    from homestead.plans.gold import silver_to_gold
+    root = scratch()
+    day1, _ = bronze_docs()
+    write_docs(f"{root}/bronze", "2026-05-01", day1)
+    run_etl(spark, f"{root}/bronze", f"{root}/silver", f"{root}/gold", loaded_at="2026-06-01 02:00:00")
+    plan = silver_to_gold(read_partitioned(spark, f"{root}/silver"))._jdf.queryExecution().executedPlan().toString()
+    schema = plan[plan.index("ReadSchema"):]
+    assert "title" in schema and "description" not in schema and "price_raw" not in schema

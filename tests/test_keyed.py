@@ -88,7 +88,7 @@ def test_broadcast_fits_checks_threshold(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
-        assert K.broadcast_fits(spark, 1000) and not K.broadcast_fits(spark, 10_000_000)
+        assert K.broadcast_fits(spark, 1000) and not K.broadcast_fits(spark, 10_485_761)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         assert not K.broadcast_fits(spark, 1)
     finally:
@@ -112,3 +112,16 @@ def test_null_keys_are_never_written(spark):
     assert rows(out) == [("a", "crawled"), ("b", "pending")]
     src = spark.createDataFrame([(None, "x"), ("a", "new")], "url string, status string")
     assert rows(K.upsert(t, src, ["url"])) == [("a", "new")]
+
+
+def test_insert_ignore_keeps_payload_and_one_survivor(spark):
+    t = spark.createDataFrame([("a", "x", "old")], "k string, p string, s string")
+    new = spark.createDataFrame([("a", "y"), ("b", "q"), ("b", "p"), (None, "z")], "k string, p string")
+    out = K.insert_ignore(t, new, ["k"], defaults={"s": F.lit("new"), "p": F.lit("default")})
+    assert rows(out) == [("a", "x", "old"), ("b", "p", "new")]
+
+
+def test_upsert_reduces_a_repeated_key_without_an_order(spark):
+    t = spark.createDataFrame([("a", 1)], "k string, v int")
+    s = spark.createDataFrame([("b", 5), ("b", 4), (None, 3), ("a", 2), ("a", 2)], "k string, v int")
+    assert rows(K.upsert(t, s, "k")) == [("a", 2), ("b", 4)]

@@ -81,3 +81,43 @@ def test_share_sums_to_total(spark):
     df = spark.createDataFrame([(1,), (0,), (1,), (None,)], "f int")
     got = {r.label: r.n_rows for r in M.share_two_way(df, "f").collect()}
     assert got == {"flagged": 2, "rest": 2}
+
+
+def test_nan_counts_as_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("a", v) for v in (1.0, 2.0, 3.0, 4.0, nan, None)], "g string, v double")
+    r = Q.box_stats(df, "g", "v").first()
+    assert (r.n, r.q1, r.q3, r.n_outliers, r.upper_whisker) == (4, 1.75, 3.25, 0, 4.0)
+    assert M.bounds(df, ["v"]).first() == (1.0, 4.0)
+    assert sum(x.n_rows for x in M.histogram(df, "v", 20).collect()) == 4
+
+
+def test_box_stats_of_a_hot_group_over_many_blocks(spark):
+    rnd = np.random.default_rng(11)
+    hot = np.concatenate([rnd.normal(0, 10, 30000), rnd.normal(0, 400, 300)])
+    rows = [("hot", float(x)) for x in hot] + [("cold", float(x)) for x in rnd.normal(5, 1, 200)]
+    got = {r.g: r for r in Q.box_stats(spark.createDataFrame(rows, "g string, v double").repartition(9), "g", "v").collect()}
+    for g in ("hot", "cold"):
+        x = np.array([v for k, v in rows if k == g])
+        q1, q3 = np.quantile(x, [.25, .75])
+        inside = x[(x >= q1 - 1.5 * (q3 - q1)) & (x <= q3 + 1.5 * (q3 - q1))]
+        assert (got[g].lower_whisker, got[g].upper_whisker, got[g].n_outliers) == (inside.min(), inside.max(), len(x) - len(inside))
+
+
+def test_value_table_is_never_shuffled_on_the_group(spark):
+    import re
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k in old:
+        spark.conf.set(k, "-1")
+    try:
+        out = Q.box_stats(spark.read.parquet("/root/testdata/sf0.001/events.parquet"), "event_type", "value")
+        out.write.format("noop").mode("overwrite").save()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    final = plan.split("== Initial Plan ==")[0]
+    assert len(re.findall(r"\bExchange ", final)) <= 8
+    for line in final.splitlines():
+        if "Exchange hashpartitioning(event_type" in line:
+            assert "blk" in line or "value" not in line
