@@ -57,7 +57,7 @@ TOP, BOT, TOP_SHIFT = U64(1 << 48), U64(1 << 40), U64(48)
 FLAG_BITS, ID_BITS = U64(16), U64(24)
 FLAG_TOTAL, ID_TOTAL = 1 << 16, 1 << 24
 LEVELS = 16                                     # confidence levels
-HASH1, HASH2, HASH3 = U64(0x9E3779B1), U64(0x85EBCA6B), U64(0x9E3779B97F4A7C15)
+HASH1, HASH2 = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 HASH_SHIFT = U64(64 - ORDER2_BITS)
 
 
@@ -66,16 +66,25 @@ class BlockError(ValueError):
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """squash: -2047..2047 (1/256 nats) -> 12-bit probability; stretch: its inverse."""
-    squash = np.array([round(4096 / (1 + math.exp(-x / 256))) for x in range(-2047, 2048)])
-    squash = np.clip(squash, 1, 4095).astype(np.int32)
-    stretch = (np.searchsorted(squash, np.arange(4096)) - 2047).clip(-2047, 2047).astype(np.int32)
-    return squash, stretch
+    """squash: 1/256 nats -> 12-bit probability, at index nats + REACH, for any
+    sum that the bounded weights can give; stretch: its inverse."""
+    half = np.array([round(4096 / (1 + math.exp(-x / 256))) for x in range(-2047, 2048)])
+    half = np.clip(half, 1, 4095).astype(np.int32)
+    stretch = (np.searchsorted(half, np.arange(4096)) - 2047).clip(-2047, 2047).astype(np.int32)
+    return half[np.clip(np.arange(-REACH, REACH + 1), -2047, 2047) + 2047], stretch
 
 
+WEIGHT_MOST = 1 << 18                           # 1/65536
+REACH = 3 * 2048 * (WEIGHT_MOST >> 16)
 SQUASH, STRETCH = _tables()
 
 
+def _hashes(n: int, seed: int) -> np.ndarray:
+    """A fixed 64-bit hash of each id (an odd multiple, mixed once)."""
+    x = (np.arange(n, dtype=U64) + U64(1)) * U64(seed)
+    return (x ^ x >> U64(29)) * U64(0x9E3779B97F4A7C15)
+
+
 class _Model:
     """What coder and decoder know before each step. Tables by context change
     after every step; weights, confidence rates and order-0 frequencies after
@@ -85,6 +94,7 @@ class _Model:
         self.alphabet = alphabet
         self.slot2 = np.zeros(1 << ORDER2_BITS, np.int32)   # candidate << 4 | confidence
         self.slot1 = np.zeros(alphabet + 1, np.int32)
+        self.hash1, self.hash2 = _hashes(alphabet + 1, HASH1), _hashes(alphabet + 1, HASH2)
         self.count = np.zeros(alphabet, np.int64)
         self.fresh_ids: list[np.ndarray] = []
         self.hits = np.ones((3, LEVELS), np.int64)          # order-2, order-1 beside it, order-1 alone
@@ -109,13 +119,13 @@ class _Model:
         freq = 1 + self.count * spare // total if total else np.full(self.alphabet, ID_TOTAL // self.alphabet)
         freq[0] += ID_TOTAL - int(freq.sum())
         self.freq = freq.astype(U64)
-        self.cum = np.zeros(self.alphabet + 1, U64)
-        np.cumsum(self.freq, out=self.cum[1:])
+        self.cum = np.zeros(self.alphabet + 1, np.int32)    # up to 2^24
+        np.cumsum(freq, out=self.cum[1:])
         self.odds = STRETCH[np.clip(freq >> 12, 1, 4095)]   # order-0 prediction of each id
 
     def predict(self, c1: np.ndarray, c2: np.ndarray) -> None:
         """Candidates and their code shares for contexts (c2, c1)."""
-        self.h = ((c1.astype(U64) * HASH1 + c2.astype(U64) * HASH2) * HASH3 >> HASH_SHIFT).view(np.int64)
+        self.h = (self.hash1[c1] + self.hash2[c2] >> HASH_SHIFT).view(np.int64)
         self.c1 = c1
         slot2, slot1 = self.slot2[self.h], self.slot1[c1]
         self.a, self.b = slot2 >> 4, slot1 >> 4
@@ -126,13 +136,12 @@ class _Model:
         xa0, xb0 = self.odds[self.a], self.odds[self.b]
         (s2, s1, s0), (d2, _, d0), (b1, _, b0) = self.w
         mixed = np.where(same, xa2 * s2 + xa1 * s1 + xa0 * s0, xa2 * d2 + xa0 * d0) >> 16
-        self.pa = SQUASH[np.clip(mixed, -2047, 2047) + 2047]
-        self.pb = SQUASH[np.clip((xb * b1 + xb0 * b0) >> 16, -2047, 2047) + 2047]
+        self.pa = SQUASH[mixed + REACH]
+        self.pb = SQUASH[(xb * b1 + xb0 * b0 >> 16) + REACH]
         self.inputs = xa2, xa1, xa0, xb, xb0
         fa = self.pa << 4
         self.fa = fa.astype(U64)
-        fb = np.maximum((FLAG_TOTAL - fa) * self.pb >> 12, 1)
-        fb[same] = 0
+        fb = np.maximum((FLAG_TOTAL - fa) * self.pb >> 12, 1) * ~same
         self.edge = (fa + fb).astype(U64)
 
     def update(self, ids: np.ndarray) -> None:
@@ -161,7 +170,7 @@ class _Model:
             for k, x in enumerate(inputs):
                 if x is not None:
                     new = self.w[row][k] + int((e * x).sum()) // (n * 256)
-                    self.w[row][k] = max(-(1 << 18), min(1 << 18, new))
+                    self.w[row][k] = max(-WEIGHT_MOST, min(WEIGHT_MOST, new))
         for row, level, hit, mask in ((0, self.la, hit_a, None), (1, self.lb, hit_a, same), (2, self.lb, hit_b, rest)):
             lv, hv = (level, hit) if mask is None else (level[mask], hit[mask])
             self.tries[row] += np.bincount(lv, minlength=LEVELS)
@@ -222,7 +231,7 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[np.ndarray, np.ndarray]:
         if len(at):
             y = x[at]
             r = rng[at] >> ID_BITS
-            lo = low[at] + model.cum[y] * r
+            lo = low[at] + model.cum[y].astype(U64) * r
             r = model.freq[y] * r
             low[at], rng[at] = lo, r
             settle(at, lo, r)
@@ -282,9 +291,9 @@ def decode_ids(n: int, lanes: int, alphabet: int, words: np.ndarray, payload: np
         if len(at):
             r = rng[at] >> ID_BITS
             value = np.minimum((code[at] - low[at]) // r, U64(ID_TOTAL - 1))
-            y = np.searchsorted(model.cum, value, side="right") - 1
+            y = np.searchsorted(model.cum, value.astype(np.int32), side="right") - 1
             x[at] = y
-            lo = low[at] + model.cum[y] * r
+            lo = low[at] + model.cum[y].astype(U64) * r
             r = model.freq[y] * r
             low[at], rng[at] = lo, r
             settle(at, lo, r)
@@ -331,39 +340,47 @@ def read_block(block: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
 class WordEncoder:
     """The tokenizer library behind a memory of white-space-free chunks: the
     pre-tokenizer never joins across white space, so the ids of a text are
-    those of its chunks end to end. New chunks are encoded in one call, with
-    the library's own separator token between them."""
+    those of its chunks end to end. Chunks of letters alone are one pre-token
+    each, whose last id carries the word-end mark; many of them go to the
+    library as one text and are told apart by that mark."""
 
-    SEPARATOR = "<|endoftext|>"
+    WORD_END = "</w>"
 
-    def __init__(self, path: str, entries: int = 600_000) -> None:
+    def __init__(self, path: str, entries: int = 1_000_000) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.alphabet = self.tokenizer.get_vocab_size()
-        self.separator = self.tokenizer.token_to_id(self.SEPARATOR)
+        self.is_end = np.zeros(self.alphabet, bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.is_end[i] = token.endswith(self.WORD_END)
         self.entries = entries
         self.cache: dict[bytes, bytes] = {}
 
+    def _library(self, texts_: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts_, add_special_tokens=False)]
+
     def _learn(self, words: list[bytes]) -> None:
         """Ids of new chunks. A chunk that ends in a letter and one mark is
         the letter's chunk and the mark: they are pre-tokens of their own."""
         cache = self.cache
-        new = [w for w in words if b"<|" not in w]
-        stems = [w[:-1] if w[-1:] in (b",", b".") and w[-2:-1].isalpha() else w for w in new]
-        plain = list({w for w in chain(stems, (b",", b".")) if w not in cache})
-        if self.separator is not None and plain:
-            ids = np.array(self.tokenizer.encode(self.SEPARATOR.join([w.decode() for w in plain]),
-                                                 add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(ids == self.separator)
-            raw = ids.tobytes()
-            if len(cuts) == len(plain) - 1:
-                for w, a, b in zip(plain, [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(raw)]):
-                    cache[w] = raw[a:b]
-        for w, stem in zip(new, stems):
-            if stem is not w and stem in cache:
-                cache[w] = cache[stem] + cache[w[-1:]]
-        for w in words:
+        stems = [w[:-1] if w[-1:] in (b",", b".") and w[-2:-1].isalpha() and b"<|" not in w else w for w in words]
+        letters, others = [], []
+        for w in {*stems, b",", b"."}:
             if w not in cache:
-                cache[w] = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+                (letters if w.decode().isalpha() else others).append(w)
+        groups = [letters[i:i + 1000] for i in range(0, len(letters), 1000)]
+        for group, ids in zip(groups, self._library([b" ".join(g).decode() for g in groups])):
+            cuts = np.flatnonzero(self.is_end[ids]) + 1
+            if len(cuts) != len(group) or cuts[-1] != len(ids):
+                others += group                                  # a letter that falls apart when normalised
+                continue
+            raw, cuts = ids.tobytes(), (4 * cuts).tolist()
+            for w, a, b in zip(group, [0, *cuts], cuts):
+                cache[w] = raw[a:b]
+        for w, ids in zip(others, self._library([w.decode() for w in others])):
+            cache[w] = ids.tobytes()
+        for w, stem in zip(words, stems):
+            if stem is not w:
+                cache[w] = cache[stem] + cache[w[-1:]]
 
     def encode_all(self, batch: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian u32."""
