@@ -7,8 +7,10 @@ price and by mean unit price, scatter rows, legal-docs share, the price
 distribution (box statistics per city when all cities are shown, a 20-bin
 histogram for a single city) and the lookup table.
 
-Every table is a lazy DataFrame; only the bounds (one row) are collected, to
-turn "no range chosen" into the data's own min/max as the source did.
+The tables are lazy DataFrames, but for two jobs that run while the report is
+built: the bounds (one row) are collected, to turn "no range chosen" into the
+data's own min/max as the source did, and box statistics checkpoint their value
+table.
 """
 
 from __future__ import annotations
