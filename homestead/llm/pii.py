@@ -115,7 +115,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 DIGIT = re.compile(r"[0-9]")
-SPELLED = re.compile(r"\bat\b|\(at\)|\[at\]")
+#: The part of a spelled-out address from "at" on; the name before it is found from there.
+SPELLED = re.compile(r"(?: ?\[at\] ?| ?\(at\) ?| at )[A-Za-z0-9-]{1,63}"
+                     r"(?:(?: ?\[dot\] ?| ?\(dot\) ?| dot |\.)[A-Za-z0-9-]{2,63}){1,4}(?!\w)")
+NAME_MOST = 64
 
 
 def _valid(kind: int, span: str) -> int:
@@ -146,8 +149,12 @@ def candidates(text: str, base: list[tuple[int, int, int]]):
     """Base spans and loose ones as (kind, start, end, is_base, votes, shape)."""
     raw = [(kind, a, b, True) for a, kind, b in base]
     digits = DIGIT.search(text) is not None
-    if SPELLED.search(text):
-        raw += [(0, m.start(), m.end(), False) for m in LOOSE["email"].finditer(text)]
+    for m in SPELLED.finditer(text):
+        a = m.start()
+        while a > 0 and text[a - 1] in EMAIL_LEFT and m.start() - a < NAME_MOST:
+            a -= 1
+        if a < m.start() and text[a].isalnum() and (a == 0 or not (text[a - 1].isalnum() or text[a - 1] == "_")):
+            raw.append((0, a, m.end(), False))
     if digits:
         raw += [(k, m.start(), m.end(), False) for k, name in ((1, "ip"), (2, "card"), (3, "phone"))
                 for m in LOOSE[name].finditer(text)]
