@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from . import bpe, decontam, html_main, idcoder, pii, ppm, quality, sharding, simhash, toxicity
 from .common import read, remainder, texts
+from .oracle import ORACLE  # noqa: F401
 
 QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
