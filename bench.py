@@ -66,7 +66,9 @@ def main() -> None:
                                  # keep the driver's status store small over ~60 query runs
                                  "spark.sql.ui.retainedExecutions": "20",
                                  "spark.ui.retainedJobs": "50",
-                                 "spark.ui.retainedStages": "50"})
+                                 "spark.ui.retainedStages": "50",
+                                 # thousands of tiny daily partitions: list them in few tasks
+                                 "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(cpus)})
 
     def settle() -> None:
         """Between queries: drop cached data and let the driver JVM collect,
