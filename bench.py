@@ -116,6 +116,8 @@ def main() -> None:
         "spark": spark.version,
     }
     print(json.dumps(out))
+    from homestead.session import remove_scratch
+    remove_scratch(spark)
     spark.stop()
 
 

@@ -73,10 +73,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _work_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/homestead-work/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a work table under the shared checkpoint folder."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/homestead-work/{name}-{os.getpid()}-{os.urandom(4).hex()}"
+    return f"{_work_root(spark)}/{name}-{os.urandom(6).hex()}"
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Delete this application's work tables, once nothing reads them any
+    more (DataFrames returned by operators may). Checkpoints go with Spark's
+    own cleaner where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_work_root(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(path, True))
 
 
 _SHIPPED: set = set()

@@ -13,10 +13,11 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from homestead.session import build_session
+    from homestead.session import build_session, remove_scratch
     s = build_session("local[4]", app="homestead-tests", shuffle_partitions=8,
                       extra={"spark.sql.sources.parallelPartitionDiscovery.parallelism": "8"})
     yield s
+    remove_scratch(s)
     s.stop()
 
 
