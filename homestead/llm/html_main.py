@@ -15,8 +15,8 @@
 Paragraph-like elements inside the marked article are text, not templates:
 articles may quote the same line on many pages.
 
-The parsed blocks are a work table, so pages are parsed once; hashes and counts
-are the only rows shuffled by host, pre-aggregated in the map tasks.
+Hashes and counts are the only rows shuffled by host, pre-aggregated in the map
+tasks; the hashes are a work table, so the count and its use read the same rows.
 
 Cases: null or empty html gives an empty text; null urls and urls without a
 host share one host; malformed markup is read leniently (unknown, unclosed and
@@ -32,6 +32,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -195,56 +196,87 @@ def parse(page: str | None) -> tuple[list[tuple[str, int, list[int]]], list[int]
     return blocks, hashes, xxhash.xxh64_intdigest("\x1e".join(text))
 
 
+#: Compressed bytes of a batch: a few times as much html.
+PACKED_BYTES = 4 << 20
+
+
 @dataclass(frozen=True)
 class Params:
     min_pages: int = 5
     min_share: float = 0.02
 
 
-def parsed_pages(pages: DataFrame) -> DataFrame:
-    """``row, page_id, url, host, signature, hashes, blocks``, one row a page."""
-    signed = lambda x: x - (1 << 64) if x >> 63 else x
-    kind = pa.list_(pa.struct([("text", pa.string()), ("place", pa.int32()), ("around", pa.list_(pa.int64()))]))
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _rows(pages: DataFrame) -> DataFrame:
+    """``row, page_id, url, html``: the pages with a number of their own (the
+    same files give the same splits and so the same numbers)."""
+    return pages.select(F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("long").alias("page_id"),
+                        F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
 
+
+def subtrees(pages: DataFrame) -> DataFrame:
+    """``row, host, signature, hashes``, one row a page: no text."""
     def run(batches):
         for whole in batches:
             for b in small_batches(whole, "html"):
                 got = [parse(t) for t in b.column("html").to_pylist()]
-                hashes = [[signed(h) for h in hs] for _, hs, _ in got]
-                blocks = [[{"text": t, "place": p, "around": [hs[i] for i in around]} for t, p, around in bl if p >= 0]
-                          for (bl, _, _), hs in zip(got, hashes)]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("row"), b.column("page_id"), b.column("url"),
-                     pa.array([signed(s) for _, _, s in got], pa.int64()),
-                     pa.array([list(dict.fromkeys(h)) for h in hashes], pa.list_(pa.int64())), pa.array(blocks, kind)],
-                    ["row", "page_id", "url", "signature", "hashes", "blocks"])
-    own = pages.select(F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("long").alias("page_id"),
-                       F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    out = with_package(own).mapInArrow(run, "row long, page_id long, url string, signature long, hashes array<long>, "
-                                            "blocks array<struct<text:string,place:int,around:array<long>>>")
+                    [b.column("row"), b.column("url"), pa.array([_signed(s) for _, _, s in got], pa.int64()),
+                     pa.array([list(dict.fromkeys(map(_signed, h))) for _, h, _ in got], pa.list_(pa.int64()))],
+                    ["row", "url", "signature", "hashes"])
+    out = with_package(_rows(pages)).mapInArrow(run, "row long, url string, signature long, hashes array<long>")
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
-    return out.withColumn("host", F.coalesce(host, F.lit("")))
+    return out.select("row", F.coalesce(host, F.lit("")).alias("host"), "signature", "hashes")
 
 
-def templates(parsed: DataFrame, p: Params = Params()) -> DataFrame:
+def templates(found: DataFrame, p: Params = Params()) -> DataFrame:
     """``host, hash`` of the recurring subtrees."""
-    seen = parsed.select("host", "signature", F.explode("hashes").alias("hash")).distinct() \
+    seen = found.select("host", "signature", F.explode("hashes").alias("hash")).distinct() \
         .groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= p.min_pages)
-    size = parsed.select("host", "signature").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    size = found.select("host", "signature").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     return seen.join(size, "host").where(F.col("n") >= F.col("pages") * p.min_share).select("host", "hash")
 
 
+def main_text(page: str | None, template: set[int]) -> tuple[str, int]:
+    """The main text, and how many blocks were deleted as template."""
+    blocks, hashes, _ = parse(page)
+    open_ = [b for b in blocks if b[1] >= 0]
+    kept = [b for b in open_ if not template or template.isdisjoint(_signed(hashes[i]) for i in b[2])]
+    place = max((b[1] for b in open_), default=0)          # article, main part, body
+    return " ".join(b[0] for b in kept if b[1] == place), len(open_) - len(kept)
+
+
 def extract_main(pages: DataFrame, p: Params = Params()) -> DataFrame:
-    """``page_id, url, text, n_chars, n_deleted`` (blocks deleted as template)."""
-    parsed = written(parsed_pages(pages), "html-parsed")
-    found = parsed.select("row", "host", F.explode("hashes").alias("hash")).join(templates(parsed, p), ["host", "hash"]) \
+    """``page_id, url, text, n_chars, n_deleted`` (blocks deleted as template).
+
+    ``pages`` is read twice and must give the same rows in the same partitions:
+    files, or a checkpointed frame. The html meets its page's template hashes by one join on the row number,
+    compressed for the way; it is parsed a second time there, which costs less
+    than keeping all parsed blocks."""
+    found = written(subtrees(pages), "html-subtrees")
+    recurring = found.select("row", "host", F.explode("hashes").alias("hash")).join(templates(found, p), ["host", "hash"]) \
         .groupBy("row").agg(F.collect_set("hash").alias("template"))    # bounded by the page's own subtrees
-    both = parsed.select("row", "page_id", "url", "blocks").join(found, "row", "left")
-    kept = F.filter("blocks", lambda b: F.col("template").isNull() | ~F.arrays_overlap(b["around"], "template"))
-    chosen = lambda place: F.filter("kept", lambda b: b["place"] == place)
-    own = both.withColumn("kept", kept).select(
-        "page_id", "url", (F.size("blocks") - F.size("kept")).alias("n_deleted"),
-        F.when(F.exists("blocks", lambda b: b["place"] == 2), chosen(2))
-        .when(F.exists("blocks", lambda b: b["place"] == 1), chosen(1)).otherwise(F.col("kept")).alias("chosen"))
-    text = F.array_join(F.transform("chosen", lambda b: b["text"]), " ")
-    return own.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"), "n_deleted")
+
+    def pack(batches):
+        press = zstandard.ZstdCompressor(level=3)
+        for whole in batches:
+            for b in small_batches(whole, "html"):
+                raw = [press.compress((t or "").encode()) for t in b.column("html").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(raw, pa.binary())], b.schema.names)
+
+    def run(batches):
+        press = zstandard.ZstdDecompressor()
+        for whole in batches:
+            for b in small_batches(whole, "html", PACKED_BYTES):
+                got = [main_text(press.decompress(t).decode(), set(h or ()))
+                       for t, h in zip(b.column("html").to_pylist(), b.column("template").to_pylist())]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("page_id"), b.column("url"), pa.array([t for t, _ in got], pa.string()),
+                     pa.array([len(t) for t, _ in got], pa.int64()), pa.array([n for _, n in got], pa.int32())],
+                    ["page_id", "url", "text", "n_chars", "n_deleted"])
+    packed = with_package(_rows(pages)).mapInArrow(pack, "row long, page_id long, url string, html binary")
+    return packed.join(recurring, "row", "left").select("page_id", "url", "html", "template").mapInArrow(
+        run, "page_id long, url string, text string, n_chars long, n_deleted int")
