@@ -295,7 +295,8 @@ SCORES = "doc_id long, n_tokens long, n_known long, train_tokens long, base_scor
 def score_documents(docs: DataFrame, learns, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` of every
     row of ``docs``; ``learns`` is a boolean column over ``doc_id``: the rows
-    the model learns from."""
+    the model learns from. ``docs`` is read twice and must give the same rows
+    in the same partitions: files, or a checkpointed frame."""
     own = texts(docs).withColumn("learns", F.coalesce(learns, F.lit(False)))
     asked = written(requests(own, bucket_bytes), "ppm-requests")
     ends = own.where("learns").count()
