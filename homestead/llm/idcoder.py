@@ -9,9 +9,8 @@ the ids just seen, and each lane has its own range coder. Per id:
   before) each name the id they last saw follow, with a confidence;
 - for either candidate the order-2, order-1 and order-0 predictions of "it is
   this id" are mixed in the logistic domain with learned weights;
-- the range coder codes "order-2 candidate / order-1 candidate / neither" with
-  the mixed probabilities, and in the last case the id itself with the adaptive
-  order-0 frequencies.
+- the range coder gives the order-2 candidate, then the order-1 candidate, their
+  mixed probabilities, and every other id its adaptive order-0 share of the rest.
 
 All model arithmetic is in integers, so every machine decodes alike. Blocks are
 independent: the model starts anew in each, and each carries its own index of
@@ -22,7 +21,7 @@ File format (little-endian). A file is a table of blocks in order; a block is
 ``magic "HCM1", u64 ids, u32 lanes, u32 alphabet, u32 documents, u32 crc32 of
 the ids as u32, u32 crc32 of everything after this header``, then
 u8[documents] (1: the doc_id is null), i64[documents] doc_ids,
-u32[documents] lengths, u32[lanes] words per lane, u16[] lane payloads.
+u32[documents] lengths, u32[lanes] bytes per lane, then the lanes' bytes.
 
 Cases: null or empty text is the end id alone; documents are ordered by doc_id
 (nulls first), repeated ids by their place in the input; a document is never
@@ -49,12 +48,12 @@ from .common import small_batches, texts, with_package, written
 
 MAGIC = b"HCM1"
 HEAD = struct.Struct("<4sQIIIII")
-LANES = 4096
-BLOCK_IDS = 1 << 21
-ORDER2_BITS = 20
+LANES = 8192
+BLOCK_IDS = 1 << 22
+ORDER2_BITS = 18
 U64 = np.uint64
-TOP, BOT, TOP_SHIFT = U64(1 << 48), U64(1 << 40), U64(48)
-FLAG_BITS, ID_BITS = U64(16), U64(24)
+TOP, BOT, TOP_SHIFT = U64(1 << 56), U64(1 << 48), U64(56)   # a range is 2^48 or more before each id
+ID_BITS, ALL_BITS = U64(24), U64(40)            # order-0 shares; an id's share of the range
 FLAG_TOTAL, ID_TOTAL = 1 << 16, 1 << 24
 LEVELS = 16                                     # confidence levels
 HASH1, HASH2 = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
@@ -186,7 +185,7 @@ def _lanes(n: int) -> tuple[int, int]:
 
 
 def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[np.ndarray, np.ndarray]:
-    """(words per lane, payload words) of non-empty ids below ``alphabet``."""
+    """(bytes per lane, their bytes) of non-empty ids below ``alphabet``."""
     n = len(ids)
     lanes, steps = _lanes(n)
     flat = np.zeros(lanes * steps, np.int32)
@@ -194,12 +193,12 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[np.ndarray, np.ndarray]:
     grid = np.ascontiguousarray(flat.reshape(lanes, steps).T)
     model = _Model(alphabet)
     low, rng = np.zeros(lanes, U64), np.full(lanes, (1 << 64) - 1, U64)
-    out = np.zeros((lanes, 4 * steps + 8), np.uint16)
+    out = np.zeros((lanes, 6 * steps + 16), np.uint8)
     pos = np.zeros(lanes, np.int64)
     every = np.arange(lanes)
 
     def settle(at: np.ndarray, lo: np.ndarray, r: np.ndarray) -> None:
-        """Put out the top words of the lanes ``at`` (their low and range) while they are settled."""
+        """Put out the top bytes of the lanes ``at`` (their low and range) while they are settled."""
         while True:
             ready = (lo ^ (lo + r)) < TOP
             go = np.flatnonzero(ready | (r < BOT))
@@ -209,7 +208,7 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[np.ndarray, np.ndarray]:
             r = np.where(ready[go], r, (U64(0) - lo) & (BOT - U64(1)))
             out[at, pos[at]] = lo >> TOP_SHIFT
             pos[at] += 1
-            lo, r = lo << U64(16), r << U64(16)
+            lo, r = lo << U64(8), r << U64(8)
             low[at], rng[at] = lo, r
 
     c1 = np.full(lanes, alphabet, np.int32)
@@ -220,28 +219,24 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[np.ndarray, np.ndarray]:
         model.predict(c1[:act], c2[:act])
         hit_a = x == model.a
         hit_b = x == model.b                                 # the same id twice: the first counts
-        start = np.where(hit_a, U64(0), np.where(hit_b, model.fa, model.edge))
-        stop = np.where(hit_a, model.fa, np.where(hit_b, model.edge, U64(FLAG_TOTAL)))
-        r = rng[:act] >> FLAG_BITS
+        start = np.where(hit_a, U64(0), np.where(hit_b, model.fa, model.edge)) << ID_BITS
+        size = np.where(hit_a, model.fa, model.edge - model.fa) << ID_BITS
+        at = np.flatnonzero(~(hit_a | hit_b))
+        y, rest = x[at], U64(FLAG_TOTAL) - model.edge[at]    # the id's part of what both candidates leave
+        start[at] += rest * model.cum[y].astype(U64)
+        size[at] = rest * model.freq[y]
+        r = rng[:act] >> ALL_BITS
         lo = low[:act] + start * r
-        r = (stop - start) * r
+        r = size * r
         low[:act], rng[:act] = lo, r
         settle(every[:act], lo, r)
-        at = np.flatnonzero(~(hit_a | hit_b))
-        if len(at):
-            y = x[at]
-            r = rng[at] >> ID_BITS
-            lo = low[at] + model.cum[y].astype(U64) * r
-            r = model.freq[y] * r
-            low[at], rng[at] = lo, r
-            settle(at, lo, r)
         model.update(x)
         c2, c1 = c1, np.concatenate([x, c1[act:]])
-    for k in range(4):                                       # the whole of low
-        out[every, pos] = (low >> U64(48 - 16 * k)).astype(np.uint16)
+    for k in range(8):                                       # the whole of low
+        out[every, pos] = (low >> U64(56 - 8 * k)).astype(np.uint8)
         pos += 1
     keep = np.arange(out.shape[1]) < pos[:, None]
-    return pos.astype("<u4"), out[keep].astype("<u2")
+    return pos.astype("<u4"), out[keep]
 
 
 def decode_ids(n: int, lanes: int, alphabet: int, words: np.ndarray, payload: np.ndarray) -> np.ndarray:
@@ -253,8 +248,8 @@ def decode_ids(n: int, lanes: int, alphabet: int, words: np.ndarray, payload: np
     data = np.concatenate([payload.astype(U64), np.zeros(8, U64)])
     low, rng, code = np.zeros(lanes, U64), np.full(lanes, (1 << 64) - 1, U64), np.zeros(lanes, U64)
     every = np.arange(lanes)
-    for _ in range(4):
-        code = code << U64(16) | data[pos]
+    for _ in range(8):
+        code = code << U64(8) | data[pos]
         pos += 1
 
     def settle(at: np.ndarray, lo: np.ndarray, r: np.ndarray) -> None:
@@ -265,9 +260,9 @@ def decode_ids(n: int, lanes: int, alphabet: int, words: np.ndarray, payload: np
                 return
             at, lo, r = at[go], lo[go], r[go]
             r = np.where(ready[go], r, (U64(0) - lo) & (BOT - U64(1)))
-            code[at] = code[at] << U64(16) | data[np.minimum(pos[at], len(data) - 1)]
+            code[at] = code[at] << U64(8) | data[np.minimum(pos[at], len(data) - 1)]
             pos[at] += 1
-            lo, r = lo << U64(16), r << U64(16)
+            lo, r = lo << U64(8), r << U64(8)
             low[at], rng[at] = lo, r
 
     model = _Model(alphabet)
@@ -277,30 +272,28 @@ def decode_ids(n: int, lanes: int, alphabet: int, words: np.ndarray, payload: np
     for s in range(steps):
         act = (n - 1 - s) // steps + 1
         model.predict(c1[:act], c2[:act])
-        r = rng[:act] >> FLAG_BITS
-        value = np.minimum((code[:act] - low[:act]) // r, U64(FLAG_TOTAL - 1))
-        is_a, in_b = value < model.fa, value < model.edge
-        start = np.where(is_a, U64(0), np.where(in_b, model.fa, model.edge))
-        stop = np.where(is_a, model.fa, np.where(in_b, model.edge, U64(FLAG_TOTAL)))
+        r = rng[:act] >> ALL_BITS
+        value = np.minimum((code[:act] - low[:act]) // r, U64((FLAG_TOTAL << 24) - 1))
+        flag = value >> ID_BITS
+        is_a, in_b = flag < model.fa, flag < model.edge
+        start = np.where(is_a, U64(0), np.where(in_b, model.fa, model.edge)) << ID_BITS
+        size = np.where(is_a, model.fa, model.edge - model.fa) << ID_BITS
+        x = np.where(is_a, model.a, model.b)
+        at = np.flatnonzero(~in_b)
+        rest = U64(FLAG_TOTAL) - model.edge[at]
+        own = (value[at] - start[at]) // rest
+        y = np.searchsorted(model.cum, own.astype(np.int32), side="right") - 1
+        x[at] = y
+        start[at] += rest * model.cum[y].astype(U64)
+        size[at] = rest * model.freq[y]
         lo = low[:act] + start * r
-        r = (stop - start) * r
+        r = size * r
         low[:act], rng[:act] = lo, r
         settle(every[:act], lo, r)
-        x = np.where(is_a, model.a, model.b)
-        at = np.flatnonzero(~in_b)
-        if len(at):
-            r = rng[at] >> ID_BITS
-            value = np.minimum((code[at] - low[at]) // r, U64(ID_TOTAL - 1))
-            y = np.searchsorted(model.cum, value.astype(np.int32), side="right") - 1
-            x[at] = y
-            lo = low[at] + model.cum[y].astype(U64) * r
-            r = model.freq[y] * r
-            low[at], rng[at] = lo, r
-            settle(at, lo, r)
         grid[s, :act] = x
         model.update(x)
         c2, c1 = c1, np.concatenate([x, c1[act:]])
-    if (pos > lane_end + 4).any():
+    if (pos > lane_end + 8).any():
         raise BlockError("lane overrun")
     return np.ascontiguousarray(grid.T).reshape(-1)[:n]
 
@@ -331,7 +324,7 @@ def read_block(block: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
         at += x.nbytes
         return x
     null, own, lengths, words = take("u1", docs), take("<i8", docs), take("<u4", docs), take("<u4", lanes)
-    ids = decode_ids(n, lanes, alphabet, words, np.frombuffer(body, "<u2", offset=at))
+    ids = decode_ids(n, lanes, alphabet, words, np.frombuffer(body, "u1", offset=at))
     if zlib.crc32(ids.astype("<u4").tobytes()) != ids_crc or int(lengths.sum()) != n:
         raise BlockError("checksum of the ids")
     return [None if z else int(d) for z, d in zip(null, own)], lengths, ids
@@ -346,7 +339,7 @@ class WordEncoder:
 
     WORD_END = "</w>"
 
-    def __init__(self, path: str, entries: int = 1_000_000) -> None:
+    def __init__(self, path: str, entries: int = 1_300_000) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.alphabet = self.tokenizer.get_vocab_size()
         self.is_end = np.zeros(self.alphabet, bool)
