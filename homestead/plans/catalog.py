@@ -657,7 +657,8 @@ def _orders_with_customer(spark, sf_dir) -> DataFrame:
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     c = _t(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+    joined = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+    return joined.repartition("o_orderkey")              # parsing is the work: spread it, before html is built
 
 
 def listing_pages(spark, sf_dir) -> DataFrame:
