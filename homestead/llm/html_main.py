@@ -26,6 +26,7 @@ an empty table gives an empty table; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from dataclasses import dataclass
@@ -211,25 +212,33 @@ def _signed(x: int) -> int:
 
 
 def _rows(pages: DataFrame) -> DataFrame:
-    """``row, page_id, url, html``: the pages with a number of their own (the
-    same files give the same splits and so the same numbers)."""
-    return pages.select(F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("long").alias("page_id"),
-                        F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
+                        F.col("html").cast("string").alias("html"))
+
+
+def _key(url: str | None, page: bytes) -> bytes:
+    """128 bits of a page's address and markup, on which alone its templates
+    depend: the same in every scan, however the input is split."""
+    address = (url or "").encode()
+    return hashlib.blake2b(len(address).to_bytes(8, "big") + address + page, digest_size=16).digest()
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
-    """``row, host, signature, hashes``, one row a page: no text."""
+    """``row, key, host, signature, hashes``, one row a page: no text. The
+    row number holds for the written table only."""
     def run(batches):
         for whole in batches:
             for b in small_batches(whole, "html"):
-                got = [parse(t) for t in b.column("html").to_pylist()]
+                raw = b.column("html").to_pylist()
+                keys = [_key(u, (t or "").encode()) for u, t in zip(b.column("url").to_pylist(), raw)]
+                got = [parse(t) for t in raw]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("row"), b.column("url"), pa.array([_signed(s) for _, _, s in got], pa.int64()),
+                    [pa.array(keys, pa.binary()), b.column("url"), pa.array([_signed(s) for _, _, s in got], pa.int64()),
                      pa.array([list(dict.fromkeys(map(_signed, h))) for _, h, _ in got], pa.list_(pa.int64()))],
-                    ["row", "url", "signature", "hashes"])
-    out = with_package(_rows(pages)).mapInArrow(run, "row long, url string, signature long, hashes array<long>")
+                    ["key", "url", "signature", "hashes"])
+    out = with_package(_rows(pages)).mapInArrow(run, "key binary, url string, signature long, hashes array<long>")
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
-    return out.select("row", F.coalesce(host, F.lit("")).alias("host"), "signature", "hashes")
+    return out.select(F.monotonically_increasing_id().alias("row"), "key", F.coalesce(host, F.lit("")).alias("host"), "signature", "hashes")
 
 
 def templates(found: DataFrame, p: Params = Params()) -> DataFrame:
@@ -252,20 +261,24 @@ def main_text(page: str | None, template: set[int]) -> tuple[str, int]:
 def extract_main(pages: DataFrame, p: Params = Params()) -> DataFrame:
     """``page_id, url, text, n_chars, n_deleted`` (blocks deleted as template).
 
-    ``pages`` is read twice and must give the same rows in the same partitions:
-    files, or a checkpointed frame. The html meets its page's template hashes by one join on the row number,
-    compressed for the way; it is parsed a second time there, which costs less
-    than keeping all parsed blocks."""
+    ``pages`` is read twice and must give the same rows, in any order and
+    partitions. The html meets its page's template hashes by one join on the
+    page's key, compressed for the way; it is parsed a second time there, which
+    costs less than keeping all parsed blocks."""
     found = written(subtrees(pages), "html-subtrees")
+    first = found.groupBy("key").agg(F.min("row").alias("row"))     # repeated pages share their templates
     recurring = found.select("row", "host", F.explode("hashes").alias("hash")).join(templates(found, p), ["host", "hash"]) \
         .groupBy("row").agg(F.collect_set("hash").alias("template"))    # bounded by the page's own subtrees
+    recurring = recurring.join(first, "row").select("key", "template")
 
     def pack(batches):
         press = zstandard.ZstdCompressor(level=3)
         for whole in batches:
             for b in small_batches(whole, "html"):
-                raw = [press.compress((t or "").encode()) for t in b.column("html").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(raw, pa.binary())], b.schema.names)
+                raw = [(t or "").encode() for t in b.column("html").to_pylist()]
+                keys = [_key(u, t) for u, t in zip(b.column("url").to_pylist(), raw)]
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), *b.columns[:-1],
+                                                  pa.array(map(press.compress, raw), pa.binary())], ["key", *b.schema.names])
 
     def run(batches):
         press = zstandard.ZstdDecompressor()
@@ -277,6 +290,6 @@ def extract_main(pages: DataFrame, p: Params = Params()) -> DataFrame:
                     [b.column("page_id"), b.column("url"), pa.array([t for t, _ in got], pa.string()),
                      pa.array([len(t) for t, _ in got], pa.int64()), pa.array([n for _, n in got], pa.int32())],
                     ["page_id", "url", "text", "n_chars", "n_deleted"])
-    packed = with_package(_rows(pages)).mapInArrow(pack, "row long, page_id long, url string, html binary")
-    return packed.join(recurring, "row", "left").select("page_id", "url", "html", "template").mapInArrow(
+    packed = with_package(_rows(pages)).mapInArrow(pack, "key binary, page_id long, url string, html binary")
+    return packed.join(recurring, "key", "left").select("page_id", "url", "html", "template").mapInArrow(
         run, "page_id long, url string, text string, n_chars long, n_deleted int")

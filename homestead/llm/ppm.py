@@ -16,7 +16,7 @@ on in buckets of bounded size. A bucket asks for its distinct five-byte strings
 and words (one row each, with the learning counts), the counts are summed by
 key, the trie is evaluated per order-2 context (orders 1 and 0 are two tables
 of 65,536 and 256 entries), and the answers go back to the bucket, where numpy
-adds them up. Text is shuffled once.
+adds them up. Text is stored with its bucket and shuffled once, compressed.
 
 Cases: null or empty text is the end token alone; with no learning documents
 the base has N = V = 0 and the model is uniform over bytes; repeated rows count
@@ -32,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -128,7 +129,7 @@ class _Requests:
 
 def _bucketed(batches, size: int):
     """Cut a task's rows into buckets of ``size`` bytes of text; the numbers
-    depend on the input's order alone."""
+    depend on the input's order and splits, so they are stored with the text."""
     part, done = TaskContext.get().partitionId(), 0
     for b in batches:
         if not b.num_rows:
@@ -147,20 +148,39 @@ def _slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
         yield batch.slice(i, rows)
 
 
-def requests(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """``bucket, gram, word, n`` from ``docs`` (``doc_id, text, learns``)."""
+def bucket_rows(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """The buckets of ``docs`` (``doc_id, text, learns``) and what they ask for
+    as rows of one kind: ``bucket, doc_id, learns, text`` of a document (text
+    compressed, else null), or ``bucket, gram, word, n`` of a request. Both
+    come from one pass, so a request always names the bucket of its text."""
+    schema = pa.schema([("bucket", pa.int64()), ("gram", pa.int64()), ("word", pa.binary()), ("n", pa.int64()),
+                        ("doc_id", pa.int64()), ("learns", pa.bool_()), ("text", pa.binary())])
+
+    def batch(columns: dict, rows: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(rows, f.type)) for f in schema], schema=schema)
+
+    def asks(asked, bucket):
+        for r in asked.rows(bucket):
+            yield batch(dict(zip(r.schema.names, r.columns)), r.num_rows)
+
     def run(batches):
+        press = zstandard.ZstdCompressor(level=3)
         now, asked = None, None
         for bucket, b in _bucketed(batches, bucket_bytes):
             if bucket != now:
                 if asked is not None:
-                    yield from asked.rows(now)
+                    yield from asks(asked, now)
                 now, asked = bucket, _Requests()
             for c in _slices(b):
-                asked.add([words_of(t) for t in c.column("text").to_pylist()], c.column("learns").to_pylist())
+                raw = c.column("text").to_pylist()
+                asked.add([words_of(t) for t in raw], c.column("learns").to_pylist())
+                packed = pa.array([press.compress((t or "").encode()) for t in raw], pa.binary())
+                yield batch({"bucket": pa.array(np.full(c.num_rows, bucket)), "doc_id": c.column("doc_id"),
+                             "learns": c.column("learns"), "text": packed}, c.num_rows)
         if asked is not None:
-            yield from asked.rows(now)
-    return with_package(docs).mapInArrow(run, "bucket long, gram long, word binary, n long")
+            yield from asks(asked, now)
+    return with_package(docs).mapInArrow(
+        run, "bucket long, gram long, word binary, n long, doc_id long, learns boolean, text binary")
 
 
 class Trie:
@@ -263,9 +283,9 @@ def _score_bucket(docs: pa.Table, answers: pa.Table, n_total: int, kinds: int, e
     rest = answers.filter(pc.invert(known))
     count = dict(zip(rest.column("word").to_pylist(), rest.column("value").to_numpy().tolist()))
     norm = np.log10(n_total + 0.5 * (kinds + 1))
-    out = []
+    press, out = zstandard.ZstdDecompressor(), []
     for b in docs.combine_chunks().to_batches(max_chunksize=512):
-        words = [words_of(t) for t in b.column("text").to_pylist()]
+        words = [words_of(press.decompress(t).decode()) for t in b.column("text").to_pylist()]
         base, known_n = [], []
         for w in words:
             c = np.fromiter(map(count.__getitem__, w), float, len(w))
@@ -295,11 +315,11 @@ SCORES = "doc_id long, n_tokens long, n_known long, train_tokens long, base_scor
 def score_documents(docs: DataFrame, learns, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` of every
     row of ``docs``; ``learns`` is a boolean column over ``doc_id``: the rows
-    the model learns from. ``docs`` is read twice and must give the same rows
-    in the same partitions: files, or a checkpointed frame."""
+    the model learns from. ``docs`` is read once; texts and requests share a
+    work table, so the buckets hold however the input was split."""
     own = texts(docs).withColumn("learns", F.coalesce(learns, F.lit(False)))
-    asked = written(requests(own, bucket_bytes), "ppm-requests")
-    ends = own.where("learns").count()
+    asked = written(bucket_rows(own, bucket_bytes), "ppm-buckets")
+    ends = asked.where("learns").count()
     words = asked.where("word is not null")
     tokens, kinds = words.where("n > 0").groupBy("word").agg(F.sum("n").alias("n")).agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -311,11 +331,7 @@ def score_documents(docs: DataFrame, learns, bucket_bytes: int = BUCKET_BYTES) -
         .select("bucket", "gram", F.lit(None).cast("binary").alias("word"), "value") \
         .union(words.select("bucket", F.lit(None).cast("long"), "word", F.sum("n").over(by_word).cast("double")))
 
-    def place(batches):
-        for bucket, b in _bucketed(batches, bucket_bytes):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(b.num_rows, bucket)), b.column("doc_id"), b.column("text")],
-                                             ["bucket", "doc_id", "text"])
-    placed = with_package(own).mapInArrow(place, "bucket long, doc_id long, text string")
+    placed = asked.where("text is not null").select(F.col("bucket").alias("bucket"), "doc_id", "text")
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         return _score_bucket(left, right, tokens, kinds, ends)

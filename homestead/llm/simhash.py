@@ -199,7 +199,8 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -
     """``docs`` with one row of each component: the one of the smallest
     doc_id (the first of these rows where the id is repeated)."""
     row = unused(docs, "row")
-    rows = docs.withColumn(row, F.monotonically_increasing_id())       # same files, same splits: the same numbers
+    # the numbers are stored: a second scan may be split otherwise and would number the rows anew
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-rows")
     own = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(row).alias("row"),
                       F.col("text").cast("string").alias("text"))
     kept = near_duplicates(own, shingle, distance).where(F.col("keeper.row") == F.col("row"))

@@ -1,5 +1,6 @@
 """Fixtures of the operators' tests: odd documents and a brute-force view of words."""
 
+import contextlib
 import re
 import zlib
 
@@ -34,3 +35,20 @@ def remainder(doc_id, mod=5):
 
 def empty(spark, df):
     return spark.createDataFrame([], df.schema)
+
+
+@contextlib.contextmanager
+def splits(spark, n):
+    """File scans planned inside ask for at least ``n`` partitions, as a cluster of n cores does."""
+    key = "spark.sql.files.minPartitionNum"
+    spark.conf.set(key, n)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
+def in_files(spark, df, path, n=6):
+    """``df`` read back from ``n`` files."""
+    df.repartition(n).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,7 +1,7 @@
 import html
 import re
 
-from helpers import empty
+from helpers import empty, in_files, splits
 from homestead.llm import html_main as H
 from homestead.llm.common import read
 
@@ -66,3 +66,17 @@ def test_lines_quoted_by_many_articles_stay(spark):
             for i in range(20)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert {r.page_id: r.text for r in H.extract_main(pages).collect()} == {i: f"Own {i} Shared line." for i in range(20)}
+
+
+def test_templates_meet_their_pages_when_the_splits_change(spark, tmp_path):
+    rows = [page(i) for i in range(30)] + [page(i, f"h{i}.example") for i in range(30, 60)] + [page(3)]
+    pages = in_files(spark, spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "pages"))
+    with splits(spark, 1):
+        found = H.extract_main(pages)
+    with splits(spark, 6):
+        got = found.collect()
+    assert len(got) == 61 and sum(r.page_id == 3 for r in got) == 2
+    for r in got:
+        story = f"Story {r.page_id} with its own words number {r.page_id}."
+        host = f"h{r.page_id}.example"
+        assert r.text == (story if r.page_id < 30 else f"Welcome to {host} {story} Read this every day Footer text of {host}")

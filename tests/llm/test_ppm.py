@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from helpers import PROSE, empty, odd_documents, remainder, words
+from helpers import PROSE, empty, in_files, odd_documents, remainder, splits, words
 from homestead.llm import ppm
 
 
@@ -85,3 +85,14 @@ def test_nothing_to_learn_from(spark):
     rows = docs.collect()
     check(ppm.score_documents(docs, F.lit(False)).collect(), rows, Brute([]))
     assert ppm.score_documents(empty(spark, docs), ppm.learning_rows()).collect() == []
+
+
+def test_scores_hold_when_the_splits_change(spark, tmp_path):
+    docs = in_files(spark, spark.createDataFrame([(i, f"{PROSE[i:i + 90]} {i * i} own") for i in range(40)],
+                                                 "doc_id long, text string"), str(tmp_path / "docs"))
+    rows = docs.collect()
+    model = Brute([r.text for r in rows if remainder(r.doc_id) != 1])
+    with splits(spark, 1):
+        scores = ppm.score_documents(docs, ppm.learning_rows(), 300)
+    with splits(spark, 6):
+        check(scores.collect(), rows, model)

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import xxhash
 
-from helpers import ODD, PROSE, empty, odd_documents, words
+from helpers import ODD, PROSE, empty, in_files, odd_documents, splits, words
 from homestead.llm import simhash
 
 
@@ -98,3 +98,14 @@ def test_drop_keeps_one_of_each_group(spark):
     assert len(rows) == len(set(brute(r.text) for r in docs.collect())) - sum(
         1 for f in want if f != min(g for g in want if want[g] == want[f]) and want[f] is not None)
     assert len({brute(r.text) for r in rows}) == len(rows)
+
+
+def test_drop_holds_when_the_splits_change(spark, tmp_path):
+    rnd = random.Random(4)
+    rows = [(i, " ".join(str(rnd.random()) for _ in range(20))) for i in range(60)]
+    rows += [(100 + i, t) for i, t in rows[:20]]
+    docs = in_files(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "docs"))
+    with splits(spark, 1):
+        kept = simhash.drop_near_duplicates(docs)
+    with splits(spark, 6):
+        assert sorted(r.doc_id for r in kept.collect()) == list(range(60))
