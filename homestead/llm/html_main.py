@@ -6,7 +6,7 @@
 2. Spark counts, per host, on how many different pages each hash occurs. Pages
    that carry the same main content count once, so an article published under
    several addresses is not taken for a template. A subtree recurring on at
-   least ``min_pages`` pages and ``min_share`` of the host's is a template.
+   least ``min_pages`` pages is a template, however large the host.
 3. Blocks inside a template are deleted. What templates cannot show (a menu or
    a reader comment that only one page has) goes by the element's role: tag,
    class, id or role words. Where a page marks its article (or main part), the
@@ -204,7 +204,6 @@ PACKED_BYTES = 4 << 20
 @dataclass(frozen=True)
 class Params:
     min_pages: int = 5
-    min_share: float = 0.02
 
 
 def _signed(x: int) -> int:
@@ -243,10 +242,8 @@ def subtrees(pages: DataFrame) -> DataFrame:
 
 def templates(found: DataFrame, p: Params = Params()) -> DataFrame:
     """``host, hash`` of the recurring subtrees."""
-    seen = found.select("host", "signature", F.explode("hashes").alias("hash")).distinct() \
-        .groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= p.min_pages)
-    size = found.select("host", "signature").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    return seen.join(size, "host").where(F.col("n") >= F.col("pages") * p.min_share).select("host", "hash")
+    return found.select("host", "signature", F.explode("hashes").alias("hash")).distinct() \
+        .groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= p.min_pages).select("host", "hash")
 
 
 def main_text(page: str | None, template: set[int]) -> tuple[str, int]:

@@ -80,3 +80,11 @@ def test_templates_meet_their_pages_when_the_splits_change(spark, tmp_path):
         story = f"Story {r.page_id} with its own words number {r.page_id}."
         host = f"h{r.page_id}.example"
         assert r.text == (story if r.page_id < 30 else f"Welcome to {host} {story} Read this every day Footer text of {host}")
+
+
+def test_section_templates_of_a_large_host_go(spark):
+    """A block on 6 of 400 pages (1.5 percent) goes as on a small host."""
+    rows = [(i, f"http://big.example/{i}", f"<body><div><p>Story number {i}.</p></div>"
+             + ("<div><span>Section of the harbour</span></div>" if i < 6 else "") + "</body>") for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in H.extract_main(pages).collect()} == {i: f"Story number {i}." for i in range(400)}
