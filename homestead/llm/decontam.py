@@ -15,8 +15,9 @@ item table means more blocks in the same narrow pass, never a larger automaton.
 Nothing is shuffled.
 
 Cases: null or empty texts hold nothing; null or blank items match nothing;
-items below ``min_chars`` normalised characters say too little inside other
-prose and match only a text that equals them; repeated items share one entry
+items below ``min_chars`` normalised characters match whole words only, with
+the same edits a character; of these, one or two words of less than
+``least_chars`` characters in all match only a text that equals them; repeated items share one entry
 and all their ids are reported; repeated documents are judged alike; an empty
 benchmark leaves every document clean; other columns are ignored.
 """
@@ -40,7 +41,8 @@ NOISE = re.compile(r"[\W_]+")
 @dataclass(frozen=True)
 class Params:
     rate: float = 0.1            # edits per character of an item
-    min_chars: int = 25
+    min_chars: int = 25          # shorter items must stand as whole words
+    least_chars: int = 8         # shorter ones of one or two words are not looked for inside a text
     block_chars: int = 4 << 20   # characters of items in one automaton
 
 
@@ -78,6 +80,24 @@ def best_distance(pattern: str, text: str, most: int, masks: dict[str, int] | No
     return best if best <= most else most + 1
 
 
+def worded_distance(pattern: str, text: str, origin: int, most: int) -> int:
+    """Least edit distance between ``pattern`` and a run of whole words of
+    ``text`` that starts and ends within ``most`` characters of where the
+    pattern would from ``origin``; ``most + 1`` if it is above ``most``."""
+    lo, hi = max(0, origin - most), min(len(text), origin + len(pattern) + most)
+    far = best = most + 1
+    row = [(0 if not lo or text[lo - 1] == " " else far) + i for i in range(len(pattern) + 1)]
+    for q in range(lo, hi):
+        c = text[q]
+        new = [0 if c == " " else row[0] + 1]
+        for i, x in enumerate(pattern):
+            new.append(min(row[i] + (x != c), row[i + 1] + 1, new[i] + 1))
+        row = new
+        if q + 1 == len(text) or text[q + 1] == " ":
+            best = min(best, row[-1])
+    return best
+
+
 def letter_masks(pattern: str) -> dict[str, int]:
     masks: dict[str, int] = {}
     for i, c in enumerate(pattern):
@@ -89,8 +109,9 @@ class Matcher:
     """The items of one block: ``{normalised text: [ids]}``."""
 
     def __init__(self, items: dict[str, list[int]], p: Params) -> None:
-        self.items = [(t, ids) for t, ids in items.items() if len(t) >= p.min_chars]
-        self.whole = {t: ids for t, ids in items.items() if t and len(t) < p.min_chars}
+        self.whole = {t: ids for t, ids in items.items() if t and len(t) < min(p.least_chars, p.min_chars) and t.count(" ") < 2}
+        self.items = [(t, ids) for t, ids in items.items() if t and t not in self.whole]
+        self.worded = [len(t) < p.min_chars for t, _ in self.items]
         self.budget = [int(p.rate * len(t)) for t, _ in self.items]
         self.cuts: list[list[int]] = []
         self.spans: dict[tuple[int, int, int], dict[str, int]] = {}
@@ -186,6 +207,10 @@ class Matcher:
                 if key in seen:                # this alignment of the item has been verified
                     continue
                 d = self._climb(i, j, text, start)
+                if d is not None and self.worded[i]:
+                    d = worded_distance(self.items[i][0], text, key[1], self.budget[i])
+                    if d > self.budget[i]:
+                        continue
                 if d is not None:
                     seen.add(key)
                     found[i] = min(d, found.get(i, d))

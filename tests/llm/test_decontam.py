@@ -75,3 +75,46 @@ def test_documents_in_one_and_many_blocks(spark):
     assert kept.columns == docs.columns and kept.count() == docs.count() - len(whole) - 1     # id 9 is there twice
     assert C.drop_contaminated(docs, empty(spark, bench)).count() == docs.count()
     assert C.contaminated(empty(spark, docs), bench).collect() == []
+
+
+def test_short_items_inside_longer_texts():
+    own = C.Matcher({"who wrote hamlet": [1], "what is the capital of x": [2], "is it so": [3], "ham": [4]}, C.Params())
+    assert own.find("one more question who wrote hamlet and when") == {1: 0}
+    assert own.find("who wrote hamlat") == {1: 1} and own.find("so who wrotehamlet then") == {1: 1}
+    assert own.find("the man who rote hamlett") == {}                                  # two edits, one allowed
+    assert own.find("who wrote hamletology") == {} and own.find("this it so") == {}    # no whole words
+    assert own.find("tell what is a capital of x") == {} and own.find("wat is the capitol of x") == {2: 2}
+    assert own.find("is it so") == {3: 0} and own.find("say is it so") == {3: 0}
+    assert own.find("ham") == {4: 0} and own.find("ham and eggs") == {}
+
+
+def test_short_items_equal_brute_force():
+    rnd = random.Random(5)
+    vocab = PROSE.split()
+    items = {}
+    for i in range(40):
+        t = " ".join(rnd.choice(vocab) for _ in range(rnd.randrange(2, 5)))
+        if 8 <= len(t) < 25:
+            items.setdefault(t, []).append(i)
+    own = C.Matcher(items, C.Params())
+    for _ in range(100):
+        it = rnd.choice(list(items))
+        text = C.normalise(" ".join([*rnd.choices(vocab, k=6), edited(rnd, it, rnd.randrange(0, 4)), *rnd.choices(vocab, k=5)]))
+        w = text.split(" ")
+        runs = [" ".join(w[a:b]) for a in range(len(w)) for b in range(a + 1, len(w) + 1)]
+        want = {}
+        for t, ids in items.items():
+            d = min((whole_distance(t, r) for r in runs if abs(len(r) - len(t)) <= 2), default=99)
+            if d <= int(0.1 * len(t)):
+                want.update({i: d for i in ids})
+        assert own.find(text) == want
+
+
+def whole_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        new = [i + 1]
+        for j, y in enumerate(b):
+            new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return row[-1]
