@@ -9,8 +9,8 @@
    least ``min_pages`` pages is a template, however large the host.
 3. Blocks inside a template are deleted. What templates cannot show (a menu or
    a reader comment that only one page has) goes by the element's role: tag,
-   class, id or role words. Where a page marks its article (or main part), the
-   text is what is left of it; else what is left of the body.
+   class, id or role words. Nothing else is dropped: text beside a marked
+   article stays.
 
 Paragraph-like elements inside the marked article are text, not templates:
 articles may quote the same line on many pages.
@@ -61,6 +61,9 @@ CHROME_WORDS = frozenset("ad ads advert adverts advertisement banner sponsor spo
                          "footer masthead comment comments disqus replies share sharing social related recommended "
                          "newsletter subscribe subscription signup login pagination pager toolbar widget skip".split())
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
+#: An article element with such a word is a teaser, not the page's story.
+TEASER_WORDS = frozenset("ad ads advert adverts advertisement sponsor sponsored promo related recommended teaser "
+                         "teasers".split())
 #: Text-level elements: inside the marked article they are never templates.
 PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption dd dt dl td th tr table tbody thead ol ul li "
                       "article main body html".split()) | INLINE
@@ -82,20 +85,22 @@ def _is_chrome(tag: str, at: dict[str, str], inside: bool) -> bool:
     if tag in CHROME_TAGS and not (tag == "header" and inside):
         return True
     if tag in ("html", "body", "article", "main") and at.get("role", "") not in CHROME_ROLES:
-        return bool(inside and CHROME_WORDS & {"comment", "comments"} &
-                    set(map(str.lower, WORDS.findall(f"{at.get('class', '')} {at.get('id', '')}"))))
+        words = set(map(str.lower, WORDS.findall(f"{at.get('class', '')} {at.get('id', '')}")))
+        return bool(inside and words & {"comment", "comments"} or tag == "article" and words & TEASER_WORDS)
     if at.get("role", "").lower() in CHROME_ROLES or "hidden" in at or at.get("aria-hidden") == "true":
         return True
     return not CHROME_WORDS.isdisjoint(map(str.lower, WORDS.findall(f"{at.get('class', '')} {at.get('id', '')}")))
 
 
-def parse(page: str | None) -> tuple[list[tuple[str, int, list[int]]], list[int], int]:
+def parse(page: str | None) -> tuple[list[tuple[str, int, list[int]]], list[int], list[bool], tuple[int, int]]:
     """Blocks as (text, place, indexes of the template candidates around it),
-    the hash of every candidate, and the signature of the page's content.
+    the hash of every candidate, whether it lies in or around a marked part,
+    and the signatures of the marked part (all text, if none) and of all text.
     Place: 2 in an article, 1 in a main part, 0 elsewhere, -1 in chrome."""
     page = page or ""
     stack: list[_Open] = [_Open("", False, 0, -1, "")]
     hashes: list[int] = []
+    marked: list[bool] = []
     blocks: list[tuple[str, int, list[int]]] = []
     held: list[str] = []
     own: tuple[int, list[int]] = (0, [])
@@ -157,6 +162,11 @@ def parse(page: str | None) -> tuple[list[tuple[str, int, list[int]]], list[int]
         if tag not in ("html", "body", "head") and not (tag in PARAGRAPH and (inside or tag in INLINE)):
             index = len(hashes)
             hashes.append(0)
+            marked.append(bool(inside))
+        if inside and not top.inside:
+            for o in stack:
+                if o.index >= 0:
+                    marked[o.index] = True
         stack.append(_Open(tag, top.chrome or _is_chrome(tag, at, bool(top.inside)), inside, index,
                            at.get("class", "")))
 
@@ -193,8 +203,9 @@ def parse(page: str | None) -> tuple[list[tuple[str, int, list[int]]], list[int]
             close(len(stack) - 1)
     close(1)
     flush()
-    text = [b[0] for b in blocks if b[1] > 0] or [b[0] for b in blocks if b[1] == 0]
-    return blocks, hashes, xxhash.xxh64_intdigest("\x1e".join(text))
+    text = [b[0] for b in blocks if b[1] >= 0]
+    own_text = [b[0] for b in blocks if b[1] > 0] or text
+    return blocks, hashes, marked, tuple(xxhash.xxh64_intdigest("\x1e".join(t)) for t in (own_text, text))
 
 
 #: Compressed bytes of a batch: a few times as much html.
@@ -223,36 +234,42 @@ def _key(url: str | None, page: bytes) -> bytes:
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
-    """``row, key, host, signature, hashes``, one row a page: no text. The
-    row number holds for the written table only."""
+    """``row, key, host, signature, hashes, whole, beside``, one row a page: no
+    text. Hashes in or around a marked part count by its signature, those
+    beside it by the whole page's. The row number holds for the written table only."""
     def run(batches):
         for whole in batches:
             for b in small_batches(whole, "html"):
                 raw = b.column("html").to_pylist()
                 keys = [_key(u, (t or "").encode()) for u, t in zip(b.column("url").to_pylist(), raw)]
                 got = [parse(t) for t in raw]
+                first, beside = ([list(dict.fromkeys(_signed(h) for h, m in zip(g[1], g[2]) if m == kind)) for g in got]
+                                 for kind in (True, False))
+                signs = [pa.array([_signed(g[3][i]) for g in got], pa.int64()) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.binary()), b.column("url"), pa.array([_signed(s) for _, _, s in got], pa.int64()),
-                     pa.array([list(dict.fromkeys(map(_signed, h))) for _, h, _ in got], pa.list_(pa.int64()))],
-                    ["key", "url", "signature", "hashes"])
-    out = with_package(_rows(pages)).mapInArrow(run, "key binary, url string, signature long, hashes array<long>")
+                    [pa.array(keys, pa.binary()), b.column("url"), signs[0], pa.array(first, pa.list_(pa.int64())),
+                     signs[1], pa.array(beside, pa.list_(pa.int64()))],
+                    ["key", "url", "signature", "hashes", "whole", "beside"])
+    out = with_package(_rows(pages)).mapInArrow(
+        run, "key binary, url string, signature long, hashes array<long>, whole long, beside array<long>")
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
-    return out.select(F.monotonically_increasing_id().alias("row"), "key", F.coalesce(host, F.lit("")).alias("host"), "signature", "hashes")
+    return out.select(F.monotonically_increasing_id().alias("row"), "key", F.coalesce(host, F.lit("")).alias("host"),
+                      "signature", "hashes", "whole", "beside")
 
 
 def templates(found: DataFrame, p: Params = Params()) -> DataFrame:
     """``host, hash`` of the recurring subtrees."""
-    return found.select("host", "signature", F.explode("hashes").alias("hash")).distinct() \
+    return found.select("host", "signature", F.explode("hashes").alias("hash")).union(
+        found.select("host", "whole", F.explode("beside"))).distinct() \
         .groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= p.min_pages).select("host", "hash")
 
 
 def main_text(page: str | None, template: set[int]) -> tuple[str, int]:
     """The main text, and how many blocks were deleted as template."""
-    blocks, hashes, _ = parse(page)
+    blocks, hashes, _, _ = parse(page)
     open_ = [b for b in blocks if b[1] >= 0]
     kept = [b for b in open_ if not template or template.isdisjoint(_signed(hashes[i]) for i in b[2])]
-    place = max((b[1] for b in open_), default=0)          # article, main part, body
-    return " ".join(b[0] for b in kept if b[1] == place), len(open_) - len(kept)
+    return " ".join(b[0] for b in kept), len(open_) - len(kept)
 
 
 def extract_main(pages: DataFrame, p: Params = Params()) -> DataFrame:
@@ -264,8 +281,8 @@ def extract_main(pages: DataFrame, p: Params = Params()) -> DataFrame:
     costs less than keeping all parsed blocks."""
     found = written(subtrees(pages), "html-subtrees")
     first = found.groupBy("key").agg(F.min("row").alias("row"))     # repeated pages share their templates
-    recurring = found.select("row", "host", F.explode("hashes").alias("hash")).join(templates(found, p), ["host", "hash"]) \
-        .groupBy("row").agg(F.collect_set("hash").alias("template"))    # bounded by the page's own subtrees
+    recurring = found.select("row", "host", F.explode(F.concat("hashes", "beside")).alias("hash")) \
+        .join(templates(found, p), ["host", "hash"]).groupBy("row").agg(F.collect_set("hash").alias("template"))   # bounded by its subtrees
     recurring = recurring.join(first, "row").select("key", "template")
 
     def pack(batches):

@@ -88,3 +88,19 @@ def test_section_templates_of_a_large_host_go(spark):
              + ("<div><span>Section of the harbour</span></div>" if i < 6 else "") + "</body>") for i in range(400)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert {r.page_id: r.text for r in H.extract_main(pages).collect()} == {i: f"Story number {i}." for i in range(400)}
+
+
+def test_text_beside_article_elements_stays(spark):
+    card = "<article><div>Read our harbour guide</div></article>"
+    shapes = ["<body><p>Story {i} in the body.</p>" + card + "</body>",
+              "<body><main><h1>Heading {i}</h1><article><p>Story {i}</p></article></main></body>",
+              "<body><main><p>Story {i} in main.</p></main><article class='teaser'><p>Card {i}</p></article></body>",
+              "<body><p>Story {i}.</p><article><p>Card {i} with words</p></article><div>Every page says this</div></body>"]
+    rows = [(i, f"http://h{i % 4}.example/{i}", shapes[i % 4].replace("{i}", str(i))) for i in range(40)]
+    rows += [(100 + i, "http://h1.example/same", f"<body><div><article><p>Same</p></article></div><p>Seen {i}</p></body>") for i in range(9)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in H.extract_main(pages).collect()}
+    for i in range(40):
+        card = f"Story {i} in the body. Read our harbour guide"              # one content of the marked part
+        assert got[i] == [card, f"Heading {i} Story {i}", f"Story {i} in main.", f"Story {i}. Card {i} with words"][i % 4]
+    assert {i: got[100 + i] for i in range(9)} == {i: f"Same Seen {i}" for i in range(9)}
