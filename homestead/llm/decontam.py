@@ -10,9 +10,10 @@ whole item: any c neighbouring pieces must be found with at most c - 1 edits
 (again by pigeonhole), so a chance hit ends after a few characters, and the
 last step is the whole item with k edits.
 
-Test items go to the tasks in blocks of a fixed number of characters; a larger
-item table means more blocks in the same narrow pass, never a larger automaton.
-Nothing is shuffled.
+Test items are normalised by tasks and stored in blocks of about a fixed number
+of characters; a larger item table means more passes, never a larger automaton,
+and the driver holds one block at a time. One block is one narrow pass; with
+more, the documents are numbered in a work table and only hits are joined.
 
 Cases: null or empty texts hold nothing; null or blank items match nothing;
 items below ``min_chars`` normalised characters match whole words only, with
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import ahocorasick
@@ -33,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, texts, unused, with_package
+from ..session import scratch_path
+from .common import small_batches, texts, unused, with_package, written
 
 NOISE = re.compile(r"[\W_]+")
 
@@ -220,23 +223,40 @@ class Matcher:
         return out
 
 
-def item_blocks(benchmark: DataFrame, p: Params) -> list[dict[str, list[int]]]:
-    """The items in blocks of bounded size. The rows pass one by one through
-    the driver; each block is shipped on its own."""
-    rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")) \
-        .where("item_id is not null and text is not null").distinct().orderBy("item_id", "text")
-    blocks: list[dict[str, list[int]]] = [{}]
-    size = 0
-    for item_id, text in rows.toLocalIterator():
-        t = normalise(text)
-        if not t:
-            continue
-        if size + len(t) > p.block_chars and blocks[-1]:
-            blocks.append({})
-            size = 0
-        blocks[-1].setdefault(t, []).append(item_id)
-        size += len(t)
-    return blocks
+class Blocks(Sequence):
+    """The items in blocks of about ``block_chars`` characters, on shared
+    storage; only a block that is asked for comes to the driver."""
+
+    def __init__(self, table: DataFrame, n: int) -> None:
+        self.table, self.n = table, n
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, b: int) -> dict[str, list[int]]:
+        if not 0 <= b < self.n:
+            raise IndexError(b)
+        items: dict[str, list[int]] = {}
+        for r in self.table.where(F.pmod(F.xxhash64("text"), F.lit(self.n)) == b).orderBy("item_id", "text").collect():
+            items.setdefault(r.text, []).append(r.item_id)
+        return items
+
+
+def item_blocks(benchmark: DataFrame, p: Params) -> Blocks:
+    """Normalised by the tasks and written once; a block takes the items whose
+    hash falls to it, so equal items share a block."""
+    def run(batches):
+        for whole in batches:
+            for b in small_batches(whole):
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("item_id"), pa.array([normalise(t) for t in b.column("text").to_pylist()], pa.string())],
+                    ["item_id", "text"])
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")) \
+        .where("item_id is not null and text is not null")
+    table = written(with_package(rows).mapInArrow(run, "item_id long, text string").where("text <> ''").distinct(),
+                    "decontam-items")
+    chars = table.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    return Blocks(table, max(1, -(-chars // p.block_chars)))
 
 
 _MATCHERS: dict[str, Matcher] = {}
@@ -255,20 +275,44 @@ ITEMS = "array<struct<item:long,edits:int>>"
 def scan(docs: DataFrame, benchmark: DataFrame, name: str, p: Params = Params()) -> DataFrame:
     """``docs`` (all columns) with the new column ``name``: the items that
     occur, as (item, edits) in the order of the item ids."""
+    blocks = item_blocks(benchmark, p)
+    if len(blocks) > 1:
+        return _scan_blocks(docs, blocks, name, p)
     kind = pa.list_(pa.struct([("item", pa.int64()), ("edits", pa.int32())]))
     out = with_package(docs).withColumn(name, F.lit(None).cast(ITEMS))
-    for items in item_blocks(benchmark, p):
-        def run(batches, items=items, key=uuid.uuid4().hex):
+
+    def run(batches, items=blocks[0], key=uuid.uuid4().hex):
+        own = _matcher(key, items, p)
+        for whole in batches:
+            for b in small_batches(whole):
+                found = [sorted(own.find(normalise(t)).items()) for t in b.column("text").to_pylist()]
+                marks = pa.array([[{"item": i, "edits": e} for i, e in r] for r in found], kind)
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], marks], b.schema.names)
+    return out.mapInArrow(run, out.schema)
+
+
+def _scan_blocks(docs: DataFrame, blocks: Blocks, name: str, p: Params) -> DataFrame:
+    """One pass for each block, so the driver and a task hold one block at a
+    time; the passes store their hits under the documents' stored numbers."""
+    spark, row = docs.sparkSession, unused(docs, "row")
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "decontam-rows")
+    own_texts = with_package(rows).select(F.col(row).alias("row"), "text")
+    path, schema = scratch_path(spark, "decontam-hits"), "row long, item long, edits int"
+    for b in range(len(blocks)):
+        def run(batches, items=blocks[b], key=uuid.uuid4().hex):
             own = _matcher(key, items, p)
             for whole in batches:
-                for b in small_batches(whole):
-                    found = [own.find(normalise(t)) for t in b.column("text").to_pylist()]
-                    rows = [sorted({**{x["item"]: x["edits"] for x in before or ()}, **f}.items())
-                            for before, f in zip(b.column(name).to_pylist(), found)]
-                    marks = pa.array([[{"item": i, "edits": e} for i, e in r] for r in rows], kind)
-                    yield pa.RecordBatch.from_arrays([*b.columns[:-1], marks], b.schema.names)
-        out = out.mapInArrow(run, out.schema)
-    return out
+                for c in small_batches(whole):
+                    hits = [(r, i, e) for r, t in zip(c.column("row").to_pylist(), c.column("text").to_pylist())
+                            for i, e in own.find(normalise(t)).items()]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([h[k] for h in hits], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32()))],
+                        ["row", "item", "edits"])
+        own_texts.mapInArrow(run, schema).write.mode("append").parquet(path)
+    least = spark.read.schema(schema).parquet(path).groupBy("row", "item").agg(F.min("edits").alias("edits"))
+    hits = least.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("item", "edits"))).alias(name)) \
+        .withColumnRenamed("row", row)
+    return rows.join(hits, row, "left").select(*docs.columns, F.coalesce(name, F.array().cast(ITEMS)).alias(name))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:

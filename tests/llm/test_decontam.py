@@ -118,3 +118,16 @@ def whole_distance(a, b):
             new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
         row = new
     return row[-1]
+
+
+def test_blocks_come_one_at_a_time(spark):
+    """No list of all blocks, and a task runs one matcher pass at a time."""
+    bench = spark.createDataFrame([(i, f"{PROSE[i:i + 60]} {i}") for i in range(12)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"say {PROSE[i:i + 60]} {i} end") for i in range(12)], "doc_id long, text string")
+    small = C.Params(block_chars=200)
+    blocks = C.item_blocks(bench, small)
+    assert not isinstance(blocks, list) and len(blocks) > 2
+    assert sorted(i for b in blocks for ids in b.values() for i in ids) == list(range(12))
+    found = C.scan(docs, bench, "items", small)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 0
+    assert {r.doc_id: r["items"] for r in found.collect()} == {r.doc_id: r["items"] for r in C.scan(docs, bench, "items").collect()}
