@@ -5,9 +5,7 @@ import pytest
 
 from homestead.plans.catalog import QUERIES
 from homestead.plans.oracle import ORACLE
-from parity import compare
-
-from conftest import SF01
+from parity import SF01, compare
 
 WITH_ORACLE = [n for n in QUERIES if n in ORACLE]
 WITHOUT_ORACLE = [n for n in QUERIES if n not in ORACLE]

@@ -10,7 +10,7 @@ from homestead.plans.catalog import QUERIES
 from homestead.plans.silver import bronze_to_silver
 from homestead.sources.bronze import read_bronze
 
-from conftest import SF001
+from parity import SF001
 
 PYTHON_OPS = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
 

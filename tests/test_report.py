@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from homestead.plans.catalog import gold_listings
 from homestead.plans.report import market_report
 
-from conftest import SF001
+from parity import SF001
 
 
 def test_report_all_cities(spark):
