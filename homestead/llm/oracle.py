@@ -31,3 +31,45 @@ f AS (SELECT *, CAST((CASE WHEN n_words < 50 THEN 1 ELSE 0 END) + (CASE WHEN 100
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
   failures = 0 AS kept, failures FROM f
 """
+
+ORACLE["op11_line_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+ln AS (SELECT r, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS p FROM d),
+k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM ln),
+h AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+j AS (SELECT k.r, k.p, k.line, h.top IS NOT NULL AND h.top <> k.doc_id AS gone FROM k LEFT JOIN h ON h.key = k.key),
+a AS (SELECT r, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+        coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '') AS kept FROM j GROUP BY r)
+SELECT d.doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_dropped AS BIGINT) AS n_dropped, sha256(kept) AS kept_sha256
+FROM a JOIN d ON d.r = a.r
+"""
+
+ORACLE["op13_collocations"] = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS r,
+        regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+pc AS (SELECT lang, r, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS q FROM d),
+sp AS (SELECT lang, r, q, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pc),
+w AS (SELECT lang, r, q, unnest(ws) AS w1, generate_subscripts(ws, 1) AS p FROM sp),
+g AS (SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM w WINDOW o AS (PARTITION BY r, q ORDER BY p)),
+f1 AS (SELECT lang, w1, count(*) AS f FROM g GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*) AS f FROM g WHERE w2 IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM g WHERE w3 IS NOT NULL GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang),
+c2 AS (SELECT c.lang, c.w1, c.w2, c.f AS a, x.f AS l, y.f AS r, (1000000::HUGEINT * c.f * c.f) // (x.f::HUGEINT * y.f) AS score
+       FROM f2 c JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1 JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w2 WHERE c.f >= 10),
+c3 AS (SELECT c.lang, c.w1, c.w2, c.w3, c.f AS a, x1.f AS l1, y1.f AS r1, x2.f AS l2, y2.f AS r2,
+         (1000000::HUGEINT * c.f * c.f) // (x1.f::HUGEINT * y1.f) AS s1, (1000000::HUGEINT * c.f * c.f) // (x2.f::HUGEINT * y2.f) AS s2
+       FROM f3 c JOIN f1 x1 ON x1.lang = c.lang AND x1.w1 = c.w1 JOIN f2 y1 ON y1.lang = c.lang AND y1.w1 = c.w2 AND y1.w2 = c.w3
+       JOIN f2 x2 ON x2.lang = c.lang AND x2.w1 = c.w1 AND x2.w2 = c.w2 JOIN f1 y2 ON y2.lang = c.lang AND y2.w1 = c.w3
+       WHERE c.f >= 10),
+inside AS (SELECT lang, w1, w2, max(a) AS m FROM (SELECT lang, w1, w2, a FROM c3 UNION ALL SELECT lang, w2, w3, a FROM c3) GROUP BY ALL),
+cand AS (SELECT c2.lang, c2.w1 || ' ' || c2.w2 AS phrase, a, l, r, score FROM c2
+         LEFT JOIN inside i ON i.lang = c2.lang AND i.w1 = c2.w1 AND i.w2 = c2.w2 WHERE NOT coalesce(100 * i.m >= 50 * a, false)
+         UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END,
+           CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2) FROM c3),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM cand)
+SELECT k.lang, k.rank, k.phrase, k.a, k.l, k.r, t.n, CAST(k.score AS BIGINT) AS score
+FROM ranked k JOIN total t ON t.lang = k.lang WHERE k.rank <= 2000
+"""

@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, html_main, idcoder, pii, ppm, quality, sharding, simhash, toxicity
+from . import (bpe, collocations, decontam, html_main, idcoder, line_dedup, pii, ppm, quality, sharding, simhash, toxicity,
+               whitening)
 from .common import read, remainder, texts
 from .oracle import ORACLE  # noqa: F401
 
@@ -93,3 +94,22 @@ def op7_ppm(spark, sf_dir) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return ppm.score_documents(docs, ppm.learning_rows()).select(
         "doc_id", (~ppm.learning_rows()).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op11_line_dedup(spark, sf_dir) -> DataFrame:
+    """Lines of 20 code points or more that three documents hold stay in one."""
+    kept = line_dedup.drop_repeated_lines(texts(read(spark, sf_dir, "documents")), min_chars=20, min_docs=3)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op12_whitening(spark, sf_dir) -> DataFrame:
+    """The 16 leading whitened components of every embedding."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", 16)
+
+
+@query
+def op13_collocations(spark, sf_dir) -> DataFrame:
+    """Each language's 2,000 best phrases of two or three words."""
+    return collocations.mine(read(spark, sf_dir, "documents"), longest=3, least=10, top=2000)

@@ -1,0 +1,105 @@
+import math
+
+import numpy as np
+import pytest
+
+from homestead.llm import whitening
+from homestead.llm.queries import QUERIES
+from parity import SF001
+
+
+def brute(rows, top):
+    """{vec_id: [(deviation, whitened row)]}, n, explained by plain numpy."""
+    kept = [(i, v) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    x = {tuple(math.floor(64 * c) + 1_000_000 for c in v) for _, v in kept}
+    n = len(x)
+    sums = [sum(c) for c in zip(*x)]
+    centred = np.array([[(n * c - s) / n for c, s in zip(v, sums)] for v in sorted(x)])
+    e, u = np.linalg.eigh(centred.T @ centred / n)
+    e, u = e[::-1][:top], u[:, ::-1][:, :top]
+    out = []
+    for i, v in kept:
+        xs = [math.floor(64 * c) + 1_000_000 for c in v]
+        shifted = [n * c - s for c, s in zip(xs, sums)]
+        out.append((i, sum(s * s for s in shifted), np.array([s / n for s in shifted]) @ u / np.sqrt(e)))
+    return out, n, e / np.linalg.eigvalsh(centred.T @ centred / n).sum()
+
+
+def check(got, rows, top):
+    want, n, explained = brute(rows, top)
+    assert len(got) == top * len(want)
+    by_id = {}
+    for r in got:
+        by_id.setdefault(r.vec_id, []).append(r)
+    for i, deviation, white in want:
+        own = sorted(by_id[i], key=lambda r: r.component)
+        assert [r.component for r in own][:: len(own) // top] == list(range(1, top + 1))
+        assert {(r.n, r.deviation) for r in own} == {(n, deviation)}
+        for r in own:
+            assert abs(abs(r.whitened) - abs(white[r.component - 1])) < 1e-8
+            assert abs(r.explained / explained[r.component - 1] - 1) < 1e-8
+    worst = {r.identity_error for r in got}
+    assert len(worst) == 1 and worst.pop() < 1e-9
+
+
+def frame(spark, rows, kind="float"):
+    return spark.createDataFrame([(i, v, "x", 1) for i, v in rows], f"vec_id long, embedding array<{kind}>, n string, x int")
+
+
+def some(rng, n, dim=5):
+    base = rng.normal(size=(n, dim)) @ np.diag(np.arange(dim, 0, -1.0) ** 2)
+    return [(i, [float(np.float32(c)) for c in v]) for i, v in enumerate(base)]
+
+
+def test_whitens_like_numpy_with_bad_rows_and_copies(spark):
+    rows = some(np.random.default_rng(1), 3000)
+    rows += [(7000, None), (7001, [1.0, None, 2.0, 3.0, 4.0]), (7002, [float("nan")] * 5), (7003, [1.0, float("inf"), 0.0, 0.0, 0.0])]
+    rows += [(8000 + i, rows[5][1]) for i in range(1500)]          # one vector in a third of all rows
+    got = whitening.whiten(frame(spark, rows).repartition(6), "vec_id", "embedding", 3).collect()
+    check(got, rows, 3)
+
+
+def test_same_sign_for_all_rows(spark):
+    rows = some(np.random.default_rng(2), 400)
+    got = whitening.whiten(frame(spark, rows).repartition(5), "vec_id", "embedding", 4).collect()
+    want, _, _ = brute(rows, 4)
+    white = {i: w for i, _, w in want}
+    for k in range(4):
+        signs = {np.sign(r.whitened * white[r.vec_id][k]) for r in got if r.component == k + 1 and abs(r.whitened) > 1e-6}
+        assert len(signs) == 1
+
+
+def test_flat_components_few_rows_and_other_lengths(spark):
+    rows = [(i, [float(i % 3), 2.0 * (i % 3), 5.0]) for i in range(30)] + [(99, [1.0]), (100, []), (None, [1.0, 2.0, 5.0])]
+    got = whitening.whiten(frame(spark, rows), "vec_id", "embedding", 16).collect()
+    assert {r.vec_id for r in got} == {*range(30), None} and {r.component for r in got} == {1, 2, 3}
+    assert {r.n for r in got} == {3}
+    assert all(r.whitened == 0 and r.explained == 0 for r in got if r.component > 1)
+    assert all(abs(r.explained - 1) < 1e-12 and r.identity_error < 1e-9 for r in got if r.component == 1)
+    one = whitening.whiten(frame(spark, [(1, [3.0, 4.0]), (2, [3.0, 4.0])]), "vec_id", "embedding", 2).collect()
+    assert [(r.n, r.deviation, r.whitened, r.explained, r.identity_error) for r in one] == [(1, 0, 0.0, 0.0, 0.0)] * 4
+
+
+def test_wide_integers_and_long_deviations(spark):
+    rows = [(i, [float(i) * 1e9, 1.0 / (i + 1), -5e12 * (i % 2)]) for i in range(20)] + [(50, [1e300, 0.0, 0.0])]
+    got = whitening.whiten(frame(spark, rows, "double"), "vec_id", "embedding", 2).collect()
+    assert {r.vec_id for r in got} == set(range(20)) and {r.n for r in got} == {20}
+    assert {r.deviation for r in got} == {None}                   # more than 63 bits
+
+
+def test_empty_table(spark):
+    for rows in ([], [(1, None)], [(1, [])]):
+        got = whitening.whiten(frame(spark, rows), "vec_id", "embedding", 16)
+        assert got.count() == 0 and [f.name for f in got.schema.fields][:3] == ["vec_id", "component", "n"]
+
+
+@pytest.mark.parametrize("values", [[-2**15, 2**15 - 1], [2**15, 0], [-2**31, 5], [2**40, -2**40]])
+def test_packed_integers(values):
+    x = np.array([values, [0, 1]])
+    assert (whitening.unpacked(whitening.packed(x)) == x).all()
+    assert len(set(whitening.packed(np.array([values, values])))) == 1
+
+
+def test_registered_query(spark):
+    table = spark.read.parquet(f"{SF001}/embeddings.parquet")
+    check(QUERIES["op12_whitening"](spark, SF001).collect(), [(r.vec_id, r.embedding) for r in table.collect()], 16)
