@@ -19,12 +19,12 @@ GOLD_INPUT = [c for c in S.SILVER_COLUMNS if c not in (
     "posted_date_str", "expired_date_str")]
 
 
-def dedupe_listings(silver: DataFrame, latest: bool = True) -> DataFrame:
+def dedupe_listings(silver: DataFrame, latest: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per url, with the columns gold is made of. ``latest=True``:
     newest ``crawled_at`` wins, ties broken by those columns (rows equal there
     give equal gold rows); else an arbitrary row. Only these columns are read,
     sorted and shuffled: the scan never touches descriptions or raw texts."""
-    silver = silver.select(*GOLD_INPUT)
+    silver = silver.select(*GOLD_INPUT, *[c for c in keep if c not in GOLD_INPUT])
     if not latest:
         return any_per_key(silver, [S.GOLD_KEY])
     return latest_per_key(silver, [S.GOLD_KEY],
@@ -55,6 +55,29 @@ def enrich(df: DataFrame) -> DataFrame:
     })
 
 
+#: The columns that decide between crawls of one moment, in order.
+TIE = [c for c in GOLD_INPUT if c not in (S.GOLD_KEY, "crawled_at")]
+#: Side columns of the stored gold: when the row's crawl was made, what decides
+#: between equal moments, and the day it landed.
+SIDE = ["_crawled_at", "_tie", "_load"]
+
+
+def gold_rows(silver: DataFrame, loaded_at=None) -> DataFrame:
+    """``silver_to_gold`` with the side columns, from silver with ``load``."""
+    latest = dedupe_listings(silver, keep=("load",))
+    side = {"_crawled_at": F.col("crawled_at"), "_tie": F.struct(*TIE), "_load": F.col("load")}
+    return (enrich(latest.withColumns(side)).select(*S.GOLD_COLUMNS[:-1], *SIDE)
+            .withColumn("gold_loaded_at", load_stamp(loaded_at)).select(*S.GOLD_COLUMNS, *SIDE))
+
+
+def newer(a: str, b: str) -> Column:
+    """Whether crawl ``a`` (a struct of the side columns) comes before crawl
+    ``b`` in gold's order: the later moment (undated last), then the smaller tie."""
+    at, bt = F.col(f"{a}._crawled_at"), F.col(f"{b}._crawled_at")
+    return (F.coalesce(at > bt, at.isNotNull() & bt.isNull())
+            | (at.eqNullSafe(bt) & (F.col(f"{a}._tie") < F.col(f"{b}._tie"))))
+
+
 def silver_to_gold(silver: DataFrame, loaded_at=None, latest: bool = True) -> DataFrame:
     gold = enrich(dedupe_listings(silver, latest=latest))
     return (gold.select(*S.GOLD_COLUMNS[:-1])

@@ -5,18 +5,24 @@ A Parquet path cannot be overwritten while it is being read, so a rewritten
 table goes to a new version directory ``<root>/v=<n>``; Spark's commit
 protocol writes ``_SUCCESS`` last, and readers take the highest committed
 version. A job that dies mid-write leaves an uncommitted directory that no
-reader picks, so a rerun is safe.
+reader picks, so a rerun is safe. A version's checks run on what was written,
+before it is committed.
 
 A keyed table is laid out in a fixed number of hash buckets of its key
 (``v=<n>/bucket=<i>of<m>``). A version then holds only the buckets it rewrote,
 and the table is the newest committed copy of each bucket: an upsert of a
-small batch rewrites the buckets that the batch touches, not the table.
+small batch rewrites the buckets that the batch touches, not the table. A
+publisher names the version it read; if a later one has rewritten any of the
+same buckets, it fails and must plan again, so no rows are lost. Another bucket
+count than the table's is refused.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Iterable
+import json
+import os
+from collections.abc import Callable, Iterable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,7 +56,8 @@ def write_partitioned(df: DataFrame, path: str, part_col: str | tuple[str, ...]
                       dynamic: bool = False, cluster_by_partition: bool = True) -> None:
     """Overwrite a partitioned Parquet table.
 
-    ``dynamic=False`` replaces the whole table (full rebuild); ``dynamic=True``
+    ``dynamic=False`` replaces the whole table (full rebuild) once the new copy
+    is complete, so a job lost midway leaves the old one; ``dynamic=True``
     replaces only the partitions present in ``df`` (incremental runs).
     ``cluster_by_partition`` clusters rows by ``part_col`` before writing so a
     date is written by few tasks instead of one small file per task per date.
@@ -60,10 +67,56 @@ def write_partitioned(df: DataFrame, path: str, part_col: str | tuple[str, ...]
     """
     cols = (part_col,) if isinstance(part_col, str) else part_col
     out = df.hint("rebalance", *cols) if cluster_by_partition else df
-    mode = "dynamic" if dynamic else "static"
-    (out.write.mode("overwrite")
-        .option("partitionOverwriteMode", mode)
-        .partitionBy(*cols).parquet(path))
+    if dynamic:
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
+        return
+    staged = f"{path.rstrip('/')}__new-{os.urandom(4).hex()}"
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*cols).parquet(staged)
+    _swap_in(out.sparkSession, staged, path)
+
+
+def _swap_in(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a complete new copy where the old one was: the old one goes only
+    when the new one stands."""
+    fs, new, jvm = _fs(spark, staged)
+    at, old = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}__old-{os.urandom(4).hex()}")
+    was_there = fs.exists(at)
+    if was_there and not fs.rename(at, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new, at):
+        if was_there:
+            fs.rename(old, at)
+        raise OSError(f"cannot move {staged} to {path}")
+    if was_there:
+        fs.delete(old, True)
+
+
+def replace_days(df: DataFrame, path: str, day_col: str, days: Iterable, more: tuple[str, ...] = ()) -> None:
+    """Make ``df`` all that the table holds of ``days`` (its first partition
+    level ``day_col``): a day that ``df`` has no rows of any more goes. Other
+    days stay as they are. The new days are written whole before any old one goes."""
+    spark, base = df.sparkSession, path.rstrip("/")
+    fs, root, jvm = _fs(spark, base)
+    staged = f"{base}__new-{os.urandom(4).hex()}"
+    cols = (day_col, *more)
+    df.hint("rebalance", *cols).write.partitionBy(*cols).parquet(staged)
+    fs.mkdirs(root)
+    for name in sorted({f"{day_col}={d}" for d in days}):
+        at, new = (jvm.org.apache.hadoop.fs.Path(f"{p}/{name}") for p in (base, staged))
+        if fs.exists(new):
+            _swap_in(spark, new.toString(), at.toString())
+        elif fs.exists(at):
+            fs.delete(at, True)
+    fs.delete(jvm.org.apache.hadoop.fs.Path(staged), True)
+
+
+def partition_days(spark: SparkSession, root: str, part_col: str = "dt") -> list[str]:
+    """Values of the first partition level under ``root``, from the listing."""
+    fs, hroot, _ = _fs(spark, root)
+    if not fs.exists(hroot):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(hroot) if st.isDirectory()]
+    return sorted(n[len(part_col) + 1:] for n in names if n.startswith(f"{part_col}="))
 
 
 # --- versioned tables -------------------------------------------------------
@@ -135,10 +188,12 @@ class PublishConflict(RuntimeError):
 
 
 @contextmanager
-def _claimed_version(spark: SparkSession, root: str):
+def _claimed_version(spark: SparkSession, root: str, base: int | None = None, buckets: Iterable[str] | None = None):
     """The next version number, claimed with a marker file: of two publishers
-    that start from the same version, one fails instead of losing the other's
-    rows. A run that was killed leaves its marker; remove it to go on."""
+    of one version, one fails. With ``base`` (the version that was read, 0 for
+    none), a version after it that has rewritten any of ``buckets`` (all, if
+    not given) is a conflict, too. A run that was killed leaves its marker;
+    remove it to go on."""
     vs = committed_versions(spark, root)
     n = vs[-1] + 1 if vs else 1
     marker = f"{root.rstrip('/')}/_publishing-{n}"
@@ -146,30 +201,82 @@ def _claimed_version(spark: SparkSession, root: str):
     if not fs.createNewFile(hpath):
         raise PublishConflict(f"{marker} exists: another run is publishing version {n}, or died while publishing it")
     try:
-        if n in committed_versions(spark, root):
+        now = committed_versions(spark, root)
+        if n in now:
             raise PublishConflict(f"version {n} of {root} has been published meanwhile")
+        for v in now if base is not None else ():
+            both = set(_bucket_dirs(spark, f"{root.rstrip('/')}/v={v}")).intersection(buckets or ())
+            if v > base and (buckets is None or both):
+                raise PublishConflict(f"version {v} of {root} was published after version {base} was read: plan again")
         yield n
     finally:
         fs.delete(hpath, False)
 
 
-def publish_version(df: DataFrame, root: str, partition_by: str | None = None) -> str:
-    """Write ``df`` as the next version of ``root`` and return its path."""
-    with _claimed_version(df.sparkSession, root) as n:
+def current_version(spark: SparkSession, root: str) -> int:
+    """Number of the newest committed version, 0 if there is none."""
+    return max(committed_versions(spark, root), default=0)
+
+
+def publish_version(df: DataFrame, root: str, partition_by: str | None = None, base: int | None = None,
+                    buckets: Iterable[str] | None = None, check: Callable[[DataFrame], None] | None = None,
+                    note: dict | None = None) -> str:
+    """Write ``df`` as the next version of ``root`` and return its path.
+    ``check`` sees the written rows and raises to refuse them: the version is
+    committed behind it. ``note`` is kept with the version (``last_note``)."""
+    spark = df.sparkSession
+    with _claimed_version(spark, root, base, buckets) as n:
         path = f"{root.rstrip('/')}/v={n}"
-        w = df.write.mode("overwrite")
+        w = df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
         if partition_by:
             w = w.partitionBy(partition_by)
         w.parquet(path)
+        if check is not None:
+            check(spark.read.schema(df.schema).parquet(path))
+        if note is not None:
+            _put(spark, f"{path}/_note.json", json.dumps(note))
+        _put(spark, f"{path}/_SUCCESS", "")
     return path
 
 
-def publish_buckets(df: DataFrame, root: str, key: str, n_buckets: int, keep: int = 2) -> str:
+def _put(spark: SparkSession, path: str, text: str) -> None:
+    fs, hpath, _ = _fs(spark, path)
+    out = fs.create(hpath, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def last_note(spark: SparkSession, root: str, **having) -> dict | None:
+    """The newest version's note that has these entries."""
+    for v in reversed(committed_versions(spark, root)):
+        fs, hpath, jvm = _fs(spark, f"{root.rstrip('/')}/v={v}/_note.json")
+        if fs.exists(hpath):
+            stream = fs.open(hpath)
+            note = json.loads(bytes(stream.readAllBytes()).decode())
+            stream.close()
+            if all(note.get(k) == x for k, x in having.items()):
+                return note
+    return None
+
+
+def assert_bucket_count(spark: SparkSession, root: str, n_buckets: int) -> None:
+    """A table keeps the bucket count that it was made with."""
+    for v in committed_versions(spark, root):
+        for name in _bucket_dirs(spark, f"{root.rstrip('/')}/v={v}"):
+            if int(name.split("of")[1]) != n_buckets:
+                raise ValueError(f"{root} has {int(name.split('of')[1])} buckets, not {n_buckets}")
+
+
+def publish_buckets(df: DataFrame, root: str, key: str, n_buckets: int, keep: int = 2, base: int | None = None,
+                    buckets: Iterable[str] | None = None, check: Callable[[DataFrame], None] | None = None,
+                    note: dict | None = None) -> str:
     """Write whole buckets (every row of each bucket that ``df`` has rows in)
     as the next version; then drop bucket copies that ``keep`` newer committed
     copies supersede."""
     spark = df.sparkSession
-    path = publish_version(df.withColumn("bucket", bucket_of(key, n_buckets)).hint("rebalance", "bucket"), root, "bucket")
+    assert_bucket_count(spark, root, n_buckets)
+    path = publish_version(df.withColumn("bucket", bucket_of(key, n_buckets)).hint("rebalance", "bucket"), root, "bucket",
+                           base, buckets, check, note)
     remove_superseded(spark, root, keep)
     return path
 
