@@ -1,84 +1,177 @@
-"""Incremental bronze -> silver with Structured Streaming.
+"""Incremental bronze -> silver -> gold with Structured Streaming.
 
-``readStream`` picks up only files not yet recorded in the checkpoint, runs
-the same silver transform as the batch job, and commits the Parquet output
-and the source offsets together (exactly-once file sink). With
+``readStream`` picks up only files not yet recorded in the checkpoint. With
 ``trigger(availableNow=True)`` a scheduled run processes everything that has
 landed since the last run in bounded micro-batches and stops; a rerun with
-nothing new adds nothing.
+nothing new adds nothing. Every sink is idempotent: a micro-batch writes its own
+``batch=<id>`` directory, which a replay overwrites, and its gold upsert, which
+compares crawls by recency, carries the batch id with the published version, so
+a replay does not publish twice.
 
-Silver keeps every crawl, in whatever order files arrive: latest-wins dedupe
-belongs to gold. Where a stream must emit each key once, ``first_per_key_stream``
-compares every micro-batch with what has been written, so no row is lost to a
-watermark and no state grows in the executors. Corrupt lines go to a
-quarantine table.
+Silver keeps every crawl, in whatever order files arrive. Micro-batches are
+written by landing day under a ``rebalance`` hint, which Spark plans from the
+batch's measured rows (one writer a day, several for a large one), and sorted by
+crawl date, so the files' statistics prune dates without a directory for each.
+Corrupt lines go to a quarantine table in the same pass.
+
+``first_per_key_stream`` emits each key once from Spark's keyed state (RocksDB):
+the state holds one row's moment per key and forgets it after ``keep_days``, so
+it is bounded by the keys of that time, not by all output so far.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from .. import schemas as S
-from ..operators.keyed import one_per_key
+from ..plans.etl import GOLD_BUCKETS, plan_gold_merge, publish_gold
+from ..plans.gold import GOLD_INPUT
 from ..plans.silver import bronze_to_silver
 from ..sources.bronze import corrupt_rows
+from ..sources.tables import last_note
 
-#: Files of one micro-batch, and writer tasks of one date in it.
+#: Files of one micro-batch.
 MAX_FILES = 1000
-WRITERS_PER_DATE = 8
+#: Days that the state of ``first_per_key_stream`` keeps a key.
+KEEP_DAYS = 400
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def bronze_stream(spark: SparkSession, root: str, max_files_per_trigger: int = MAX_FILES) -> DataFrame:
-    return (spark.readStream.schema(S.BRONZE_SCHEMA)
+    """Landed documents with their landing day ``load`` (from the path)."""
+    return (spark.readStream.schema(T.StructType([*S.BRONZE_SCHEMA.fields, T.StructField("dt", T.DateType())]))
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", "_corrupt_record")
             .option("maxFilesPerTrigger", max_files_per_trigger)
-            .json(root))
+            .json(root).withColumnRenamed("dt", "load"))
 
 
-def _run(query) -> None:
+def _run(writer) -> None:
+    query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
 
 
+def _good(bronze: DataFrame) -> DataFrame:
+    return bronze_to_silver(bronze.filter(F.col("_corrupt_record").isNull()), keep=("load",))
+
+
+def _write_silver(batch: DataFrame, number: int, silver_path: str, quarantine: str | None) -> str:
+    """The micro-batch's silver rows as its own directory of the table."""
+    at = f"{silver_path.rstrip('/')}/batch={number}"
+    _good(batch).hint("rebalance", "load").sortWithinPartitions("load", "dt").write.mode("overwrite").partitionBy("load").parquet(at)
+    if quarantine is not None:
+        corrupt_rows(batch).write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/batch={number}")
+    return at
+
+
 def ingest_bronze_stream(spark: SparkSession, bronze_root: str, silver_path: str,
                          checkpoint: str, max_files_per_trigger: int = MAX_FILES,
-                         writers_per_date: int = WRITERS_PER_DATE, quarantine: str | None = None) -> None:
-    """Run one availableNow pass of bronze -> silver and wait for it. With
-    ``quarantine``, a second pass over the same files keeps the corrupt lines."""
-    def raw():
-        return bronze_stream(spark, bronze_root, max_files_per_trigger)
-    silver = bronze_to_silver(raw().filter(F.col("_corrupt_record").isNull()))
-    # few writers per date and micro-batch, and a hot date is shared by several
-    spread = silver.repartition("dt", F.pmod(F.xxhash64(S.GOLD_KEY), F.lit(writers_per_date)))
-    _run(spread.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-         .partitionBy("dt").trigger(availableNow=True).start(silver_path))
-    if quarantine is not None:
-        _run(corrupt_rows(raw()).writeStream.format("parquet")
-             .option("checkpointLocation", f"{checkpoint.rstrip('/')}_quarantine")
-             .trigger(availableNow=True).start(quarantine))
+                         quarantine: str | None = None) -> None:
+    """Run one availableNow pass of bronze -> silver and wait for it."""
+    def write(batch: DataFrame, number: int) -> None:
+        _write_silver(batch, number, silver_path, quarantine)
+    _run(bronze_stream(spark, bronze_root, max_files_per_trigger).writeStream.foreachBatch(write)
+         .option("checkpointLocation", checkpoint))
+
+
+def upsert_batch(silver: DataFrame, number: int, gold_root: str, stream: str = "bronze", loaded_at=None,
+                 n_buckets: int = GOLD_BUCKETS) -> bool:
+    """Upsert one micro-batch's silver rows (with ``load``) into gold by
+    recency, once: False if this batch of this stream is in gold already."""
+    spark = silver.sparkSession
+    done = last_note(spark, gold_root, stream=stream)
+    if done is not None and done["batch"] >= number:
+        return False
+    plan = plan_gold_merge(spark, None, gold_root, loaded_at=loaded_at, n_buckets=n_buckets, recency=True,
+                           silver=silver.select(*GOLD_INPUT, "load"))
+    if plan.buckets:
+        publish_gold(spark, plan, gold_root, n_buckets, note={"stream": stream, "batch": number})
+    return True
+
+
+def stream_to_gold(spark: SparkSession, bronze_root: str, silver_path: str, gold_root: str, checkpoint: str,
+                   max_files_per_trigger: int = MAX_FILES, quarantine: str | None = None, stream: str = "bronze",
+                   loaded_at=None, n_buckets: int = GOLD_BUCKETS) -> None:
+    """One availableNow pass of bronze -> silver -> gold and wait for it: each
+    micro-batch is kept in silver and then upserted into gold from there."""
+    def write(batch: DataFrame, number: int) -> None:
+        at = _write_silver(batch, number, silver_path, quarantine)
+        session = batch.sparkSession
+        silver = session.read.schema(_silver_schema(batch)).parquet(at)
+        upsert_batch(silver, number, gold_root, stream, loaded_at, n_buckets)
+    _run(bronze_stream(spark, bronze_root, max_files_per_trigger).writeStream.foreachBatch(write)
+         .option("checkpointLocation", checkpoint))
+
+
+def _silver_schema(batch: DataFrame) -> T.StructType:
+    return _good(batch).schema
+
+
+def first_of_key(keep_ms: int) -> StatefulProcessor:
+    """A processor that emits a key's first row (of one micro-batch, the first
+    by all columns) and remembers the key for ``keep_ms``. It is made in here so
+    that it travels to Spark's workers by value."""
+    def order(row: Row) -> tuple:
+        """All columns ascending, nulls first and NaN last, as Spark sorts."""
+        return tuple((0, 0) if v is None else (2, 0) if v != v else (1, v) for v in row)
+
+    class FirstOfKey(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.seen = handle.getValueState("seen", "since_ms long")
+
+        def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+            best = min(rows, key=order)
+            if not self.seen.exists():
+                now = timerValues.getCurrentProcessingTimeInMs()
+                self.seen.update((now,))
+                self.handle.registerTimer(now + keep_ms)
+                yield best
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+            self.seen.clear()
+            return iter(())
+
+        def close(self) -> None:
+            pass
+    return FirstOfKey()
 
 
 def first_per_key_stream(spark: SparkSession, bronze_root: str, out_path: str, checkpoint: str,
-                         key: str = S.GOLD_KEY, max_files_per_trigger: int = MAX_FILES) -> None:
+                         key: str = S.GOLD_KEY, max_files_per_trigger: int = MAX_FILES,
+                         keep_days: float = KEEP_DAYS) -> None:
     """One availableNow pass that writes each key's first arrival once (of one
-    micro-batch, one deterministic row per key). A retried micro-batch
-    overwrites its own ``batch`` directory."""
+    micro-batch, the first by all columns). A key that arrives again more than
+    ``keep_days`` after its first arrival is written again; rows without a key
+    are not written. Nothing is compared with crawl dates, so no late row is lost."""
+    silver = _good(bronze_stream(spark, bronze_root, max_files_per_trigger)).filter(F.col(key).isNotNull())
+    first = silver.groupBy(key).transformWithState(
+        first_of_key(int(keep_days * 86_400_000)), silver.schema, outputMode="Append", timeMode="ProcessingTime")
+
     def write(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
-        new = one_per_key(batch, [key])
-        try:
-            before = session.read.parquet(out_path).filter(F.col("batch") < number).select(key)
-        except Exception as exc:
-            if "PATH_NOT_FOUND" not in str(exc):
-                raise
-            before = None
-        if before is not None:
-            new = new.join(before, key, "left_anti")
-        new.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={number}")
-    silver = bronze_to_silver(bronze_stream(spark, bronze_root, max_files_per_trigger)
-                              .filter(F.col("_corrupt_record").isNull()))
-    _run(silver.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+        batch.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={number}")
+    # with timers Spark would run empty micro-batches for ever under availableNow: they run with the next data
+    with _settings(spark, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+                           "spark.sql.streaming.noDataMicroBatches.enabled": "false"}):
+        _run(first.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the start of one query."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

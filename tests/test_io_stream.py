@@ -198,6 +198,8 @@ def test_streams_lose_nothing_whatever_the_batch_size(spark, files):
     first_per_key_stream(spark, f"{root}/bronze", f"{root}/once", f"{root}/ck1", max_files_per_trigger=files)
     urls = sorted(r.url[-1] for r in spark.read.parquet(f"{root}/once").collect())
     assert urls == ["a", "b", "c"]
+    if files == 1:                                         # of url a, the crawl that came first
+        assert str(spark.read.parquet(f"{root}/once").filter("url like '%/a'").first().crawled_at) == "2026-05-20 10:00:00"
     ingest_bronze_stream(spark, f"{root}/bronze", f"{root}/silver", f"{root}/ck2", max_files_per_trigger=files,
                          quarantine=f"{root}/bad")
     assert sorted(r.url[-1] for r in spark.read.parquet(f"{root}/silver").collect()) == ["a", "a", "b", "c"]
@@ -206,18 +208,39 @@ def test_streams_lose_nothing_whatever_the_batch_size(spark, files):
     assert spark.read.parquet(f"{root}/once").count() == 3
 
 
-@pytest.mark.parametrize("name", ["stream_ingest", "stream_dedupe"])
-def test_registered_streams_in_small_batches(spark, monkeypatch, name):
-    from homestead.plans.catalog import QUERIES
-    from homestead.plans.oracle import ORACLE
-    from homestead.streaming import ingest
-    from parity import compare, duck
-    for f in (ingest.ingest_bronze_stream, ingest.first_per_key_stream):
-        d = list(f.__defaults__)
-        monkeypatch.setattr(f, "__defaults__", tuple(20 if x == ingest.MAX_FILES else x for x in d))
-    sf = "/root/testdata/sf0.001"
-    res = compare(QUERIES[name](spark, sf), duck(sf), ORACLE[name])
-    assert res["values_match"], res
+def test_keys_leave_the_state_after_their_time(spark):
+    """A key that comes again after ``keep_days`` is written again: the state is bounded."""
+    root = scratch()
+    write_docs(f"{root}/bronze", "2026-06-01", [DOC])
+    args = (spark, f"{root}/bronze", f"{root}/once", f"{root}/ck")
+    first_per_key_stream(*args, keep_days=1e-6)
+    write_docs(f"{root}/bronze", "2026-06-02", [dict(DOC, url="https://site.example/other")])
+    first_per_key_stream(*args, keep_days=1e-6)            # its timer has run out by now
+    write_docs(f"{root}/bronze", "2026-06-03", [DOC])
+    first_per_key_stream(*args, keep_days=1e-6)
+    assert spark.read.parquet(f"{root}/once").count() == 3
+
+
+def test_stream_to_gold_equals_batch_and_replays_once(spark):
+    from homestead.plans.etl import read_gold
+    from homestead.streaming.ingest import stream_to_gold, upsert_batch
+    root, full = scratch(), scratch()
+    _out_of_order_files(root)
+    write_docs(f"{root}/bronze", "2026-06-05", [dict(DOC, url="https://site.example/a", crawled_at=None),
+                                                dict(DOC, url="https://site.example/b", crawled_at="2020-01-01T00:00:00")])
+    for _ in range(2):
+        stream_to_gold(spark, f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/ck", 2, f"{root}/bad",
+                       loaded_at="2026-06-01 02:00:00")
+    run_etl(spark, f"{root}/bronze", f"{full}/silver", f"{full}/gold", loaded_at="2026-06-01 02:00:00")
+    want = sorted(map(str, read_gold(spark, f"{full}/gold").collect()))
+    assert sorted(map(str, read_gold(spark, f"{root}/gold").collect())) == want
+    versions = committed_versions(spark, f"{root}/gold")
+    silver = spark.read.parquet(f"{root}/silver")
+    assert [upsert_batch(silver.filter(F.col("batch") == n), n, f"{root}/gold", loaded_at="2026-06-09 00:00:00") for n in (0, 2)] == [False, False]
+    assert upsert_batch(silver.filter("batch = 0"), 0, f"{root}/gold", "another stream", loaded_at="2026-06-01 02:00:00")
+    assert sorted(map(str, read_gold(spark, f"{root}/gold").collect())) == want
+    assert committed_versions(spark, f"{root}/gold") == versions + [versions[-1] + 1]
+    assert [r._corrupt_record for r in spark.read.parquet(f"{root}/bad").collect()] == ["{nope"]
 
 
 def test_landed_json_keeps_non_ascii(spark):
