@@ -628,6 +628,60 @@ def etl_incremental_gold(spark, sf_dir):
     return read_versioned(spark, f"{_two_landings(spark, sf_dir)}/gold").select(*S.GOLD_COLUMNS)
 
 
+def _line(df_col="short_info"):
+    """Line number of a crawl, from its bedrooms field."""
+    return F.split(F.element_at(df_col, "Phòng ngủ"), " ")[0].cast("int")
+
+
+def _late_landings(spark, sf_dir) -> str:
+    """Four runs: new crawls, older ones, the same landing corrected (it held
+    crawls too many), then undated and late ones. Third lines are undated, the
+    others are dated to the first of their month."""
+    from .etl import run_etl
+    root = scratch_path(spark, "etl-late")
+    docs = listing_bronze(spark, sf_dir)
+    month = F.concat(F.substring("crawled_at", 1, 7), F.lit("-01"), F.expr("substring(crawled_at, 11)"))
+    docs = docs.withColumn("crawled_at", F.when(_line() == 3, F.lit(None).cast("string")).otherwise(month))
+    args = (f"{root}/bronze", f"{root}/silver", f"{root}/gold")
+
+    def landed(day, first, last):
+        some = docs.filter(_line().between(first, last))
+        some.drop("_corrupt_record").write.mode("overwrite").json(f"{root}/bronze/dt={day}")
+        run_etl(spark, *args, loaded_at=LOAD_STAMP, incremental=day != "2026-01-01", since=None if day == "2026-01-01" else day)
+    landed("2026-01-01", 5, 99)
+    landed("2026-01-02", 1, 4)
+    landed("2026-01-02", 1, 2)
+    landed("2026-01-03", 3, 4)
+    return root
+
+
+@query
+def etl_rerun(spark, sf_dir):
+    """Silver after a landing was corrected to fewer documents, and
+    after late and undated ones, equals a full rebuild."""
+    from ..sources.tables import read_partitioned
+    return read_partitioned(spark, f"{_late_landings(spark, sf_dir)}/silver").select(*S.SILVER_COLUMNS)
+
+
+@query
+def etl_late_gold(spark, sf_dir):
+    """And so does gold, merged by recency: no run reads old silver."""
+    from .etl import read_gold
+    return read_gold(spark, f"{_late_landings(spark, sf_dir)}/gold")
+
+
+def _landed_by_line(spark, sf_dir, name, step) -> str:
+    """Root with the crawls landed in order from the last lines to the first,
+    ``step`` line numbers a landing: crawl dates come out of order."""
+    from ..sources.bronze import land_bronze
+    root = scratch_path(spark, name)
+    docs = _written(spark, listing_bronze(spark, sf_dir).withColumn("_line", _line()), f"{name}-docs")
+    for i, last in enumerate(range(7, 0, -step)):
+        some = docs.filter(F.col("_line").between(last - step + 1, last if i else 99)).drop("_line")
+        land_bronze(some, f"{root}/bronze", day=f"2026-01-{i + 1:02d}")
+    return root
+
+
 @query
 def stream_ingest(spark, sf_dir):
     """Bronze JSON, ingested by an availableNow stream into silver
@@ -640,12 +694,67 @@ def stream_ingest(spark, sf_dir):
 
 @query
 def stream_dedupe(spark, sf_dir):
-    """A stream that writes each url once (which crawl comes first is
-    arrival order, so the registered output is the set of urls)."""
+    """A stream that writes each url's first arrival, one file a
+    micro-batch, from Spark's keyed state; a restart adds nothing."""
     from ..streaming.ingest import first_per_key_stream
-    root = _landed(spark, sf_dir, "stream-dedupe")
-    first_per_key_stream(spark, f"{root}/bronze", f"{root}/silver", f"{root}/_checkpoint")
-    return spark.read.parquet(f"{root}/silver").select("url")
+    root = _landed_by_line(spark, sf_dir, "stream-dedupe", 2)
+    for _ in range(2):
+        first_per_key_stream(spark, f"{root}/bronze", f"{root}/silver", f"{root}/_checkpoint", max_files_per_trigger=1)
+    return spark.read.parquet(f"{root}/silver").select(*S.SILVER_COLUMNS)
+
+
+@query
+def stream_gold(spark, sf_dir):
+    """A stream from bronze over silver to gold, one file a micro-batch,
+    each upserted once by recency; the last batch is replayed."""
+    from ..streaming.ingest import stream_to_gold, upsert_batch
+    from .etl import read_gold
+    root = _landed_by_line(spark, sf_dir, "stream-gold", 3)
+    stream_to_gold(spark, f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/_checkpoint",
+                   max_files_per_trigger=1, loaded_at=LOAD_STAMP)
+    silver = spark.read.parquet(f"{root}/silver")
+    last = silver.agg(F.max("batch")).first()[0]
+    if last is not None:
+        upsert_batch(silver.filter(F.col("batch") == last), last, f"{root}/gold", loaded_at=LOAD_STAMP)
+    return read_gold(spark, f"{root}/gold")
+
+
+# --- the queue as a log with leases (S6, W9, L6) ------------------------------------------
+
+def _queue_log(spark, sf_dir) -> str:
+    """The orders' urls enqueued, those of finished orders landed."""
+    from ..operators import queue_log as QL
+    root = scratch_path(spark, "queue-log")
+    urls = _frontier(spark, sf_dir)
+    QL.enqueue(urls, root)
+    QL.land(urls.filter(F.col("status") == S.CRAWLED), root)
+    return root
+
+
+@query
+def queue_log_state(spark, sf_dir):
+    """Landings are appended, the log is compacted in between; the
+    state is the queue with their urls crawled."""
+    from ..operators import queue_log as QL
+    root = _queue_log(spark, sf_dir)
+    QL.compact(spark, root)
+    QL.land(_t(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == "F")
+            .select(F.concat(F.lit(URL_PREFIX), F.col("l_orderkey").cast("string")).alias("url")), root)
+    return QL.state(spark, root).select("url", "status", "created_at")
+
+
+@query
+def queue_take_leased(spark, sf_dir):
+    """Two takes share no live lease; half of the first take's urls land,
+    and when the leases have run out the rest are taken again."""
+    import datetime as dt
+    from ..operators import queue_log as QL
+    root, start, hour = _queue_log(spark, sf_dir), dt.datetime(2026, 1, 1), dt.timedelta(hours=1)
+    first = QL.take(spark, root, 10, "a", start, hour)
+    second = QL.take(spark, root, 10, "b", start + hour / 2, hour)
+    QL.land(first.orderBy("created_at", "url").limit(5), root)
+    third = QL.take(spark, root, 10, "c", start + 2 * hour, hour)
+    return first.unionByName(second).unionByName(third)
 
 
 # --- extraction from listing markup (H1–H7) and the crawl rounds --------------------------

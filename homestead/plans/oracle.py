@@ -422,7 +422,33 @@ ORACLE["etl_incremental_gold"] = GOLD_SQL
 
 ORACLE["stream_ingest"] = SILVER_SQL
 
-ORACLE["stream_dedupe"] = f"WITH silver AS ({SILVER_SQL}) SELECT DISTINCT url FROM silver"
+LINE = "CAST(regexp_extract(bedrooms_raw, '^[0-9]+') AS INTEGER)"
+ORACLE["stream_dedupe"] = f"""
+WITH silver AS ({SILVER_SQL}), a AS (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY CASE WHEN {LINE} > 5 THEN 1 WHEN {LINE} > 3 THEN 2 WHEN {LINE} > 1 THEN 3 ELSE 4 END,
+    title NULLS FIRST, address NULLS FIRST, address_line_2 NULLS FIRST, description NULLS FIRST, crawled_at NULLS FIRST,
+    price_raw NULLS FIRST, price_per_m2_raw NULLS FIRST, area_raw NULLS FIRST, bedrooms_raw NULLS FIRST) AS place FROM silver)
+SELECT * EXCLUDE (place) FROM a WHERE place = 1
+"""
+
+ORACLE["stream_gold"] = GOLD_SQL
+
+UNDATED = "CASE WHEN l_linenumber = 3 THEN NULL ELSE strftime(l_shipdate, '%Y-%m-01T') || lpad(CAST(l_linenumber AS VARCHAR), 2, '0') || ':00:00' END AS crawled_at_text"
+DATED = "strftime(l_shipdate, '%Y-%m-%dT') || lpad(CAST(l_linenumber AS VARCHAR), 2, '0') || ':00:00' AS crawled_at_text"
+
+ORACLE["etl_rerun"] = SILVER_SQL.replace(DATED, UNDATED)
+
+ORACLE["etl_late_gold"] = GOLD_SQL.replace(DATED, UNDATED)
+
+ORACLE["queue_log_state"] = ORACLE["update_status"]
+
+ORACLE["queue_take_leased"] = f"""
+WITH p AS (SELECT url, created_at, row_number() OVER (ORDER BY created_at ASC NULLS LAST, url) AS k
+  FROM ({FRONTIER_SQL}) WHERE status = 'pending')
+SELECT url, created_at, 'a' AS owner, TIMESTAMP '2026-01-01 01:00:00' AS until FROM p WHERE k BETWEEN 1 AND 10
+UNION ALL SELECT url, created_at, 'b', TIMESTAMP '2026-01-01 01:30:00' FROM p WHERE k BETWEEN 11 AND 20
+UNION ALL SELECT url, created_at, 'c', TIMESTAMP '2026-01-01 03:00:00' FROM p WHERE k BETWEEN 6 AND 15
+"""
 
 # The driver pages carry one <h1> and one <div class="ad"> without nested
 # markup, so the tree parser's output is also expressible with regexes here.
