@@ -8,8 +8,8 @@
    where they are frequent.
 2. When the trie holds more than HOLD entries, its largest subtrees are spilled
    whole until half is left; each becomes sorted runs, one for every prefix
-   partition it has phrases of. A run carries its own word list, columns of word
-   numbers and counts, compressed.
+   partition it has phrases of. A run carries its own word list and columns of
+   word numbers and counts (the shuffle compresses it).
 3. A prefix partition is named by the hash of language and first two words, and
    four bits of the third, so even the followers of one very common pair lie in
    sixteen partitions. Runs travel by that number; a task merges those of its
@@ -28,7 +28,6 @@ stretches of STRETCH words that overlap, so none of its phrases is lost.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,8 +42,8 @@ LONGEST = 3                             # words of a phrase that a code holds
 BITS = 21                               # bits of a word id in a code
 WORD = (1 << BITS) - 1
 MOST_WORDS = WORD                       # of a word list
-BURST, OWN_NODE = 1 << 16, 1 << 12      # entries that burst a container; that earn a word its node
-HOLD = 1 << 20                          # entries of a task's tries before one spills
+BURST, OWN_NODE = 1 << 17, 1 << 12      # entries that burst a container; that earn a word its node
+HOLD = 3 << 19                          # entries of a task's tries before one spills
 WORDS_HELD = 1 << 20                    # words in their word lists before one begins anew
 STRETCH = 1 << 18                       # words counted at once
 SLICES = 16                             # of a language when its best are ranked
@@ -64,6 +63,44 @@ class Words(dict):
         return n
 
 
+class HashContainer:
+    """Counts of phrase codes as an array hash: entries lie in arrays by slot,
+    that is in order of a multiplicative (so reversible) hash of the code. New
+    entries wait until they outnumber those in place, then all are merged."""
+
+    __slots__ = ("keys", "counts", "fresh", "waiting")
+    FACTOR = U64(0x9E3779B97F4A7C15)
+    INVERSE = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+    def __init__(self, codes=(), counts=()) -> None:
+        self.keys, self.counts, self.fresh, self.waiting = np.zeros(0, U64), np.zeros(0, np.int64), [], 0
+        if len(codes):
+            self.add(codes, counts)
+
+    def __len__(self) -> int:
+        return len(self.keys) + self.waiting
+
+    def add(self, codes: np.ndarray, counts: np.ndarray) -> None:
+        self.fresh.append((codes.view(U64) * self.FACTOR, counts))
+        self.waiting += len(codes)
+        if self.waiting > max(4096, len(self.keys)):
+            self.merge()
+
+    def merge(self) -> None:
+        if self.fresh:
+            keys = np.concatenate([self.keys, *[k for k, _ in self.fresh]])
+            counts = np.concatenate([self.counts, *[c for _, c in self.fresh]])
+            order = np.argsort(keys)
+            keys, counts = keys[order], counts[order]
+            first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            self.keys, self.counts = keys[first], np.add.reduceat(counts, first)
+            self.fresh, self.waiting = [], 0
+
+    def entries(self) -> tuple[np.ndarray, np.ndarray]:
+        self.merge()
+        return (self.keys * self.INVERSE).view(np.int64), self.counts
+
+
 class Node:
     """A trie node at ``depth``: children by the word id at that depth, and one
     hash container for the phrases of all other words."""
@@ -71,9 +108,9 @@ class Node:
     __slots__ = ("depth", "children", "rest", "burst_at")
 
     def __init__(self, depth: int) -> None:
-        self.depth, self.children, self.rest, self.burst_at = depth, {}, {}, BURST
+        self.depth, self.children, self.rest, self.burst_at = depth, {}, HashContainer(), BURST
 
-    def add(self, codes: list[int] | np.ndarray, counts: np.ndarray) -> None:
+    def add(self, codes: np.ndarray, counts: np.ndarray) -> None:
         """Add sorted distinct codes with their counts."""
         if self.children:
             mine = np.ones(len(codes), bool)
@@ -85,34 +122,30 @@ class Node:
                     child.add(codes[a:b], counts[a:b])
                     mine[a:b] = False
             codes, counts = codes[mine], counts[mine]
-        held = self.rest
-        get = held.get
-        for code, count in zip(codes.tolist(), counts.tolist()):
-            held[code] = get(code, 0) + count
-        if len(held) > self.burst_at and self.depth < LONGEST - 1:
+        if len(codes):
+            self.rest.add(codes, counts)
+        if len(self.rest) > self.burst_at and self.depth < LONGEST - 1:
             self.burst()
 
     def burst(self) -> None:
-        shift = BITS * (LONGEST - 1 - self.depth)
-        at = np.fromiter(self.rest, np.int64, len(self.rest)) >> shift & WORD
-        words, sizes = np.unique(at, return_counts=True)
-        earned = set(words[sizes >= OWN_NODE].tolist()) - {0}
-        for word in earned:
-            self.children[word] = Node(self.depth + 1)
-        if earned:
-            rest = {}
-            for code, count in self.rest.items():
-                word = code >> shift & WORD
-                (self.children[word].rest if word in earned else rest)[code] = count
-            self.rest = rest
+        codes, counts = self.rest.entries()
+        at = codes >> BITS * (LONGEST - 1 - self.depth) & WORD
+        order = np.argsort(at, kind="stable")
+        words, starts, sizes = np.unique(at[order], return_index=True, return_counts=True)
+        earned = (sizes >= OWN_NODE) & (words > 0)
+        for word, a, n in zip(words[earned].tolist(), starts[earned].tolist(), sizes[earned].tolist()):
+            child = self.children[word] = Node(self.depth + 1)
+            child.rest = HashContainer(codes[order[a:a + n]], counts[order[a:a + n]])
+        if earned.any():
+            stays = ~np.isin(at, words[earned])
+            self.rest = HashContainer(codes[stays], counts[stays])
         self.burst_at = max(BURST, 2 * len(self.rest))          # few repeats: look again when it has doubled
 
     def size(self) -> int:
         return len(self.rest) + sum(c.size() for c in self.children.values())
 
     def entries(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        n = len(self.rest)
-        yield np.fromiter(self.rest.keys(), np.int64, n), np.fromiter(self.rest.values(), np.int64, n)
+        yield self.rest.entries()
         for child in self.children.values():
             yield from child.entries()
 
@@ -190,7 +223,7 @@ class PhraseTrie:
         if self.size > most:                                    # the words without a node of their own go together
             self.size -= len(self.root.rest)
             pieces.append(next(self.root.entries()))
-            self.root.rest, self.root.burst_at = {}, BURST
+            self.root.rest, self.root.burst_at = HashContainer(), BURST
         yield from self.runs(pieces)
 
     def runs(self, pieces: list) -> Iterator[tuple[int, bytes]]:
@@ -202,9 +235,11 @@ class PhraseTrie:
         if len(self.words) > len(self.hashes):
             new = list(self.words)[len(self.hashes):]
             self.hashes = np.concatenate([self.hashes, word_hash(self.lang, new)])
+        order = np.argsort(codes)
+        codes, counts = codes[order], counts[order]
         w = [codes >> BITS * (LONGEST - 1 - k) & WORD for k in range(LONGEST)]
         part = partition_of(self.hashes, *w, self.parts)
-        order = np.lexsort((codes, part))
+        order = np.argsort(part.astype(np.min_scalar_type(self.parts)), kind="stable")
         cuts = np.flatnonzero(np.r_[True, np.diff(part[order]) > 0, True])
         names = list(self.words)
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
@@ -227,27 +262,28 @@ class PhraseTrie:
 
 def write_run(lang: str, names: list[bytes], w: list[np.ndarray], counts: np.ndarray) -> bytes:
     """A run: its words, the places of each phrase's words among them (0: none)
-    with the first column as differences, and the counts."""
-    used, at = np.unique(np.concatenate(w), return_inverse=True)
-    used, at = (used, at) if used[0] == 0 else (np.r_[0, used], at + 1)
-    cols = at.reshape(len(w), -1).astype("<u4")
-    words = b"\n".join([names[i] for i in used[1:].tolist()])
-    head = lang.encode()
-    body = np.concatenate([np.diff(cols[0].astype(np.int64), prepend=0).astype("<i4").view("<u4"), *cols[1:],
-                           np.minimum(counts, (1 << 32) - 1).astype("<u4")])
-    planes = body.view(np.uint8).reshape(-1, 4).T.tobytes()
-    sizes = np.array([len(head), len(words), len(counts)], "<u4").tobytes()
-    return sizes + zlib.compress(head + words + planes, 1)
+    and the counts, each in the narrowest unsigned integers."""
+    flags = np.zeros(len(names), bool)
+    for x in w:
+        flags[x] = True
+    flags[0] = True
+    used = np.flatnonzero(flags)
+    kind = 2 if len(used) <= 1 << 16 else 4
+    place = np.zeros(len(names), f"<u{kind}")
+    place[used] = np.arange(len(used))
+    words, head = b"\n".join([names[i] for i in used[1:].tolist()]), lang.encode()
+    wide = next(k for k in (1, 2, 4, 8) if int(counts.max()) < 1 << 8 * k)
+    return b"".join([np.array([len(head), len(words), len(counts), kind, wide], "<u4").tobytes(), head, words,
+                     *[place[x].tobytes() for x in w], counts.astype(f"<u{wide}").tobytes()])
 
 
 def read_run(run: bytes) -> tuple[str, list[bytes], np.ndarray, np.ndarray]:
     """(lang, words from place 1 on, places by column, counts)."""
-    a, b, n = np.frombuffer(run, "<u4", 3).tolist()
-    raw = zlib.decompress(memoryview(run)[12:])
-    body = np.frombuffer(raw, np.uint8, offset=a + b).reshape(4, -1).T.copy().view("<u4").reshape(-1, n)
-    w = body[:LONGEST].astype(np.int64)
-    w[0] = np.cumsum(body[0].view("<i4").astype(np.int64))
-    return raw[:a].decode(), raw[a:a + b].split(b"\n"), w, body[LONGEST].astype(np.int64)
+    a, b, n, kind, wide = np.frombuffer(run, "<u4", 5).tolist()
+    at = 20 + a + b
+    w = np.frombuffer(run, f"<u{kind}", LONGEST * n, at).reshape(LONGEST, n)
+    counts = np.frombuffer(run, f"<u{wide}", n, at + LONGEST * n * kind)
+    return run[20:20 + a].decode(), run[20 + a:at].split(b"\n"), w, counts.astype(np.int64)
 
 
 class Merger:
@@ -258,7 +294,7 @@ class Merger:
 
     def add(self, words: list[bytes], w: np.ndarray, counts: np.ndarray) -> None:
         ids = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
-        own = np.r_[0, ids]
+        own = np.r_[0, ids].astype(np.int32)
         self.held.append((own[w], counts))
         self.size += len(counts)
         if self.size > self.merge_at:
@@ -269,7 +305,7 @@ class Merger:
         w = np.concatenate([x for x, _ in self.held], axis=1)
         counts = np.concatenate([c for _, c in self.held])
         if len(self.words) <= WORD:
-            order = np.argsort(w[0] << 2 * BITS | w[1] << BITS | w[2])
+            order = np.argsort(w[0].astype(np.int64) << 2 * BITS | w[1].astype(np.int64) << BITS | w[2])
         else:
             order = np.lexsort(w[::-1])
         w, counts = w[:, order], counts[order]
