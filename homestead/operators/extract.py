@@ -39,9 +39,11 @@ def _markup(html) -> Column:
 
 
 def _attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute, quoted or not; "" when absent."""
-    head = r"(?i)\s" + name + r"\s*=\s*"
-    return F.concat(*[F.regexp_extract(tag, head + p, 1) for p in (r'"([^"]*)"', r"'([^']*)'", r"([^\s\"'>]+)")])
+    """Value of a tag's attribute, quoted or not; "" when absent. Quoted values
+    before it are passed over whole, so a name inside one is no attribute."""
+    value = F.regexp_extract(tag, r"""(?is)^<\w+(?:[^"'>]*(?:"[^"]*"|'[^']*'))*?[^"'>]*?\s""" + name
+                             + r"""\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+    return F.regexp_replace(value, r"""(?s)^(["'])(.*)\1$""", "$2")
 
 
 def unescape_basic(c) -> Column:

@@ -156,6 +156,18 @@ def test_extract_documents_to_silver(spark):
     assert [r.link for r in links] == ["https://site.example/p1"]
 
 
+def test_attribute_values_hold_no_attributes(spark):
+    """The built-in path and the parser agree on names inside quoted values."""
+    tags = ["""<a title=" href='x'" href="/y">l</a>""", """<a data-q='a href="n" b' class="L" HREF=/u>l</a>""",
+            """<a title=">" href='/g?a=1&amp;b=2'>l</a>""", """<a hreflang="en" data-href="/no" href = "/s p">l</a>""",
+            """<a title="href=/no">l</a>""", """<a href="">l</a>""", "<a\nhref='/nl'\ntitle=\"t\">l</a>"]
+    pages = spark.createDataFrame([(i, f"https://site.example/{i}", t) for i, t in enumerate(tags)], S.PAGES_SCHEMA)
+    parsed = {r.page_id: list(r.links) for r in E.extract_documents(pages, E.PageSpec(title=("h1", None), link=("a", None))).collect()}
+    built_in = {r.page_id: list(r.links) for r in pages.select("page_id", E.anchor_hrefs("html").alias("links")).collect()}
+    assert built_in == {0: ["/y"], 1: ["/u"], 2: ["/g?a=1&b=2"], 3: ["/s p"], 4: [], 5: [], 6: ["/nl"]}
+    assert {k: [x for x in v if x] for k, v in parsed.items()} == built_in
+
+
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
 def test_parser_agrees_with_regex_path_on_driver_pages(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
