@@ -136,24 +136,30 @@ def broadcast_fits(spark, n_bytes: int) -> bool:
     return 0 < limit and n_bytes <= limit
 
 
-def new_rows(target: DataFrame, new: DataFrame, keys) -> DataFrame:
-    """Rows of ``new`` whose key is not yet in ``target`` (one per key)."""
+def new_rows(target: DataFrame, new: DataFrame, keys, prefilter: bool = False) -> DataFrame:
+    """Rows of ``new`` whose key is not yet in ``target`` (one per key).
+    ``prefilter`` is for a target much larger than ``new``: a Bloom filter of
+    the new keys leaves few of the target's keys to shuffle (``bloom``)."""
     ks = _keys(keys)
-    return one_per_key(new, ks).join(target.select(*ks), on=ks, how="left_anti")
+    held = target.select(*ks)
+    if prefilter:
+        from .bloom import may_hold
+        held = may_hold(held, new, ks)
+    return one_per_key(new, ks).join(held, on=ks, how="left_anti")
 
 
 def insert_ignore(target: DataFrame, new: DataFrame, keys,
-                  defaults: dict | None = None) -> DataFrame:
+                  defaults: dict | None = None, prefilter: bool = False) -> DataFrame:
     """``INSERT ... ON CONFLICT DO NOTHING``: add unseen keys with their other
     columns, keep the rest. Of a repeated key one row is added (``one_per_key``).
 
     ``defaults`` maps target columns that ``new`` lacks to Column defaults
     (e.g. the frontier's ``status='pending'``, ``created_at=now``); a column
-    that ``new`` brings keeps its value.
+    that ``new`` brings keeps its value. ``prefilter``: see ``new_rows``.
     """
     ks = _keys(keys)
     brought = [c for c in target.columns if c in new.columns]
-    added = new_rows(target, new.select(*brought), ks)
+    added = new_rows(target, new.select(*brought), ks, prefilter)
     for name, value in (defaults or {}).items():
         if name not in brought:
             added = added.withColumn(name, value)
