@@ -629,6 +629,42 @@ def etl_incremental_gold(spark, sf_dir):
     return read_versioned(spark, f"{_two_landings(spark, sf_dir)}/gold").select(*S.GOLD_COLUMNS)
 
 
+# --- marts maintained from gold's changed buckets (A5, A6, A11-A13) -----------------------
+
+def _maintained(spark, sf_dir) -> str:
+    """The view after both landings, refreshed behind each of them."""
+    from ..sources.bronze import land_bronze
+    from . import mart_views as V
+    from .etl import run_etl
+    root = scratch_path(spark, "marts")
+    docs = _written(spark, listing_bronze(spark, sf_dir), "marts-docs")
+    late = F.element_at("specs", "Pháp lý") == "Hợp đồng mua bán"
+    for i, (day, some) in enumerate(zip(LANDINGS, (docs.filter(~late), docs.filter(late)))):
+        land_bronze(some, f"{root}/bronze", day=day)
+        run_etl(spark, f"{root}/bronze", f"{root}/silver", f"{root}/gold", loaded_at=LOAD_STAMP,
+                incremental=i > 0, since=day if i else None)
+        V.refresh(spark, f"{root}/gold", f"{root}/view")
+    return f"{root}/view"
+
+
+@query
+def marts_maintained(spark, sf_dir):
+    """KPIs of every city, district and bedroom number."""
+    from . import mart_views as V
+    view = V.read_view(spark, _maintained(spark, sf_dir))
+    return view.select(*V.GRAIN, F.col("n").alias("n_listings"), "n_flagged",
+                       *[F.round(F.try_divide(F.col(f"sum_{v}").cast("double"), F.col(f"n_{v}")), 6).alias(f"mean_{v}")
+                         for v in V.VALUES.values()])
+
+
+@query
+def marts_maintained_topk(spark, sf_dir):
+    """The districts of the highest mean price."""
+    from . import mart_views as V
+    top = V.topk_mean(V.read_view(spark, _maintained(spark, sf_dir)), "district", "price", alias="mean_price")
+    return top.select("district", F.round("mean_price", 6).alias("mean_price"))
+
+
 def _line(df_col="short_info"):
     """Line number of a crawl, from its bedrooms field."""
     return F.split(F.element_at(df_col, "Phòng ngủ"), " ")[0].cast("int")

@@ -273,6 +273,18 @@ ORACLE["distinct_bedrooms"] = f"""{GOLD}
 SELECT DISTINCT num_bedrooms FROM gold WHERE city = 'ASIA' AND num_bedrooms IS NOT NULL ORDER BY 1
 """
 
+ORACLE["marts_maintained"] = f"""{GOLD}
+SELECT city, district, num_bedrooms, CAST(count(*) AS BIGINT) AS n_listings,
+       CAST(coalesce(sum(has_legal_docs), 0) AS BIGINT) AS n_flagged, round(avg(price), 6) AS mean_price,
+       round(avg(area_m2), 6) AS mean_area, round(avg(price_per_m2), 6) AS mean_unit
+FROM gold GROUP BY city, district, num_bedrooms
+"""
+
+ORACLE["marts_maintained_topk"] = f"""{GOLD}
+SELECT district, round(avg(price), 6) AS mean_price FROM gold WHERE district IS NOT NULL
+GROUP BY district ORDER BY avg(price) DESC NULLS LAST, district ASC NULLS FIRST LIMIT 15
+"""
+
 FILTERED = """price IS NOT NULL AND price BETWEEN 100000.0 AND 400000.0
   AND price_per_m2 IS NOT NULL AND price_per_m2 BETWEEN 2000.0 AND 60000.0"""
 

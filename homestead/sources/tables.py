@@ -159,6 +159,22 @@ def bucket_of(key: str, n_buckets: int):
     return F.format_string(f"%04dof{n_buckets:04d}", F.pmod(F.xxhash64(key), F.lit(n_buckets)))
 
 
+def bucket_versions(spark: SparkSession, root: str) -> dict[str, int]:
+    """The version that holds each bucket's newest committed copy."""
+    found: dict[str, int] = {}
+    for v in reversed(committed_versions(spark, root)):
+        for name in _bucket_dirs(spark, f"{root.rstrip('/')}/v={v}"):
+            found.setdefault(name, v)
+    return found
+
+
+def bucket_copies(spark: SparkSession, root: str, versions: dict[str, int]) -> list[str] | None:
+    """Directories of these copies of the buckets; None if one is gone."""
+    fs, _, jvm = _fs(spark, root)
+    paths = [f"{root.rstrip('/')}/v={v}/bucket={name}" for name, v in sorted(versions.items())]
+    return paths if all(fs.exists(jvm.org.apache.hadoop.fs.Path(p)) for p in paths) else None
+
+
 def current_paths(spark: SparkSession, root: str, buckets: Iterable[str] | None = None) -> list[str]:
     """Directories that make up the current table: the newest committed copy
     of each bucket (of ``buckets`` only, if given), or the newest version."""
