@@ -14,9 +14,11 @@ length as log10.
 The trie grows with the corpus and is never in one place. Documents are worked
 on in buckets of bounded size. A bucket asks for its distinct five-byte strings
 and words (one row each, with the learning counts), the counts are summed by
-key, the trie is evaluated per order-2 context (orders 1 and 0 are two tables
-of 65,536 and 256 entries), and the answers go back to the bucket, where numpy
-adds them up. Text is stored with its bucket and shuffled once, compressed.
+key, the trie is evaluated in parts of whole order-2 contexts (orders 1 and 0
+are two tables of 65,536 and 256 entries), and the answers go back to the
+bucket, sorted before its texts, where numpy adds them up as the rows stream by:
+a task holds one bucket's answers and a slice of its texts. Text is stored with
+its bucket and shuffled once, compressed.
 
 Cases: null or empty text is the end token alone; with no learning documents
 the base has N = V = 0 and the model is uniform over bytes; repeated rows count
@@ -34,7 +36,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import remainder, texts, with_package, written
@@ -42,8 +44,9 @@ from .common import remainder, texts, with_package, written
 ORDER = 4
 PAD = b"\n" * ORDER
 BUCKET_BYTES = 32 << 20
-PIECE, CHUNK = 1 << 21, 1 << 22
-POSITION_BITS = 22                                   # of CHUNK; a five-byte string takes 40
+PIECE, CHUNK = 1 << 19, 1 << 20
+POSITION_BITS = 20                                   # of CHUNK; a five-byte string takes 40
+TRIE_STRINGS = 1 << 19                               # whole contexts are gathered up to this many strings
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -260,53 +263,93 @@ def evaluate(totals: DataFrame) -> DataFrame:
     pairs[small["pair"].to_numpy(np.int64)] = small["n"].to_numpy(np.int64)
     pairs = pairs.reshape(256, 256)
 
-    def run(batches):
-        got = [(b.column("gram").to_numpy(), b.column("n").to_numpy()) for b in batches if b.num_rows]
-        if not got:
-            return
-        g, n = (np.concatenate(x) for x in zip(*got))
+    def answered(g, n):
         trie = Trie(g, n, pairs)
-        for i in range(0, len(g), 1 << 18):
-            yield pa.RecordBatch.from_arrays([pa.array(g[i:i + (1 << 18)]), pa.array(trie.log10(g[i:i + (1 << 18)]))],
+        for i in range(0, len(g), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(g[i:i + (1 << 16)]), pa.array(trie.log10(g[i:i + (1 << 16)]))],
                                              ["gram", "value"])
+
+    def run(batches):
+        """Rows come sorted by context: a trie ends where a context does."""
+        grams, counts, held = [], [], 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            g, n = b.column("gram").to_numpy(), b.column("n").to_numpy()
+            if held + len(g) >= TRIE_STRINGS:
+                ctx = np.r_[grams[-1][-1] if grams else g[0], g] >> 8 & 0xFFFF
+                new = np.flatnonzero(ctx[1:] != ctx[:-1])
+                if len(new):
+                    cut = int(new[-1])
+                    yield from answered(np.concatenate([*grams, g[:cut]]), np.concatenate([*counts, n[:cut]]))
+                    g, n, grams, counts, held = g[cut:], n[cut:], [], [], 0
+            grams.append(g.copy())
+            counts.append(n.copy())
+            held += len(g)
+        if held:
+            yield from answered(np.concatenate(grams), np.concatenate(counts))
     context = F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF))
-    return with_package(totals.withColumn("ctx", context)).repartition("ctx").select("gram", "n").mapInArrow(
-        run, "gram long, value double")
-
-
-def _score_bucket(docs: pa.Table, answers: pa.Table, n_total: int, kinds: int, ends: int) -> pa.Table:
-    known = pc.is_valid(answers.column("gram"))
-    grams = answers.filter(known)
-    key = grams.column("gram").to_numpy()
-    order = np.argsort(key)
-    key, value = key[order], grams.column("value").to_numpy()[order]
-    rest = answers.filter(pc.invert(known))
-    count = dict(zip(rest.column("word").to_pylist(), rest.column("value").to_numpy().tolist()))
+    return with_package(totals.withColumn("ctx", context)).repartition("ctx").sortWithinPartitions("ctx") \
+        .select("gram", "n").mapInArrow(run, "gram long, value double")
+
+
+def _runs(batches) -> Iterator[tuple[int, bool, pa.RecordBatch]]:
+    """Batches cut where the bucket or the kind of row changes: (bucket, holds
+    texts, rows)."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        bucket, is_text = b.column("bucket").to_numpy(), np.asarray(pc.is_valid(b.column("text")))
+        cuts = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (is_text[1:] != is_text[:-1]), True])
+        for i, j in zip(cuts[:-1], cuts[1:]):
+            yield int(bucket[i]), bool(is_text[i]), b.slice(int(i), int(j - i))
+
+
+class _Answers:
+    """What a bucket asked for: values by string, counts by word."""
+
+    def __init__(self) -> None:
+        self.keys, self.values, self.words = [], [], {}
+        self.key = self.value = None
+
+    def add(self, b: pa.RecordBatch) -> None:
+        known = pc.is_valid(b.column("gram"))
+        grams, rest = b.filter(known), b.filter(pc.invert(known))
+        self.keys.append(grams.column("gram").to_numpy(zero_copy_only=False).copy())
+        self.values.append(grams.column("value").to_numpy(zero_copy_only=False).copy())
+        self.words.update(zip(rest.column("word").to_pylist(), rest.column("n").to_pylist()))
+
+    def close(self) -> None:
+        key, value = (np.concatenate(x) if x else np.zeros(0) for x in (self.keys, self.values))
+        order = np.argsort(key)
+        self.key, self.value = key[order], value[order]
+        self.keys, self.values = [], []
+
+
+def _score(b: pa.RecordBatch, known: _Answers, n_total: int, kinds: int, ends: int) -> pa.RecordBatch:
     norm = np.log10(n_total + 0.5 * (kinds + 1))
-    press, out = zstandard.ZstdDecompressor(), []
-    for b in docs.combine_chunks().to_batches(max_chunksize=512):
-        words = [words_of(press.decompress(t).decode()) for t in b.column("text").to_pylist()]
-        base, known_n = [], []
-        for w in words:
-            c = np.fromiter(map(count.__getitem__, w), float, len(w))
-            base.append(float((np.log10(c + 0.5) - norm).sum() + np.log10(ends + 0.5) - norm))
-            known_n.append(int((c > 0).sum()) + (ends > 0))
-        score = np.zeros(len(words))
-        for numbers, pieces in _streams(words):
-            g, n = _grams(pieces)
-            place = np.sort(g << POSITION_BITS | np.arange(len(g)))
-            own = place >> POSITION_BITS
-            new = np.r_[True, own[1:] != own[:-1]]
-            found = value[np.searchsorted(key, own[new])]
-            at = np.empty(len(g))
-            at[place & ((1 << POSITION_BITS) - 1)] = found[np.cumsum(new) - 1]
-            np.add.at(score, numbers, np.add.reduceat(at, np.r_[0, np.cumsum(n)[:-1]]))
-        k = len(words)
-        out.append(pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), pa.array([len(w) + 1 for w in words], pa.int64()), pa.array(known_n, pa.int64()),
-             pa.array([n_total] * k, pa.int64()), pa.array(base, pa.float64()), pa.array(score)],
-            ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
-    return pa.Table.from_batches(out)
+    press = zstandard.ZstdDecompressor()
+    words = [words_of(press.decompress(t).decode()) for t in b.column("text").to_pylist()]
+    base, known_n = [], []
+    for w in words:
+        c = np.fromiter(map(known.words.__getitem__, w), float, len(w))
+        base.append(float((np.log10(c + 0.5) - norm).sum() + np.log10(ends + 0.5) - norm))
+        known_n.append(int((c > 0).sum()) + (ends > 0))
+    score = np.zeros(len(words))
+    for numbers, pieces in _streams(words):
+        g, n = _grams(pieces)
+        place = np.sort(g << POSITION_BITS | np.arange(len(g)))
+        own = place >> POSITION_BITS
+        new = np.r_[True, own[1:] != own[:-1]]
+        found = known.value[np.searchsorted(known.key, own[new])]
+        at = np.empty(len(g))
+        at[place & ((1 << POSITION_BITS) - 1)] = found[np.cumsum(new) - 1]
+        np.add.at(score, numbers, np.add.reduceat(at, np.r_[0, np.cumsum(n)[:-1]]))
+    k = len(words)
+    return pa.RecordBatch.from_arrays(
+        [b.column("doc_id"), pa.array([len(w) + 1 for w in words], pa.int64()), pa.array(known_n, pa.int64()),
+         pa.array([n_total] * k, pa.int64()), pa.array(base, pa.float64()), pa.array(score)],
+        ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
 
 SCORES = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -326,16 +369,31 @@ def score_documents(docs: DataFrame, learns, bucket_bytes: int = BUCKET_BYTES) -
     tokens, kinds = tokens + ends, kinds + (1 if ends else 0)
     grams = asked.where("gram is not null")
     totals = written(grams.groupBy("gram").agg(F.sum("n").alias("n")), "ppm-grams")
-    by_word = Window.partitionBy("word")                         # one row per bucket that holds the word
-    answers = grams.select("bucket", "gram").join(evaluate(totals), "gram") \
-        .select("bucket", "gram", F.lit(None).cast("binary").alias("word"), "value") \
-        .union(words.select("bucket", F.lit(None).cast("long"), "word", F.sum("n").over(by_word).cast("double")))
+    counts = words.groupBy("word").agg(F.sum("n").alias("total"))
+    none = {c: F.lit(None).cast(t) for c, t in (("gram", "long"), ("value", "double"), ("word", "binary"), ("n", "long"),
+                                                 ("doc_id", "long"), ("text", "binary"))}
 
-    placed = asked.where("text is not null").select(F.col("bucket").alias("bucket"), "doc_id", "text")
+    def shaped(df: DataFrame) -> DataFrame:
+        return df.select("bucket", *[F.col(c).alias(c) if c in df.columns else v.alias(c) for c, v in none.items()])
+    rows = shaped(grams.select("bucket", "gram").join(evaluate(totals), "gram")) \
+        .union(shaped(words.select("bucket", "word").join(counts, "word").withColumnRenamed("total", "n"))) \
+        .union(shaped(asked.where("text is not null").select("bucket", "doc_id", "text")))
 
-    def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _score_bucket(left, right, tokens, kinds, ends)
-    return placed.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(score, SCORES)
+    def run(batches):
+        """Rows come sorted by bucket, a bucket's answers before its texts."""
+        now, known = None, None
+        for bucket, is_text, b in _runs(batches):
+            if bucket != now:
+                now, known = bucket, _Answers()
+            if not is_text:
+                known.add(b)
+                continue
+            if known.key is None:
+                known.close()
+            for c in _slices(b):
+                yield _score(c, known, tokens, kinds, ends)
+    return with_package(rows).repartition("bucket").sortWithinPartitions("bucket", F.col("text").isNotNull()) \
+        .mapInArrow(run, SCORES)
 
 
 def learning_rows(mod: int = 5, held: int = 1):

@@ -96,3 +96,12 @@ def test_scores_hold_when_the_splits_change(spark, tmp_path):
         scores = ppm.score_documents(docs, ppm.learning_rows(), 300)
     with splits(spark, 6):
         check(scores.collect(), rows, model)
+
+
+def test_scores_hold_for_tries_of_few_contexts(spark, monkeypatch):
+    docs = odd_documents(spark, [PROSE, "zzz qqq"])
+    rows = docs.collect()
+    model = Brute([r.text for r in rows if remainder(r.doc_id) != 1])
+    for strings in (1, 40):
+        monkeypatch.setattr(ppm, "TRIE_STRINGS", strings)
+        check(ppm.score_documents(docs, ppm.learning_rows(), 300).collect(), rows, model)
