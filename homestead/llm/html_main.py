@@ -12,8 +12,10 @@
    class, id or role words. Nothing else is dropped: text beside a marked
    article stays.
 
-Paragraph-like elements inside the marked article are text, not templates:
-articles may quote the same line on many pages.
+Paragraph-like elements inside the marked article, and others there that hold
+text themselves, are text, not templates: articles may quote the same line on
+many pages. A class or id names chrome only as a whole (``ad-slot``, not
+``ad-hoc``); a form that holds the article is none. Parsing is linear in the page.
 
 Hashes and counts are the only rows shuffled by host, pre-aggregated in the map
 tasks; the hashes are a work table, so the count and its use read the same rows.
@@ -29,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -39,10 +42,14 @@ from pyspark.sql import functions as F
 
 from .common import small_batches, with_package, written
 
-TOKEN = re.compile(r"<!--(?:.*?-->|.*\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
-                   r"|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?/][^>]*>", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.S)
-WORDS = re.compile(r"[A-Za-z]+|[0-9]+")
+#: A tag whose quoted attribute values are skipped, and one that ends at the next ">".
+QUOTED = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>", re.S)
+PLAIN = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>", re.S)
+COMMENT = re.compile(r"<!--(?:.*?-->|.*\Z)|<[!?/][^>]*>", re.S)
+ATTRIBUTE = re.compile(r"(?<![^\s=/\"'>])([^\s=/\"'>]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.S)
+STORY = re.compile(r"<(?:article|main)\b", re.I)
+FORM_END = re.compile(r"</form\b", re.I)
+WORDS = re.compile(r"[A-Za-z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp".split())
@@ -52,6 +59,10 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
 BARRIER = frozenset("ul ol dl table select body html article section div main".split())
+#: What ends a search among the open elements: (these tags, beside the barriers).
+NEAREST = {"p": ({"p"}, BARRIER | {"button", "td", "th"}), "li": ({"li"}, BARRIER), "dt": ({"dt", "dd"}, BARRIER),
+           "tr": ({"tr", "td", "th"}, BARRIER), "option": ({"option"}, BARRIER)}
+GROUP = {"li": "li", "dt": "dt", "dd": "dt", "tr": "tr", "td": "tr", "th": "tr", "option": "option"}
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header "
                    "hr main menu nav ol p pre section table ul".split())
 CHROME_TAGS = frozenset("nav header footer aside form menu dialog button select script style noscript template iframe "
@@ -60,20 +71,37 @@ CHROME_WORDS = frozenset("ad ads advert adverts advertisement banner sponsor spo
                          "notice alert popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs "
                          "footer masthead comment comments disqus replies share sharing social related recommended "
                          "newsletter subscribe subscription signup login pagination pager toolbar widget skip".split())
+#: Words that say where or what a box is; with one of CHROME_WORDS they name chrome, too.
+BOX_WORDS = frozenset("article area bar block body bottom box button buttons card cards col column container content "
+                      "count desktop fixed form global group head header icon icons inner item items left link links "
+                      "list main mobile more new outer page panel post posts primary reader readers right row secondary "
+                      "section site slot small sticky story stories text thread title tools top unit user users wrap "
+                      "wrapper".split())
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 #: An article element with such a word is a teaser, not the page's story.
 TEASER_WORDS = frozenset("ad ads advert adverts advertisement sponsor sponsored promo related recommended teaser "
                          "teasers".split())
+COMMENT_WORDS = frozenset(["comment", "comments"])
 #: Text-level elements: inside the marked article they are never templates.
 PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption dd dt dl td th tr table tbody thead ol ul li "
                       "article main body html".split()) | INLINE
 
 
 class _Open:
-    __slots__ = ("tag", "chrome", "inside", "index", "digest", "kind")
-
-    def __init__(self, tag, chrome, inside, index, kind):
-        self.tag, self.chrome, self.inside, self.index, self.kind = tag, chrome, inside, index, kind
+    """An open element: ``index`` of its template candidate (-1: none), ``around``
+    of the nearest one at or above it, ``block`` the nearest element that is not
+    inline, ``near`` the depths of the nearest open elements of NEAREST's sets."""
+    __slots__ = ("tag", "chrome", "inside", "index", "around", "digest", "block", "near", "worded")
+
+    def __init__(self, tag, chrome, inside, index, parent, depth, kind):
+        self.tag, self.chrome, self.inside, self.index = tag, chrome, inside, index
+        self.around = index if index >= 0 else parent.around if parent else -1
+        self.block = parent.block if parent and tag in INLINE else self
+        self.near = parent.near if parent else dict.fromkeys(NEAREST, -1)
+        if tag in BARRIER or tag in ("button", "p") or tag in GROUP:
+            self.near = {k: depth if tag in own else -1 if tag in ends else self.near[k]
+                         for k, (own, ends) in NEAREST.items()}
+        self.worded = False
         self.digest = [tag + "." + kind]
 
 
@@ -81,36 +109,102 @@ def _attributes(raw: str) -> dict[str, str]:
     return {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(raw)} if "=" in raw else {}
 
 
+def _names_chrome(at: dict[str, str], words: frozenset[str] = CHROME_WORDS) -> bool:
+    """Whether a class or the id names chrome as a whole: it consists of such
+    words, alone or with words for boxes and places (``share-buttons`` does,
+    ``share-price`` does not)."""
+    for token in f"{at.get('class', '')} {at.get('id', '')}".lower().split():
+        parts = WORDS.findall(token)
+        if not words.isdisjoint(parts) and all(x in CHROME_WORDS or x in BOX_WORDS or x in words for x in parts):
+            return True
+    return False
+
+
 def _is_chrome(tag: str, at: dict[str, str], inside: bool) -> bool:
     if tag in CHROME_TAGS and not (tag == "header" and inside):
         return True
     if tag in ("html", "body", "article", "main") and at.get("role", "") not in CHROME_ROLES:
-        words = set(map(str.lower, WORDS.findall(f"{at.get('class', '')} {at.get('id', '')}")))
-        return bool(inside and words & {"comment", "comments"} or tag == "article" and words & TEASER_WORDS)
+        return inside and _names_chrome(at, COMMENT_WORDS) or tag == "article" and _names_chrome(at, TEASER_WORDS)
     if at.get("role", "").lower() in CHROME_ROLES or "hidden" in at or at.get("aria-hidden") == "true":
         return True
-    return not CHROME_WORDS.isdisjoint(map(str.lower, WORDS.findall(f"{at.get('class', '')} {at.get('id', '')}")))
+    return _names_chrome(at)
 
 
-def parse(page: str | None) -> tuple[list[tuple[str, int, list[int]]], list[int], list[bool], tuple[int, int]]:
-    """Blocks as (text, place, indexes of the template candidates around it),
-    the hash of every candidate, whether it lies in or around a marked part,
-    and the signatures of the marked part (all text, if none) and of all text.
+@dataclass
+class Parsed:
+    """A page's text blocks as (text, place, template candidate around it or -1);
+    of every candidate its hash (None: it holds text of an article itself), the
+    candidate around it, and whether it lies in or around a marked part; the
+    signatures of the marked part (all text, if none) and of all text.
     Place: 2 in an article, 1 in a main part, 0 elsewhere, -1 in chrome."""
+    blocks: list[tuple[str, int, int]]
+    hashes: list[int | None]
+    around: list[int]
+    marked: list[bool]
+    signatures: tuple[int, int]
+
+
+class _Tags:
+    """Tags and comments in page order, each as (start, end, is an end tag,
+    name, attributes); linear in the page, whatever its quotes."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.last, self.quotes = page, page.rfind(">"), True
+
+    def after(self, pos: int):
+        page = self.page
+        while True:
+            at = page.find("<", pos)
+            if at < 0:
+                return None
+            if page.startswith("<!--", at):
+                return at, COMMENT.match(page, at).end(), False, "", ""
+            if at > self.last:                           # nothing closes any more but a comment
+                pos = at + 1
+                continue
+            head = page[at + 1:at + 2]
+            if head.isascii() and head.isalpha() or head == "/" and page[at + 2:at + 3].isascii() and page[at + 2:at + 3].isalpha():
+                m = QUOTED.match(page, at) if self.quotes else None
+                if m is None:                            # a quote stays open to the end: no later tag looks for one
+                    self.quotes = False
+                    m = PLAIN.match(page, at)
+                return at, m.end(), bool(m[1]), m[2].lower(), m[3]
+            if head and head in "!?/":
+                return at, COMMENT.match(page, at).end(), False, "", ""
+            pos = at + 1
+
+
+class _Next:
+    """Where a pattern is found next, searched once for any rising positions."""
+
+    def __init__(self, pattern: re.Pattern, page: str) -> None:
+        self.pattern, self.page, self.at = pattern, page, -1
+
+    def after(self, pos: int) -> int:
+        if self.at < pos:
+            m = self.pattern.search(self.page, pos)
+            self.at = m.start() if m else len(self.page)
+        return self.at
+
+
+def parse(page: str | None) -> Parsed:
     page = page or ""
-    stack: list[_Open] = [_Open("", False, 0, -1, "")]
-    hashes: list[int] = []
+    stack: list[_Open] = [_Open("", False, 0, -1, None, 0, "")]
+    opened: Counter = Counter()
+    hashes: list[int | None] = []
+    around: list[int] = []
     marked: list[bool] = []
-    blocks: list[tuple[str, int, list[int]]] = []
+    blocks: list[tuple[str, int, int]] = []
     held: list[str] = []
-    own: tuple[int, list[int]] = (0, [])
+    own: tuple[int, int] = (0, -1)
+    story, form_end = _Next(STORY, page), _Next(FORM_END, page)
 
     def flush() -> None:
         if held:
             text = " ".join("".join(held).split())
             held.clear()
             if text:
-                blocks.append((text, own[0], own[1]))
+                blocks.append((text, *own))
 
     def put(raw: str) -> None:
         nonlocal own
@@ -118,38 +212,33 @@ def parse(page: str | None) -> tuple[list[tuple[str, int, list[int]]], list[int]
             return
         text = html.unescape(raw) if "&" in raw else raw
         top = stack[-1]
+        if not text.isspace():
+            top.block.worded = True
+        elif not held:
+            return
         if not held:
-            if text.isspace():
-                return
-            own = (-1 if top.chrome else top.inside, [o.index for o in stack if o.index >= 0])
+            own = (-1 if top.chrome else top.inside, top.around)
         held.append(text)
         top.digest.append(" ".join(text.split()))
 
     def close(to: int) -> None:
         while len(stack) > to:
             o = stack.pop()
+            opened[o.tag] -= 1
             if o.tag not in INLINE:
                 flush()
             d = xxhash.xxh64_intdigest("\x1f".join(o.digest))
-            if o.index >= 0:
+            if o.index >= 0 and not (o.inside and o.worded):
                 hashes[o.index] = d
             stack[-1].digest.append(format(d, "x"))
 
     def open_(tag: str, raw: str) -> None:
-        if tag in ENDS_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    close(i)
-                    break
-                if stack[i].tag in BARRIER or stack[i].tag in ("button", "td", "th"):
-                    break
+        if tag in ENDS_P and stack[-1].near["p"] > 0:
+            close(stack[-1].near["p"])
         if tag in CLOSES:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in CLOSES[tag]:
-                    close(i)
-                    if tag != "tr":
-                        break
-                elif stack[i].tag in BARRIER:
+            while (i := stack[-1].near[GROUP[tag]]) > 0 and stack[i].tag in CLOSES[tag]:
+                close(i)
+                if tag != "tr":
                     break
         if tag not in INLINE:
             flush()
@@ -158,54 +247,57 @@ def parse(page: str | None) -> tuple[list[tuple[str, int, list[int]]], list[int]
         at = _attributes(raw)
         top = stack[-1]
         inside = 2 if tag == "article" or top.inside == 2 else 1 if tag == "main" or at.get("role") == "main" else top.inside
+        if inside and not top.inside:
+            i = top.around
+            while i >= 0 and not marked[i]:
+                marked[i] = True
+                i = around[i]
         index = -1
         if tag not in ("html", "body", "head") and not (tag in PARAGRAPH and (inside or tag in INLINE)):
             index = len(hashes)
-            hashes.append(0)
+            hashes.append(None)
+            around.append(top.around)
             marked.append(bool(inside))
-        if inside and not top.inside:
-            for o in stack:
-                if o.index >= 0:
-                    marked[o.index] = True
-        stack.append(_Open(tag, top.chrome or _is_chrome(tag, at, bool(top.inside)), inside, index,
-                           at.get("class", "")))
-
-    pos, n = 0, len(page)
-    while pos < n:
-        m = TOKEN.search(page, pos)
-        if m is None:
-            put(page[pos:])
-            break
-        put(page[pos:m.start()])
-        pos = m.end()
-        tag = (m[2] or m[5] or "").lower()
+        chrome = _is_chrome(tag, at, bool(top.inside))
+        if tag == "form" and chrome and story.after(pos) < form_end.after(pos):
+            chrome = False                               # the whole page is a form
+        stack.append(_Open(tag, top.chrome or chrome, inside, index, top, len(stack), at.get("class", "")))
+        opened[tag] += 1
+
+    pos, tags = 0, _Tags(page)
+    while found := tags.after(pos):
+        start, end, ends, tag, raw = found
+        put(page[pos:start])
+        pos = end
         if not tag:
             continue
-        if m[1] or m[4]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    close(i)
-                    break
-            else:
-                if tag not in INLINE:
-                    flush()
+        if ends:
+            if opened[tag]:
+                i = len(stack) - 1
+                while stack[i].tag != tag:
+                    i -= 1
+                close(i)
+            elif tag not in INLINE:
+                flush()
             continue
         if tag == "br":
             if held:
                 held.append(" ")
             continue
-        open_(tag, m[3] or m[6] or "")
+        open_(tag, raw)
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>|\Z", re.I).search(page, pos)
             if tag not in ("script", "style"):
                 put(page[pos:end.start()])
             pos = end.end()
             close(len(stack) - 1)
+    put(page[pos:])
     close(1)
     flush()
     text = [b[0] for b in blocks if b[1] >= 0]
     own_text = [b[0] for b in blocks if b[1] > 0] or text
-    return blocks, hashes, marked, tuple(xxhash.xxh64_intdigest("\x1e".join(t)) for t in (own_text, text))
+    return Parsed(blocks, hashes, around, marked,
+                  tuple(xxhash.xxh64_intdigest("\x1e".join(t)) for t in (own_text, text)))
 
 
 #: Compressed bytes of a batch: a few times as much html.
@@ -243,9 +335,9 @@ def subtrees(pages: DataFrame) -> DataFrame:
                 raw = b.column("html").to_pylist()
                 keys = [_key(u, (t or "").encode()) for u, t in zip(b.column("url").to_pylist(), raw)]
                 got = [parse(t) for t in raw]
-                first, beside = ([list(dict.fromkeys(_signed(h) for h, m in zip(g[1], g[2]) if m == kind)) for g in got]
-                                 for kind in (True, False))
-                signs = [pa.array([_signed(g[3][i]) for g in got], pa.int64()) for i in (0, 1)]
+                first, beside = ([list(dict.fromkeys(_signed(h) for h, m in zip(g.hashes, g.marked) if m == kind and h is not None))
+                                  for g in got] for kind in (True, False))
+                signs = [pa.array([_signed(g.signatures[i]) for g in got], pa.int64()) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, pa.binary()), b.column("url"), signs[0], pa.array(first, pa.list_(pa.int64())),
                      signs[1], pa.array(beside, pa.list_(pa.int64()))],
@@ -266,9 +358,12 @@ def templates(found: DataFrame, p: Params = Params()) -> DataFrame:
 
 def main_text(page: str | None, template: set[int]) -> tuple[str, int]:
     """The main text, and how many blocks were deleted as template."""
-    blocks, hashes, _, _ = parse(page)
-    open_ = [b for b in blocks if b[1] >= 0]
-    kept = [b for b in open_ if not template or template.isdisjoint(_signed(hashes[i]) for i in b[2])]
+    got = parse(page)
+    gone: list[bool] = []                                # by candidate; the one around comes first
+    for h, i in zip(got.hashes, got.around):
+        gone.append(i >= 0 and gone[i] or h is not None and _signed(h) in template)
+    open_ = [b for b in got.blocks if b[1] >= 0]
+    kept = [b for b in open_ if b[2] < 0 or not gone[b[2]]]
     return " ".join(b[0] for b in kept), len(open_) - len(kept)
 
 

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 from helpers import empty, in_files, splits
 from homestead.llm import html_main as H
@@ -20,7 +21,7 @@ def test_driver_pages(spark):
 
 
 def blocks(page):
-    return [(t, p) for t, p, _ in H.parse(page)[0]]
+    return [(t, p) for t, p, _ in H.parse(page).blocks]
 
 
 def test_parser():
@@ -104,3 +105,37 @@ def test_text_beside_article_elements_stays(spark):
         card = f"Story {i} in the body. Read our harbour guide"              # one content of the marked part
         assert got[i] == [card, f"Heading {i} Story {i}", f"Story {i} in main.", f"Story {i}. Card {i} with words"][i % 4]
     assert {i: got[100 + i] for i in range(9)} == {i: f"Same Seen {i}" for i in range(9)}
+
+
+def test_names_that_only_hold_a_chrome_word_stay():
+    body = ("<article><h2 id='related-work'>Related work</h2><section id='comment-on-law'>Law</section>"
+            "<p class='notice-period'>Notice</p><div class='share-price'>Price</div><div class='share-buttons'>Share</div>"
+            "<div class='Comment-List'>First!</div><p class='advert'>Buy</p><div id='ad-slot-3'>Ad</div></article>")
+    assert H.main_text(body, set())[0] == "Related work Law Notice Price"
+    page = "<body><div class='site-menu'>m</div><ul id='breadcrumbs'><li>b</ul><div class='ad-hoc'>t</div></body>"
+    assert H.main_text(page, set())[0] == "t"
+
+
+def test_form_around_the_article_is_no_chrome():
+    assert H.main_text("<form action='/x'><p>Lead</p><article><p>Story</p></article></form><form><p>Ask</p></form>", set())[0] == "Lead Story"
+    assert H.main_text("<form><label>Name</label></form><main><p>Story</p><form>Mail</form></main>", set())[0] == "Story"
+
+
+def test_text_of_divs_in_articles_is_no_template(spark):
+    rows = [(i, f"http://a.example/{i}", f"<article><p>Own {i}</p><div>By Ann Lee</div><div><b>Quote</b> of the day.</div>"
+             "<div><p>Sign the list</p></div></article>") for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in H.extract_main(pages).collect()} == {i: f"Own {i} By Ann Lee Quote of the day." for i in range(6)}
+
+
+def test_broken_markup_is_parsed_in_linear_time():
+    n = 100_000
+    shapes = ["<div>" * n + "</y>" * n, '<a href="' * n, '<a href="' * n + ">", '<a">"' * n, "<div>x" * n, "<!" * n, "<a" * n,
+              "<p>" + "<span>" * n + "<hr>" * n, "<table>" + "<span>" * n + "<tr>" * n, "<div>" * n + "<article></article>" * n,
+              "<form>" * n, "<a " + "b" * n + " c=1>", "<li>" * n, "<b>" * n + "x", "</p>" * n, "<div><p>" + "<i>" * n + "<li>" * n]
+    for shape in shapes:
+        start = time.process_time()
+        H.parse(shape)
+        assert time.process_time() - start < 8, shape[:40]
+    assert blocks('<a title="x>one</a><p>two</p>') == [("one", 0), ("two", 0)]             # the open quote ends with its tag
+    assert blocks("a <b") == [("a <b", 0)] and blocks("<p>x</p>< y") == [("x", 0), ("< y", 0)]
