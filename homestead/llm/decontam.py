@@ -16,11 +16,11 @@ and the driver holds one block at a time. One block is one narrow pass; with
 more, the documents are numbered in a work table and only hits are joined.
 
 Cases: null or empty texts hold nothing; null or blank items match nothing;
-items below ``min_chars`` normalised characters match whole words only, with
-the same edits a character; of these, one or two words of less than
-``least_chars`` characters in all match only a text that equals them; repeated items share one entry
-and all their ids are reported; repeated documents are judged alike; an empty
-benchmark leaves every document clean; other columns are ignored.
+items below ``min_chars`` normalised characters, down to a single one, match
+whole words only, with the same edits a character; repeated items share one
+entry and all their ids are reported; an item without an id counts like any
+other and is reported with a null id, first; repeated documents are judged
+alike; an empty benchmark leaves every document clean; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,7 +45,6 @@ NOISE = re.compile(r"[\W_]+")
 class Params:
     rate: float = 0.1            # edits per character of an item
     min_chars: int = 25          # shorter items must stand as whole words
-    least_chars: int = 8         # shorter ones of one or two words are not looked for inside a text
     block_chars: int = 4 << 20   # characters of items in one automaton
 
 
@@ -109,11 +108,10 @@ def letter_masks(pattern: str) -> dict[str, int]:
 
 
 class Matcher:
-    """The items of one block: ``{normalised text: [ids]}``."""
+    """The items of one block: ``{normalised text: [ids]}``; an id may be None."""
 
-    def __init__(self, items: dict[str, list[int]], p: Params) -> None:
-        self.whole = {t: ids for t, ids in items.items() if t and len(t) < min(p.least_chars, p.min_chars) and t.count(" ") < 2}
-        self.items = [(t, ids) for t, ids in items.items() if t and t not in self.whole]
+    def __init__(self, items: dict[str, list[int | None]], p: Params) -> None:
+        self.items = [(t, ids) for t, ids in items.items() if t]
         self.worded = [len(t) < p.min_chars for t, _ in self.items]
         self.budget = [int(p.rate * len(t)) for t, _ in self.items]
         self.cuts: list[list[int]] = []
@@ -183,11 +181,9 @@ class Matcher:
                 return None
         return d if path else 0
 
-    def find(self, text: str) -> dict[int, int]:
+    def find(self, text: str) -> dict[int | None, int]:
         """Least number of edits by item id, for the items that occur."""
-        out: dict[int, int] = {}
-        for x in self.whole.get(text, ()):
-            out[x] = 0
+        out: dict[int | None, int] = {}
         if self.empty or not text:
             return out
         found: dict[int, int] = {}
@@ -233,10 +229,10 @@ class Blocks(Sequence):
     def __len__(self) -> int:
         return self.n
 
-    def __getitem__(self, b: int) -> dict[str, list[int]]:
+    def __getitem__(self, b: int) -> dict[str, list[int | None]]:
         if not 0 <= b < self.n:
             raise IndexError(b)
-        items: dict[str, list[int]] = {}
+        items: dict[str, list[int | None]] = {}
         for r in self.table.where(F.pmod(F.xxhash64("text"), F.lit(self.n)) == b).orderBy("item_id", "text").collect():
             items.setdefault(r.text, []).append(r.item_id)
         return items
@@ -252,7 +248,7 @@ def item_blocks(benchmark: DataFrame, p: Params) -> Blocks:
                     [b.column("item_id"), pa.array([normalise(t) for t in b.column("text").to_pylist()], pa.string())],
                     ["item_id", "text"])
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")) \
-        .where("item_id is not null and text is not null")
+        .where("text is not null")
     table = written(with_package(rows).mapInArrow(run, "item_id long, text string").where("text <> ''").distinct(),
                     "decontam-items")
     chars = table.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
@@ -269,6 +265,10 @@ def _matcher(key: str, items, p: Params) -> Matcher:
     return _MATCHERS[key]
 
 
+def _null_first(hit: tuple[int | None, int]) -> tuple[bool, int]:
+    return hit[0] is not None, hit[0] or 0
+
+
 ITEMS = "array<struct<item:long,edits:int>>"
 
 
@@ -285,7 +285,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, name: str, p: Params = Params())
         own = _matcher(key, items, p)
         for whole in batches:
             for b in small_batches(whole):
-                found = [sorted(own.find(normalise(t)).items()) for t in b.column("text").to_pylist()]
+                found = [sorted(own.find(normalise(t)).items(), key=_null_first) for t in b.column("text").to_pylist()]
                 marks = pa.array([[{"item": i, "edits": e} for i, e in r] for r in found], kind)
                 yield pa.RecordBatch.from_arrays([*b.columns[:-1], marks], b.schema.names)
     return out.mapInArrow(run, out.schema)

@@ -66,8 +66,8 @@ def test_documents_in_one_and_many_blocks(spark):
     docs = odd_documents(spark, ["start " + PROSE.replace("quick", "quack").replace("seven", "eleven") + " end", "one, two"])
     whole = {r.doc_id: r.item_ids for r in C.contaminated(docs, bench).collect() if r.contaminated}
     n = len(ODD)
-    assert whole[9] == [1, 4, 7] and whole[10] == [1, 4, 7] and whole[11] == [1, 4, 7] and whole[n] == [1, 4, 7]
-    assert whole[6] == [5] and whole[n + 1] == [5] and set(whole) == {6, 9, 10, 11, n, n + 1, None}
+    assert whole[9] == whole[10] == whole[11] == whole[n] == [None, 1, 4, 7]           # an item without an id counts
+    assert whole[6] == whole[7] == whole[n + 1] == [5] and set(whole) == {6, 7, 9, 10, 11, n, n + 1, None}
     small = C.Params(block_chars=60)
     assert len(C.item_blocks(bench, small)) > 1
     assert sorted(map(str, C.contaminated(docs, bench, small).collect())) == sorted(map(str, C.contaminated(docs, bench).collect()))
@@ -85,16 +85,16 @@ def test_short_items_inside_longer_texts():
     assert own.find("who wrote hamletology") == {} and own.find("this it so") == {}    # no whole words
     assert own.find("tell what is a capital of x") == {} and own.find("wat is the capitol of x") == {2: 2}
     assert own.find("is it so") == {3: 0} and own.find("say is it so") == {3: 0}
-    assert own.find("ham") == {4: 0} and own.find("ham and eggs") == {}
+    assert own.find("ham") == {4: 0} and own.find("eggs and ham now") == {4: 0} and own.find("hamper shame") == {}
 
 
 def test_short_items_equal_brute_force():
     rnd = random.Random(5)
-    vocab = PROSE.split()
+    vocab = PROSE.split() + ["a", "x", "ai", "no"]
     items = {}
-    for i in range(40):
-        t = " ".join(rnd.choice(vocab) for _ in range(rnd.randrange(2, 5)))
-        if 8 <= len(t) < 25:
+    for i in range(80):
+        t = C.normalise(" ".join(rnd.choice(vocab) for _ in range(rnd.randrange(1, 5))))
+        if len(t) < 25:
             items.setdefault(t, []).append(i)
     own = C.Matcher(items, C.Params())
     for _ in range(100):
@@ -131,3 +131,12 @@ def test_blocks_come_one_at_a_time(spark):
     found = C.scan(docs, bench, "items", small)
     assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 0
     assert {r.doc_id: r["items"] for r in found.collect()} == {r.doc_id: r["items"] for r in C.scan(docs, bench, "items").collect()}
+
+
+def test_only_an_item_without_an_id(spark):
+    bench = spark.createDataFrame([(None, PROSE), (None, "ai act")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "say " + PROSE), (2, "the AI Act is law"), (3, "said actor")], "doc_id long, text string")
+    for p in (C.Params(), C.Params(block_chars=10)):
+        got = {r.doc_id: (r.contaminated, r.n_items, r.item_ids) for r in C.contaminated(docs, bench, p).collect()}
+        assert got == {1: (True, 1, [None]), 2: (True, 1, [None]), 3: (False, 0, [])}
+    assert [r.doc_id for r in C.drop_contaminated(docs, bench).collect()] == [3]
