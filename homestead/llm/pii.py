@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass
 
@@ -266,9 +267,21 @@ def all_spans(text: str, model: Model) -> tuple[list, list]:
     """(base spans, all spans) as sorted (start, kind, end)."""
     base = base_spans(text)
     more = [(-model.probability(k, v, s), a, k, b) for k, a, b, is_base, v, s in candidates(text, base) if not is_base]
+    starts, ends = [], []                                        # of what is covered, apart and in order
+    for a, _, b in sorted(base):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
     kept = list(base)
     for p, a, k, b in sorted(more):
-        if p <= -0.5 and not any(a < e and s < b for s, _, e in kept):
+        if p > -0.5:
+            break
+        i = bisect_left(starts, b)
+        if not i or ends[i - 1] <= a:
+            starts.insert(i, a)
+            ends.insert(i, b)
             kept.append((a, k, b))
     return base, sorted(kept)
 

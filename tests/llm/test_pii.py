@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -81,3 +82,31 @@ def test_documents_and_redaction(spark, corpus):
     nothing = pii.learn(empty(spark, docs))
     assert pii.find_documents(empty(spark, docs), nothing).collect() == []
     assert pii.all_spans("tel 239-555-1768", nothing) == ([], [])
+
+
+class Sure:
+    """A model that takes every candidate, the better the more labelers speak for it."""
+
+    def probability(self, kind, votes, shape):
+        return 0.6 + 0.05 * sum(v > 0 for v in votes)
+
+
+def test_added_spans_equal_comparing_with_every_kept_span():
+    rnd = random.Random(11)
+    parts = [*SPANS, "jane [at] example [dot] com", "tel 239-555-1768", "2390-555-1000", "2001:db8:0:0:0:0:7:1"]
+    for _ in range(200):
+        text = rnd.choice([" ", "", "-"]).join(rnd.choices(parts, k=rnd.randrange(1, 12)))
+        base = pii.base_spans(text)
+        kept = list(base)
+        for p, a, k, b in sorted((-Sure().probability(k, v, s), a, k, b)
+                                 for k, a, b, own, v, s in pii.candidates(text, base) if not own):
+            if not any(a < e and s < b for s, _, e in kept):
+                kept.append((a, k, b))
+        assert pii.all_spans(text, Sure()) == (base, sorted(kept))
+
+
+def test_many_spans_in_one_text():
+    for part in ("239-555-1768 or jane [at] example [dot] com, ", "a@b.example.com 239-555-1768 "):
+        start = time.process_time()
+        _, spans = pii.all_spans(part * 20_000, Sure())
+        assert len(spans) >= 20_000 and time.process_time() - start < 20
