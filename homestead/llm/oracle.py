@@ -32,6 +32,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_w
   failures = 0 AS kept, failures FROM f
 """
 
+ORACLE["quality_ablation"] = f"""
+WITH q AS ({ORACLE["op5_quality"]}),
+rules AS (SELECT unnest(['too_few_words', 'repeated_windows', 'too_many_words', 'short_words', 'long_words', 'symbols',
+                         'repeated_lines', 'few_letter_words', 'shouting', 'endless_word']) AS rule,
+                 unnest([1, 2, 4, 8, 16, 32, 64, 128, 256, 512]) AS bit)
+SELECT rule, CAST(count(*) FILTER (WHERE failures & bit <> 0) AS BIGINT) AS fails,
+       CAST(count(*) FILTER (WHERE failures = bit) AS BIGINT) AS alone,
+       CAST(count(*) FILTER (WHERE failures = 0 OR failures = bit) AS BIGINT) AS kept_without
+FROM rules, q GROUP BY rule
+"""
+
 ORACLE["op11_line_dedup"] = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 ln AS (SELECT r, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS p FROM d),

@@ -2,7 +2,7 @@
 
 Every rule is evaluated once per document. The ledger keeps the measurements
 and one long whose bit i is set where rule i fails; the text is not needed
-again. A policy is a versioned bitmask (any of these bits rejects), so applying
+again; ``stored`` writes it. A policy is a versioned bitmask (any of these bits rejects), so applying
 a policy is one bitwise AND, and ablations (what a rule rejects alone, what
 would return without it) are aggregates over the distinct masks, which number
 2^rules at most.
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, texts, with_package
+from .common import small_batches, texts, with_package, written
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -118,6 +118,11 @@ def ledger(docs: DataFrame) -> DataFrame:
     return with_package(texts(docs)).mapInArrow(run, schema).withColumn("failures", bits)
 
 
+def stored(docs: DataFrame) -> DataFrame:
+    """The ledger, written once: policies and ablations read its bits, no text."""
+    return written(ledger(docs), "quality-ledger")
+
+
 def apply_policy(book: DataFrame, policy: int | str) -> DataFrame:
     """The ledger with ``kept``: no bit of the policy is set."""
     mask = POLICIES[policy] if isinstance(policy, str) else policy

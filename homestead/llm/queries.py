@@ -60,14 +60,21 @@ def op4_decontamination(spark, sf_dir) -> DataFrame:
 
 @query
 def op5_quality(spark, sf_dir) -> DataFrame:
-    """The ledger of every document under the newest policy."""
-    book = quality.apply_policy(quality.ledger(read(spark, sf_dir, "documents")), "v2")
+    """The stored ledger of every document under the newest policy."""
+    book = quality.apply_policy(quality.stored(read(spark, sf_dir, "documents")), "v2")
     return book.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (F.col("failures").bitwiseAND(F.lit(quality.BASE).cast("long")) != 0).alias("base_failed"), "kept",
         "failures")
 
 
+@query
+def quality_ablation(spark, sf_dir) -> DataFrame:
+    """What each rule of the newest policy rejects, alone and in all, and what
+    would be kept without it, from the stored bits."""
+    return quality.ablation(quality.stored(read(spark, sf_dir, "documents")), "v2")
+
+
 @query
 def op8_pii(spark, sf_dir) -> DataFrame:
     """Personal data in every document."""

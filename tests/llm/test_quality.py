@@ -45,3 +45,11 @@ def test_ledger_policies_and_ablation(spark):
             assert a.alone == sum(r.failures & mask == bit for r in rows)
             assert a.kept_without == sum(not r.failures & mask & ~bit for r in rows)
     assert Q.ledger(empty(spark, docs)).collect() == []
+
+
+def test_policies_read_the_stored_bits(spark):
+    book = Q.stored(odd_documents(spark, MORE))
+    for df in (Q.apply_policy(book, "v1"), Q.ablation(book, "v2")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" not in plan and "text" not in plan
+    assert sorted(map(str, book.collect())) == sorted(map(str, Q.ledger(odd_documents(spark, MORE)).collect()))

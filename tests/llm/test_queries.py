@@ -2,6 +2,7 @@
 
 import pytest
 
+from homestead.llm import quality
 from homestead.llm.queries import ORACLE, QUERIES
 from parity import compare, duck
 
@@ -16,6 +17,9 @@ COLUMNS = {
     "op8_pii": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
     "op9_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op10_simhash": ["doc_id", "fingerprint", "component_id"],
+    "op11_line_dedup": ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
+    "op12_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+    "op13_collocations": ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
 }
 
 
@@ -29,5 +33,11 @@ def test_sql(spark, name):
 def test_every_row_comes_back(spark, name):
     df = QUERIES[name](spark, SF)
     assert df.columns[:len(COLUMNS.get(name, []))] == COLUMNS.get(name, [])
-    table = "pages" if name == "op3_html" else "documents"
-    assert df.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
+    table = {"op3_html": "pages", "op12_whitening": "embeddings"}.get(name, "documents")
+    rows = spark.read.parquet(f"{SF}/{table}.parquet")
+    if name == "quality_ablation":
+        assert df.count() == len(quality.RULES)
+    elif name == "op13_collocations":
+        assert 0 < df.count() <= 2000 * rows.select("lang").distinct().count()
+    else:
+        assert df.count() == rows.count() * (16 if name == "op12_whitening" else 1)
