@@ -5,7 +5,8 @@ whose joined bytes are in the vocabulary waits in the bucket of its rank; a
 bucket is a list of positions. A three-level bitmap over all ranks (words of
 64 bits) marks the buckets that hold entries, so the next rank to merge is
 three find-first-set steps away, whatever the pre-token's length. A bucket is
-worked off from the left until it is empty or a lower rank has come up.
+worked off from the left until it is empty or a lower rank has come up; a wide
+bucket of a token that can bring up no lower rank is worked off in one step.
 Entries made stale by an earlier merge stay in their bucket and are skipped.
 Work is O(n log n) for n bytes at worst; there is no rescan of the parts.
 
@@ -22,9 +23,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain, islice
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -35,6 +38,8 @@ from .common import small_batches, texts, with_package
 CACHE_ENTRIES = 500_000
 #: Texts beyond this length are split into pre-tokens in blocks.
 LONG_TEXT = 1 << 20
+#: Entries from which a bucket is worked off with numpy, all at once.
+WIDE = 96
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -63,34 +68,74 @@ class ByteBPE:
         self.low = [0] * words                       # a bit for each rank
         self.mid = [0] * ((words >> 6) + 1)          # a bit for each word of low
         self.buckets: dict[int, list[int]] = {}      # rank -> positions
+        self._joins()
+
+    def _joins(self) -> None:
+        """The rank of every two parts that lie next to each other and join to
+        a token, as a dict and as sorted arrays; and the tokens that can join a
+        neighbour at a lower rank than their own."""
+        ranks, unknown = self.ranks, max(self.ranks.values(), default=-1) + 1
+        #: id of a single byte; a byte outside the vocabulary has one past the ranks until it is joined
+        self.byte_ids = np.array([ranks.get(bytes([b]), unknown + b) for b in range(256)], np.int32)
+        self.known, self.span = unknown, unknown + 256
+        single, get, rows = self.byte_ids.tolist(), ranks.get, []
+        for token, rank in ranks.items():
+            end = len(token) - 1
+            for cut in range(1, end + 1):
+                left = get(token[:cut]) if cut > 1 else single[token[0]]
+                right = get(token[cut:]) if cut < end else single[token[end]]
+                if left is not None and right is not None:
+                    rows.append((left * self.span + right, rank))
+        rows.sort()
+        self.join = dict(rows)
+        self.keys = np.array([k for k, _ in rows] + [np.iinfo(np.int64).max], np.int64)
+        self.values = np.array([r for _, r in rows] + [-1], np.int32)
+        left, right = np.divmod(self.keys[:-1], self.span)
+        sooner = [part[self.values[:-1] < part] for part in (left, right)]
+        self.scalar_only = set(np.concatenate(sooner).tolist())
+
+    def _joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each two parts joined, -1 where they do not join."""
+        key = left.astype(np.int64) * self.span + right
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.values[at], -1).astype(np.int32)
 
     def merge_all(self, pieces: list[bytes]) -> list[list[int]]:
-        """The ids of each pre-token."""
-        ranks, low, mid, buckets = self.ranks.get, self.low, self.mid, self.buckets
+        """The ids of each pre-token. The list lies in arrays that are read one
+        entry at a time for a narrow bucket, and all entries of the bucket at
+        once for a wide one."""
+        if not pieces:
+            return []
+        low, mid, buckets = self.low, self.mid, self.buckets
+        join, span, scalar_only = self.join.get, self.span, self.scalar_only
         top = 0                                      # a bit for each word of mid
-        buf = b"".join(pieces)
-        n = len(buf)
-        after = list(range(1, n + 1))                # start of the next part
-        before = list(range(-1, n - 1))              # start of the previous part
-        last = bytearray(n + 1)                      # 1: the next part is another pre-token's
-        head = bytearray(n + 1)                      # 1: the previous part is another pre-token's
-        start = 0
-        for p in pieces:
-            head[start] = 1
-            start += len(p)
-            last[start - 1] = 1
-        pair = [-1] * n                              # current rank of the pair that starts here
-        for i in range(n - 1):
-            if not last[i] and (rank := ranks(buf[i:i + 2], -1)) >= 0:
-                pair[i] = rank
-                if rank in buckets:
-                    buckets[rank].append(i)
-                else:
-                    buckets[rank] = [i]
-                    word = rank >> 6
-                    low[word] |= 1 << (rank & 63)
-                    mid[word >> 6] |= 1 << (word & 63)
-                    top |= 1 << (word >> 6)
+        raw = np.frombuffer(b"".join(pieces), np.uint8)
+        n = len(raw)
+        lengths = np.array([len(p) for p in pieces], np.int64)
+        starts = np.cumsum(lengths) - lengths
+
+        def shared(values, kind="i"):                # the same memory as an array and for numpy
+            own = array(kind, values.tobytes())
+            return own, np.frombuffer(own, values.dtype)
+
+        after, v_after = shared(np.arange(1, n + 1, dtype=np.int32))       # start of the next part
+        before, v_before = shared(np.arange(-1, n - 1, dtype=np.int32))    # start of the previous part
+        part, v_part = shared(self.byte_ids[raw])                          # id of the part, -1: joined to another
+        ends = np.zeros(n, np.uint8)
+        ends[(starts + lengths)[lengths > 0] - 1] = 1
+        last, v_last = shared(ends, "B")             # 1: the next part is another pre-token's
+        head, v_head = shared(np.roll(ends, 1), "B")     # 1: the previous part is another pre-token's
+        ranks = np.full(n, -1, np.int32)
+        ranks[:-1] = np.where(ends[:-1] == 1, -1, self._joined(v_part[:-1], v_part[1:]))
+        pair, v_pair = shared(ranks)                 # current rank of the pair that starts here
+        waiting = np.argsort(ranks, kind="stable")[np.count_nonzero(ranks < 0):]
+        opened, first = np.unique(ranks[waiting], return_index=True)
+        for rank, bucket in zip(opened.tolist(), np.split(waiting, first[1:])):
+            buckets[rank] = bucket.tolist()
+            word = rank >> 6
+            low[word] |= 1 << (rank & 63)
+            mid[word >> 6] |= 1 << (word & 63)
+            top |= 1 << (word >> 6)
         while top:
             group = (top & -top).bit_length() - 1    # find the first set bit, level by level
             bits = mid[group]
@@ -98,6 +143,39 @@ class ByteBPE:
             bits = low[word]
             rank = word << 6 | (bits & -bits).bit_length() - 1
             bucket = buckets[rank]
+            if len(bucket) >= WIDE and rank not in scalar_only:
+                at = np.unique(np.array(bucket, np.int64))
+                bucket.clear()
+                at = at[v_pair[at] == rank]          # the others are stale
+                over = v_after[at]
+                index = np.arange(len(at))
+                if (run := at[1:] == over[:-1]).any():   # of pairs that overlap in a row, every other one
+                    begun = np.maximum.accumulate(np.where(np.append(False, run), 0, index))
+                    at, over = at[(index - begun) & 1 == 0], over[(index - begun) & 1 == 0]
+                to = v_after[over]
+                v_after[at] = to
+                v_part[at] = rank
+                v_part[over] = -1
+                v_pair[over] = -1
+                v_last[at] = v_last[over]
+                goes_on = v_last[at] == 0
+                v_before[to[goes_on]] = at[goes_on]
+                near = np.unique(np.append(at, v_before[at[v_head[at] == 0]]))
+                v_pair[near[v_last[near] == 1]] = -1
+                near = near[v_last[near] == 0]
+                new = self._joined(v_part[near], v_part[v_after[near]])
+                fresh = (new >= 0) & (new != v_pair[near])
+                v_pair[near] = new
+                found = zip(new[fresh].tolist(), near[fresh].tolist())
+                for new, h in found:
+                    if new in buckets:
+                        buckets[new].append(h)
+                    else:
+                        buckets[new] = [h]
+                        w = new >> 6
+                        low[w] |= 1 << (new & 63)
+                        mid[w >> 6] |= 1 << (w & 63)
+                        top |= 1 << (w >> 6)
             bucket.sort(reverse=True)
             lower = False
             while bucket and not lower:
@@ -107,7 +185,8 @@ class ByteBPE:
                 j = after[i]
                 k = after[j]
                 after[i] = k
-                pair[j] = -1
+                part[i] = rank
+                part[j] = pair[j] = -1
                 changed = [i]
                 if last[j]:                          # the part at i now ends its pre-token
                     last[i] = 1
@@ -119,7 +198,7 @@ class ByteBPE:
                     if last[h]:
                         pair[h] = -1
                         continue
-                    new = ranks(buf[h:after[after[h]]], -1)
+                    new = join(part[h] * span + part[after[h]], -1)
                     if new == pair[h]:
                         continue
                     pair[h] = new
@@ -141,15 +220,12 @@ class ByteBPE:
                     mid[group] &= ~(1 << (word & 63))
                     if not mid[group]:
                         top &= ~(1 << group)
-        out, i, table = [], 0, self.ranks
-        for p in pieces:
-            ids, end = [], i + len(p)
-            while i < end:
-                j = after[i]
-                ids.append(table[buf[i:j]])
-                i = j
-            out.append(ids)
-        return out
+        left = np.flatnonzero(v_part >= 0)
+        ids = v_part[left]
+        if len(ids) and int(ids.max()) >= self.known:
+            raise KeyError(f"byte {int(ids.max()) - self.known} is not in the vocabulary")
+        ids, cuts = ids.tolist(), np.searchsorted(left, np.append(starts, n)).tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def _blocks(self, text: str) -> Iterator[list[str]]:
         if len(text) <= LONG_TEXT:
@@ -246,19 +322,16 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Encode every text, decode the ids again, and return per document
-    ``doc_id, n_tokens, ids_sha256, decoded_sha256, exact`` (the decoded bytes
-    are the text's own). Narrow: no shuffle, one pass over the texts."""
+    ``doc_id, n_tokens, ids_sha256, decoded_sha256``. Narrow: no shuffle, one
+    pass over the texts."""
     def run(batches):
         own = coder(path, pattern)
         for whole in batches:
             for b in small_batches(whole):
-                tt = [t or "" for t in b.column("text").to_pylist()]
-                rows = list(own.digests(tt))
-                exact = [hashlib.sha256(t.encode()).hexdigest() == r[2] for t, r in zip(tt, rows)]
+                rows = list(own.digests([t or "" for t in b.column("text").to_pylist()]))
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), pa.array([r[0] for r in rows], pa.int64()),
-                     pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string()),
-                     pa.array(exact, pa.bool_())],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "exact"])
+                     pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return with_package(texts(docs)).mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, exact boolean")
+        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
