@@ -121,3 +121,82 @@ def test_value_table_is_never_shuffled_on_the_group(spark):
     for line in final.splitlines():
         if "Exchange hashpartitioning(event_type" in line:
             assert "blk" in line or "value" not in line
+
+
+def _want(rows, groups, whisker=1.5):
+    out = {}
+    for g in groups:
+        x = np.array([v for k, v in rows if k == g])
+        q1, q2, q3 = np.quantile(x, [.25, .5, .75])
+        inside = x[(x >= q1 - whisker * (q3 - q1)) & (x <= q3 + whisker * (q3 - q1))]
+        out[g] = (len(x), q1, q2, q3, inside.min(), inside.max(), len(x) - len(inside))
+    return out
+
+
+def _got(df):
+    return {r.g: (r.n, r.q1, r.median, r.q3, r.lower_whisker, r.upper_whisker, r.n_outliers)
+            for r in Q.box_stats(df, "g", "v").collect()}
+
+
+def _hot_rows(n):
+    rnd = np.random.default_rng(5)
+    rows = [("hot", float(x)) for x in rnd.normal(0, 10, n)]
+    return rows + [("ties", float(x)) for x in rnd.integers(0, 3, 9000)] + [("few", 4.0), ("few", 9.0)]
+
+
+def test_only_values_near_the_wanted_ranks_are_ranked(spark, monkeypatch):
+    """The range shuffle gets a few percent of a large group, spread over several blocks."""
+    rows, seen, blocks_of = _hot_rows(60000), [], Q.value_blocks
+
+    def spied(counted):
+        blocks = blocks_of(counted)
+        hot = blocks.filter("g = 'hot'")
+        seen.append((hot.count(), hot.select("blk").distinct().count()))
+        return blocks
+    monkeypatch.setattr(Q, "value_blocks", spied)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")         # so few rows make one block otherwise
+    try:
+        got = _got(spark.createDataFrame(rows, "g string, v double").repartition(7))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for g, want in _want(rows, ("hot", "ties", "few")).items():
+        assert got[g] == pytest.approx(want), g
+    assert len(seen) == 1 and 0 < seen[0][0] < 0.05 * 60000 and seen[0][1] > 1
+
+
+@pytest.mark.parametrize("wrong", ["below", "above", "narrow"])
+def test_groups_whose_brackets_miss_are_done_again(spark, monkeypatch, wrong):
+    rows, honest, again = _hot_rows(9000), Q.brackets, []
+
+    def misled(values, probs):
+        found, fits = honest(values, probs)
+        for j in range(len(probs)):
+            lo, hi = {"below": ("lo{0} - 100", "lo{0} - 90"), "above": ("hi{0} + 90", "hi{0} + 100"),
+                      "narrow": ("hi{0}", "hi{0}")}[wrong]
+            lo, hi = lo.format(j), hi.format(j)
+            found = found.selectExpr("*", f"if(g = 'hot', {lo}, lo{j}) as a", f"if(g = 'hot', {hi}, hi{j}) as b") \
+                .drop(f"lo{j}", f"hi{j}").withColumnsRenamed({"a": f"lo{j}", "b": f"hi{j}"})
+        return found, fits
+    whole = Q._all_blocks
+    monkeypatch.setattr(Q, "brackets", misled)
+    monkeypatch.setattr(Q, "_all_blocks", lambda values: again.append([r.g for r in values.select("g").distinct().collect()])
+                        or whole(values))
+    got = _got(spark.createDataFrame(rows, "g string, v double").repartition(3))
+    for g, want in _want(rows, ("hot", "ties", "few")).items():
+        assert got[g] == pytest.approx(want), g
+    assert again == [["hot"]]
+
+
+def test_column_types_names_order_and_empty_tables(spark):
+    """Decimals and longs, columns named like the operator's own, probabilities out of order."""
+    rows = [(k % 3, k, k * 2) for k in range(300)]
+    df = spark.createDataFrame(rows, "n int, c long, v long").selectExpr("n", "c", "cast(v as decimal(12, 2)) as v")
+    got = {r[0]: r for r in Q.exact_quantiles(df, "n", "c", [0.9, 0.1], ["hi", "lo"]).withColumnRenamed("hi", "h")
+           .toDF("n", "rows", "hi", "lo").collect()}
+    for k in range(3):
+        x = np.arange(k, 300, 3)
+        assert (got[k].rows, got[k].hi, got[k].lo) == (100, pytest.approx(np.quantile(x, .9)), pytest.approx(np.quantile(x, .1)))
+    box = {r[0]: r for r in Q.box_stats(df.withColumnRenamed("n", "g"), "g", "v").collect()}
+    assert [float(box[1][c]) for c in ("q1", "median", "q3")] == pytest.approx(
+        list(np.quantile(np.arange(2, 600, 6), [.25, .5, .75])))
+    assert Q.box_stats(df.withColumnRenamed("n", "g").limit(0), "g", "v").collect() == []
