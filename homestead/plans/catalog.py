@@ -801,12 +801,17 @@ def queue_take_leased(spark, sf_dir):
 LISTING_SITE = "https://nha.example"
 
 
+PAGES_A_TASK = 25_000
+
+
 def _orders_with_customer(spark, sf_dir) -> DataFrame:
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     c = _t(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     joined = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
-    return joined.repartition("o_orderkey")              # parsing is the work: spread it, before html is built
+    # parsing is the work: spread it evenly, before html is built, in tasks that grow in number and not in size
+    tasks = max(spark.sparkContext.defaultParallelism, o.count() // PAGES_A_TASK)
+    return joined.repartition(tasks, "o_orderkey")
 
 
 def listing_pages(spark, sf_dir) -> DataFrame:
@@ -856,7 +861,8 @@ def extract_listing_document(spark, sf_dir):
 @query
 def rejected_pages(spark, sf_dir):
     """H6: the listing pages without the title element."""
-    return E.rejected_pages(E.extract_documents(listing_pages(spark, sf_dir))).select("page_id", "url")
+    extracted = E.extract_documents(listing_pages(spark, sf_dir), fields=("has_title",))
+    return E.rejected_pages(extracted).select("page_id", "url")
 
 
 @query
@@ -868,7 +874,7 @@ def extract_listing_links(spark, sf_dir):
 @query
 def extract_listing_links_parsed(spark, sf_dir):
     """H1: the same links as the parser finds them (foreign ones included)."""
-    docs = E.extract_documents(listing_pages(spark, sf_dir))
+    docs = E.extract_documents(listing_pages(spark, sf_dir), fields=("links",))
     return docs.select("page_id", F.posexplode("links").alias("pos", "href"))
 
 
