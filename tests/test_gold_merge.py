@@ -12,6 +12,7 @@ from homestead.plans.etl import (plan_gold_merge, publish_gold, read_gold, run_b
 from homestead.sources.bronze import land_bronze, read_bronze
 from homestead.sources.tables import (PublishConflict, committed_versions, last_note, publish_buckets, publish_version,
                                       read_partitioned, read_versioned, write_partitioned)
+from homestead.session import settings
 from test_io_stream import DOC, scratch, write_docs
 
 STAMP = "2026-06-01 02:00:00"
@@ -175,3 +176,77 @@ def test_slug_landed_twice_on_a_day_is_overwritten(spark):
                    ("2026-05-01", "https://b.example/x/z/", "second"), ("2026-05-02", "https://a.example/z", "other day")]
     raw = "".join(open(os.path.join(d, f), encoding="utf-8").read() for d, _, fs in os.walk(f"{root}/dt=2026-05-01") for f in fs if f[0] not in "._")
     assert '"unknown": 5' in raw and "{nope" in raw        # lines that stay are as they were
+
+
+LANDINGS = [
+    [doc("a", "2026-05-02T10:00:00"), doc("b", None, title="undated b"), doc("c", "2026-05-02T10:00:00", title="m"),
+     doc("f", "2026-05-02T10:00:00", title="stays")],
+    [doc("a", None, title="undated a"), doc("b", "2026-05-01T00:00:00"), doc("c", "2026-05-02T10:00:00", title="k"),
+     doc("c", "2026-05-02T10:00:00", title="l"), doc("f", "2026-05-01T10:00:00", title="older")],
+    [doc("a", "2023-01-01T00:00:00", title="old a"), doc("b", None, title="another"), doc("d", None, title="y"), doc("d", None, title="x")],
+]
+
+
+def three_runs(spark, root):
+    """Gold after each of three landings, each run twice."""
+    args, found, counts = paths(root), [], []
+    for i, docs in enumerate(LANDINGS):
+        day = f"2026-06-0{i + 1}"
+        write_docs(args[0], day, docs)
+        for _ in range(2):
+            counts.append(run_etl(spark, *args, loaded_at=STAMP, incremental=i > 0, since=day if i else None))
+        found.append(gold_of(spark, root))
+    return found, [(c.silver_rows, c.gold_batch_rows, c.gold_rows) for c in counts]
+
+
+def test_batches_too_large_to_broadcast_meet_gold_in_one_shuffle(spark, monkeypatch):
+    from homestead.plans import etl
+    small, counts = three_runs(spark, scratch())
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        root = scratch()
+        large, own = three_runs(spark, root)
+        assert large == small and own == counts
+        monkeypatch.setattr(etl, "BUCKET_PART_ROWS", 2)        # several parts a bucket, and every url with crawls enough is hot
+        assert three_runs(spark, scratch()) == (small, counts)
+        args = paths(root)
+        plan = plan_gold_merge(spark, args[1], args[2], loaded_at=STAMP, since="2026-06-03")
+        plan.merged.write.format("noop").mode("overwrite").save()
+        phys = plan.merged._jdf.queryExecution().executedPlan().toString()
+        assert not plan.broadcast_keys and "Join" not in phys and phys.split("Initial Plan")[0].count("Exchange hashpartitioning(bucket") == 1
+        assert [c for c in plan.merged.columns if c not in etl.GOLD_INPUT] == ["load", "gold_loaded_at", "bucket"]
+
+
+def test_a_url_with_most_crawls_is_reduced_before_it_is_dealt(spark, monkeypatch):
+    from homestead.plans import etl
+    root = scratch()
+    args = paths(root)
+    write_docs(args[0], "2026-05-01", [doc("hot", f"2026-05-01T00:{i:02d}:00", title=f"t{i}") for i in range(60)] + [doc("cold", None)])
+    monkeypatch.setattr(etl, "BUCKET_PART_ROWS", 100)
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        run_etl(spark, *args, loaded_at=STAMP)
+        plan = plan_gold_merge(spark, args[1], args[2], loaded_at=STAMP)
+        assert "WindowGroupLimit" in plan.merged._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.title for r in read_gold(spark, args[2]).collect()) == [DOC["title"], "t59"]
+
+
+def test_gold_stored_with_a_tie_struct_is_merged_as_before(spark):
+    root = scratch()
+    args = paths(root)
+    write_docs(args[0], "2026-06-01", LANDINGS[0])
+    run_etl(spark, *args, loaded_at=STAMP)
+    from homestead.plans.gold import TIE, stored_crawls
+    now = read_versioned(spark, args[2])
+    held = stored_crawls(now)
+    old = (held.select(S.GOLD_KEY, F.col("crawled_at").alias("_crawled_at"), F.struct(*TIE).alias("_tie"), F.col("load").alias("_load"))
+           .join(now.select(*S.GOLD_COLUMNS), S.GOLD_KEY).select(*S.GOLD_COLUMNS, "_crawled_at", "_tie", "_load"))
+    before = sorted(map(str, held.collect()))
+    assert sorted(map(str, stored_crawls(old).collect())) == before
+
+
+def test_silver_is_derived_behind_its_shuffle(spark):
+    from homestead.plans.silver import bronze_to_silver, narrow, widen
+    root = scratch()
+    write_docs(root, "2026-06-01", [d for docs in LANDINGS for d in docs] + [doc("q", None, title=" ")])
+    bronze = read_bronze(spark, root)
+    assert "price" not in narrow(bronze).columns and "city" not in narrow(bronze).columns
+    assert sorted(map(str, widen(narrow(bronze)).collect())) == sorted(map(str, bronze_to_silver(bronze).collect()))
