@@ -28,6 +28,7 @@ ignored (``drop_repeated_lines`` keeps them).
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +36,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settings
 from .common import small_batches, unused, with_package, written
 
 BLANK = b" \t\n\x0b\x0c\r"
 LINE = "hi long, lo long, doc_id long, text_key long, pos long"
 INSIDE, OPEN, SUMMARY = 0, 1, 2
+#: Texts become Python strings in pieces of this many bytes.
+PIECE_BYTES = 2 << 20
+#: The work tables' rows go to Python and back in batches of this many.
+NARROW_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 
 
 def line_keys(text: str | None, min_chars: int) -> tuple[list[int], list[bytes]]:
@@ -55,22 +61,25 @@ def line_keys(text: str | None, min_chars: int) -> tuple[list[int], list[bytes]]
 
 def line_rows(docs: DataFrame, min_chars: int) -> DataFrame:
     """``hi, lo, doc_id, text_key, pos``: one row per long enough line. Narrow."""
-    def run(batches):
-        for whole in batches:
-            for b in small_batches(whole):
-                pos, keys, sizes = [], [], []
-                for t in b.column("text").to_pylist():
-                    p, k = line_keys(t, min_chars)
-                    pos += p
-                    keys += k
-                    sizes.append(len(p))
-                take = pa.array(np.repeat(np.arange(b.num_rows), sizes))
-                both = np.frombuffer(b"".join(keys), ">i8").astype(np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(both[:, 0]), pa.array(both[:, 1]), b.column("doc_id").take(take),
-                     b.column("text_key").take(take), pa.array(pos, pa.int64())],
-                    ["hi", "lo", "doc_id", "text_key", "pos"])
-    return with_package(_keyed(docs)).mapInArrow(run, LINE)
+    return with_package(_keyed(docs)).mapInArrow(lambda batches: hashed(batches, min_chars), LINE)
+
+
+def hashed(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
+    """``line_rows`` of batches, a piece of texts at a time."""
+    for whole in batches:
+        for b in small_batches(whole, limit=PIECE_BYTES):
+            pos, keys, sizes = [], [], []
+            for t in b.column("text"):
+                p, k = line_keys(t.as_py(), min_chars)
+                pos += p
+                keys += k
+                sizes.append(len(p))
+            take = pa.array(np.repeat(np.arange(b.num_rows), sizes))
+            both = np.frombuffer(b"".join(keys), ">i8").astype(np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(both[:, 0]), pa.array(both[:, 1]), b.column("doc_id").take(take),
+                 b.column("text_key").take(take), pa.array(pos, pa.int64())],
+                ["hi", "lo", "doc_id", "text_key", "pos"])
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -188,11 +197,13 @@ def _arrays(b: pa.RecordBatch) -> dict:
 
 def dropped_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """``doc_id, text_key, pos`` of every line that goes."""
-    rows = written(line_rows(docs, min_chars), "line-hashes")       # read twice: for the bounds, and to be dealt out
+    with settings(docs.sparkSession, NARROW_BATCHES):
+        rows = written(line_rows(docs, min_chars), "line-hashes")   # read twice: for the bounds, and to be dealt out
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["hi", "lo", F.col("doc_id").desc_nulls_last()]
     dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order, "text_key", "pos")
-    found = written(settle(dealt, min_docs), "line-decisions")
+    with settings(docs.sparkSession, NARROW_BATCHES):
+        found = written(settle(dealt, min_docs), "line-decisions")
     edges = found.where(F.col("kind") == SUMMARY).groupBy("hi", "lo").agg(
         F.sum("pos").alias("docs"), F.max("doc_id").alias("top")).where(F.col("docs") >= min_docs)
     # two summaries a partition at most: the bound of what is broadcast
@@ -255,7 +266,9 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
 def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """``docs`` with the lines that stay as ``text`` (never null), and two more
     columns (named longer where taken): ``n_lines`` before and ``n_dropped``."""
-    bitmaps = written(keep_bitmaps(docs, min_chars, min_docs), "line-bitmaps")
+    lines = keep_bitmaps(docs, min_chars, min_docs)
+    with settings(docs.sparkSession, NARROW_BATCHES):
+        bitmaps = written(lines, "line-bitmaps")
     n_lines, n_dropped = unused(docs, "n_lines"), unused(docs, "n_dropped")
     own = docs.withColumn("text", F.col("text").cast("string"))
     meet = bitmaps.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"),
@@ -266,14 +279,14 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3)
 
     def run(batches):
         for whole in batches:
-            for b in small_batches(whole, "row"):
+            for b in small_batches(whole, "row", PIECE_BYTES):
                 rows = b.column("row")
                 maps = b.column("map").to_pylist()
                 text_at = [f.name.lower() for f in rows.type].index("text")
                 fields = rows.flatten()
                 kept, before, gone = [], [], []
-                for text, m in zip(fields[text_at].to_pylist(), maps):
-                    text = text or ""
+                for text, m in zip(fields[text_at], maps):
+                    text = text.as_py() or ""
                     n = text.count("\n") + 1
                     if m:
                         keep = unpack(m["keep"], m["n_lines_seen"], n)

@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from homestead.llm import line_dedup
@@ -137,3 +138,16 @@ def test_query_digest(spark):
     got = line_dedup.drop_repeated_lines(docs).select(F.sha2("text", 256).alias("h"), "text").collect()
     assert all(r.h == hashlib.sha256(r.text.encode()).hexdigest() for r in got)
     assert len(got) == len(ODD) + len(MORE) + 3
+
+
+def test_texts_of_a_batch_become_strings_piece_by_piece():
+    import tracemalloc
+    text = "\n".join(f"line {i} of some length or other" for i in range(60))
+    n = 8000                                                     # 15 MB of text
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([text] * n), pa.array([7] * n, pa.int64())],
+                                       ["doc_id", "text", "text_key"])
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in line_dedup.hashed(iter([batch]), 20))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 60 * n and most < batch.nbytes
