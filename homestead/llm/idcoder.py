@@ -32,13 +32,14 @@ and no rows; other columns are ignored.
 from __future__ import annotations
 
 import math
+import os
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,14 +53,28 @@ LANES = 8192
 BLOCK_IDS = 1 << 22
 ORDER2_BITS = 18
 U64 = np.uint64
-TOP, BOT, TOP_SHIFT = U64(1 << 56), U64(1 << 48), U64(56)   # a range is 2^48 or more before each id
+TOP, BOT = U64(1 << 56), U64(1 << 48)           # a range is 2^48 or more before each id
+CUTS = [U64(1 << 64 - 8 * k) for k in (1, 2, 3, 4)]         # both ends agree in k bytes
 ID_BITS, ALL_BITS = U64(24), U64(40)            # order-0 shares; an id's share of the range
 FLAG_TOTAL, ID_TOTAL = 1 << 16, 1 << 24
 LEVELS = 16                                     # confidence levels
+#: A slot's level after a miss (first half) and a hit, and whether its candidate stays.
+NEXT = np.r_[np.arange(LEVELS) >> 1, np.minimum(np.arange(LEVELS) + 1, LEVELS - 1)].astype(np.int32)
+STAYS = np.arange(2 * LEVELS) >= 2
+STAYS[LEVELS:] = True
+FIND_BITS = 8                                   # of an order-0 share that the decoder's first look leaves out
 HASH1, HASH2 = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 HASH_SHIFT = U64(64 - ORDER2_BITS)
 
 
+#: What may follow a letter's chunk, and the two-byte letters (U+00C0 to U+00FF) that it may follow.
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+MARK = {bytes([c]) for c in MARKS}
+LATIN = {chr(c).encode() for c in range(0xC0, 0x100) if chr(c).isalpha()}
+#: Bytes of the texts whose chunks are looked up at a time, about.
+PIECE_BYTES = 4 << 20
+
+
 class BlockError(ValueError):
     """A block is damaged."""
 
@@ -120,36 +135,54 @@ class _Model:
         self.freq = freq.astype(U64)
         self.cum = np.zeros(self.alphabet + 1, np.int32)    # up to 2^24
         np.cumsum(freq, out=self.cum[1:])
+        self.first: np.ndarray | None = None                # of ``find``
         self.odds = STRETCH[np.clip(freq >> 12, 1, 4095)]   # order-0 prediction of each id
 
     def predict(self, c1: np.ndarray, c2: np.ndarray) -> None:
         """Candidates and their code shares for contexts (c2, c1)."""
-        self.h = (self.hash1[c1] + self.hash2[c2] >> HASH_SHIFT).view(np.int64)
+        self.h = (self.hash1.take(c1) + self.hash2.take(c2) >> HASH_SHIFT).view(np.int64)
         self.c1 = c1
-        slot2, slot1 = self.slot2[self.h], self.slot1[c1]
-        self.a, self.b = slot2 >> 4, slot1 >> 4
-        self.la, self.lb = slot2 & 15, slot1 & 15
+        self.old2, self.old1 = slot2, slot1 = self.slot2.take(self.h), self.slot1.take(c1)
+        self.a, self.b = (slot2 >> 4).astype(np.int64), (slot1 >> 4).astype(np.int64)
+        self.la, self.lb = (slot2 & 15).astype(np.int64), (slot1 & 15).astype(np.int64)
         self.same = same = self.a == self.b
-        xa2, xb = self.rate[0][self.la], self.rate[2][self.lb]
-        xa1 = self.rate[1][self.lb] * same
-        xa0, xb0 = self.odds[self.a], self.odds[self.b]
+        xa2, xb = self.rate[0].take(self.la), self.rate[2].take(self.lb)
+        xa1 = self.rate[1].take(self.lb) * same
+        xa0, xb0 = self.odds.take(self.a), self.odds.take(self.b)
         (s2, s1, s0), (d2, _, d0), (b1, _, b0) = self.w
         mixed = np.where(same, xa2 * s2 + xa1 * s1 + xa0 * s0, xa2 * d2 + xa0 * d0) >> 16
-        self.pa = SQUASH[mixed + REACH]
-        self.pb = SQUASH[(xb * b1 + xb0 * b0 >> 16) + REACH]
+        self.pa = SQUASH.take(mixed + REACH)
+        self.pb = SQUASH.take((xb * b1 + xb0 * b0 >> 16) + REACH)
         self.inputs = xa2, xa1, xa0, xb, xb0
         fa = self.pa << 4
         self.fa = fa.astype(U64)
         fb = np.maximum((FLAG_TOTAL - fa) * self.pb >> 12, 1) * ~same
         self.edge = (fa + fb).astype(U64)
 
-    def update(self, ids: np.ndarray) -> None:
-        hit_a, hit_b = ids == self.a, ids == self.b
-        own = ids << 4 | 1
-        for slots, at, hit, old, level in ((self.slot2, self.h, hit_a, self.a, self.la),
-                                           (self.slot1, self.c1, hit_b, self.b, self.lb)):
-            stays = old << 4 | np.where(hit, np.minimum(level + 1, LEVELS - 1), level >> 1)
-            slots[at] = np.where(hit | (level > 1), stays, own)
+    def find(self, own: np.ndarray) -> np.ndarray:
+        """The ids whose order-0 shares hold ``own``: by the first bits of it, then by halving."""
+        if self.first is None:
+            ahead = -(-self.cum.astype(np.int64) >> FIND_BITS)
+            self.first = np.append(np.repeat(np.arange(self.alphabet, dtype=np.int32), np.diff(ahead)),
+                                   np.int32(self.alphabet - 1))
+        at = (own >> U64(FIND_BITS)).view(np.int64)
+        y, most = self.first.take(at), self.first.take(at + 1)
+        open_ = np.flatnonzero(y < most)
+        own, lo, hi = own[open_].astype(np.int32), y[open_], most[open_]
+        while (lo < hi).any():
+            mid = lo + hi + 1 >> 1
+            up = self.cum.take(mid) <= own
+            lo, hi = np.where(up, mid, lo), np.where(up, hi, mid - 1)
+        y[open_] = lo
+        return y
+
+    def update(self, ids: np.ndarray, hit_a: np.ndarray, hit_b: np.ndarray) -> None:
+        """Learn the ids of this step; whether they are the first and the second candidate."""
+        own = (ids << 4 | 1).astype(np.int32)
+        for slots, at, hit, old, level in ((self.slot2, self.h, hit_a, self.old2, self.la),
+                                           (self.slot1, self.c1, hit_b, self.old1, self.lb)):
+            case = level + hit * LEVELS
+            slots[at] = np.where(STAYS.take(case), old & ~15 | NEXT.take(case), own)
         self.fresh_ids.append(ids)
         if self.learn:
             self._learn(hit_a, hit_b)
@@ -184,34 +217,113 @@ def _lanes(n: int) -> tuple[int, int]:
     return -(-n // steps), steps
 
 
+class _Lanes:
+    """Where the range coders of all lanes stand. A step settles the bytes on
+    which both ends of a lane's range agree: up to four at once for all lanes,
+    the rest, and ranges that got too small, byte by byte. Bytes pass a lane's
+    buffer and come and go in words of four, big-endian, one row of words for
+    all lanes."""
+
+    def __init__(self, lanes: int, table: np.ndarray) -> None:
+        self.low, self.rng = np.zeros(lanes, U64), np.full(lanes, (1 << 64) - 1, U64)
+        self.words = table.reshape(-1)                      # u32, row by row
+        self.row = np.arange(lanes)                         # of each lane's next word
+        self.lanes = lanes
+        self.buffer, self.held = np.zeros(lanes, U64), np.zeros(lanes, np.uint8)    # its last bytes count
+
+    def narrow(self, start: np.ndarray, size: np.ndarray, r: np.ndarray) -> None:
+        """Take the share ``start``, ``size`` of the first lanes' ranges (``r``: of their 2^-40)."""
+        n = len(r)
+        lo = self.low[:n] + start * r
+        r = size * r
+        apart = lo ^ (lo + r)
+        k = (apart < CUTS[0]).view(np.uint8) + (apart < CUTS[1]).view(np.uint8)
+        k += (apart < CUTS[2]).view(np.uint8)
+        k += (apart < CUTS[3]).view(np.uint8)
+        bits = (k << 3).astype(U64)
+        self.move(slice(0, n), lo, k, bits)
+        lo <<= bits
+        r <<= bits
+        self.low[:n], self.rng[:n] = lo, r
+        apart <<= bits
+        at = np.flatnonzero((r < BOT) | (apart < TOP))
+        while len(at):
+            lo, r = self.low[at], self.rng[at]
+            ready = (lo ^ (lo + r)) < TOP
+            go = np.flatnonzero(ready | (r < BOT))
+            at, lo, r = at[go], lo[go], r[go]
+            r = np.where(ready[go], r, (U64(0) - lo) & (BOT - U64(1)))
+            self.move(at, lo, np.ones(len(at), np.uint8), np.full(len(at), 8, U64))
+            self.low[at], self.rng[at] = lo << U64(8), r << U64(8)
+
+
+class _Writer(_Lanes):
+    def __init__(self, lanes: int, steps: int) -> None:
+        super().__init__(lanes, np.empty((6 * steps // 4 + 8, lanes), np.uint32))
+
+    def move(self, at, lo: np.ndarray, k: np.ndarray, bits: np.ndarray) -> None:
+        """Put out the top ``k`` bytes (``bits``) of ``lo`` of the lanes ``at``."""
+        held = self.held[at] + k
+        self.buffer[at] = buffer = self.buffer[at] << bits | lo >> U64(64) - bits
+        self.held[at] = held & 3
+        full = np.flatnonzero(held > 3)
+        own = full if isinstance(at, slice) else at[full]
+        row = self.row[own]
+        self.words[row] = (buffer[full] >> ((held[full] & 3) << 3).astype(U64)).astype(np.uint32)
+        self.row[own] = row + self.lanes
+
+    def end(self) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes per lane, their bytes), with the whole of low behind."""
+        every, low = slice(0, self.lanes), self.low
+        for _ in range(2):
+            self.move(every, low, np.full(self.lanes, 4, np.uint8), np.full(self.lanes, 32, U64))
+            low = low << U64(32)
+        n = 4 * (self.row // self.lanes) + self.held
+        self.words[self.row] = (self.buffer << ((4 - self.held) << 3).astype(U64)).astype(np.uint32)
+        table = self.words.reshape(-1, self.lanes)[:-(-int(n.max()) // 4)]
+        out = np.ascontiguousarray(table.T).astype(">u4").view(np.uint8).reshape(self.lanes, -1)
+        return n.astype("<u4"), out[np.arange(out.shape[1]) < n[:, None]]
+
+
+class _Reader(_Lanes):
+    def __init__(self, sizes: np.ndarray, payload: np.ndarray) -> None:
+        lanes = len(sizes)
+        rows = -(-int(sizes.max()) // 4) + 4                # zeros behind every lane's bytes
+        out = np.zeros((lanes, 4 * rows), np.uint8)
+        out[np.arange(4 * rows) < sizes[:, None]] = payload
+        super().__init__(lanes, np.ascontiguousarray(out.view(">u4").astype(np.uint32).T))
+        self.rows, self.sizes = rows, sizes.astype(np.int64)
+        self.code = self.words[:lanes].astype(U64) << U64(32) | self.words[lanes:2 * lanes]
+        self.row += 2 * lanes
+
+    def move(self, at, lo: np.ndarray, k: np.ndarray, bits: np.ndarray) -> None:
+        """Take the next ``k`` bytes (``bits``) of the lanes ``at``."""
+        held, buffer = self.held[at], self.buffer[at]
+        few = np.flatnonzero(held < 4)
+        own = few if isinstance(at, slice) else at[few]
+        row = self.row[own]
+        buffer[few] = buffer[few] << U64(32) | self.words[np.minimum(row, len(self.words) - 1)]
+        held[few] += 4
+        self.row[own] = row + self.lanes
+        held = held - k
+        self.held[at], self.buffer[at] = held, buffer
+        self.code[at] = self.code[at] << bits | buffer >> (held << 3).astype(U64) & (U64(1) << bits) - U64(1)
+
+    def check(self) -> None:
+        if (4 * (self.row // self.lanes) - self.held > self.sizes + 8).any():
+            raise BlockError("lane overrun")
+
+
 def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[np.ndarray, np.ndarray]:
     """(bytes per lane, their bytes) of non-empty ids below ``alphabet``."""
     n = len(ids)
     lanes, steps = _lanes(n)
-    flat = np.zeros(lanes * steps, np.int32)
+    flat = np.zeros(lanes * steps, np.int64)
     flat[:n] = ids
     grid = np.ascontiguousarray(flat.reshape(lanes, steps).T)
     model = _Model(alphabet)
-    low, rng = np.zeros(lanes, U64), np.full(lanes, (1 << 64) - 1, U64)
-    out = np.zeros((lanes, 6 * steps + 16), np.uint8)
-    pos = np.zeros(lanes, np.int64)
-    every = np.arange(lanes)
-
-    def settle(at: np.ndarray, lo: np.ndarray, r: np.ndarray) -> None:
-        """Put out the top bytes of the lanes ``at`` (their low and range) while they are settled."""
-        while True:
-            ready = (lo ^ (lo + r)) < TOP
-            go = np.flatnonzero(ready | (r < BOT))
-            if not len(go):
-                return
-            at, lo, r = at[go], lo[go], r[go]
-            r = np.where(ready[go], r, (U64(0) - lo) & (BOT - U64(1)))
-            out[at, pos[at]] = lo >> TOP_SHIFT
-            pos[at] += 1
-            lo, r = lo << U64(8), r << U64(8)
-            low[at], rng[at] = lo, r
-
-    c1 = np.full(lanes, alphabet, np.int32)
+    out = _Writer(lanes, steps)
+    c1 = np.full(lanes, alphabet, np.int64)
     c2 = c1.copy()
     for s in range(steps):
         act = (n - 1 - s) // steps + 1
@@ -219,82 +331,51 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[np.ndarray, np.ndarray]:
         model.predict(c1[:act], c2[:act])
         hit_a = x == model.a
         hit_b = x == model.b                                 # the same id twice: the first counts
-        start = np.where(hit_a, U64(0), np.where(hit_b, model.fa, model.edge)) << ID_BITS
-        size = np.where(hit_a, model.fa, model.edge - model.fa) << ID_BITS
-        at = np.flatnonzero(~(hit_a | hit_b))
-        y, rest = x[at], U64(FLAG_TOTAL) - model.edge[at]    # the id's part of what both candidates leave
-        start[at] += rest * model.cum[y].astype(U64)
-        size[at] = rest * model.freq[y]
-        r = rng[:act] >> ALL_BITS
-        lo = low[:act] + start * r
-        r = size * r
-        low[:act], rng[:act] = lo, r
-        settle(every[:act], lo, r)
-        model.update(x)
-        c2, c1 = c1, np.concatenate([x, c1[act:]])
-    for k in range(8):                                       # the whole of low
-        out[every, pos] = (low >> U64(56 - 8 * k)).astype(np.uint8)
-        pos += 1
-    keep = np.arange(out.shape[1]) < pos[:, None]
-    return pos.astype("<u4"), out[keep]
+        other = ~(hit_a | hit_b)
+        fa, edge = model.fa, model.edge
+        rest = U64(FLAG_TOTAL) - edge                        # what both candidates leave: an id has its part of it
+        start = np.where(hit_a, U64(0), np.where(hit_b, fa, edge)) << ID_BITS
+        start += rest * model.cum.take(x).astype(U64) * other
+        size = np.where(other, rest * model.freq.take(x), np.where(hit_a, fa, edge - fa) << ID_BITS)
+        out.narrow(start, size, out.rng[:act] >> ALL_BITS)
+        model.update(x, hit_a, hit_b)
+        c2, c1 = c1, x if act == lanes else np.concatenate([x, c1[act:]])
+    return out.end()
 
 
 def decode_ids(n: int, lanes: int, alphabet: int, words: np.ndarray, payload: np.ndarray) -> np.ndarray:
     if (lanes, -(-n // lanes)) != _lanes(n) or words.sum() != len(payload):
         raise BlockError("lane layout")
     steps = -(-n // lanes)
-    start_at = np.r_[0, np.cumsum(words.astype(np.int64))]
-    pos, lane_end = start_at[:-1].copy(), start_at[1:]
-    data = np.concatenate([payload.astype(U64), np.zeros(8, U64)])
-    low, rng, code = np.zeros(lanes, U64), np.full(lanes, (1 << 64) - 1, U64), np.zeros(lanes, U64)
-    every = np.arange(lanes)
-    for _ in range(8):
-        code = code << U64(8) | data[pos]
-        pos += 1
-
-    def settle(at: np.ndarray, lo: np.ndarray, r: np.ndarray) -> None:
-        while True:
-            ready = (lo ^ (lo + r)) < TOP
-            go = np.flatnonzero(ready | (r < BOT))
-            if not len(go):
-                return
-            at, lo, r = at[go], lo[go], r[go]
-            r = np.where(ready[go], r, (U64(0) - lo) & (BOT - U64(1)))
-            code[at] = code[at] << U64(8) | data[np.minimum(pos[at], len(data) - 1)]
-            pos[at] += 1
-            lo, r = lo << U64(8), r << U64(8)
-            low[at], rng[at] = lo, r
-
+    if words.max() > 6 * steps + 16:
+        raise BlockError("lane layout")
+    lane = _Reader(words, payload)
     model = _Model(alphabet)
     grid = np.zeros((steps, lanes), np.int32)
-    c1 = np.full(lanes, alphabet, np.int32)
+    c1 = np.full(lanes, alphabet, np.int64)
     c2 = c1.copy()
     for s in range(steps):
         act = (n - 1 - s) // steps + 1
         model.predict(c1[:act], c2[:act])
-        r = rng[:act] >> ALL_BITS
-        value = np.minimum((code[:act] - low[:act]) // r, U64((FLAG_TOTAL << 24) - 1))
+        r = lane.rng[:act] >> ALL_BITS
+        fa, edge = model.fa, model.edge
+        value = np.minimum((lane.code[:act] - lane.low[:act]) // r, U64((FLAG_TOTAL << 24) - 1))
         flag = value >> ID_BITS
-        is_a, in_b = flag < model.fa, flag < model.edge
-        start = np.where(is_a, U64(0), np.where(in_b, model.fa, model.edge)) << ID_BITS
-        size = np.where(is_a, model.fa, model.edge - model.fa) << ID_BITS
+        is_a, in_b = flag < fa, flag < edge
+        start = np.where(is_a, U64(0), np.where(in_b, fa, edge)) << ID_BITS
+        size = np.where(is_a, fa, edge - fa) << ID_BITS
         x = np.where(is_a, model.a, model.b)
         at = np.flatnonzero(~in_b)
-        rest = U64(FLAG_TOTAL) - model.edge[at]
-        own = (value[at] - start[at]) // rest
-        y = np.searchsorted(model.cum, own.astype(np.int32), side="right") - 1
+        rest, begin = U64(FLAG_TOTAL) - edge[at], start[at]
+        y = model.find((value[at] - begin) // rest)
         x[at] = y
-        start[at] += rest * model.cum[y].astype(U64)
-        size[at] = rest * model.freq[y]
-        lo = low[:act] + start * r
-        r = size * r
-        low[:act], rng[:act] = lo, r
-        settle(every[:act], lo, r)
+        start[at] = begin + rest * model.cum.take(y).astype(U64)
+        size[at] = rest * model.freq.take(y)
+        lane.narrow(start, size, r)
         grid[s, :act] = x
-        model.update(x)
-        c2, c1 = c1, np.concatenate([x, c1[act:]])
-    if (pos > lane_end + 8).any():
-        raise BlockError("lane overrun")
+        model.update(x, x == model.a, x == model.b)
+        c2, c1 = c1, x if act == lanes else np.concatenate([x, c1[act:]])
+    lane.check()
     return np.ascontiguousarray(grid.T).reshape(-1)[:n]
 
 
@@ -340,6 +421,7 @@ class WordEncoder:
     WORD_END = "</w>"
 
     def __init__(self, path: str, entries: int = 1_300_000) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")     # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.alphabet = self.tokenizer.get_vocab_size()
         self.is_end = np.zeros(self.alphabet, bool)
@@ -352,14 +434,20 @@ class WordEncoder:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts_, add_special_tokens=False)]
 
     def _learn(self, words: list[bytes]) -> None:
-        """Ids of new chunks. A chunk that ends in a letter and one mark is
-        the letter's chunk and the mark: they are pre-tokens of their own."""
+        """Ids of new chunks. A chunk that ends in a letter and ASCII marks
+        (no apostrophe) is the letter's chunk and the marks: they are pre-tokens
+        of their own."""
         cache = self.cache
-        stems = [w[:-1] if w[-1:] in (b",", b".") and w[-2:-1].isalpha() and b"<|" not in w else w for w in words]
+        cache[b""] = b""                                         # a text's edges may split off an empty chunk
+        pairs = {}
+        for w in words:
+            if w[-1:] in MARK and b"<|" not in w:
+                stem = w.rstrip(MARKS)
+                if stem[-1:].isalpha() or stem[-2:] in LATIN:
+                    pairs[w] = stem, w[len(stem):]
         letters, others = [], []
-        for w in {*stems, b",", b"."}:
-            if w not in cache:
-                (letters if w.decode().isalpha() else others).append(w)
+        for w in {p for w in words for p in pairs.get(w, (w,))}.difference(cache):
+            (letters if w.decode().isalpha() else others).append(w)
         groups = [letters[i:i + 1000] for i in range(0, len(letters), 1000)]
         for group, ids in zip(groups, self._library([b" ".join(g).decode() for g in groups])):
             cuts = np.flatnonzero(self.is_end[ids]) + 1
@@ -371,31 +459,46 @@ class WordEncoder:
                 cache[w] = raw[a:b]
         for w, ids in zip(others, self._library([w.decode() for w in others])):
             cache[w] = ids.tobytes()
-        for w, stem in zip(words, stems):
-            if stem is not w:
-                cache[w] = cache[stem] + cache[w[-1:]]
+        for w, (stem, marks) in pairs.items():
+            cache[w] = cache[stem] + cache[marks]
 
     def encode_all(self, batch: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian u32."""
-        out, at = [], 0
-        while at < len(batch):
-            split, size = [], 0
-            while at < len(batch) and size < 1 << 20:
-                raw = (batch[at] or "").encode()
-                if b"<|" not in raw:                             # no special token's string
-                    raw = raw.lower()                            # as the tokenizer does
-                split.append(raw.split())
-                size += len(raw)
-                at += 1
-            new = set().union(*split).difference(self.cache)
-            if len(self.cache) + len(new) > self.entries:
-                self.cache.clear()
-                new = set().union(*split)
-            if new:
-                self._learn(list(new))
-            get = self.cache.__getitem__
-            out += [b"".join(map(get, words)) for words in split]
-        return out
+        return self.encode_column(pa.array(batch, pa.large_string()))
+
+    def encode_column(self, column: pa.Array) -> list[bytes]:
+        """Ids of each text of an Arrow column."""
+        table = pa.RecordBatch.from_arrays([column], ["text"])
+        return [x for b in small_batches(table, limit=PIECE_BYTES) for x in self._encode(b.column("text").to_pylist())]
+
+    def _encode(self, texts_: list[str | None]) -> list[bytes]:
+        """Each chunk of the texts is looked up once, then dealt to its places."""
+        piece = pa.array([t or "" for t in texts_], pa.large_string())      # Arrow's casts misread slices
+        special = pc.match_substring(piece, "<|")                # may hold a special token's string
+        lower = pc.if_else(special, piece, pc.ascii_lower(piece))       # as the tokenizer does
+        split = pc.ascii_split_whitespace(lower)
+        coded = split.flatten().dictionary_encode()
+        _, at, data = coded.dictionary.buffers()
+        n = len(coded.dictionary)
+        at, data = (np.frombuffer(at, np.int64, n + 1).tolist(), data.to_pybytes()) if n else ([0], b"")
+        chunks = [data[a:b] for a, b in zip(at, at[1:])]
+        found = [self.cache.get(w) for w in chunks]
+        gaps = [i for i, x in enumerate(found) if x is None]
+        if len(self.cache) + len(gaps) > self.entries:
+            self.cache.clear()
+        if gaps:
+            self._learn([chunks[i] for i in gaps])
+            for i in gaps:
+                found[i] = self.cache[chunks[i]]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        pool = np.frombuffer(b"".join(found), "<u4")
+        which = coded.indices.to_numpy()
+        n = sizes[which]
+        stop = np.cumsum(n)
+        shift = (np.cumsum(sizes) - sizes)[which] - (stop - n)
+        raw = pool[np.repeat(shift, n) + np.arange(int(n.sum()))].tobytes()
+        ends = (4 * np.r_[0, stop][split.offsets.to_numpy() - split.offsets[0].as_py()]).tolist()
+        return [raw[a:b] for a, b in zip(ends, ends[1:])]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -433,7 +536,7 @@ def write_blocks(docs: DataFrame, path: str, end_id: int, partitions: int | None
             return row
         for whole in batches:
             for b in small_batches(whole):
-                for d, x in zip(b.column("doc_id").to_pylist(), enc.encode_all(b.column("text").to_pylist())):
+                for d, x in zip(b.column("doc_id").to_pylist(), enc.encode_column(b.column("text"))):
                     ids.append(d)
                     raw.append(x + end)
                     size += len(x) // 4 + 1

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 from tokenizers import Tokenizer
@@ -49,6 +50,23 @@ def test_chunks_equal_the_library():
             [library.encode(t or "", add_special_tokens=False).ids for t in batch]
 
 
+def test_chunks_are_split_and_looked_up_once(monkeypatch):
+    """The old encoder asked the library for every chunk with marks at its end, and looked up every occurrence."""
+    own, library, asked = C.WordEncoder(PATH), Tokenizer.from_file(PATH), []
+    ask = own._library
+    monkeypatch.setattr(own, "_library", lambda texts_: asked.extend(" ".join(texts_).split()) or ask(texts_))
+    marks = ["", "###", "***", ")", "!?", "..."]
+    words = [f"{w}{m}" for w in ("caf\u00e9", "stone", "\u00fc\u00df") for m in marks]
+    odd = ["\u00d7)", "a')", "x\u0338)", "<|endoftext|>###", "e\u0301)", "\uac00)", "1)", ")"]
+    texts_ = [None, " ".join(words), " ".join([*words, *odd]), "\u00e9" * 50, "", "  " + " ".join(odd) + "\n"]
+    column = pa.array(["cut off", *texts_, "cut off"])
+    monkeypatch.setattr(C, "PIECE_BYTES", 60)                   # a few texts at a time, of a slice
+    got = own.encode_column(column.slice(1, len(texts_)))
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == \
+        [library.encode(t or "", add_special_tokens=False).ids for t in texts_]
+    assert len(asked) == len(set(asked)) and "stone" in asked and "stone###" not in asked and "caf\u00e9)" not in asked
+
+
 def test_documents_read_back(spark):
     library = Tokenizer.from_file(PATH)
     docs = odd_documents(spark).repartition(5)
