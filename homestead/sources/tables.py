@@ -258,12 +258,23 @@ def publish_version(df: DataFrame, root: str, partition_by: str | None = None, b
         if check is not None:
             check(spark.read.schema(df.schema).parquet(path))
         if note is not None:
-            _put(spark, f"{path}/_note.json", json.dumps(note))
-        _put(spark, f"{path}/_SUCCESS", "")
+            put_text(spark, f"{path}/_note.json", json.dumps(note))
+        put_text(spark, f"{path}/_SUCCESS", "")
     return path
 
 
-def _put(spark: SparkSession, path: str, text: str) -> None:
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    fs, hpath, _ = _fs(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(hpath)) if fs.exists(hpath) else []
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    fs, hpath, _ = _fs(spark, path)
+    fs.mkdirs(hpath)
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
     fs, hpath, _ = _fs(spark, path)
     out = fs.create(hpath, True)
     out.write(bytearray(text.encode()))

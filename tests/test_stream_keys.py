@@ -1,0 +1,71 @@
+"""First row per key: what the keyed state holds, and when it lets go."""
+
+import os
+
+import pytest
+
+from homestead.streaming import ingest as I
+from test_io_stream import DOC, scratch, write_docs
+
+URL = "https://site.example/"
+
+
+def _args(root):
+    return f"{root}/bronze", f"{root}/once", f"{root}/ck"
+
+
+def _rows(spark, root):
+    return sorted((r.url[-1], str(r.crawled_at)) for r in spark.read.parquet(f"{root}/once").collect())
+
+
+def test_keys_are_held_by_a_built_in_operator(spark):
+    """A call from Python for every key took most of the time."""
+    root = scratch()
+    write_docs(f"{root}/bronze", "2026-06-01", [DOC])
+    I.first_per_key_stream(spark, *_args(root))
+    assert [r.operatorName for r in spark.read.format("state-metadata").load(f"{root}/ck").select("operatorName").distinct().collect()] == ["dedupeWithinWatermark"]
+
+
+def test_of_a_micro_batch_the_first_row_by_all_columns(spark):
+    root = scratch()
+    write_docs(f"{root}/bronze", "2026-06-01", [dict(DOC, url=URL + "a", crawled_at="2026-05-02T10:00:00"),
+                                                dict(DOC, url=URL + "a", crawled_at="2026-05-01T10:00:00"),
+                                                dict(DOC, url=URL + "b"), dict(DOC, url=URL + "b"), dict(DOC, url=None),
+                                                dict(DOC, url=URL + "c"), dict(DOC, url=URL + "c", crawled_at=None)])
+    write_docs(f"{root}/bronze", "2026-06-02", [dict(DOC, url=URL + "a", crawled_at=None), dict(DOC, url=URL + "d")])
+    os.utime(f"{root}/bronze/dt=2026-06-01/part-0.json", (1_780_000_000, 1_780_000_000))       # the earlier file
+    I.first_per_key_stream(spark, *_args(root), max_files_per_trigger=1)
+    want = [("a", "2026-05-01 10:00:00"), ("b", "2026-05-01 10:00:00.123456"), ("c", "None"), ("d", "2026-05-01 10:00:00.123456")]
+    assert _rows(spark, root) == want
+    I.first_per_key_stream(spark, *_args(root), max_files_per_trigger=1)
+    assert _rows(spark, root) == want
+
+
+def test_a_key_too_old_is_written_again_by_the_next_pass(spark):
+    root = scratch()
+    for day in (1, 2):
+        write_docs(f"{root}/bronze", f"2026-06-0{day}", [dict(DOC, crawled_at=f"2026-05-0{day}T10:00:00")])
+        I.first_per_key_stream(spark, *_args(root), keep_days=1e-6)
+    assert len(_rows(spark, root)) == 2
+
+
+def test_what_a_lost_pass_began_is_written_by_the_next(spark, monkeypatch):
+    """Its files are read again although the next pass begins without files."""
+    root = scratch()
+    write_docs(f"{root}/bronze", "2026-06-01", [dict(DOC, url=URL + "a")])
+    I.first_per_key_stream(spark, *_args(root))
+    write_docs(f"{root}/bronze", "2026-06-02", [dict(DOC, url=URL + "a"), dict(DOC, url=URL + "b")])
+
+    class Lost(type(spark.range(0).write)):
+        def parquet(self, path, *args, **kwargs):
+            if path.endswith("batch=3"):        # behind the tick and the empty micro-batch
+                raise RuntimeError("lost")
+            return super().parquet(path, *args, **kwargs)
+    with monkeypatch.context() as m:
+        m.setattr(type(spark.range(0)), "write", property(lambda df: Lost(df)))
+        with pytest.raises(Exception, match="lost"):
+            I.first_per_key_stream(spark, *_args(root))
+    assert [u for u, _ in _rows(spark, root)] == ["a"]
+    write_docs(f"{root}/bronze", "2026-06-03", [dict(DOC, url=URL + "c")])
+    I.first_per_key_stream(spark, *_args(root))
+    assert [u for u, _ in _rows(spark, root)] == ["a", "b", "c"]
