@@ -731,22 +731,22 @@ def etl_late_gold(spark, sf_dir):
     return read_gold(spark, f"{_late_landings(spark, sf_dir)}/gold")
 
 
-#: Documents of one file of ``_landed_by_line``: many enough that a stream reads it with all cores, in splits.
+#: Documents of one file of ``_landed_by_line``: many enough that a stream reads it with all cores.
 FILE_DOCS = 1_000_000
 
 
 def _landed_by_line(spark, sf_dir, name, step) -> str:
     """Root with the crawls landed in order from the last lines to the first,
     ``step`` line numbers a landing: crawl dates come out of order. Files are
-    few and large, as each is a micro-batch, and not compressed, as one that is
-    cannot be split."""
+    few and large, as each is a micro-batch, and compressed: the documents as
+    text are more than all that the stream writes of them."""
     from ..sources.bronze import land_bronze
     root = scratch_path(spark, name)
     rows = _rows_written(spark, sf_dir, name)
     for i, last in enumerate(range(7, 0, -step)):
         some = rows.filter(F.col("l_linenumber").between(last - step + 1, last if i else 99))
         docs = _documents(some).coalesce(-(-some.count() // FILE_DOCS) or 1)
-        land_bronze(docs, f"{root}/bronze", day=f"2026-01-{i + 1:02d}", clustered=True)
+        land_bronze(docs, f"{root}/bronze", day=f"2026-01-{i + 1:02d}", compression="lz4", clustered=True)
     return root
 
 
